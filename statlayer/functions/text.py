@@ -13,10 +13,17 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# FIXED VALUES: the characters a Python ``str.strip()`` removes (``str.isspace``), as one regex class
+# that both Java regex and RE2 accept.
+WHITESPACE_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
+                    r"\x{202F}\x{205F}\x{3000}]")
+STRIP_PATTERN = f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
+
+
 def strip_all(col) -> Column:
     """Trim every kind of leading/trailing whitespace (tabs, newlines, no-break space), not only
     spaces as ``trim`` does."""
-    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(_c(col), STRIP_PATTERN, "")
 
 
 def zero_pad(col, width: int) -> Column:

@@ -336,3 +336,7 @@ def group_every_n_years(spark, d):
 def largest_differences(spark, d):
     """Q10: largest relative source differences in the latest common year, ordered by ABS."""
     return Q.q10_largest_differences(A.comparison(spark, d), A.dim_country(spark, d), FLOOR)
+
+
+# second half of the catalogue registers itself on import
+from statlayer.plans import catalogue_more  # noqa: E402,F401
