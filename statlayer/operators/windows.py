@@ -1,8 +1,8 @@
 """Window-style operators, written so that no single task ever holds an unbounded partition.
 
-* share of a group total: aggregate the totals (map-side partial sums, one row per group) and join
-  them back. The totals side is as small as the number of groups; AQE turns the join into a
-  broadcast at runtime when it is small and keeps a shuffle join otherwise.
+* share of a group total: on an aggregated product (one row per entity and period) a window over the
+  period - a partition holds one period's entities; on raw rows, partial sums per group joined back
+  (the totals side is as small as the number of groups; AQE broadcasts it once measured small).
 * share of the whole result: the total is a scalar subquery (one value), not ``OVER ()`` (which
   would move every row into one partition).
 * change from the previous row: ``lag`` over (entity ORDER BY period) - one entity's periods per
@@ -21,11 +21,19 @@ def with_group_total(df: DataFrame, value_col: str, by: list[str], out: str) ->
     return df.join(totals, by, "left")
 
 
-def share_of_group(df: DataFrame, value_col: str, by: list[str], out: str) -> DataFrame:
-    """100 * value / sum(value) within ``by`` (e.g. share of the world total in the same year)."""
-    tmp = f"__total_{out}"
-    return with_group_total(df, value_col, by, tmp) \
-        .withColumn(out, ratio_pct(F.col(value_col), F.col(tmp))).drop(tmp)
+def share_of_group(df: DataFrame, value_col: str, by: list[str], out: str, method: str = "window") -> DataFrame:
+    """100 * value / sum(value) within ``by`` (e.g. share of the world total in the same year).
+
+    ``window`` (default) is for aggregated products - one row per entity and period - where a window
+    partition holds one period's entities: one pass, no second evaluation of the input. ``join`` is for
+    raw rows with a low-cardinality ``by``: partial sums per group, joined back (AQE broadcasts the
+    measured-small totals); materialise ``df`` first so it is not computed twice."""
+    if method == "join":
+        tmp = f"__total_{out}"
+        return with_group_total(df, value_col, by, tmp) \
+            .withColumn(out, ratio_pct(F.col(value_col), F.col(tmp))).drop(tmp)
+    total = F.sum(value_col).over(Window.partitionBy(*by))
+    return df.withColumn(out, ratio_pct(F.col(value_col), total))
 
 
 def share_of_whole(df: DataFrame, value_col: str, out: str) -> DataFrame:

@@ -76,8 +76,9 @@ FROM documents""")
 def document_clean(spark, d):
     """F1 / F2 on whole document texts: stripped length, line count, source key."""
     docs = t(spark, d, "documents")
-    return docs.select("doc_id", F.length(strip_all("text")).alias("stripped_chars"),
-                       F.size(F.split("text", "\n")).alias("lines"), slug("source").alias("source_key"), "lang")
+    return docs.select("doc_id", F.length(strip_all("text")).cast("long").alias("stripped_chars"),
+                       F.size(F.split("text", "\n")).cast("long").alias("lines"), slug("source").alias("source_key"),
+                       "lang")
 
 
 @register("lenient_cast", """SELECT page_id, regexp_extract(url, '/([^/?#]*)(?:[?#].*)?$', 1) AS segment,

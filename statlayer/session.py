@@ -26,6 +26,27 @@ DEFAULT_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# Join strategy: no broadcast from file-size ESTIMATES (a 10 MB compressed fact file would be collected
+# through the driver). Fixed-size dimensions are broadcast explicitly (``operators.joins.fixed_dim``);
+# anything else is broadcast only by AQE after the shuffle has MEASURED it below the cap, otherwise it
+# stays a sort-merge join. These are runtime SQL settings, applied to any session the entry points get.
+JOIN_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "8MB",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+}
+DEFAULT_CONF.update(JOIN_CONF)
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the engine's runtime SQL settings (join strategy, AQE) to a session built elsewhere."""
+    for key, value in JOIN_CONF.items():
+        spark.conf.set(key, value)
+    ensure_checkpoint_dir(spark)
+    return spark
+
 
 def get_spark(app: str = "statlayer", master: str | None = None, shuffle_partitions: int | None = None,
               conf: dict | None = None) -> SparkSession:
