@@ -281,31 +281,31 @@ FLOOR = 10_000_000
 @register("latest_top10", f"WITH {A.SQL_COUNTRY_YEAR}, {A.SQL_DIM_COUNTRY}\n{Q.sql_q1(10)}")
 def latest_top10(spark, d):
     """Q1: top 10 by total in the latest year (scalar subquery + top-k)."""
-    return Q.q1_top_emitters(A.country_year(spark, d), A.dim_country(spark, d), 10)
+    return Q.q1_top_emitters(A.published(spark, d, 'country_year'), A.published(spark, d, 'dim_country'), 10)
 
 
 @register("one_country_series", f"WITH {A.SQL_COUNTRY_YEAR}\n{Q.sql_q2('NATION_1', 1996)}")
 def one_country_series(spark, d):
     """Q2: one country since a year, with one measure's share and the per-head value."""
-    return Q.q2_country_series(A.country_year(spark, d), "NATION_1", 1996)
+    return Q.q2_country_series(A.published(spark, d, 'country_year'), "NATION_1", 1996)
 
 
 @register("gas_share_by_bucket", f"WITH {A.SQL_FACT}\n{Q.sql_q3(GASES_ANALOG, 5, 'bucket')}")
 def gas_share_by_bucket(spark, d):
     """Q3: FILTER shares per 5-year bucket (integer division)."""
-    return Q.q3_gas_share_by_bucket(A.fact_emissions(spark, d), GASES_ANALOG, 5, bucket_name="bucket")
+    return Q.q3_gas_share_by_bucket(A.published(spark, d, 'fact_emissions'), GASES_ANALOG, 5, bucket_name="bucket")
 
 
 @register("listed_per_head", f"WITH {A.SQL_COUNTRY_YEAR}, {A.SQL_DIM_COUNTRY}\n{Q.sql_q4(LISTED)}")
 def listed_per_head(spark, d):
     """Q4: listed countries per head in the latest year having population."""
-    return Q.q4_listed_per_head(A.country_year(spark, d), A.dim_country(spark, d), LISTED)
+    return Q.q4_listed_per_head(A.published(spark, d, 'country_year'), A.published(spark, d, 'dim_country'), LISTED)
 
 
 @register("self_join_growth", f"WITH {A.SQL_COUNTRY_YEAR}, {A.SQL_DIM_COUNTRY}\n{Q.sql_q5(1996, FLOOR)}")
 def self_join_growth(spark, d):
     """Base year vs latest year self-join, growth, top 10."""
-    return Q.q5_fastest_growing(A.country_year(spark, d), A.dim_country(spark, d), 1996, FLOOR)
+    return Q.q5_fastest_growing(A.published(spark, d, 'country_year'), A.published(spark, d, 'dim_country'), 1996, FLOOR)
 
 
 @register("freshness", Q.sql_q6("events", "event_type", "ts"))
@@ -317,25 +317,25 @@ def freshness(spark, d):
 @register("yearly_total", f"WITH {A.SQL_FACT}\n{Q.sql_q7(1997)}")
 def yearly_total(spark, d):
     """Q7: total per year from a year on."""
-    return Q.q7_yearly_total(A.fact_emissions(spark, d), 1997)
+    return Q.q7_yearly_total(A.published(spark, d, 'fact_emissions'), 1997)
 
 
 @register("breakdown_share", f"WITH {A.SQL_BY_ACTIVITY}, {A.SQL_DIM_ACTIVITY}\n{Q.sql_q8('NATION_1')}")
 def breakdown_share(spark, d):
     """One country's activities in the latest year, share of the whole result."""
-    return Q.q8_breakdown_share(A.by_activity(spark, d), A.dim_activity(spark, d), "NATION_1")
+    return Q.q8_breakdown_share(A.published(spark, d, 'by_activity'), A.published(spark, d, 'dim_activity'), "NATION_1")
 
 
 @register("group_every_n_years", f"WITH {A.SQL_BY_ACTIVITY}, {A.SQL_DIM_ACTIVITY}\n{Q.sql_q9(5)}")
 def group_every_n_years(spark, d):
     """Activity groups every 5th year and the latest year."""
-    return Q.q9_groups_every_n_years(A.by_activity(spark, d), A.dim_activity(spark, d), 5)
+    return Q.q9_groups_every_n_years(A.published(spark, d, 'by_activity'), A.published(spark, d, 'dim_activity'), 5)
 
 
 @register("largest_differences", f"WITH {A.SQL_COMPARISON}, {A.SQL_DIM_COUNTRY}\n{Q.sql_q10(FLOOR)}")
 def largest_differences(spark, d):
     """Q10: largest relative source differences in the latest common year, ordered by ABS."""
-    return Q.q10_largest_differences(A.comparison(spark, d), A.dim_country(spark, d), FLOOR)
+    return Q.q10_largest_differences(A.published(spark, d, 'comparison'), A.published(spark, d, 'dim_country'), FLOOR)
 
 
 # second half of the catalogue registers itself on import
