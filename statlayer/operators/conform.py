@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlayer import schemas, settings
-from statlayer.functions.text import strip_leading, zero_pad
+from statlayer.functions.text import fold_accents, strip_leading, zero_pad
 from statlayer.operators.joins import fixed_dim
 
 
@@ -107,3 +107,19 @@ def _last_wins(df: DataFrame, key: str) -> DataFrame:
     value_cols = [c for c in df.columns if c != key]
     return ordered.groupBy(key).agg(F.max_by(F.struct(*value_cols), F.col("__pos")).alias("__v")) \
         .select(key, *[F.col(f"__v.{c}").alias(c) for c in value_cols])
+
+
+def with_looks_merged(df: DataFrame, code_col: str, name_col: str, iso: DataFrame,
+                      out: str = "looks_merged") -> DataFrame:
+    """Does a name join several countries under one code ('Sudan and South Sudan')? True when the
+    name contains ' and ' and its accent-folded form is none of the ISO names of that code (so
+    'Trinidad and Tobago' is not merged); an unknown code with ' and ' counts as merged."""
+    names = iso.select(F.col("alpha_3").alias("__code"), F.explode(F.array("name", "official_name", "common_name"))
+                       .alias("__n")).where(F.col("__n").isNotNull() & (F.col("__n") != ""))
+    names = fixed_dim(names.select("__code", fold_accents("__n").alias("__folded")).distinct())
+    known = fixed_dim(iso.select(F.col("alpha_3").alias("__known")))
+    flagged = (df.withColumn("__fname", fold_accents(F.col(name_col).cast("string")))
+               .join(known, F.col(code_col) == F.col("__known"), "left")
+               .join(names, (F.col(code_col) == F.col("__code")) & (F.col("__fname") == F.col("__folded")), "left"))
+    merged = F.col(name_col).contains(" and ") & (F.col("__known").isNull() | F.col("__folded").isNull())
+    return flagged.withColumn(out, F.coalesce(merged, F.lit(False))).drop("__fname", "__known", "__code", "__folded")

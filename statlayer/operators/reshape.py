@@ -91,3 +91,9 @@ def explode_delimited(df: DataFrame, col: str, sep: str, out: str) -> DataFrame:
 def flatten(df: DataFrame, fields: dict) -> DataFrame:
     """Nested record -> flat columns: {'out_name': 'path.to.field', ...}."""
     return df.select(*[F.col(path).alias(name) for name, path in fields.items()])
+
+
+def stacked_values(df: DataFrame, cols: list[str], value_name: str = "value") -> DataFrame:
+    """All cells of ``cols`` as one column of present values (a matrix stacked into one series)."""
+    long = unpivot_measure(df.select(*[q(c) for c in cols]), [], cols, "__col", value_name)
+    return long.where(F.col(value_name).isNotNull()).select(value_name)

@@ -79,3 +79,13 @@ CONTRACTS = {
         "edgar_vs_faostat", ["country_code", "year"], ["edgar_total_mt", "faostat_total_mt", "batch_id", "loaded_at"],
         {"country_code": ("dim_country", "country_code")}),
 }
+
+
+TABLES = {"dim_gas": DIM_GAS, "dim_activity": DIM_ACTIVITY, "dim_country": DIM_COUNTRY, "load_audit": LOAD_AUDIT}
+
+
+def ddl(name: str, schema: T.StructType, location: str) -> str:
+    """Idempotent table definition (K12): CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION ...
+    The constraints a file table cannot enforce are evaluated by ``quality.contracts``."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet LOCATION '{location}'"

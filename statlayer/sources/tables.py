@@ -44,3 +44,8 @@ def fetch_value(df: DataFrame):
     """Single-value query (S13): the first column of the first row of a one-row aggregate."""
     row = df.first()
     return None if row is None else row[0]
+
+
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Small mapping-table CSV with a declared schema (S8); join it with ``fixed_dim`` / a size check."""
+    return spark.read.schema(schema).option("header", True).csv(path)

@@ -175,3 +175,37 @@ def test_stats_file_sources(spark, tmp_path):
     assert spark.read.option("header", True).option("encoding", "ISO-8859-1").csv(str(latin)).first().Area == "Curaçao"
     man = src.file_manifest(spark, raw.stats, source="statistics").first()
     assert len(man.sha256) == 64 and man.size_bytes > 0 and man.source == "statistics"
+
+
+def test_source_profiles(spark, tmp_path):
+    from statlayer.operators import conform
+    from statlayer.plans import products as P
+    from statlayer.profile import sources as PS
+    raw = write_raw(str(tmp_path))
+    iso = conform.iso_table(spark)
+    m = PS.profile_matrix(src.read_matrix(spark, raw.matrix), iso)
+    shape = m["shape"].first()
+    assert (shape.rows, shape.blank_rows, shape.year_columns) == (13, 1, 2)
+    cells = m["cells"].first()
+    assert (cells.cells, cells.missing, cells.zeros, cells.negatives) == (24, 1, 0, 0)
+    assert m["duplicate_keys"].first().duplicate_rows == 0          # (substance, sector, code) is unique
+    assert {r.code for r in m["non_iso_codes"].collect()} == {"AIR", "GLOBAL TOTAL", "EU27"}
+    assert [r.code for r in m["merged_codes"].collect()] == ["SDN"]
+    assert m["value_summary"].first()["count"] == 23
+    known = conform.known_codes(spark, iso)
+    pop = PS.profile_population(P.tidy_population(src.read_pages(spark, raw.pages), known), src.read_pages(spark, raw.pages))
+    span = pop["span"].first()
+    assert (span.first_year, span.last_year, span.countries, span.regions) == (2022, 2023, 3, 1)
+    assert pop["missing_values"].first().missing == 1
+    stats = P.tidy_stats(src.read_stats_csv(spark, raw.stats), iso)
+    sp = PS.profile_stats(stats, "normalized")
+    assert sp["negatives"].first().negative_values == 1 and sp["negatives"].first().projection_rows == 1
+    assert {r.area for r in sp["areas_without_iso"].collect()} == set()
+
+
+def test_looks_merged_keeps_real_and_names(spark):
+    from statlayer.operators import conform
+    df = spark.createDataFrame([("TTO", "Trinidad and Tobago"), ("SDN", "Sudan and South Sudan"), ("BIH", "Bosnia and Herzegovina"),
+                                ("SCG", "Serbia and Montenegro"), ("PHL", "Philippines")], "code string, name string")
+    flags = {r.code: r.looks_merged for r in conform.with_looks_merged(df, "code", "name", conform.iso_table(spark)).collect()}
+    assert flags == {"TTO": False, "SDN": True, "BIH": False, "SCG": True, "PHL": False}
