@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statlayer.operators.joins import broadcast_if_bounded
+
 
 def sorted_text_join(col: str, sep: str = ";") -> Column:
     """Grouped sorted text join ('SSD','SDN' -> 'SDN;SSD'). Collects one group's values: use on
@@ -21,7 +23,9 @@ def complete_group_sums(members: DataFrame, facts: DataFrame, group_col: str, me
     """
     m = members.select(group_col, member_col).where(F.col(member_col).isNotNull()).distinct()
     expected = m.groupBy(group_col).agg(F.count(F.lit(1)).alias("__expected"))
-    joined = m.join(facts, m[member_col] == facts[fact_member_col], "inner")
+    # the membership table is dimension-sized: broadcast once its size is proven, so a member key that
+    # holds a third of the facts never becomes one sort-merge partition
+    joined = facts.join(broadcast_if_bounded(m), m[member_col] == facts[fact_member_col], "inner")
     found = joined.groupBy(group_col, *by).agg(F.sum(value_col).alias(out),
                                                F.count_distinct(member_col).alias("__found"))
     return (found.join(expected, group_col, "inner")
