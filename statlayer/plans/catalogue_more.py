@@ -359,10 +359,9 @@ SELECT 'supplier', (SELECT COUNT(*) FROM supplier WHERE s_acctbal >= 0),
 def load_audit_rows(spark, d):
     """K10 (+K8): per table, rows upserted by a batch and stale rows it removes (facts equal the batch)."""
     def audit(name, target, incoming, keys):
-        up = incoming.agg(F.count(F.lit(1)).alias("rows_upserted")).withColumn("__k", F.lit(1))
-        stale = target.join(incoming.select(*keys).distinct(), keys, "left_anti") \
-            .agg(F.count(F.lit(1)).alias("rows_deleted")).withColumn("__k", F.lit(1))
-        return up.join(stale, "__k").select(F.lit(name).alias("table_name"), "rows_upserted", "rows_deleted")
+        stale = target.join(incoming.select(*keys).distinct(), keys, "left_anti").select(F.count(F.lit(1))).scalar()
+        return incoming.agg(F.count(F.lit(1)).alias("rows_upserted")).select(
+            F.lit(name).alias("table_name"), "rows_upserted", stale.alias("rows_deleted"))
     c, s = t(spark, d, "customer"), t(spark, d, "supplier")
     return audit("customer", c.where(F.col("c_mktsegment").isin(OLD_SEGMENTS)),
                  c.where(F.col("c_mktsegment").isin(NEW_SEGMENTS)), ["c_custkey"]).unionByName(
