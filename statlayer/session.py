@@ -95,3 +95,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def data_dir(default: str = "/root/testdata/sf0.01") -> str:
     return os.environ.get("STATLAYER_DATA", default)
+
+
+def size_parallelism(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Size shuffles for an input: partitions of about ``target_bytes`` (fits executor memory without
+    spilling), never fewer than the cluster's task slots; AQE coalesces the small ones at runtime and
+    splits skewed ones. Scans use the same target for their splits."""
+    slots = spark.sparkContext.defaultParallelism
+    partitions = max(slots, -(-int(input_bytes) // int(target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes, 128 << 20)))
+    return partitions

@@ -73,3 +73,20 @@ def test_formats_and_pruning(spark, tmp_path):
     assert (share.rows_all, share.rows_read, share.folders) == (2, 1, 2)
     plan = PF.pruned_scan_plan(spark.read.parquet(str(tmp_path / "parts")).where(F.col("s") == "a").select("x"))
     assert "PartitionFilters: [isnotnull(s" in plan and "ReadSchema: struct<x:double>" in plan
+
+
+def test_bucketed_fact_join_has_no_shuffle(spark, tmp_path):
+    from statlayer.sources.bucketed import write_bucketed
+    from statlayer.sources.tables import read_table
+    from statlayer.session import size_parallelism
+    d = "/root/testdata/sf0.001"
+    li = write_bucketed(read_table(spark, d, "lineitem"), "li_bucketed", "l_orderkey", 8, str(tmp_path / "li"))
+    o = write_bucketed(read_table(spark, d, "orders"), "o_bucketed", "o_orderkey", 8, str(tmp_path / "o"))
+    joined = li.join(o, li.l_orderkey == o.o_orderkey).groupBy("o_orderstatus").count()
+    plan = PF.pruned_scan_plan(joined)
+    tree = plan[:plan.index("(1)")]
+    assert "SortMergeJoin" in tree and tree.count("Exchange") == 1       # only the final aggregation
+    plain = read_table(spark, d, "lineitem").join(read_table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    assert joined.agg(F.sum("count")).first()[0] == plain.count()
+    assert size_parallelism(spark, 10 << 30) >= 40
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
