@@ -42,26 +42,35 @@ def profile_matrix(raw: DataFrame, iso: DataFrame, id_cols=settings.MATRIX_ID_CO
         "duplicate_keys": duplicate_rows(data, [substance, sector, code]),
         "non_iso_codes": codes.join(iso_codes, "code", "left_anti"),
         "merged_codes": with_looks_merged(codes, "code", "name", iso).where("looks_merged").drop("looks_merged"),
-        "missing_by_substance": long.groupBy(substance).agg(F.count_if(F.col("value").isNull()).alias("missing")),
+        "rows_per_sector": value_counts(data, [sector], "rows"),
+        # Rows and missing cells per substance, aligned with a full outer join for the report
+        "substances": data.groupBy(substance).agg(F.count(F.lit(1)).alias("rows")).join(
+            long.groupBy(substance).agg(F.count_if(F.col("value").isNull()).alias("missing_cells")),
+            substance, "full"),
     }
 
 
-def profile_population(tidy: DataFrame, raw_records: DataFrame | None = None) -> dict:
-    """M3: year span, code counts (countries vs regions), the region list, values per year, duplicate
-    keys, records without a value."""
-    out = {
-        "span": tidy.agg(F.min("year").alias("first_year"), F.max("year").alias("last_year"),
-                         F.count_distinct("iso3").alias("codes"),
-                         F.count_distinct(F.when(F.col("is_country"), F.col("iso3"))).alias("countries"),
-                         F.count_distinct(F.when(~F.col("is_country"), F.col("iso3"))).alias("regions")),
-        "regions": tidy.where(~F.col("is_country")).groupBy("iso3").agg(F.min("wb_name").alias("name")),
-        "values_per_year": tidy.groupBy("year").agg(F.count("population").alias("values")),
-        "duplicate_keys": duplicate_rows(tidy, ["iso3", "year"]),
+def profile_population(records: DataFrame, known_codes: DataFrame, latest: int = 5) -> dict:
+    """M3 on the raw records: shape, year span, codes split into countries and regions (codes neither
+    in ISO nor in the extra list), the region list, value summary, values in the latest years, missing
+    values, duplicate (code, date) records."""
+    flat = records.select(F.col("countryiso3code").alias("code"), F.col("country.value").alias("country_name"),
+                          "date", "value", F.col("date").cast("int").alias("year"))
+    codes = flat.where(F.col("code").isNotNull()).select("code").distinct()
+    regions = codes.join(known_codes, "code", "left_anti")
+    per_year = flat.groupBy("year").agg(F.count("value").alias("values"))
+    return {
+        "shape": flat.agg(F.count(F.lit(1)).alias("rows"), F.min("year").alias("first_year"),
+                          F.max("year").alias("last_year")),
+        "codes": codes.agg(F.count(F.lit(1)).alias("codes")).select(
+            "codes", regions.select(F.count(F.lit(1))).scalar().alias("regions")),
+        "regions": regions.orderBy("code"),
+        "columns": column_profile(flat, ["code", "country_name", "date", "value"]),
+        "value_summary": summary(flat, "value"),
+        "latest_years": per_year.orderBy(F.desc("year")).limit(latest),
+        "missing_values": flat.agg(F.count_if(F.col("value").isNull()).alias("missing")),
+        "duplicate_keys": duplicate_rows(flat, ["code", "date"]),
     }
-    if raw_records is not None:
-        out["missing_values"] = raw_records.agg(F.count_if(F.col("value").isNull()).alias("missing"),
-                                                F.count_if(F.col("countryiso3code") == "").alias("empty_codes"))
-    return out
 
 
 def profile_stats(tidy: DataFrame, layout: str) -> dict:

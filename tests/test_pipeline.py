@@ -193,10 +193,14 @@ def test_source_profiles(spark, tmp_path):
     assert [r.code for r in m["merged_codes"].collect()] == ["SDN"]
     assert m["value_summary"].first()["count"] == 23
     known = conform.known_codes(spark, iso)
-    pop = PS.profile_population(P.tidy_population(src.read_pages(spark, raw.pages), known), src.read_pages(spark, raw.pages))
-    span = pop["span"].first()
-    assert (span.first_year, span.last_year, span.countries, span.regions) == (2022, 2023, 3, 1)
-    assert pop["missing_values"].first().missing == 1
+    pop = PS.profile_population(src.read_pages(spark, raw.pages), known)
+    shape, codes = pop["shape"].first(), pop["codes"].first()
+    assert (shape.rows, shape.first_year, shape.last_year, codes.codes, codes.regions) == (9, 2022, 2024, 4, 1)
+    assert [r.code for r in pop["regions"].collect()] == ["WLD"]
+    assert pop["missing_values"].first().missing == 1 and pop["duplicate_keys"].first().duplicate_rows == 0
+    assert [r.year for r in pop["latest_years"].collect()] == [2024, 2023, 2022]
+    subs = {r.Substance: (r.rows, r.missing_cells) for r in m["substances"].collect()}
+    assert subs["CO2"] == (5, 1) and m["rows_per_sector"].first().Sector == "Agriculture"
     stats = P.tidy_stats(src.read_stats_csv(spark, raw.stats), iso)
     sp = PS.profile_stats(stats, "normalized")
     assert sp["negatives"].first().negative_values == 1 and sp["negatives"].first().projection_rows == 1
