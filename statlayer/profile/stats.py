@@ -36,23 +36,24 @@ def exact_quantiles(df: DataFrame, value: str, by: list[str] | None = None, qs=(
     w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("__offset", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
     totals = slices.groupBy(*keys).agg(F.sum("__cnt").alias("__n"))
-    # 3. wanted ranks per group (0-based) for every quantile
-    wanted = totals.select(*keys, "__n", F.explode(F.array(*[
+    # 3. wanted ranks per group (0-based): floor and ceil of q * (n - 1) for every quantile
+    bounds = totals.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(i).alias("qi"), (F.lit(q) * (F.col("__n") - 1)).alias("pos")) for i, q in enumerate(qs)]))
-        .alias("__q")).select(*keys, "__q.qi", "__q.pos")
-    needed = wanted.select(*keys, F.floor("pos").cast("long").alias("__rank")).unionByName(
-        wanted.select(*keys, F.ceil("pos").cast("long").alias("__rank"))).distinct()
+        .alias("__q")).select(*keys, "__q.qi", "__q.pos").withColumn("__lo", F.floor("pos").cast("long")) \
+        .withColumn("__hi", F.ceil("pos").cast("long"))
+    needed = bounds.select(*keys, F.explode(F.array("__lo", "__hi")).alias("__rank")).distinct()
+    # 4. keep only the rows at those ranks (at most 2 per quantile and group), then interpolate
     located = (ranked.join(slices.select("__pid", *keys, "__first", "__offset"), ["__pid", *keys])
                .withColumn("__rank", F.col("__offset") + F.col("__idx") - F.col("__first"))
                .join(needed, [*keys, "__rank"], "left_semi")
                .select(*keys, "__rank", "__v"))
-    lo = located.select(*keys, F.col("__rank").alias("__lo"), F.col("__v").alias("__vlo"))
-    hi = located.select(*keys, F.col("__rank").alias("__hi"), F.col("__v").alias("__vhi"))
-    interp = (wanted.withColumn("__lo", F.floor("pos").cast("long")).withColumn("__hi", F.ceil("pos").cast("long"))
-              .join(lo, [*keys, "__lo"]).join(hi, [*keys, "__hi"])
-              .withColumn("val", F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * (F.col("pos") - F.col("__lo"))))
-    out = interp.groupBy(*keys).pivot("qi", list(range(len(qs)))).agg(F.first("val"))
-    out = out.select(*keys, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
+    pairs = bounds.join(located, keys).where((F.col("__rank") == F.col("__lo")) | (F.col("__rank") == F.col("__hi")))
+    interp = pairs.groupBy(*keys, "qi", "pos", "__lo").agg(
+        F.max(F.when(F.col("__rank") == F.col("__lo"), F.col("__v"))).alias("__vlo"),
+        F.max(F.when(F.col("__rank") == F.col("__hi"), F.col("__v"))).alias("__vhi"))
+    interp = interp.withColumn("val", F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * (F.col("pos") - F.col("__lo")))
+    out = interp.groupBy(*keys).agg(*[F.max(F.when(F.col("qi") == i, F.col("val"))).alias(n)
+                                      for i, n in enumerate(names)])
     return out.drop("__g") if not by else out
 
 
