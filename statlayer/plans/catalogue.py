@@ -62,15 +62,17 @@ def country_year_product(spark, d):
 
 
 # ------------------------------------------------------------------------------ reshape
-YEARS = list(range(1992, 2002))
+def years_of(df: DataFrame, col: str) -> list[int]:
+    """The distinct years present (the pivot's column list; bounded by the number of years)."""
+    return sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
 
 
 @register("unpivot_measures", """SELECT l_partkey, CAST(year(l_shipdate) AS INTEGER) AS year, SUM(l_quantity) AS quantity
-FROM lineitem WHERE year(l_shipdate) BETWEEN 1992 AND 2001 GROUP BY 1, 2""")
+FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1, 2""")
 def unpivot_measures(spark, d):
     """R1 + P2: a wide part x year matrix (one column per year, null = no data) back to long rows."""
     li = t(spark, d, "lineitem").select("l_partkey", F.year("l_shipdate").alias("y"), "l_quantity")
-    wide = pivot_fixed(li, ["l_partkey"], "y", "l_quantity", {y: str(y) for y in YEARS})
+    wide = pivot_fixed(li, ["l_partkey"], "y", "l_quantity", {y: str(y) for y in years_of(li, "y")})
     long = unpivot_measure(wide, ["l_partkey"], year_columns(wide), "__y", "quantity")
     return long.where(F.col("quantity").isNotNull()).select("l_partkey", year_from_header("__y").alias("year"),
                                                              "quantity")
@@ -78,17 +80,18 @@ def unpivot_measures(spark, d):
 
 @register("unpivot_value_flag", """SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
   CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value, MAX(o_orderstatus) AS flag
-FROM orders WHERE year(o_orderdate) BETWEEN 1992 AND 2001 GROUP BY 1, 2""")
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2""")
 def unpivot_value_flag(spark, d):
     """R2: paired value/flag columns per year (Y1995, Y1995F, ...) back to (year, value, flag)."""
     o = t(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("y"),
                                      F.col("o_totalprice").cast(MONEY).alias("v"), "o_orderstatus")
+    years = years_of(o, "y")
     aggs = []
-    for y in YEARS:
+    for y in years:
         aggs += [F.sum(F.when(F.col("y") == y, F.col("v"))).alias(f"Y{y}"),
                  F.max(F.when(F.col("y") == y, F.col("o_orderstatus"))).alias(f"Y{y}F")]
     wide = o.groupBy("o_custkey").agg(*aggs)
-    long = unpivot_pairs(wide, ["o_custkey"], [(y, f"Y{y}", f"Y{y}F") for y in YEARS], "year", "value", "flag")
+    long = unpivot_pairs(wide, ["o_custkey"], [(y, f"Y{y}", f"Y{y}F") for y in years], "year", "value", "flag")
     return long.where(F.col("value").isNotNull())
 
 

@@ -137,6 +137,19 @@ def distribution(spark, d):
                     *[F.round(c, 4).alias(c) for c in ("p25", "p50", "p75")], "max")
 
 
+@register("line_distribution", """SELECT l_returnflag, COUNT(l_extendedprice) AS count,
+  ROUND(AVG(l_extendedprice), 4) AS mean, ROUND(STDDEV_SAMP(l_extendedprice), 4) AS std, MIN(l_extendedprice) AS min,
+  ROUND(quantile_cont(l_extendedprice, 0.25), 4) AS p25, ROUND(quantile_cont(l_extendedprice, 0.5), 4) AS p50,
+  ROUND(quantile_cont(l_extendedprice, 0.75), 4) AS p75, MAX(l_extendedprice) AS max
+FROM lineitem GROUP BY l_returnflag""")
+def line_distribution(spark, d):
+    """A13 on the largest table with hot groups: each of the 3 flags holds a third of all lines; the exact
+    quartiles come from the range-partitioned ranking, so no flag is ranked inside one task."""
+    s = summary(t(spark, d, "lineitem"), "l_extendedprice", ["l_returnflag"])
+    return s.select("l_returnflag", "count", *[F.round(c, 4).alias(c) for c in ("mean", "std")], "min",
+                    *[F.round(c, 4).alias(c) for c in ("p25", "p50", "p75")], "max")
+
+
 @register("value_counts", """SELECT o_orderstatus, o_orderpriority, COUNT(*) AS count FROM orders GROUP BY 1, 2""")
 def value_counts_query(spark, d):
     """A14 + A15: two-key frequency table, most frequent first."""
