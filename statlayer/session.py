@@ -76,8 +76,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="statlayer-ckpt-"))
+    else:
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage (checkpoints and "
+                           "intermediate tables must survive the loss of any machine)")
     return sc.getCheckpointDir()
 
 
