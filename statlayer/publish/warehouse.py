@@ -123,3 +123,39 @@ def check_published(spark: SparkSession, base: str, expected: dict[str, DataFram
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+# Logical names used by the published query texts -> published table names.
+QUERY_NAMES = {"country_year": "agri_country_year", "by_activity": "fact_emissions_by_activity",
+               "comparison": "edgar_vs_faostat"}
+
+
+def register_tables(spark: SparkSession, base: str, database: str = "warehouse") -> list[str]:
+    """K12 + the analyst path: catalog tables over the current committed batch.
+
+    ``CREATE TABLE IF NOT EXISTS ... USING parquet`` once per table, then ``ALTER TABLE ... SET LOCATION``
+    to the batch just committed (a metastore switch: readers of the catalog move to the new batch in one
+    step). The audit log is exposed as a view of committed batches only; views with the logical names of
+    the published query texts let those texts run unchanged."""
+    batch = current_batch(spark, base)
+    if batch is None:
+        return []
+    audit = read_audit(spark, base)
+    names = sorted(r.table_name for r in audit.where(F.col("batch_id") == batch).select("table_name").collect())
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in names:
+        location = f"{base}/{name}/batch_id={batch}"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {database}.{name} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(f"{database}.{name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.load_audit_log USING parquet LOCATION '{base}/load_audit'")
+    spark.catalog.recoverPartitions(f"{database}.load_audit_log")
+    spark.catalog.refreshTable(f"{database}.load_audit_log")
+    committed = ", ".join(f"'{b}'" for b in committed_batches(spark, base))
+    cols = ", ".join(schemas.LOAD_AUDIT.fieldNames())
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.load_audit AS SELECT {cols} FROM {database}.load_audit_log "
+              f"WHERE batch_id IN ({committed})")
+    for logical, physical in QUERY_NAMES.items():
+        if physical in names:
+            spark.sql(f"CREATE OR REPLACE VIEW {database}.{logical} AS SELECT * FROM {database}.{physical}")
+    return names

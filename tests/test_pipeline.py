@@ -213,3 +213,26 @@ def test_looks_merged_keeps_real_and_names(spark):
                                 ("SCG", "Serbia and Montenegro"), ("PHL", "Philippines")], "code string, name string")
     flags = {r.code: r.looks_merged for r in conform.with_looks_merged(df, "code", "name", conform.iso_table(spark)).collect()}
     assert flags == {"TTO": False, "SDN": True, "BIH": False, "SCG": True, "PHL": False}
+
+
+def test_published_sql_on_registered_warehouse(run_once):
+    from statlayer.plans import published as Q
+    spark, _raw, _base, paths = run_once
+    names = W.register_tables(spark, paths.warehouse, "wh_test")
+    assert "agri_country_year" in names and len(names) == 8
+    spark.sql("USE wh_test")
+    try:
+        top = spark.sql(Q.sql_q1()).collect()
+        assert [r.country_name for r in top] == ["Sudan and South Sudan", "Philippines"] and top[0].total_mt == 93.0
+        assert len(spark.sql(Q.sql_q2("PHL", 2000)).collect()) == 2
+        assert spark.sql(Q.sql_q3({"CH4": "ch4_pct", "N2O": "n2o_pct", "CO2": "co2_pct"}, 10, dialect="spark")).count() == 1
+        assert [r.country_name for r in spark.sql(Q.sql_q4(["PHL", "SDN"])).collect()] == ["Sudan and South Sudan", "Philippines"]
+        assert spark.sql(Q.sql_q5(2022, 10)).count() == 2
+        audit = spark.sql(Q.sql_q6(dialect="spark")).collect()
+        assert len(audit) == 8 and all(r.number_of_loads >= 1 for r in audit)
+        assert [r.world_total_mt for r in spark.sql(Q.sql_q7(2022)).collect()] == [141.0, 144.0]
+        assert spark.sql(Q.sql_q8("PHL")).count() == 2
+        assert spark.sql(Q.sql_q9(5)).count() == 2
+        assert spark.sql(Q.sql_q10(20)).count() == 2
+    finally:
+        spark.sql("USE default")
