@@ -20,7 +20,7 @@ def fixed_dim(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def semi(df: DataFrame, other: DataFrame, on, ) -> DataFrame:
+def semi(df: DataFrame, other: DataFrame, on) -> DataFrame:
     """Rows of ``df`` with a match (EXISTS)."""
     return df.join(other, on, "left_semi")
 
