@@ -32,7 +32,7 @@ DEFAULT_CONF = {
 # stays a sort-merge join. These are runtime SQL settings, applied to any session the entry points get.
 JOIN_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "8MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": os.environ.get("STATLAYER_RUNTIME_BROADCAST_CAP", "8MB"),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
