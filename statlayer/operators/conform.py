@@ -31,9 +31,10 @@ def classify(col, aggregate_codes=settings.AGGREGATE_CODES,
              international_codes=settings.INTERNATIONAL_CODES) -> Column:
     """Ordered class: 'country' by default, 'aggregate' for totals, 'international' wins last."""
     c = _c(col)
-    return (F.when(c.isin(list(international_codes)), F.lit("international"))
-            .when(c.isin(list(aggregate_codes)), F.lit("aggregate"))
-            .otherwise(F.lit("country")))
+    country, aggregate, international = settings.COUNTRY_TYPES
+    return (F.when(c.isin(list(international_codes)), F.lit(international))
+            .when(c.isin(list(aggregate_codes)), F.lit(aggregate))
+            .otherwise(F.lit(country)))
 
 
 def aggregate_area_flag(col, world_code: int = settings.WORLD_AREA_CODE,

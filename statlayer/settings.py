@@ -32,6 +32,8 @@ SUBSTANCE_TO_GAS = {
 AGGREGATE_CODES = ["GLOBAL TOTAL", "EU27"]
 INTERNATIONAL_CODES = ["AIR", "SEA"]
 WORLD_CODE = "GLOBAL TOTAL"
+COUNTRY_TYPES = ("country", "aggregate", "international")
+REJECT_REASON = "negative emissions are impossible for this activity"
 
 # Population pages
 POPULATION_INDICATOR = "SP.POP.TOTL"
