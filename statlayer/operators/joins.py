@@ -40,3 +40,28 @@ def orphan_count(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str)
 def align(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Key-aligned join of two keyed aggregates (inner: keys in both; full: report alignment)."""
     return left.join(right, keys, how)
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int) -> list:
+    """Keys holding at least ``hot_rows`` rows (one aggregation with map-side counts). The list is bounded
+    by rows / hot_rows, so bringing it to the driver is safe."""
+    return [r[0] for r in df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") >= hot_rows).select(key).collect()]
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, hot: list, salts: int = 32, how: str = "inner") -> DataFrame:
+    """Equi-join where a few keys of ``fact`` are hot (a key may hold a third of all rows).
+
+    Rows of hot keys get one of ``salts`` salt values from a hash of their content (deterministic, so a
+    recomputed task after an executor loss salts the same way); the dimension rows of those keys are
+    replicated once per salt; everything else keeps salt 0. The join on (key, salt) spreads each hot key
+    over ``salts`` partitions. Works for inner and left joins with the fact on the left; the result
+    equals the plain join."""
+    if not hot:
+        return fact.join(dim, key, how)
+    is_hot = F.col(key).isin(list(hot))
+    salted = fact.withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]),
+                                                             F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+    spread = dim.withColumn("__salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))
+                                                .otherwise(F.array(F.lit(0)))))
+    return salted.join(spread, [key, "__salt"], how).drop("__salt")
