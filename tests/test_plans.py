@@ -112,3 +112,14 @@ def test_salted_join_spreads_a_hot_key(spark):
         assert tasks > 1
     finally:
         configure(spark)
+
+
+def test_product_is_the_same_with_hot_customers_salted(spark, monkeypatch):
+    configure(spark)
+    plain = sorted(map(tuple, A.country_year(spark, D).collect()))
+    monkeypatch.setattr(A, "HOT_CUSTOMER_ORDERS", 5)        # most customers count as hot at this size
+    monkeypatch.setattr(A, "_HOT", {})
+    assert len(A.hot_customers(spark, D)) > 10
+    salted = sorted(map(tuple, A.country_year(spark, D).collect()))
+    assert salted == plain
+    monkeypatch.setattr(A, "_HOT", {})
