@@ -35,15 +35,23 @@ HOT_CUSTOMER_ORDERS = 1_000_000
 _HOT: dict[tuple, list] = {}
 
 
-def hot_customers(spark: SparkSession, d: str) -> list:
-    """Customers with at least HOT_CUSTOMER_ORDERS orders (one aggregation per session and folder)."""
-    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+HOT_PART_LINES = 1_000_000
+
+
+def cached_hot_keys(spark: SparkSession, d: str, table: str, column: str, threshold: int) -> list:
+    """Hot values of ``table.column`` (at least ``threshold`` rows): one aggregation per session, folder
+    and column, shared by every plan that joins on it."""
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), table, column, threshold)
     if key not in _HOT:
-        orders = read_table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
-        _HOT[key] = hot_keys(orders, "c_custkey", HOT_CUSTOMER_ORDERS)
+        _HOT[key] = hot_keys(read_table(spark, d, table).select(column), column, threshold)
     return _HOT[key]
 
 
+def hot_customers(spark: SparkSession, d: str) -> list:
+    """Customers with at least HOT_CUSTOMER_ORDERS orders."""
+    return cached_hot_keys(spark, d, "orders", "o_custkey", HOT_CUSTOMER_ORDERS)
+
+
 def orders_with_nation(spark: SparkSession, d: str, *cols: str) -> DataFrame:
     """Orders (the given columns) with the customer's nation name. The customer join is salted for hot
     customers (a customer may hold a third of all orders); nation is a fixed 25-row broadcast."""
@@ -52,7 +60,7 @@ def orders_with_nation(spark: SparkSession, d: str, *cols: str) -> DataFrame:
     n = fixed_dim(read_table(spark, d, "nation").select("n_nationkey", "n_name"))
     return (salted_join(o, c, "c_custkey", hot_customers(spark, d))
             .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(*cols, "c_custkey", "n_name"))
+            .select(*cols, "c_custkey", "c_nationkey", "n_name"))
 
 
 def order_nation(spark: SparkSession, d: str) -> DataFrame:
@@ -107,8 +115,9 @@ def dim_activity(spark: SparkSession, d: str) -> DataFrame:
 
 def by_activity(spark: SparkSession, d: str) -> DataFrame:
     lines = lines_with_nation(spark, d, "l_partkey", "l_shipdate", "l_extendedprice")
-    p = read_table(spark, d, "part").select("p_partkey", "p_type")
-    return (lines.join(p, lines.l_partkey == p.p_partkey)
+    p = read_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    hot = cached_hot_keys(spark, d, "lineitem", "l_partkey", HOT_PART_LINES)   # a part may carry a third of lines
+    return (salted_join(lines, p, "l_partkey", hot)
             .groupBy(F.col("n_name").alias("country_code"), F.col("p_type").alias("activity_code"),
                      F.year("l_shipdate").alias("year"))
             .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).alias("emissions_mt_co2eq")))

@@ -131,8 +131,7 @@ def complete_groups(spark, d):
     """A2 + A3: region-week order totals, kept only when every nation of the region has orders."""
     n, r = t(spark, d, "nation"), fixed_dim(t(spark, d, "region"))
     members = n.join(r, n.n_regionkey == r.r_regionkey).select("r_name", "n_nationkey")
-    o, c = t(spark, d, "orders"), t(spark, d, "customer")
-    facts = o.join(c, o.o_custkey == c.c_custkey).select(
+    facts = A.orders_with_nation(spark, d, "o_orderdate", "o_totalprice").select(
         "c_nationkey", F.to_date(F.date_trunc("week", "o_orderdate")).alias("week"),
         F.col("o_totalprice").cast(MONEY).alias("v"))
     out = complete_group_sums(members, facts, "r_name", "n_nationkey", "c_nationkey", ["week"], "v", "total")

@@ -174,10 +174,9 @@ FROM parts p JOIN total t ON p.r_name = t.r_name AND p.year = t.year""")
 def reconcile_parts(spark, d):
     """Group total vs the sum of its parts per (group, year), relative gap with
     x/0 = inf and 0/0 skipped."""
-    o, c = t(spark, d, "orders"), t(spark, d, "customer")
     n, r = fixed_dim(t(spark, d, "nation")), fixed_dim(t(spark, d, "region"))
-    rows = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
-            .join(r, n.n_regionkey == r.r_regionkey)
+    nr = n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_nationkey").alias("c_nationkey"), "r_name")
+    rows = (A.orders_with_nation(spark, d, "o_orderdate", "o_totalprice").join(fixed_dim(nr), "c_nationkey")
             .select("r_name", "n_name", F.year("o_orderdate").alias("year"), F.col("o_totalprice").cast(MONEY).alias("v")))
     parts = rows.groupBy("r_name", "n_name", "year").agg(F.sum("v").alias("v")) \
         .groupBy("r_name", "year").agg(F.sum("v").alias("parts"))
