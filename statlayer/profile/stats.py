@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlayer.session import cut_lineage
 
 
 def exact_quantiles(df: DataFrame, value: str, by: list[str] | None = None, qs=(0.25, 0.5, 0.75),
@@ -30,7 +29,9 @@ def exact_quantiles(df: DataFrame, value: str, by: list[str] | None = None, qs=(
     ranked = (vals.repartitionByRange(*keys, "__v").sortWithinPartitions(*keys, "__v")
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__idx", F.monotonically_increasing_id()))
-    ranked = cut_lineage(ranked)                  # both passes below read the same materialised order
+    # Both passes below read this order through ONE reused range exchange (no extra write). A recomputed
+    # partition gets the same range bounds and the same sorted values, so every rank still maps to the
+    # same value after an executor loss (identical rows may swap places, which changes nothing).
     # 2. per (partition, group): first index and row count -> exact rank offset of that slice
     slices = ranked.groupBy("__pid", *keys).agg(F.min("__idx").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
