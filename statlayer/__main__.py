@@ -14,7 +14,7 @@ import sys
 
 def main(argv: list[str] | None = None) -> int:
     from statlayer.plans import pipeline as PL
-    from statlayer.session import get_spark
+    from statlayer.session import get_spark, input_bytes, size_parallelism
     from statlayer.settings import Settings
     from statlayer.sources.files import ExtractionError, latest_complete_snapshot
 
@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     spark = get_spark("statlayer-pipeline")
+    size_parallelism(spark, input_bytes(spark, args.matrix, args.pages, args.stats))   # partitions from input size
     pages = args.pages
     try:
         pages = latest_complete_snapshot(spark, pages)

@@ -110,3 +110,14 @@ def size_parallelism(spark: SparkSession, input_bytes: int, target_bytes: int =
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes, 128 << 20)))
     return partitions
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the given inputs on the cluster file system (metadata only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
