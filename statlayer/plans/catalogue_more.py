@@ -11,6 +11,7 @@ from statlayer.operators.conform import equals_flag, recode
 from statlayer.operators.dedup import keep_first
 from statlayer.operators.joins import fixed_dim
 from statlayer.plans import analog as A
+from statlayer.plans import products as P
 from statlayer.plans.catalogue import MONEY, r6, register, t
 from statlayer.profile.files import compare_formats, partition_read_share
 from statlayer.profile.stats import column_profile, summary
@@ -92,6 +93,27 @@ def lenient_cast(spark, d):
     return t(spark, d, "pages").select("page_id", seg.alias("segment"), seg.try_cast("bigint").alias("segment_number"))
 
 
+@register("matrix_tidy", """SELECT CAST(l_suppkey AS VARCHAR) AS country_code, 'Supplier ' || CAST(l_suppkey AS VARCHAR) AS country_name,
+  'country' AS country_type, l_linestatus AS sector, lower(l_linestatus) AS sector_key, l_returnflag AS substance,
+  CASE l_returnflag WHEN 'A' THEN 'CO2' WHEN 'N' THEN 'CH4' WHEN 'R' THEN 'N2O' END AS gas,
+  CAST(year(l_shipdate) AS INTEGER) AS year, SUM(l_quantity) AS emissions_mt_co2eq,
+  CAST(year(l_shipdate) AS INTEGER) >= 2000 AS is_estimate, 1 AS edgar_edition
+FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY l_suppkey, l_linestatus, l_returnflag, year(l_shipdate)""")
+def matrix_tidy(spark, d):
+    """D1 (R1, P1, P2, P4-P6, P8-P11, P15) on the driver tables: a wide matrix - one row per (flag as substance,
+    line status as sector, supplier as country), one column per ship year - tidied back to typed long rows."""
+    from statlayer.plans.catalogue import years_of
+    from statlayer.settings import Settings
+    li = t(spark, d, "lineitem").select(
+        F.col("l_returnflag").alias("Substance"), F.col("l_linestatus").alias("Sector"),
+        F.col("l_suppkey").cast("string").alias("EDGAR Country Code"),
+        F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("Country"),
+        F.year("l_shipdate").alias("y"), "l_quantity")
+    wide = li.groupBy("Substance", "Sector", "EDGAR Country Code", "Country").agg(
+        *[F.sum(F.when(F.col("y") == y, F.col("l_quantity"))).alias(str(y)) for y in years_of(li, "y")])
+    return P.tidy_matrix(wide, 1, Settings(estimate_from_year=2000), substances={"A": "CO2", "N": "CH4", "R": "N2O"})
+
+
 # ------------------------------------------------------------------- dedup and profiles
 @register("dedup_keep_first", """SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS order_date, o_totalprice
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
