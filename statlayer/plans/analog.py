@@ -52,15 +52,15 @@ def hot_customers(spark: SparkSession, d: str) -> list:
     return cached_hot_keys(spark, d, "orders", "o_custkey", HOT_CUSTOMER_ORDERS)
 
 
-def orders_with_nation(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+def orders_with_nation(spark: SparkSession, d: str, *cols: str, customer_cols: tuple = ()) -> DataFrame:
     """Orders (the given columns) with the customer's nation name. The customer join is salted for hot
     customers (a customer may hold a third of all orders); nation is a fixed 25-row broadcast."""
     o = read_table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), *cols)
-    c = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    c = read_table(spark, d, "customer").select("c_custkey", "c_nationkey", *customer_cols)
     n = fixed_dim(read_table(spark, d, "nation").select("n_nationkey", "n_name"))
     return (salted_join(o, c, "c_custkey", hot_customers(spark, d))
             .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(*cols, "c_custkey", "c_nationkey", "n_name"))
+            .select(*cols, *customer_cols, "c_custkey", "c_nationkey", "n_name"))
 
 
 def order_nation(spark: SparkSession, d: str) -> DataFrame:

@@ -114,6 +114,37 @@ def matrix_tidy(spark, d):
     return P.tidy_matrix(wide, 1, Settings(estimate_from_year=2000), substances={"A": "CO2", "N": "CH4", "R": "N2O"})
 
 
+@register("stats_tidy", """SELECT c.c_nationkey * 250 AS area_code, CAST(1000 + c.c_nationkey AS VARCHAR) AS m49_code,
+  CAST(NULL AS VARCHAR) AS iso3, n.n_name AS area, (c.c_nationkey * 250 >= 5000 OR c.c_nationkey * 250 = 351) AS is_aggregate,
+  CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS item_code, o.o_orderpriority AS item, 'orders' AS element,
+  c.c_mktsegment AS source, 'usd' AS unit, CAST(year(o.o_orderdate) AS INTEGER) AS year,
+  CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value, MAX(o.o_orderstatus) AS flag,
+  COALESCE(MAX(o.o_orderstatus) = 'F', false) AS is_projection
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE o.o_orderdate IS NOT NULL
+GROUP BY c.c_nationkey, n.n_name, o.o_orderpriority, c.c_mktsegment, year(o.o_orderdate)""")
+def stats_tidy(spark, d):
+    """D3 (R2, R3, F1, G1, P12-P14) on the driver tables: orders as a WIDE statistics file - one row per
+    (area = customer nation, item = priority, source = segment), paired value/flag columns per year - tidied
+    by the same code as the real file (layout detection, paired unpivot, code clean-up, ISO lookup, flags)."""
+    from statlayer.operators import conform
+    from statlayer.plans.catalogue import years_of
+    rows = A.orders_with_nation(spark, d, "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority",
+                                customer_cols=("c_mktsegment",)).select(
+        (F.col("c_nationkey") * 250).alias("Area Code"),
+        F.concat(F.lit("'"), (F.col("c_nationkey") + 1000).cast("string")).alias("Area Code (M49)"),
+        F.col("n_name").alias("Area"), F.substring("o_orderpriority", 1, 1).cast("int").alias("Item Code"),
+        F.col("o_orderpriority").alias("Item"), F.lit("orders").alias("Element"), F.col("c_mktsegment").alias("Source"),
+        F.lit("usd").alias("Unit"), F.year("o_orderdate").alias("y"), F.col("o_totalprice").cast(MONEY).alias("v"),
+        "o_orderstatus")
+    aggs = []
+    for y in years_of(rows, "y"):
+        aggs += [F.sum(F.when(F.col("y") == y, F.col("v"))).alias(f"Y{y}"),
+                 F.max(F.when(F.col("y") == y, F.col("o_orderstatus"))).alias(f"Y{y}F")]
+    wide = rows.groupBy("Area Code", "Area Code (M49)", "Area", "Item Code", "Item", "Element", "Source", "Unit").agg(*aggs)
+    return P.tidy_stats(wide, conform.iso_table(spark))
+
+
 # ------------------------------------------------------------------- dedup and profiles
 @register("dedup_keep_first", """SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS order_date, o_totalprice
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
