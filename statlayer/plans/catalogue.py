@@ -163,6 +163,38 @@ def dim_with_parts(spark, d):
     return P.build_dim_country(from_customers.unionByName(from_suppliers), mapping, order=["ord"])
 
 
+DIM_WITH_PARTS_SQL = """WITH e AS (
+  SELECT r.r_name AS code, c.c_name AS name, c.c_custkey AS ord FROM customer c
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+  UNION ALL
+  SELECT n.n_name, s.s_name, s.s_suppkey FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
+f AS (SELECT code, arg_min(name, ord) AS name FROM e GROUP BY code),
+p AS (SELECT r_name AS code, string_agg(n_name, ';' ORDER BY n_name) AS parts
+      FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name)
+SELECT f.code AS country_code, f.name AS country_name, COALESCE(p.parts, f.code) AS wb_codes,
+  contains(COALESCE(p.parts, f.code), ';') AS is_merged
+FROM f LEFT JOIN p USING (code)"""
+
+
+@register("merged_population", f"""WITH dim AS ({DIM_WITH_PARTS_SQL}),
+parts AS (SELECT country_code, unnest(string_split(wb_codes, ';')) AS wb_code FROM dim),
+pop AS (SELECT n.n_name AS iso3, CAST(year(o.o_orderdate) AS INTEGER) AS year, COUNT(DISTINCT o.o_custkey) AS population
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+        GROUP BY 1, 2),
+expected AS (SELECT country_code, COUNT(DISTINCT wb_code) AS n FROM parts GROUP BY 1),
+found AS (SELECT p.country_code, pop.year, SUM(pop.population) AS population, COUNT(DISTINCT p.wb_code) AS n
+          FROM parts p JOIN pop ON p.wb_code = pop.iso3 GROUP BY 1, 2)
+SELECT f.country_code, f.year, CAST(f.population AS BIGINT) AS population
+FROM found f JOIN expected e USING (country_code) WHERE f.n = e.n""")
+def merged_population(spark, d):
+    """D5 + R5 + J1 + A2: population of merged codes (a region = its nations) only in years where EVERY
+    part has a value; single codes keep their own value."""
+    dim = dim_with_parts(spark, d)
+    pop = A.population(spark, d).select(F.col("country_code").alias("iso3"), "year", "population",
+                                        F.lit(True).alias("is_country"))
+    return P.population_for_countries(pop, dim)
+
+
 @register("conform_codes", """WITH s AS (
   SELECT s.s_suppkey, s.s_nationkey AS area_code, CASE WHEN s.s_acctbal >= 0 THEN n.n_name END AS iso3
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
