@@ -13,7 +13,7 @@ import sys
 
 
 def main(argv: list[str] | None = None) -> int:
-    from statlayer.plans import pipeline as PL
+    from statlayer.plans import layers as PL
     from statlayer.session import get_spark, input_bytes, size_parallelism
     from statlayer.settings import Settings
     from statlayer.sources.files import ExtractionError, latest_complete_snapshot
@@ -31,7 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--edition", type=int, default=Settings().edition)
     args = parser.parse_args(argv)
 
-    spark = get_spark("statlayer-pipeline")
+    spark = get_spark("statlayer-run")
     size_parallelism(spark, input_bytes(spark, args.matrix, args.pages, args.stats))   # partitions from input size
     pages = args.pages
     try:

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from statlayer.plans import pipeline as PL
+from statlayer.plans import layers as PL
 from statlayer.publish import warehouse as W
 from statlayer.settings import Settings, Thresholds
 from statlayer.sources import files as src
