@@ -13,13 +13,12 @@ with replacement characters; repeated rows are encoded each. Only the id and tex
 from __future__ import annotations
 
 import base64
-import copy
 import heapq
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import map_rows, strings
+from .common import map_rows, share, strings
 
 LONG_PIECE = 512           # bytes; longer pieces use the heap instead of the matrices
 MATRIX_CELLS = 1 << 19     # cells of one matrix at once
@@ -200,13 +199,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     The rank file (about a megabyte, its size is fixed by the tokenizer) is read on the driver and
     turned into the pair table there; that table of fixed size is broadcast.
     """
-    tables = docs.sparkSession.sparkContext.broadcast(Encoder(load_ranks(ranks_path), pattern))
+    tables = share(docs.sparkSession, Encoder(load_ranks(ranks_path), pattern))
 
     def worker():
         import pyarrow as pa
 
-        coder = copy.copy(tables.value)
-        coder.cache = {}
+        coder = tables()
 
         def work(batch):
             texts = [t or "" for t in strings(batch.column("text"))]
@@ -227,12 +225,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataFrame:
     """id, decoded (binary) from packed ids; null ids decode to empty bytes."""
-    ranks = encoded.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
+    ranks = share(encoded.sparkSession, load_ranks(ranks_path))
 
     def run(batches):
         import pyarrow as pa
 
-        names = {n: t for t, n in ranks.value.items()}
+        names = {n: t for t, n in ranks().items()}
         for batch in batches:
             out = [b"".join(map(names.__getitem__, np.frombuffer(b or b"", dtype="<u4").tolist())) for b in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id_"), pa.array(out, type=pa.binary())], names=["id_", "decoded"])

@@ -32,6 +32,14 @@ def fold(col: Column, parts: int) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % parts
 
 
+def share(spark: SparkSession, value):
+    """Broadcast an object of bounded size; returns a function that gives a task its own copy."""
+    from pyspark import cloudpickle
+
+    shipped = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(shipped.value)
+
+
 def strings(column) -> list:
     """An Arrow string column as Python strings; null stays None, broken UTF-8 is replaced."""
     try:

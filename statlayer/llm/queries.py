@@ -3,8 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, url_rules
-from .common import table
+from . import bpe, toxicity, url_rules
+from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -28,6 +28,15 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_kn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned outside the fold crc32 mod 3 = 1."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 _ADDRESS = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SHAPE = "'^.*?://([^/?#]*)([^?#]*)'"
 _FITS = ["('" + r.text + "', '" + r.action + "', '" + r.text.partition("/")[0] + "', '/" + r.text.partition("/")[2] + "')"
@@ -49,4 +58,5 @@ FROM parts LEFT JOIN best USING (n)"""
 REGISTRY = {
     "op3_url_rules": (op3_url_rules, OP3_SQL),
     "op7_byte_bpe": (op7_byte_bpe, None),
+    "op8_kn_toxicity": (op8_kn_toxicity, None),
 }
