@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, toxicity, url_rules
+from . import bpe, langid, toxicity, url_rules
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -37,6 +37,13 @@ def op8_kn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def op10_gru_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned outside the fold crc32 mod 3 = 1."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = langid.predict(docs, langid.train(docs))
+    return found.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 _ADDRESS = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SHAPE = "'^.*?://([^/?#]*)([^?#]*)'"
 _FITS = ["('" + r.text + "', '" + r.action + "', '" + r.text.partition("/")[0] + "', '/" + r.text.partition("/")[2] + "')"
@@ -59,4 +66,5 @@ REGISTRY = {
     "op3_url_rules": (op3_url_rules, OP3_SQL),
     "op7_byte_bpe": (op7_byte_bpe, None),
     "op8_kn_toxicity": (op8_kn_toxicity, None),
+    "op10_gru_langid": (op10_gru_langid, None),
 }
