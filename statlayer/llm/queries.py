@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, langid, toxicity, url_rules
+from . import bpe, decontaminate, langid, toxicity, url_rules
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -16,6 +16,12 @@ def tokenizer(ranks: str = RANKS) -> tuple[str, str]:
     return public_tokenizers.path(ranks), public_tokenizers.PATTERN
 
 
+def op2_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) leak."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents", "doc_id", "text"),
+                               table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict for every page address."""
     return url_rules.url_verdicts(table(spark, sf_dir, "pages", "page_id", "url")).drop("pattern")
@@ -63,6 +69,7 @@ SELECT page_id, host, path, rule,
 FROM parts LEFT JOIN best USING (n)"""
 
 REGISTRY = {
+    "op2_qgram_decontamination": (op2_qgram_decontamination, None),
     "op3_url_rules": (op3_url_rules, OP3_SQL),
     "op7_byte_bpe": (op7_byte_bpe, None),
     "op8_kn_toxicity": (op8_kn_toxicity, None),
