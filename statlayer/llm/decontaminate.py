@@ -126,12 +126,26 @@ class Index:
         pos = np.repeat(hit, many)
         index = np.repeat(self.first[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         seg, off = self.segs[index], self.offs[index]
-        doc = np.searchsorted(ends, pos, side="right")
-        diagonal = pos - off + SEGMENT            # where the segment would start, never negative
-        step = self.bounds[seg, 0] + 1
-        band = diagonal // step
-        both = np.concatenate([band, band - 1])   # bands of two steps, started every step
-        seg2, doc2, pos2, off2 = (np.concatenate([x, x]) for x in (seg, doc, pos, off))
+        # first only the raw counts of (segment, diagonal band), to leave the few bands that can matter;
+        # bands span two steps of k + 1 diagonals and start every step, so each hit counts in two
+        band = (pos - off + SEGMENT) // (self.bounds[seg, 0] + 1)
+        name = seg << 40 | band
+        names = np.sort(np.concatenate([name, name - 1]))
+        edge = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1], [True]]))
+        rich = names[edge[:-1]][np.diff(edge) >= self.bounds[names[edge[:-1]] >> 40, 1]]
+        if not len(rich):
+            return []
+        seg2, pos2, off2, both = [], [], [], []
+        for one in (name, name - 1):
+            near = np.searchsorted(rich, one)
+            near[near == len(rich)] = 0
+            in_ = rich[near] == one
+            seg2.append(seg[in_])
+            pos2.append(pos[in_])
+            off2.append(off[in_])
+            both.append((one & ((1 << 40) - 1))[in_])
+        seg2, pos2, off2, both = map(np.concatenate, (seg2, pos2, off2, both))
+        doc2 = np.searchsorted(ends, pos2, side="right")
         order = np.lexsort((off2, both, seg2, doc2))
         seg2, doc2, pos2, off2, both = (x[order] for x in (seg2, doc2, pos2, off2, both))
         new = np.ones(len(order), dtype=bool)
