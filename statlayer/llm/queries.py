@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, langid, toxicity, url_rules
+from . import bpe, decontaminate, langid, quality_rules, toxicity, url_rules
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +27,15 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.url_verdicts(table(spark, sf_dir, "pages", "page_id", "url")).drop("pattern")
 
 
+def op6_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned outside the fold crc32 mod 4 = 2."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality_rules.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality_rules.score(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        F.when(F.col("score") >= quality_rules.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded bytes for every document."""
     coded = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), *tokenizer(), decoded=True)
@@ -71,6 +80,7 @@ FROM parts LEFT JOIN best USING (n)"""
 REGISTRY = {
     "op2_qgram_decontamination": (op2_qgram_decontamination, None),
     "op3_url_rules": (op3_url_rules, OP3_SQL),
+    "op6_rule_quality": (op6_rule_quality, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
     "op8_kn_toxicity": (op8_kn_toxicity, None),
     "op10_gru_langid": (op10_gru_langid, None),
