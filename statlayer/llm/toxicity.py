@@ -32,6 +32,7 @@ from .common import fold, keep_rows, map_rows, share, strings
 
 WORD_BITS, CELL_BITS = 17, 20
 WORDS, CELLS = 1 << WORD_BITS, 1 << CELL_BITS
+BLOCK = 4096                   # table entries that travel to the driver as one packed row
 CALIBRATION_ROWS = 20_000
 CALIBRATION_SHARE = 8          # one training row in so many is kept for the logistic curve
 FLUSH_PAIRS = 1 << 22          # pairs a task holds before it sums them up
@@ -121,13 +122,20 @@ def count_tables(labelled: DataFrame) -> dict[str, np.ndarray]:
     words = pairs.groupBy(second.cast("int").alias("at")).agg(
         one(o > 0).alias("a"), one(t > 0).alias("b"), one((o > 0) & (t > 0)).alias("c"),
         one(o + t == 1).alias("d"), one(o + t == 2).alias("e")).select(F.lit(2).alias("kind"), "at", "a", "b", "c", "d", "e")
-    got = cells.unionByName(histories).unionByName(words).toPandas()
-    out = {}
-    for n, (name, size) in enumerate((("cells", CELLS), ("histories", WORDS), ("words", WORDS))):
-        rows = got[got["kind"] == n]
-        dense = np.zeros((5, size), dtype=np.float64 if n else np.float32)
-        dense[:, rows["at"].to_numpy()] = rows[list("abcde")].to_numpy().T
-        out[name] = dense[:2] if n == 0 else dense
+    rows = cells.unionByName(histories).unionByName(words)
+
+    def pack(group):
+        """One row a block of ``BLOCK`` entries: the five counts as packed 32-bit integers."""
+        dense = np.zeros((5, BLOCK), dtype="<i4")
+        dense[:, group["at"].to_numpy() % BLOCK] = group[list("abcde")].to_numpy().T
+        return group.head(1)[["kind", "block"]].assign(counts=dense.tobytes())
+
+    got = rows.withColumn("block", F.col("at").cast("int").bitwiseAND(F.lit(~(BLOCK - 1)))).groupBy("kind", "block") \
+        .applyInPandas(pack, "kind int, block int, counts binary").collect()
+    out = {"cells": np.zeros((2, CELLS), dtype=np.float32), "histories": np.zeros((5, WORDS)), "words": np.zeros((5, WORDS))}
+    for r in got:
+        into = out[("cells", "histories", "words")[r["kind"]]]
+        into[:, r["block"]:r["block"] + BLOCK] = np.frombuffer(r["counts"], dtype="<i4").reshape(5, BLOCK)[:len(into)]
     return out
 
 
