@@ -5,6 +5,8 @@ import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from statlayer.session import scratch_path
+
 # ASCII white space of the word definition shared by the operators: fixed values.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -32,6 +34,14 @@ def fold(col: Column, parts: int) -> Column:
     return F.crc32(col.cast("string").cast("binary")) % parts
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table written to the shared scratch folder: read often, computed once, and safe
+    from the loss of executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def share(spark: SparkSession, value):
     """Broadcast an object of bounded size; returns a function that gives a task its own copy."""
     from pyspark import cloudpickle

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, langid, quality_rules, toxicity, url_rules
+from . import bpe, decontaminate, langid, near_dup, quality_rules, toxicity, url_rules
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +27,11 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.url_verdicts(table(spark, sf_dir, "pages", "page_id", "url")).drop("pattern")
 
 
+def op5_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, component and keep decision of every document."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned outside the fold crc32 mod 4 = 2."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -77,9 +82,35 @@ SELECT page_id, host, path, rule,
        coalesce(verdict, CASE WHEN {_PATTERNS} THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts LEFT JOIN best USING (n)"""
 
+OP5_SQL = """
+WITH RECURSIVE
+lowered AS (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM lowered),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words),
+items AS (SELECT doc_id, unnest(s) AS x FROM sets),
+alike AS (
+  SELECT s, min(doc_id) AS rep, len(s) AS n
+  FROM (SELECT doc_id, list_sort(s) AS s FROM sets WHERE len(s) > 0) GROUP BY s),
+reps AS (SELECT rep, n, unnest(s) AS x FROM alike),
+common AS (
+  SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS n1, any_value(b.n) AS n2, count(*) AS c
+  FROM reps a JOIN reps b ON a.x = b.x AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep),
+links AS (SELECT a, b FROM common WHERE 100 * c >= 75 * (n1 + n2 - c)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(node, root) AS (SELECT rep, rep FROM alike UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node AND r.root < e.b),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(r.root, d.doc_id) AS component_id,
+       d.doc_id = coalesce(r.root, d.doc_id) AS kept
+FROM sets d LEFT JOIN alike k ON k.s = list_sort(d.s) AND len(d.s) > 0 LEFT JOIN roots r ON r.node = k.rep"""
+
 REGISTRY = {
     "op2_qgram_decontamination": (op2_qgram_decontamination, None),
     "op3_url_rules": (op3_url_rules, OP3_SQL),
+    "op5_bbit_minhash": (op5_bbit_minhash, OP5_SQL),
     "op6_rule_quality": (op6_rule_quality, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
     "op8_kn_toxicity": (op8_kn_toxicity, None),
