@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, langid, near_dup, quality_rules, toxicity, url_rules
+from . import bpe, decontaminate, langid, license_scan, near_dup, quality_rules, toxicity, url_rules
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -57,6 +57,12 @@ def op8_kn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return license_scan.scan(docs, license_scan.train(docs))
+
+
 def op10_gru_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned outside the fold crc32 mod 3 = 1."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
@@ -114,5 +120,6 @@ REGISTRY = {
     "op6_rule_quality": (op6_rule_quality, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
     "op8_kn_toxicity": (op8_kn_toxicity, None),
+    "op9_license_scan": (op9_license_scan, None),
     "op10_gru_langid": (op10_gru_langid, None),
 }
