@@ -1,9 +1,9 @@
 """Registered queries of the training-data operators: name -> (function of session and folder, SQL or None)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, langid, license_scan, near_dup, quality_rules, toxicity, url_rules
+from . import bpe, decontaminate, langid, license_scan, near_dup, quality_rules, token_tree, toxicity, url_rules
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +27,20 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.url_verdicts(table(spark, sf_dir, "pages", "page_id", "url")).drop("pattern")
 
 
+def three_edits() -> Column:
+    """Three edits of each document, drawn from its id and text: a cut, a passage repeated elsewhere, a new heading."""
+    size = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+    spot = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(n)), size + 1)
+    again = F.substring("text", (spot(2) + 1).cast("int"), F.lit(24))
+    return token_tree.edit_list((spot(1), F.lit(12), F.lit("")), (spot(3), F.lit(0), again), (F.lit(0), F.lit(0), F.lit("Revised:\n")))
+
+
+def op4_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after its edits, and how many pieces were encoded for them."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", "text", three_edits().alias("edits"))
+    return token_tree.count_with_edits(docs, *tokenizer()).drop("edited_text")
+
+
 def op5_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size, component and keep decision of every document."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -116,6 +130,7 @@ FROM sets d LEFT JOIN alike k ON k.s = list_sort(d.s) AND len(d.s) > 0 LEFT JOIN
 REGISTRY = {
     "op2_qgram_decontamination": (op2_qgram_decontamination, None),
     "op3_url_rules": (op3_url_rules, OP3_SQL),
+    "op4_edit_token_counts": (op4_edit_token_counts, None),
     "op5_bbit_minhash": (op5_bbit_minhash, OP5_SQL),
     "op6_rule_quality": (op6_rule_quality, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
