@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, langid, license_scan, near_dup, quality_rules, token_tree, toxicity, url_rules
+from . import ann_search, bpe, decontaminate, langid, license_scan, near_dup, quality_rules, token_tree, toxicity, url_rules
 from .common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -16,6 +16,11 @@ def tokenizer(ranks: str = RANKS) -> tuple[str, str]:
     return public_tokenizers.path(ranks), public_tokenizers.PATTERN
 
 
+def op1_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors, by inner product, of every vector whose id is divisible by 20."""
+    return ann_search.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op2_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) leak."""
     return decontaminate.leaks(table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -128,6 +133,7 @@ SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(r.root, d.doc_
 FROM sets d LEFT JOIN alike k ON k.s = list_sort(d.s) AND len(d.s) > 0 LEFT JOIN roots r ON r.node = k.rep"""
 
 REGISTRY = {
+    "op1_multiprobe_ann": (op1_multiprobe_ann, None),
     "op2_qgram_decontamination": (op2_qgram_decontamination, None),
     "op3_url_rules": (op3_url_rules, OP3_SQL),
     "op4_edit_token_counts": (op4_edit_token_counts, None),
