@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import share, stored
 
-TABLES, FUNCTIONS, WIDTH, PROBES = 8, 4, 1.4, 22
+TABLES, FUNCTIONS, WIDTH, PROBES = 8, 4, 1.4, 16
 K = 20
 BLOCK = 8192
 QUERY_EVERY = 20
@@ -60,7 +60,7 @@ def perturbations(within: np.ndarray, count: int):
 
 def bucket_keys(cells: np.ndarray, table: int) -> np.ndarray:
     """64-bit names of cells [n, FUNCTIONS] of a table."""
-    key = np.full(len(cells), table + 1, dtype=np.uint64)
+    key = np.full(len(cells), (table + 1) * 0xC4CEB9FE1A85EC53 % (1 << 64), dtype=np.uint64)
     for c in cells.T:
         key = (key + c.astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
