@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import fold, keep_rows, map_rows, share, strings
 
 WORD_BITS, CELL_BITS = 17, 20
+MAP_BITS = 18
 WORDS, CELLS = 1 << WORD_BITS, 1 << CELL_BITS
 BLOCK = 4096                   # table entries that travel to the driver as one packed row
 CALIBRATION_ROWS = 20_000
@@ -214,8 +215,14 @@ def train(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (3, 1))
     parts, held = holdout
     own = labels.select(F.col("doc_id").alias("id_"), "toxic").where("toxic in (0, 1) and doc_id is not null") \
         .where(fold(F.col("doc_id"), parts) != held).groupBy("id_").agg(F.max("toxic").alias("toxic"))
+    # unlabelled texts are left out before the shuffle by a bitmap of the labelled ids' hashes; it has at
+    # most 2^MAP_BITS rows of 64 bits, so it can be broadcast, and a full one only spares nothing
+    hashed = F.xxhash64("id_", F.lit(2))
+    word, bit = F.shiftrightunsigned(hashed, 64 - MAP_BITS), F.expr("shiftleft(1L, cast(xxhash64(id_, 2) & 63 as int))")
+    present = own.groupBy(word.alias("word_")).agg(F.bit_or(bit).alias("bits_"))
     rows = docs.select(F.col("doc_id").alias("id_"), F.col("text").cast("string").alias("text")) \
-        .where(fold(F.col("id_"), parts) != held).join(own, "id_")
+        .where(fold(F.col("id_"), parts) != held).withColumn("word_", word).join(F.broadcast(present), "word_") \
+        .where(F.col("bits_").bitwiseAND(bit) != 0).select("id_", "text").join(own, "id_")
     part = F.pmod(F.xxhash64("id_"), F.lit(CALIBRATION_SHARE))
     model = Model(count_tables(rows.where(part != 0)))
     shipped = share(docs.sparkSession, model)

@@ -5,8 +5,8 @@ with a path prefix; they fit the host and every subdomain, and the longest fitti
 *Pattern rules* are regular expressions over the lower-cased address; any hit blocks an address that no
 site rule decides. Everything is DataFrame expressions: no Python runs on the executors.
 
-Defined results: null url or one without ``://`` -> empty host and path, rule null, verdict ``allow``
-(no rule can fit); repeated rows are judged each for itself; an empty table gives an empty result. Only
+Defined results: null url or one without ``://`` -> empty host and path and no site rule; pattern rules
+still see such an address, null counts as empty (``allow``); repeated rows are judged each for itself; an empty table gives an empty result. Only
 the id and url columns are read, so further columns cannot clash.
 """
 from __future__ import annotations
