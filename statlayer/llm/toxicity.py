@@ -241,7 +241,7 @@ def train(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (3, 1))
     ranked = map_rows(rows.where(part == 0).select("text", "toxic", F.xxhash64("id_", F.lit(1)).alias("order_")), worker,
                       "toxic int, order_ bigint, evidence array<double>")
     sample = ranked.orderBy("order_").limit(CALIBRATION_ROWS).toPandas()
-    model.fit_curve(np.array(sample["evidence"].tolist()).reshape(len(sample), -1), sample["toxic"].to_numpy(dtype=float))
+    model.fit_curve(np.array(sample["evidence"].tolist()).reshape(len(sample), 10), sample["toxic"].to_numpy(dtype=float))
     return model
 
 
