@@ -26,7 +26,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import map_rows, stored, strings
 
@@ -34,6 +34,7 @@ SHINGLE, LEAST_PERCENT = 5, 75
 MINIMA, ROWS = 128, 4
 BANDS = MINIMA // ROWS
 B = 4
+ROUNDS = 2                     # at most, before the remaining classes are searched exactly
 CACHE_WORDS = 1 << 19
 MOST_DIFFERENT = 54            # lanes of 128 that may differ: five deviations beyond a pair at the limit
 P, C1, C2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -175,6 +176,27 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         .where(100 * common >= LEAST_PERCENT * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def prefix_pairs(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """All pairs (a, b) of different roots among the placed classes (rep, root) that can reach the limit.
+
+    Shingles are ordered by frequency among these classes, rarest first. Two sets at the limit must share
+    one of the first n - ceil(t n) + 1, and from where they first meet enough must be left in both: a
+    passage that thousands of texts share stands at the end of the order and brings no pair together."""
+    sets = shingle_arrays(docs, placed.select("rep")).dropDuplicates(["rep"])
+    tokens = stored(sets.select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("s")), "tokens")
+    shared = tokens.groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
+    places = tokens.join(shared, "s", "left").select(
+        "rep", "n", "s", "f", F.row_number().over(Window.partitionBy("rep").orderBy(F.col("f").asc_nulls_first(), "s")).alias("at"))
+    prefix = places.where("f > 1").where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * LEAST_PERCENT / 100) + 1) \
+        .join(placed, "rep").select("s", "rep", "root", "n", (F.col("n") - F.col("at") + 1).alias("left"))
+    prefix = stored(prefix, "prefixes")
+    one, two = (prefix.select("s", *[F.col(c).alias(c + k) for c in ("rep", "root", "n", "left")]) for k in "12")
+    most = F.least("left1", "left2")
+    return one.join(two, "s").where("rep1 < rep2 and root1 <> root2") \
+        .where(100 * most >= LEAST_PERCENT * (F.col("n1") + F.col("n2") - most)) \
+        .select(F.col("rep1").alias("a"), F.col("rep2").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (least node reachable) for every node of an edge (a, b), by star contraction."""
     both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -218,15 +240,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = stored(confirmed(docs, stored(signed(stars), "stars")), "links")
     roots = stored(components(links), "roots")
 
-    # buckets that still hold classes of different components: their cross pairs, compared by signature
-    placed = bucketed.join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
-        .select("bucket", "rep", F.coalesce("root", "rep").alias("root"))
-    open_ = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
-    rest = stored(placed.join(open_, "bucket", "left_semi").join(sigs, "rep"), "open")
-    left, right = (rest.select("bucket", *[F.col(c).alias(c + k) for c in ("rep", "root", "n", "sig")]) for k in "12")
-    cross = left.join(right, "bucket").where("rep1 < rep2 and root1 <> root2") \
-        .where(may_link(F.col("n1"), F.col("n2"), F.col("sig1"), F.col("sig2"))).select(F.col("rep1").alias("a"), F.col("rep2").alias("b"))
-    fresh = stored(cross.distinct().join(stars, ["a", "b"], "left_anti"), "cross")
+    def unsettled(roots: DataFrame) -> DataFrame:
+        """bucket, rep, root of the buckets that still hold classes of different components."""
+        placed = bucketed.select("bucket", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
+            .select("bucket", "rep", F.coalesce("root", "rep").alias("root"))
+        mixed_ = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
+        return stored(placed.join(mixed_, "bucket", "left_semi"), "open")
+
+    # rounds: one member of a bucket's largest component, another each time, against all members of other
+    # components; in a group whose members link by chance nearly all join the component in a few rounds
+    rest, tested = unsettled(roots), stars
+    for turn in range(ROUNDS):
+        groups = rest.groupBy("bucket", "root").agg(F.count("*").alias("size"), F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("pick"))
+        hubs = groups.groupBy("bucket").agg(F.max_by(F.struct("root", "pick"), F.struct("size", "root")).alias("h")) \
+            .select("bucket", F.col("h.root").alias("hub_root"), F.col("h.pick").alias("hub"))
+        pairs = rest.join(hubs, "bucket").where("root <> hub_root").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
+        fresh = stored(signed(pairs.distinct().join(tested, ["a", "b"], "left_anti")), "round")
+        more = stored(confirmed(docs, fresh), "more")
+        if not more.take(1):
+            break
+        links, tested = links.unionByName(more), tested.unionByName(fresh)
+        roots = stored(components(links), "roots")
+        rest = unsettled(roots)
+
+    # what is left is searched exactly, by prefixes of the sets
+    found = prefix_pairs(docs, rest.select("rep", "root").distinct())
+    fresh = stored(signed(found.join(tested, ["a", "b"], "left_anti")), "cross")
     more = stored(confirmed(docs, fresh), "more")
     if more.take(1):
         roots = stored(components(links.unionByName(more)), "roots")
