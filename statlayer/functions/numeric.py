@@ -58,8 +58,7 @@ def sql_round(col, scale: int) -> Column:
 
 def int_div(col, divisor: int) -> Column:
     """Integer division truncating toward zero (``year / 10`` on integers in SQL), as int."""
-    c = _c(col).cast("double") / F.lit(float(divisor))
-    return F.when(c >= 0, F.floor(c)).otherwise(F.ceil(c)).cast("int")
+    return F.call_function("div", _c(col).cast("long"), F.lit(int(divisor))).cast("int")
 
 
 def null_skipping_sum(*cols) -> Column:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlayer.operators.joins import broadcast_if_bounded
-
 
 def sorted_text_join(col: str, sep: str = ";") -> Column:
     """Grouped sorted text join ('SSD','SDN' -> 'SDN;SSD'). Collects one group's values: use on
@@ -23,11 +21,10 @@ def complete_group_sums(members: DataFrame, facts: DataFrame, group_col: str, me
     """
     m = members.select(group_col, member_col).where(F.col(member_col).isNotNull()).distinct()
     expected = m.groupBy(group_col).agg(F.count(F.lit(1)).alias("__expected"))
-    # the membership table is dimension-sized: broadcast once its size is proven, so a member key that
-    # holds a third of the facts never becomes one sort-merge partition
-    joined = facts.join(broadcast_if_bounded(m), m[member_col] == facts[fact_member_col], "inner")
-    found = joined.groupBy(group_col, *by).agg(F.sum(value_col).alias(out),
-                                               F.count_distinct(member_col).alias("__found"))
+    # facts are summed by (member, by) before they meet the members, with map-side partial sums: the join
+    # then has one row a cell, however many rows a member holds, and a member counts once a cell
+    cells = facts.groupBy(F.col(fact_member_col).alias(member_col), *by).agg(F.sum(value_col).alias("__v"))
+    found = cells.join(m, member_col).groupBy(group_col, *by).agg(F.sum("__v").alias(out), F.count(F.lit(1)).alias("__found"))
     return (found.join(expected, group_col, "inner")
             .where(F.col("__found") == F.col("__expected"))
             .select(group_col, *by, out))
@@ -50,14 +47,17 @@ def null_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     aggs = []
     for c in cols:
         col = F.col(c)
-        aggs += [F.count(col).alias(f"{c}__non_null"), F.count_if(col.isNull()).alias(f"{c}__null")]
+        number = col.try_cast("double")          # text that is no number is neither zero nor negative
+        aggs += [F.count(col).alias(f"{c}__non_null"), F.count_if(col.isNull()).alias(f"{c}__null"),
+                 F.count_if(number == 0).alias(f"{c}__zero"), F.count_if(number < 0).alias(f"{c}__negative")]
     wide = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__non_null").alias("non_null"),
-                              F.col(f"{c}__null").alias("missing")) for c in cols])
+                              F.col(f"{c}__null").alias("missing"), F.col(f"{c}__zero").alias("zeros"),
+                              F.col(f"{c}__negative").alias("negatives")) for c in cols])
     return wide.select(F.inline(rows))
 
 
-def coverage_pct(df: DataFrame, value_col: str, covered: Column, by_years: str | None = None) -> Column:
+def coverage_pct(value_col: str, covered: Column) -> Column:
     """Expression: 100 * sum(value where covered) / sum(value)."""
     return F.try_divide(F.lit(100.0) * F.sum(F.when(covered, F.col(value_col))).cast("double"),
                         F.sum(F.col(value_col)).cast("double"))

@@ -1,20 +1,9 @@
-"""Join helpers: size-checked broadcast, membership (semi/anti), orphan counts, key reconciliation."""
+"""Join helpers: broadcast of fixed tables, membership (semi/anti), orphan counts, key reconciliation."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only if it is proven to hold at most this many rows.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast a dimension only after proving its size (a count of the dimension itself, cheap
-    for a file or literal table). Above the bound the plan is left to a shuffle join (AQE may still
-    broadcast at runtime from real shuffle sizes)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def fixed_dim(df: DataFrame) -> DataFrame:
     """Broadcast a table whose size is fixed by definition (config literal, code list, 25 nations)."""
     return F.broadcast(df)
@@ -31,37 +20,14 @@ def anti(df: DataFrame, other: DataFrame, on) -> DataFrame:
     return df.join(other, on, "left_anti")
 
 
-def orphan_count(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> int:
-    """Number of fact rows whose key is missing from the dimension (LEFT JOIN ... IS NULL)."""
-    keys = dim.select(F.col(dim_key).alias("__k")).distinct()
-    return facts.join(keys, facts[fact_key] == keys["__k"], "left_anti").count()
+def orphan_count(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, name: str) -> DataFrame:
+    """One row (relation, orphans): fact rows whose key is missing from the dimension. Facts are counted by
+    key before the join, so a key that many rows share travels once a task; a null key is an orphan."""
+    counted = facts.groupBy(F.col(fact_key).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+    missing = counted.join(dim.select(F.col(dim_key).alias("__k")).distinct(), "__k", "left_anti")
+    return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("orphans")).select(F.lit(name).alias("relation"), "orphans")
 
 
 def align(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Key-aligned join of two keyed aggregates (inner: keys in both; full: report alignment)."""
     return left.join(right, keys, how)
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int) -> list:
-    """Keys holding at least ``hot_rows`` rows (one aggregation with map-side counts). The list is bounded
-    by rows / hot_rows, so bringing it to the driver is safe."""
-    return [r[0] for r in df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-            .where(F.col("__n") >= hot_rows).select(key).collect()]
-
-
-def salted_join(fact: DataFrame, dim: DataFrame, key: str, hot: list, salts: int = 32, how: str = "inner") -> DataFrame:
-    """Equi-join where a few keys of ``fact`` are hot (a key may hold a third of all rows).
-
-    Rows of hot keys get one of ``salts`` salt values from a hash of their content (deterministic, so a
-    recomputed task after an executor loss salts the same way); the dimension rows of those keys are
-    replicated once per salt; everything else keeps salt 0. The join on (key, salt) spreads each hot key
-    over ``salts`` partitions. Works for inner and left joins with the fact on the left; the result
-    equals the plain join."""
-    if not hot:
-        return fact.join(dim, key, how)
-    is_hot = F.col(key).isin(list(hot))
-    salted = fact.withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]),
-                                                             F.lit(salts))).otherwise(F.lit(0)).cast("int"))
-    spread = dim.withColumn("__salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))
-                                                .otherwise(F.array(F.lit(0)))))
-    return salted.join(spread, [key, "__salt"], how).drop("__salt")

@@ -13,8 +13,7 @@ Every builder has a DuckDB SQL twin (``SQL_*``) used as the correctness oracle.
 
 Plan notes (scale): lineitem and orders both grow with the data; they meet in ONE sort-merge join on
 the order key after orders has been reduced to (order key -> nation). customer also grows, so it is
-never broadcast explicitly (AQE may, from runtime sizes); the orders-customer join is salted for hot
-customers. nation (25 rows) and region (5 rows) are fixed by the schema and broadcast. Aggregations run
+never broadcast explicitly (AQE may, from runtime sizes); hot customers are split by AQE. nation (25 rows) and region (5 rows) are fixed by the schema and broadcast. Aggregations run
 map-side partial sums before every shuffle.
 """
 from __future__ import annotations
@@ -22,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlayer.operators.joins import fixed_dim, hot_keys, salted_join
+from statlayer.operators.joins import fixed_dim
 from statlayer.plans import products as P
 from statlayer.sources.tables import read_table
 
@@ -30,35 +29,14 @@ GAS_COLUMNS = {"A": "co2_mt", "N": "ch4_mt", "R": "n2o_mt"}
 MONEY = "decimal(18,2)"
 
 
-# A customer is "hot" when it holds at least this many orders; its orders are spread over salts.
-HOT_CUSTOMER_ORDERS = 1_000_000
-_HOT: dict[tuple, list] = {}
-
-
-HOT_PART_LINES = 1_000_000
-
-
-def cached_hot_keys(spark: SparkSession, d: str, table: str, column: str, threshold: int) -> list:
-    """Hot values of ``table.column`` (at least ``threshold`` rows): one aggregation per session, folder
-    and column, shared by every plan that joins on it."""
-    key = (spark.sparkContext.applicationId, d.rstrip("/"), table, column, threshold)
-    if key not in _HOT:
-        _HOT[key] = hot_keys(read_table(spark, d, table).select(column), column, threshold)
-    return _HOT[key]
-
-
-def hot_customers(spark: SparkSession, d: str) -> list:
-    """Customers with at least HOT_CUSTOMER_ORDERS orders."""
-    return cached_hot_keys(spark, d, "orders", "o_custkey", HOT_CUSTOMER_ORDERS)
-
-
 def orders_with_nation(spark: SparkSession, d: str, *cols: str, customer_cols: tuple = ()) -> DataFrame:
-    """Orders (the given columns) with the customer's nation name. The customer join is salted for hot
-    customers (a customer may hold a third of all orders); nation is a fixed 25-row broadcast."""
+    """Orders (the given columns) with the customer's nation name. A customer may hold a third of all
+    orders: the session forces AQE to split skewed join partitions even where an aggregation follows.
+    nation is a fixed 25-row broadcast."""
     o = read_table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), *cols)
     c = read_table(spark, d, "customer").select("c_custkey", "c_nationkey", *customer_cols)
     n = fixed_dim(read_table(spark, d, "nation").select("n_nationkey", "n_name"))
-    return (salted_join(o, c, "c_custkey", hot_customers(spark, d))
+    return (o.join(c, "c_custkey")
             .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(*cols, *customer_cols, "c_custkey", "c_nationkey", "n_name"))
 
@@ -114,13 +92,14 @@ def dim_activity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def by_activity(spark: SparkSession, d: str) -> DataFrame:
+    """Sums by (nation, part, year) come before the part join, so a part that carries a third of the lines
+    is one row a nation and year there."""
     lines = lines_with_nation(spark, d, "l_partkey", "l_shipdate", "l_extendedprice")
+    cells = lines.groupBy("n_name", "l_partkey", F.year("l_shipdate").alias("year")).agg(
+        F.sum(F.col("l_extendedprice").cast(MONEY)).alias("v"))
     p = read_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    hot = cached_hot_keys(spark, d, "lineitem", "l_partkey", HOT_PART_LINES)   # a part may carry a third of lines
-    return (salted_join(lines, p, "l_partkey", hot)
-            .groupBy(F.col("n_name").alias("country_code"), F.col("p_type").alias("activity_code"),
-                     F.year("l_shipdate").alias("year"))
-            .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).alias("emissions_mt_co2eq")))
+    return (cells.join(p, "l_partkey").groupBy(F.col("n_name").alias("country_code"), F.col("p_type").alias("activity_code"), "year")
+            .agg(F.sum("v").alias("emissions_mt_co2eq")))
 
 
 def order_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -142,13 +121,28 @@ BUILDERS = {"country_year": country_year, "dim_country": dim_country, "dim_activ
 _PUBLISHED: dict[tuple, DataFrame] = {}
 
 
+INPUTS = ("region", "nation", "customer", "part", "orders", "lineitem")
+
+
+def input_state(spark: SparkSession, d: str) -> tuple:
+    """Path, length and modification time of every file that the products read (metadata only)."""
+    found = []
+    for name in INPUTS:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{d.rstrip('/')}/{name}.parquet")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def published(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A product as a published table: built once per session and input folder, written as Parquet in
     the shared checkpoint folder and read back - the analyst queries read it like warehouse tables,
     instead of re-running the fact joins for every query and every scalar subquery. A written table
     also survives the loss of the executors that computed it."""
     from statlayer.session import scratch_path
-    key = (spark.sparkContext.applicationId, d.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), name, input_state(spark, d))
     if key not in _PUBLISHED:
         path = scratch_path(spark, f"published-{name}")
         BUILDERS[name](spark, d).write.mode("overwrite").parquet(path)

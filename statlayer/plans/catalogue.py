@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from statlayer.operators import conform
 from statlayer.operators.aggregate import complete_group_sums, sorted_text_join
-from statlayer.operators.joins import anti, fixed_dim, semi
+from statlayer.operators.joins import anti, fixed_dim, orphan_count, semi
 from statlayer.operators.reshape import pivot_fixed, unpivot_measure, unpivot_pairs, year_columns, year_from_header
 from statlayer.plans import analog as A
 from statlayer.plans import products as P
@@ -153,7 +153,7 @@ def dim_with_parts(spark, d):
     """Codes from two fact tables (region codes from customers, nation codes from suppliers), first
     name in key order, part codes from the nation->region mapping, merged flag."""
     n, r = t(spark, d, "nation"), fixed_dim(t(spark, d, "region"))
-    nr = n.join(r, n.n_regionkey == r.r_regionkey)
+    nr = fixed_dim(n.join(r, n.n_regionkey == r.r_regionkey))
     c, s = t(spark, d, "customer"), t(spark, d, "supplier")
     from_customers = c.join(nr, c.c_nationkey == nr.n_nationkey).select(
         F.col("r_name").alias("country_code"), F.col("c_name").alias("country_name"), F.col("c_custkey").alias("ord"))
@@ -293,14 +293,9 @@ SELECT 'orders->lineitem', COUNT(*) FROM orders o LEFT JOIN (SELECT DISTINCT l_o
 def orphan_count_query(spark, d):
     """Rows whose key is missing on the other side, per relation."""
     li, o, c = t(spark, d, "lineitem"), t(spark, d, "orders"), t(spark, d, "customer")
-
-    def orphans(name, facts, fk, dim, pk):
-        keys = dim.select(F.col(pk).alias("__k")).distinct()
-        return facts.select(fk).join(keys, F.col(fk) == F.col("__k"), "left_anti") \
-            .agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(name).alias("relation"), "orphans")
-    return (orphans("lineitem->orders", li, "l_orderkey", o, "o_orderkey")
-            .unionByName(orphans("orders->customer", o, "o_custkey", c, "c_custkey"))
-            .unionByName(orphans("orders->lineitem", o, "o_orderkey", li, "l_orderkey")))
+    return (orphan_count(li, o, "l_orderkey", "o_orderkey", "lineitem->orders")
+            .unionByName(orphan_count(o, c, "o_custkey", "c_custkey", "orders->customer"))
+            .unionByName(orphan_count(o, li, "o_orderkey", "l_orderkey", "orders->lineitem")))
 
 
 # -------------------------------------------------------------------- published queries

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from statlayer.session import stored_table
 
 
 def exact_quantiles(df: DataFrame, value: str, by: list[str] | None = None, qs=(0.25, 0.5, 0.75),
@@ -26,12 +27,11 @@ def exact_quantiles(df: DataFrame, value: str, by: list[str] | None = None, qs=(
         vals = vals.withColumn("__g", F.lit(0))
     vals = vals.where(F.col("__v").isNotNull())
     # 1. global order by (group, value): range partitions split a hot group over many tasks
-    ranked = (vals.repartitionByRange(*keys, "__v").sortWithinPartitions(*keys, "__v")
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__idx", F.monotonically_increasing_id()))
-    # Both passes below read this order through ONE reused range exchange (no extra write). A recomputed
-    # partition gets the same range bounds and the same sorted values, so every rank still maps to the
-    # same value after an executor loss (identical rows may swap places, which changes nothing).
+    # the order is written once with partition and place as data: both passes below read the same table, so
+    # nothing depends on how often the range partitioning is run or whether an exchange is reused
+    ranked = stored_table(vals.repartitionByRange(*keys, "__v").sortWithinPartitions(*keys, "__v")
+                          .withColumn("__pid", F.spark_partition_id())
+                          .withColumn("__idx", F.monotonically_increasing_id()), "ranked")
     # 2. per (partition, group): first index and row count -> exact rank offset of that slice
     slices = ranked.groupBy("__pid", *keys).agg(F.min("__idx").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -43,11 +43,10 @@ def exact_quantiles(df: DataFrame, value: str, by: list[str] | None = None, qs=(
         .alias("__q")).select(*keys, "__q.qi", "__q.pos").withColumn("__lo", F.floor("pos").cast("long")) \
         .withColumn("__hi", F.ceil("pos").cast("long"))
     needed = bounds.select(*keys, F.explode(F.array("__lo", "__hi")).alias("__rank")).distinct()
-    # 4. keep only the rows at those ranks (at most 2 per quantile and group), then interpolate
-    located = (ranked.join(slices.select("__pid", *keys, "__first", "__offset"), ["__pid", *keys])
-               .withColumn("__rank", F.col("__offset") + F.col("__idx") - F.col("__first"))
-               .join(needed, [*keys, "__rank"], "left_semi")
-               .select(*keys, "__rank", "__v"))
+    # 4. a wanted rank lies in one slice: (partition, place) names its row; interpolate between those rows
+    spots = (slices.join(needed, keys).where((F.col("__rank") >= F.col("__offset")) & (F.col("__rank") < F.col("__offset") + F.col("__cnt")))
+             .select(*keys, "__rank", (F.col("__first") + F.col("__rank") - F.col("__offset")).alias("__idx")))
+    located = ranked.select("__idx", "__v").join(spots, "__idx").select(*keys, "__rank", "__v")
     pairs = bounds.join(located, keys).where((F.col("__rank") == F.col("__lo")) | (F.col("__rank") == F.col("__hi")))
     interp = pairs.groupBy(*keys, "qi", "pos", "__lo").agg(
         F.max(F.when(F.col("__rank") == F.col("__lo"), F.col("__v"))).alias("__vlo"),
@@ -58,17 +57,13 @@ def exact_quantiles(df: DataFrame, value: str, by: list[str] | None = None, qs=(
     return out.drop("__g") if not by else out
 
 
-def summary(df: DataFrame, value: str, by: list[str] | None = None, exact: bool = True) -> DataFrame:
+def summary(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     """count, mean, std, min, 25/50/75 %, max of ``value`` per group (``describe``)."""
     by = list(by or [])
     v = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
     stats = df.groupBy(*by).agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
                                 F.min(v).alias("min"), F.max(v).alias("max"))
-    if exact:
-        q = exact_quantiles(df, value, by, names=["p25", "p50", "p75"])
-    else:
-        q = df.groupBy(*by).agg(F.percentile_approx(v, [0.25, 0.5, 0.75], 10000).alias("__p")) \
-            .select(*by, *[F.col("__p")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])])
+    q = exact_quantiles(df, value, by, names=["p25", "p50", "p75"])
     if by:
         joined = stats.join(q, by, "left")
     else:   # two one-row tables: equi-join on a constant key

@@ -36,6 +36,8 @@ JOIN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # a hot key's partition is split also where that costs another shuffle for what follows the join
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 DEFAULT_CONF.update(JOIN_CONF)
 
@@ -76,7 +78,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):     # not local-cluster[...]
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="statlayer-ckpt-"))
     else:
         raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage (checkpoints and "
@@ -90,6 +92,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/statlayer-scratch/{uuid.uuid4().hex}/{name}"
 
 
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder: survives executor loss, ends long lineages."""
     ensure_checkpoint_dir(df.sparkSession)

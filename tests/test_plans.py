@@ -70,8 +70,7 @@ def test_scope_scan_pushes_filters_and_prunes_columns(spark, tmp_path):
 
 def test_hot_key_join_is_split_by_aqe(spark):
     """One key holds a third of the rows of a sort-merge join whose output is consumed directly: the runtime
-    re-plan splits the hot partition (skew=true) and the result stays exact. (When the join feeds an
-    aggregation the split is not applied; ``operators.joins.salted_join`` is the remedy there.)"""
+    re-plan splits the hot partition (skew=true) and the result stays exact."""
     conf = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -94,32 +93,52 @@ def test_hot_key_join_is_split_by_aqe(spark):
         configure(spark)
 
 
-def test_salted_join_spreads_a_hot_key(spark):
-    """A key with a third of the rows: the salted join equals the plain join and the hot key's rows are
-    joined in several tasks instead of one."""
-    from statlayer.operators.joins import hot_keys, salted_join
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+def test_hot_key_join_before_an_aggregation_is_split_too(spark):
+    """The join feeds a grouping on other columns: the split costs one more shuffle and is forced."""
+    conf = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     try:
-        fact = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"),
-                                         F.col("id").alias("v"))
-        dim = spark.range(30000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-        hot = hot_keys(fact, "k", 1000)
-        assert hot == [7]
-        joined = salted_join(fact, dim, "k", hot, salts=8)
-        plain = fact.join(dim, "k")
-        assert sorted(map(tuple, joined.select("k", "v", "w").collect())) == sorted(map(tuple, plain.select("k", "v", "w").collect()))
-        tasks = joined.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
-        assert tasks > 1
+        configure(spark)
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        big = spark.range(300000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+                                         F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        dim = spark.range(300000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("w"))
+        grouped = big.join(dim, "k").groupBy("k").agg(F.count("v").alias("n"))
+        assert sum(r.n for r in grouped.collect()) == 300000
+        assert "skew=true" in grouped._jdf.queryExecution().executedPlan().toString()
     finally:
+        for k in conf:
+            spark.conf.unset(k)
         configure(spark)
 
 
-def test_product_is_the_same_with_hot_customers_salted(spark, monkeypatch):
-    configure(spark)
-    plain = sorted(map(tuple, A.country_year(spark, D).collect()))
-    monkeypatch.setattr(A, "HOT_CUSTOMER_ORDERS", 5)        # most customers count as hot at this size
-    monkeypatch.setattr(A, "_HOT", {})
-    assert len(A.hot_customers(spark, D)) > 10
-    salted = sorted(map(tuple, A.country_year(spark, D).collect()))
-    assert salted == plain
-    monkeypatch.setattr(A, "_HOT", {})
+def test_quantiles_do_not_hang_on_exchange_reuse(spark):
+    """The same quartiles without exchange reuse and without AQE, grouped and ungrouped."""
+    from statlayer.profile.stats import exact_quantiles
+    li = read_table(spark, D, "lineitem")
+    want = sorted(map(tuple, exact_quantiles(li, "l_extendedprice", ["l_returnflag"]).collect())), \
+        exact_quantiles(li, "l_extendedprice").collect()
+    try:
+        spark.conf.set("spark.sql.exchange.reuse", "false")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = sorted(map(tuple, exact_quantiles(li, "l_extendedprice", ["l_returnflag"]).collect())), \
+            exact_quantiles(li, "l_extendedprice").collect()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+        configure(spark)
+    assert got == want and None not in tuple(got[1][0])
+
+
+def test_products_follow_changed_inputs(spark, tmp_path):
+    """A published product is built anew when a file it reads has changed."""
+    d = str(tmp_path)
+    for name in A.INPUTS:
+        read_table(spark, D, name).write.parquet(f"{d}/{name}.parquet")
+    before = A.published(spark, d, "fact_emissions").agg(F.sum("emissions_mt_co2eq")).first()[0]
+    read_table(spark, D, "lineitem").where("l_orderkey % 2 = 0").write.mode("overwrite").parquet(f"{d}/lineitem.parquet")
+    after = A.published(spark, d, "fact_emissions").agg(F.sum("emissions_mt_co2eq")).first()[0]
+    assert 0 < after < before
