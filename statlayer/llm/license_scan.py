@@ -27,7 +27,7 @@ from .common import share, slices, strings
 BITS = 15
 WINDOW, STEP = 20, 10
 ORDERS = 3
-SAMPLE_PARAGRAPHS = 4000
+SAMPLE_PARAGRAPHS = 1600
 LEAST_PROBABILITY, CONFIRM = 0.5, 0.7
 CACHE_WORDS = 1 << 19
 SLICE = 1 << 19
@@ -183,7 +183,7 @@ class Model:
         e = np.exp(e - e.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
-    def fit(self, windows, y: np.ndarray, steps: int = 60, rate: float = 0.5, l1: float = 2e-5) -> None:
+    def fit(self, windows, y: np.ndarray, steps: int = 40, rate: float = 0.5, l1: float = 2e-5) -> None:
         """Full-batch Adagrad with an L1 shrink after every step."""
         hashes = WordHash()
         parts = list(gram_slots(windows, hashes))
@@ -236,7 +236,7 @@ def training_set(background: list[list[str]], seed: int = 3) -> tuple[list[list[
     for n, (family, texts) in enumerate(TEMPLATES.items()):
         for t in texts:
             words = find_words(t.lower())
-            for k in range(60):
+            for k in range(40):
                 at = int(rng.integers(0, max(1, len(words) - WINDOW + 1))) if k % 2 else 0
                 part = words[at:at + WINDOW]
                 if k > 4 and len(part) > 4:
@@ -250,7 +250,7 @@ def training_set(background: list[list[str]], seed: int = 3) -> tuple[list[list[
         if all(template_share(words, f) < 0.3 for f in TEMPLATES):
             out.append(words)
             y.append(len(names) - 1)
-    for _ in range(1200):                        # licence words in no licence's order, and lone words
+    for _ in range(600):                        # licence words in no licence's order, and lone words
         size = int(rng.integers(1, WINDOW + 1))
         words = [str(w) for w in np.where(rng.random(size) < 0.4, rng.choice(pool, size), rng.choice(stray, size))]
         if all(template_share(words, f) < 0.5 for f in TEMPLATES):
