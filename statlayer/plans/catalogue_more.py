@@ -15,10 +15,11 @@ from statlayer.plans import products as P
 from statlayer.plans.catalogue import MONEY, r6, register, t
 from statlayer.profile.files import compare_formats, partition_read_share
 from statlayer.profile.stats import column_profile, summary
-from statlayer.publish.warehouse import upsert
+from statlayer.publish.warehouse import TableLoad, load_warehouse, read_audit, read_current
 from statlayer.quality import checks as C
 from statlayer.quality.contracts import constraint_violations
 from statlayer.schemas import Contract
+from statlayer.session import scratch_path
 
 SQL_WS = STRIP_PATTERN.replace("'", "''")
 
@@ -409,11 +410,14 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 WHERE c_mktsegment IN ({_in(OLD_SEGMENTS)})
   AND c_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment IN ({_in(NEW_SEGMENTS)}))""")
 def upsert_result(spark, d):
-    """K7 + K8: incoming rows win on their key, other target rows stay."""
+    """K7 + K11: a dimension published twice through ``load_warehouse`` and read back: incoming rows win on
+    their key, other rows stay."""
     c = t(spark, d, "customer")
-    target = c.where(F.col("c_mktsegment").isin(OLD_SEGMENTS))
+    base = scratch_path(spark, "upsert")
     incoming = c.where(F.col("c_mktsegment").isin(NEW_SEGMENTS)).withColumn("c_acctbal", F.col("c_acctbal") + 1)
-    return upsert(target, incoming, ["c_custkey"])
+    for batch, rows in (("old", c.where(F.col("c_mktsegment").isin(OLD_SEGMENTS))), ("new", incoming)):
+        load_warehouse(spark, base, [TableLoad("customer", rows, ["c_custkey"], "dimension")], batch_id=batch)
+    return read_current(spark, base, "customer").select(*c.columns)
 
 
 @register("load_audit_rows", f"""SELECT 'customer' AS table_name,
@@ -424,15 +428,17 @@ UNION ALL
 SELECT 'supplier', (SELECT COUNT(*) FROM supplier WHERE s_acctbal >= 0),
   (SELECT COUNT(*) FROM supplier WHERE s_acctbal < 5000 AND s_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0))""")
 def load_audit_rows(spark, d):
-    """K10 (+K8): per table, rows upserted by a batch and stale rows it removes (facts equal the batch)."""
-    def audit(name, target, incoming, keys):
-        stale = target.join(incoming.select(*keys).distinct(), keys, "left_anti").select(F.count(F.lit(1))).scalar()
-        return incoming.agg(F.count(F.lit(1)).alias("rows_upserted")).select(
-            F.lit(name).alias("table_name"), "rows_upserted", stale.alias("rows_deleted"))
+    """K8 + K10 + K11: two facts published twice through ``load_warehouse``; the audit rows of the second
+    batch: rows upserted and stale rows removed."""
     c, s = t(spark, d, "customer"), t(spark, d, "supplier")
-    return audit("customer", c.where(F.col("c_mktsegment").isin(OLD_SEGMENTS)),
-                 c.where(F.col("c_mktsegment").isin(NEW_SEGMENTS)), ["c_custkey"]).unionByName(
-        audit("supplier", s.where(F.col("s_acctbal") < 5000), s.where(F.col("s_acctbal") >= 0), ["s_suppkey"]))
+    base = scratch_path(spark, "audit")
+    old = [TableLoad("customer", c.where(F.col("c_mktsegment").isin(OLD_SEGMENTS)), ["c_custkey"]),
+           TableLoad("supplier", s.where(F.col("s_acctbal") < 5000), ["s_suppkey"])]
+    new = [TableLoad("customer", c.where(F.col("c_mktsegment").isin(NEW_SEGMENTS)), ["c_custkey"]),
+           TableLoad("supplier", s.where(F.col("s_acctbal") >= 0), ["s_suppkey"])]
+    load_warehouse(spark, base, old, batch_id="second")        # batch names need not sort by time
+    load_warehouse(spark, base, new, batch_id="first")
+    return read_audit(spark, base).where("batch_id = 'first'").select("table_name", "rows_upserted", "rows_deleted")
 
 
 @register("partition_prune", """SELECT COUNT(*) AS rows_all, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS rows_read,

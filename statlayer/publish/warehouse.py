@@ -4,14 +4,16 @@
   not available on plain Parquet). Tables with key columns only keep one row per key (DO NOTHING).
 * facts end up equal to the incoming batch (upsert, then rows of other batches are removed and
   counted); dimensions are upsert-only and keep old rows.
-* every table of a batch is written under ``<base>/<table>/batch_id=<id>``; a run that fails midway
-  leaves no visible change, because readers resolve the current batch through commit records that are
-  written LAST and never overwritten (``<base>/_commits/batch_id=<id>``). No path that is being read is
-  ever overwritten (overwriting a table you read from destroys it).
+* every write goes to a new path, so nothing that is being read is overwritten; a publish ends with ONE
+  commit record under ``<base>/_commits``: a sequence number, the batch id and the path of EVERY table,
+  tables that this batch did not load carried forward. The record of the highest number is current,
+  whatever its batch is called, so a partial load, a stream's batch or an old run published again all
+  become visible, and a run that fails midway changes nothing. One publisher at a time is assumed.
 * the audit log gets one row per table per run (appended under its batch).
 """
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from statlayer import schemas
+from statlayer.errors import PublishError
 
 
 def new_batch_id(now: datetime | None = None) -> str:
@@ -27,16 +30,21 @@ def new_batch_id(now: datetime | None = None) -> str:
 
 
 def upsert(target: DataFrame | None, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Insert new keys, replace existing ones; keys-only tables keep the existing row (no-op)."""
+    """Insert new keys, replace existing ones; other target rows stay."""
     if target is None:
         return incoming
     others = target.join(incoming.select(*keys).distinct(), keys, "left_anti")
     return incoming.unionByName(others.select(*incoming.columns))
 
 
-def stale_rows(result: DataFrame, batch_col: str, batch_id: str) -> DataFrame:
-    """Rows not touched by this batch (to be removed from a fact table)."""
-    return result.where(F.col(batch_col) != F.lit(batch_id))
+def stale_rows(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a fact table whose key the batch does not bring: they go."""
+    return target.join(incoming.select(*keys).distinct(), keys, "left_anti")
+
+
+def repeated_keys(incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that a batch brings more than once."""
+    return incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
 @dataclass
@@ -47,70 +55,85 @@ class TableLoad:
     kind: str = "fact"          # "fact": equals the batch after the load; "dimension": upsert-only
 
 
-def committed_batches(spark: SparkSession, base: str) -> list[str]:
+COMMIT = "seq bigint, batch_id string, tables map<string,string>"
+AUDIT_PATH = "load_audit"
+
+
+def commits(spark: SparkSession, base: str) -> DataFrame:
+    """Commit records (seq, batch_id, tables); none before the first publish."""
     try:
-        rows = spark.read.text(f"{base}/_commits").select("value").distinct().collect()
+        return spark.read.schema(COMMIT).json(f"{base}/_commits")
     except AnalysisException:
-        return []
-    return sorted(r.value for r in rows)
+        return spark.createDataFrame([], COMMIT)
+
+
+def current_commit(spark: SparkSession, base: str):
+    """The record of the highest sequence number, or None."""
+    return commits(spark, base).orderBy(F.desc("seq")).limit(1).first()
 
 
 def current_batch(spark: SparkSession, base: str) -> str | None:
-    batches = committed_batches(spark, base)
-    return batches[-1] if batches else None
+    row = current_commit(spark, base)
+    return row.batch_id if row else None
 
 
 def read_current(spark: SparkSession, base: str, name: str) -> DataFrame | None:
-    """The table as of the latest committed batch (readers never see a half-written run)."""
-    batch = current_batch(spark, base)
-    if batch is None:
+    """The table as of the latest commit, with the batch that wrote it; None if it was never loaded."""
+    row = current_commit(spark, base)
+    path = row.tables.get(name) if row else None
+    if path is None:
         return None
-    return spark.read.parquet(f"{base}/{name}/batch_id={batch}").withColumn("batch_id", F.lit(batch))
+    return spark.read.parquet(f"{base}/{path}").withColumn("batch_id", F.lit(path.rsplit("batch=", 1)[1]))
 
 
 def load_warehouse(spark: SparkSession, base: str, tables: list[TableLoad], batch_id: str | None = None,
                    loaded_at: datetime | None = None) -> dict:
-    """Publish all tables as one batch; returns {table: (rows_upserted, rows_deleted)}."""
+    """Publish the tables as one batch; returns {table: (rows_upserted, rows_deleted)}. A batch that
+    repeats a key is refused before anything is committed."""
     batch_id = batch_id or new_batch_id()
     loaded_at = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    counts = {}
+    before = current_commit(spark, base)
+    seq = (before.seq if before else 0) + 1
+    paths, counts = dict(before.tables) if before else {}, {}
     for t in tables:
         previous = read_current(spark, base, t.name)
         stamped = t.incoming
         if t.kind == "fact":
             stamped = stamped.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp"))
-        if previous is not None:
-            previous = previous.drop("batch_id")
-        result = upsert(previous, stamped, t.keys)
+        path = f"{t.name}/seq={seq:012d}-{uuid.uuid4().hex[:8]}-batch={batch_id}"
         deleted = 0
-        if t.kind == "fact" and previous is not None:
-            # rows of older batches that this batch did not touch are stale: removed and counted
-            deleted = previous.join(stamped.select(*t.keys).distinct(), t.keys, "left_anti").count()
-            result = stamped
-        path = f"{base}/{t.name}/batch_id={batch_id}"
-        result.write.mode("overwrite").parquet(path)
-        # a fact equals its batch: count the written files (footer metadata) instead of re-running the plan
-        upserted = spark.read.parquet(path).count() if t.kind == "fact" else t.incoming.count()
-        counts[t.name] = (upserted, deleted)
-    # audit ids continue the committed log (a serial id): previous max + position in this run
-    last_id = 0
-    if current_batch(spark, base) is not None:
-        last_id = read_audit(spark, base).select(F.coalesce(F.max("audit_id"), F.lit(0))).first()[0]
+        if t.kind == "fact" or previous is None:
+            stamped.write.parquet(f"{base}/{path}")            # a fact equals its batch
+            written = spark.read.parquet(f"{base}/{path}")
+            upserted = written.count()                         # from file footers
+            if t.kind == "fact" and previous is not None:
+                deleted = stale_rows(previous, written, t.keys).count()
+        else:
+            upsert(previous.drop("batch_id"), stamped, t.keys).write.parquet(f"{base}/{path}")
+            written, upserted = t.incoming, t.incoming.count()
+        twice = repeated_keys(written, t.keys).limit(3).collect()
+        if twice:
+            raise PublishError(f"{t.name}: the batch repeats keys, such as {[tuple(r)[:-1] for r in twice]}")
+        paths[t.name], counts[t.name] = path, (upserted, deleted)
+    # audit ids go on from the committed log (a serial id): largest so far + position in this run
+    last_id = read_audit(spark, base).agg(F.max("audit_id")).first()[0] if before else None
     audit = spark.createDataFrame(
-        [(last_id + i + 1, batch_id, t, int(u), int(d), loaded_at) for i, (t, (u, d)) in enumerate(counts.items())],
+        [((last_id or 0) + i + 1, batch_id, t, int(u), int(d), loaded_at) for i, (t, (u, d)) in enumerate(counts.items())],
         schemas.LOAD_AUDIT)
-    audit.coalesce(1).write.mode("overwrite").parquet(f"{base}/load_audit/batch={batch_id}")
+    audit.coalesce(1).write.mode("overwrite").parquet(f"{base}/{AUDIT_PATH}/seq={seq}")
     # the commit record is the LAST write; until it exists the batch is invisible to readers
-    spark.createDataFrame([(batch_id,)], "value string").coalesce(1).write.mode("overwrite") \
-        .text(f"{base}/_commits/batch_id={batch_id}")
+    record = spark.createDataFrame([(seq, batch_id, paths)], COMMIT)
+    record.coalesce(1).write.mode("append").json(f"{base}/_commits")
     return counts
 
 
 def read_audit(spark: SparkSession, base: str) -> DataFrame:
-    """Audit rows of committed batches only (a failed run's rows stay invisible)."""
-    committed = spark.createDataFrame([(b,) for b in committed_batches(spark, base)], "batch_id string")
-    audit = spark.read.parquet(f"{base}/load_audit").drop("batch")
-    return audit.join(F.broadcast(committed), "batch_id", "left_semi").select(*schemas.LOAD_AUDIT.fieldNames())
+    """Audit rows of committed publishes (a failed run's rows stay invisible); of a table that a batch
+    published again, the last row."""
+    audit = spark.read.parquet(f"{base}/{AUDIT_PATH}").withColumn("seq", F.col("seq").cast("long"))
+    known = audit.join(commits(spark, base).select("seq", "batch_id"), ["seq", "batch_id"], "left_semi")
+    last = known.groupBy("batch_id", "table_name").agg(F.max("seq").alias("seq"))
+    return known.join(last, ["batch_id", "table_name", "seq"], "left_semi").select(*schemas.LOAD_AUDIT.fieldNames())
 
 
 def check_published(spark: SparkSession, base: str, expected: dict[str, DataFrame]) -> DataFrame:
@@ -136,27 +159,29 @@ def register_tables(spark: SparkSession, base: str, database: str = "warehouse")
     """K12 + the analyst path: catalog tables over the current committed batch.
 
     ``CREATE TABLE IF NOT EXISTS ... USING parquet`` once per table, then ``ALTER TABLE ... SET LOCATION``
-    to the batch just committed (a metastore switch: readers of the catalog move to the new batch in one
-    step). The audit log is exposed as a view of committed batches only; views with the logical names of
-    the published query texts let those texts run unchanged."""
-    batch = current_batch(spark, base)
-    if batch is None:
+    to the path of the current commit (a metastore switch). The audit log and the commit records are tables
+    too, and the audit view joins them, so it needs no list of batches; views with the logical names of the
+    published query texts let those texts run unchanged."""
+    commit = current_commit(spark, base)
+    if commit is None:
         return []
-    audit = read_audit(spark, base)
-    names = sorted(r.table_name for r in audit.where(F.col("batch_id") == batch).select("table_name").collect())
+    names = sorted(commit.tables)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in names:
-        location = f"{base}/{name}/batch_id={batch}"
+        location = f"{base}/{commit.tables[name]}"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet LOCATION '{location}'")
         spark.sql(f"ALTER TABLE {database}.{name} SET LOCATION '{location}'")
         spark.catalog.refreshTable(f"{database}.{name}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.load_audit_log USING parquet LOCATION '{base}/load_audit'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.load_commits ({COMMIT}) USING json LOCATION '{base}/_commits'")
+    spark.catalog.refreshTable(f"{database}.load_commits")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.load_audit_log USING parquet LOCATION '{base}/{AUDIT_PATH}'")
     spark.catalog.recoverPartitions(f"{database}.load_audit_log")
     spark.catalog.refreshTable(f"{database}.load_audit_log")
-    committed = ", ".join(f"'{b}'" for b in committed_batches(spark, base))
-    cols = ", ".join(schemas.LOAD_AUDIT.fieldNames())
-    spark.sql(f"CREATE OR REPLACE VIEW {database}.load_audit AS SELECT {cols} FROM {database}.load_audit_log "
-              f"WHERE batch_id IN ({committed})")
+    cols = ", ".join(f"a.{c}" for c in schemas.LOAD_AUDIT.fieldNames())
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.load_audit AS SELECT {cols} FROM {database}.load_audit_log a LEFT SEMI JOIN ("
+              f"SELECT l.batch_id, l.table_name, max(c.seq) AS seq FROM {database}.load_audit_log l JOIN {database}.load_commits c "
+              f"ON l.batch_id = c.batch_id AND CAST(l.seq AS BIGINT) = c.seq GROUP BY l.batch_id, l.table_name) k "
+              f"ON a.batch_id = k.batch_id AND a.table_name = k.table_name AND CAST(a.seq AS BIGINT) = k.seq")
     for logical, physical in QUERY_NAMES.items():
         if physical in names:
             spark.sql(f"CREATE OR REPLACE VIEW {database}.{logical} AS SELECT * FROM {database}.{physical}")
