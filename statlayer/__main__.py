@@ -3,7 +3,8 @@
     python -m statlayer run --matrix sheet.csv --pages pulls/ --stats stats.csv --out /shared/agri \
         [--step stage --step validate_staging ...] [--run-id 20260101T000000Z] [--edition 2026]
 
-``--pages`` may be the folder holding ``pulled=<date>`` snapshots: the latest complete one is used.
+``--pages`` may be the folder holding ``pulled=<date>`` snapshots: the latest complete one is used; a pull
+without its marker is refused. ``--stats`` is a file, or a folder of files, with ``<file>.meta.json`` beside it.
 """
 from __future__ import annotations
 
@@ -16,7 +17,7 @@ def main(argv: list[str] | None = None) -> int:
     from statlayer.plans import layers as PL
     from statlayer.session import get_spark, input_bytes, size_parallelism
     from statlayer.settings import Settings
-    from statlayer.sources.files import ExtractionError, latest_complete_snapshot
+    from statlayer.sources.files import complete_file, complete_pull
 
     parser = argparse.ArgumentParser(prog="statlayer")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -33,13 +34,9 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_spark("statlayer-run")
     size_parallelism(spark, input_bytes(spark, args.matrix, args.pages, args.stats))   # partitions from input size
-    pages = args.pages
-    try:
-        pages = latest_complete_snapshot(spark, pages)
-    except ExtractionError:
-        pass                                   # already a single pull folder
     cfg = Settings(edition=args.edition)
-    paths = PL.run(spark, PL.RawInputs(args.matrix, pages, args.stats, args.matrix_format), args.out,
+    pages, stats = complete_pull(spark, args.pages), complete_file(spark, args.stats)
+    paths = PL.run(spark, PL.RawInputs(args.matrix, pages, stats, args.matrix_format), args.out,
                    steps=args.step, cfg=cfg, run_id=args.run_id)
     print(json.dumps({"run_id": paths.run_id, "base": paths.base, "warehouse": paths.warehouse}))
     return 0

@@ -57,6 +57,7 @@ def stage_matrix(spark: SparkSession, raw_path: str, paths: RunPaths, cfg: Setti
 
 
 def stage_population(spark: SparkSession, pages_folder: str, paths: RunPaths) -> str:
+    src.require_complete_pages(spark, pages_folder)
     known = conform.known_codes(spark, conform.iso_table(spark, Settings().iso_table))
     tidy = P.tidy_population(src.read_pages(spark, pages_folder), known)
     out = paths.staging("population")

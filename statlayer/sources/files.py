@@ -54,9 +54,14 @@ def read_page_files(spark: SparkSession, folder: str, glob: str = "page_*.json")
 
 
 def read_pages(spark: SparkSession, folder: str, glob: str = "page_*.json") -> DataFrame:
-    """All records of all page files (a page whose records are null gives no rows)."""
+    """All records of all page files (a page whose records are null gives no rows). A file that is not
+    ``[info, records]``, or whose records cannot be read, stops the read: a page is never lost in silence."""
     pages = read_page_files(spark, folder, glob)
-    records = pages.select(F.explode(F.from_json("records_json", T.ArrayType(RECORD))).alias("r"))
+    parsed = F.from_json("records_json", T.ArrayType(RECORD))
+    nothing = F.col("records_json").isNull() | (F.trim("records_json") == "null")
+    sound = (F.coalesce(F.col("elements"), F.lit(-1)) == 2) & F.col("info.pages").isNotNull() & (nothing | parsed.isNotNull())
+    bad = F.raise_error(F.concat(F.lit("not a page of [info, records]: "), F.col("file"))).cast(T.ArrayType(RECORD))
+    records = pages.select(F.explode(F.when(~sound, bad).otherwise(parsed)).alias("r"))
     return records.select("r.*")
 
 
@@ -96,21 +101,37 @@ def pick_data_member(spark: SparkSession, folder: str) -> str:
     return row.path
 
 
+YEAR_VALUE, YEAR_FLAG = re.compile(r"Y\d{4}"), re.compile(r"Y\d{4}F")
+STATS_INTEGERS = ("Area Code", "Item Code", "Year")
+
+
+def stats_column(name: str):
+    """Type of a column of the statistics file, None for a column that the layer does not use."""
+    if name in STATS_INTEGERS:
+        return "int"
+    if name == "Value" or YEAR_VALUE.fullmatch(name):
+        return "double"
+    return "string" if name == "Flag" or YEAR_FLAG.fullmatch(name) or name in settings.STATS_ID_COLUMNS else None
+
+
 def read_stats_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """The statistics file with the columns the layer uses (ids, Year/Value/Flag or Y#### / Y####F),
-    every column read as text then typed by the tidy step; encoding detected when not given."""
+    """The statistics file with the columns the layer uses, typed (encoding detected when not given).
+
+    Strict: a row with too few or too many fields fails the read, and so does a cell of a numeric column
+    that holds anything but a number or white space."""
     encoding = encoding or detect_encoding(spark, path)
-    raw = spark.read.option("header", True).option("encoding", encoding).option("inferSchema", False).csv(path)
-    keep = [c for c in raw.columns if c in settings.STATS_ID_COLUMNS or c in ("Year", "Value", "Flag")
-            or re.fullmatch(r"Y\d{4}F?", c)]
+    raw = (spark.read.option("header", True).option("encoding", encoding).option("inferSchema", False)
+           .option("mode", "FAILFAST").option("columnPruning", False).csv(path))
     typed = []
-    for c in keep:
-        col = F.col(f"`{c}`")
-        if c in ("Area Code", "Item Code", "Year"):
-            col = col.cast("int")
-        elif c == "Value" or re.fullmatch(r"Y\d{4}", c):
-            col = col.try_cast("double")
-        typed.append(col.alias(c))
+    for name in raw.columns:
+        kind, col = stats_column(name), F.col(f"`{name}`")
+        if kind in ("int", "double"):
+            text = F.trim(col)
+            number = text.try_cast(kind)
+            wrong = F.raise_error(F.concat(F.lit(f"{name}: not a number: "), text)).cast(kind)
+            typed.append(F.when(text == "", None).when(text.isNotNull() & number.isNull(), wrong).otherwise(number).alias(name))
+        elif kind:
+            typed.append(col.alias(name))
     return raw.select(*typed)
 
 
@@ -134,13 +155,64 @@ def latest_complete_snapshot(spark: SparkSession, base: str, marker: str = "_man
     return f"{base.rstrip('/')}/pulled={pulled[-1]}"
 
 
+def complete_pull(spark: SparkSession, path: str, marker: str = "_manifest.json") -> str:
+    """The folder to read for a page source: the path itself if it is a marked pull, else its newest marked
+    ``pulled=<date>`` folder. A pull without a marker is refused."""
+    if glob_paths(spark, f"{path.rstrip('/')}/{marker}"):
+        return path
+    return latest_complete_snapshot(spark, path, marker)
+
+
+def complete_file(spark: SparkSession, path: str, pattern: str = "*.csv", suffix: str = ".meta.json") -> str:
+    """The file to read: the path itself, or in a folder the last file by name; in both cases only with its
+    ``<file>.meta.json`` beside it, which a download writes last."""
+    marked = [p.removesuffix(suffix) for p in glob_paths(spark, f"{path.rstrip('/')}{suffix}")] \
+        or [p.removesuffix(suffix) for p in glob_paths(spark, f"{path.rstrip('/')}/{pattern}{suffix}")]
+    if not marked:
+        raise ExtractionError(f"no complete file at {path} (its {suffix} is missing)")
+    return sorted(marked)[-1]
+
+
+def require_complete_pages(spark: SparkSession, folder: str) -> dict:
+    """Stop unless all announced pages and records are there; returns the counts."""
+    row = page_completeness(spark, folder).first().asDict()
+    if not row["complete"]:
+        raise ExtractionError(f"incomplete pull in {folder}: {row}")
+    return row
+
+
 # ----------------------------------------------------------------------------- S12
+CHUNK = 8 << 20
+
+
 def file_manifest(spark: SparkSession, path: str, **info) -> DataFrame:
-    """Name, size, SHA-256 and record time of every raw file, plus source facts (url, license, ...)."""
-    files = spark.read.format("binaryFile").load(path)
-    out = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.col("length").alias("size_bytes"),
-                       F.sha2("content", 256).alias("sha256"),
-                       F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("recorded_at"))
+    """Name, size, SHA-256 and record time of every raw file, plus source facts (url, license, ...). Only
+    the file list is a table; a task streams each of its files through the hash in chunks, from the cluster
+    file system (Arrow's reader of it, or the local one), so a file of any size needs
+    ``CHUNK`` bytes. Empty files are not listed."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+
+    def digest(batches):
+        import hashlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            sums = []
+            for uri in batch.column("path").to_pylist():
+                system, name = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+                h = hashlib.sha256()
+                with system.open_input_stream(name) as stream:
+                    while block := stream.read(CHUNK):
+                        h.update(block)
+                sums.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(sums, type=pa.string())],
+                                             names=["path", "size_bytes", "sha256"])
+
+    out = files.mapInArrow(digest, "path string, size_bytes bigint, sha256 string").select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "size_bytes", "sha256",
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("recorded_at"))
     for k, v in info.items():
         out = out.withColumn(k, F.lit(v))
     return out
