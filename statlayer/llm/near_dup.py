@@ -34,7 +34,7 @@ SHINGLE, LEAST_PERCENT = 5, 75
 MINIMA, ROWS = 128, 4
 BANDS = MINIMA // ROWS
 B = 4
-ROUNDS = 2                     # at most, before the remaining classes are searched exactly
+ROUNDS = 1                     # at most, before the remaining classes are searched exactly
 CACHE_WORDS = 1 << 19
 MOST_DIFFERENT = 54            # lanes of 128 that may differ: five deviations beyond a pair at the limit
 P, C1, C2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -199,27 +199,33 @@ def prefix_pairs(docs: DataFrame, placed: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root (least node reachable) for every node of an edge (a, b), by star contraction."""
+    few = edges.sparkSession.sparkContext.defaultParallelism        # edges are two numbers: one task a core writes them
     both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    mark = None
+    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().coalesce(few), "edges")
     while True:
-        # large star: every neighbour greater than a node links to the node's least neighbour
+        # done when every node is either a root or hangs on one root
+        sides = now.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")) \
+            .unionByName(now.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if not sides.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").take(1):
+            break
+        # large star: every neighbour greater than a node links to the least of the node and its neighbours
         near = both(now)
         least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = near.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        # small star: every neighbour not greater than a node, and the node, link to the least of them
+        # small star: a node and its lesser neighbours link to the least of them
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         links = large.join(small, "a")
         now = stored(links.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(links.select("a", F.col("m").alias("b")))
-                     .where("a <> b").distinct(), "edges")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == state:
-            break
-        mark = state
-    return now.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node") \
+                     .where("a <> b").distinct().coalesce(few), "edges")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")) \
         .unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links: the forest so far and the new edges."""
+    return stored(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)), "roots")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
     drawn = stored(sketches(docs), "sketches")
@@ -248,7 +254,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return stored(placed.join(mixed_, "bucket", "left_semi"), "open")
 
     # rounds: one member of a bucket's largest component, another each time, against all members of other
-    # components; in a group whose members link by chance nearly all join the component in a few rounds
+    # components; in a group whose members link by chance nearly all join the component at once
     rest, tested = unsettled(roots), stars
     for turn in range(ROUNDS):
         groups = rest.groupBy("bucket", "root").agg(F.count("*").alias("size"), F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("pick"))
@@ -259,8 +265,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         more = stored(confirmed(docs, fresh), "more")
         if not more.take(1):
             break
-        links, tested = links.unionByName(more), tested.unionByName(fresh)
-        roots = stored(components(links), "roots")
+        tested, roots = tested.unionByName(fresh), joined(roots, more)
         rest = unsettled(roots)
 
     # what is left is searched exactly, by prefixes of the sets
@@ -268,7 +273,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     fresh = stored(signed(found.join(tested, ["a", "b"], "left_anti")), "cross")
     more = stored(confirmed(docs, fresh), "more")
     if more.take(1):
-        roots = stored(components(links.unionByName(more)), "roots")
+        roots = joined(roots, more)
 
     named = classes.select("set_a", "set_b", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("set_a", "set_b", F.coalesce("root", "rep").alias("root"))
