@@ -119,21 +119,15 @@ def curate_stats(spark: SparkSession, paths: RunPaths, cfg: Settings = Settings(
 # ------------------------------------------------------------------------ E2 gates
 def validate(spark: SparkSession, paths: RunPaths, step: str, cfg: Settings = Settings(),
              today_year: int | None = None) -> dict:
-    read = spark.read.parquet
-    if step == "matrix":
-        res = rules.matrix_staging_suite(read(paths.staging("matrix")), cfg)
-    elif step == "population":
-        res = rules.population_staging_suite(read(paths.staging("population")), cfg, today_year)
-    elif step == "stats":
-        res = rules.stats_staging_suite(read(paths.staging("stats")), cfg, today_year)
-    elif step == "curated":
-        res = rules.curated_suite(read(paths.curated("agri_country_year")), read(paths.curated("agri_emissions_by_gas")),
-                                  read(paths.curated("dim_country")), cfg)
+    staged, curated = lambda n: spark.read.parquet(paths.staging(n)), lambda n: spark.read.parquet(paths.curated(n))
+    if step == "curated":
+        res = rules.judge({"country_year": curated("agri_country_year"), "by_gas": curated("agri_emissions_by_gas")}, cfg,
+                          dim_country=curated("dim_country"))
+    elif step == "curated_stats":
+        res = rules.judge({"by_activity": curated("agri_emissions_by_activity"), "comparison": curated("edgar_vs_faostat")}, cfg,
+                          dim_country=curated("dim_country"), scope=P.stats_scope(staged("stats"), cfg))
     else:
-        scope = P.stats_scope(read(paths.staging("stats")), cfg)
-        res = rules.stats_curated_suite(read(paths.curated("agri_emissions_by_activity")),
-                                        read(paths.curated("edgar_vs_faostat")), read(paths.curated("dim_country")),
-                                        scope, cfg)
+        res = rules.judge({step: staged(step)}, cfg, today_year)
     return run_checks(step, res, report_path=paths.report(f"validation_{step}"))
 
 

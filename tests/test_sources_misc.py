@@ -5,20 +5,22 @@ import json
 from pyspark.sql import functions as F
 
 from statlayer import schemas
-from statlayer.profile.files import pruned_scan_plan, retrieval_lines
+from statlayer.profile.files import provenance, pruned_scan_plan
 from statlayer.sources import files as src
 from statlayer.sources import tables as T
 
 
-def test_retrieval_lines_warn_on_copies_placed_by_hand(spark):
+def test_provenance_marks_copies_placed_by_hand(spark):
     man = spark.createDataFrame(
         [("a.xlsx", "2026-01-01T00:00:00+00:00", None, None, None),
-         ("b.zip", None, "2026-02-01T00:00:00+00:00", "manual copy", "copied from a colleague")],
+         ("b.zip", None, "2026-02-01T00:00:00+00:00", "manual copy", "copied from a colleague"),
+         ("c.zip", None, "2026-02-01T00:00:00+00:00", "scripted download", None)],
         "file string, recorded_at string, retrieved_at string, retrieval_method string, note string")
-    rows = {r.file: r for r in retrieval_lines(man).collect()}
-    assert rows["a.xlsx"].retrieved_line == "- **Retrieved:** 2026-01-01T00:00:00+00:00 (UTC), scripted API calls"
-    assert rows["a.xlsx"].warning_line is None
-    assert "2026-02-01" in rows["b.zip"].retrieved_line and "copied from a colleague" in rows["b.zip"].warning_line
+    rows = {r.file: tuple(r)[1:] for r in provenance(man).collect()}
+    assert rows["a.xlsx"] == ("2026-01-01T00:00:00+00:00", "scripted API calls", False, None)
+    assert rows["b.zip"] == ("2026-02-01T00:00:00+00:00", "manual copy", True, "copied from a colleague")
+    assert rows["c.zip"][2] is False
+    assert provenance(man.select("file", "recorded_at")).where("by_hand").count() == 0
 
 
 def test_pull_manifest_and_json_sink(spark, tmp_path):
