@@ -376,10 +376,13 @@ def check_suite(spark, d):
 
 ORDERS_CONTRACT = Contract("orders", ["o_orderkey"], ["o_custkey", "o_orderdate", "o_totalprice"],
                            {"o_custkey": ("customer", "c_custkey")}, {"o_totalprice": (0, None)},
-                           {"o_orderstatus": ["F", "O"]})
+                           {"o_orderstatus": ["F", "O"]}, ["o_custkey", "o_totalprice"])
 
 
-@register("constraint_scan", """SELECT 'not null: o_custkey' AS "constraint", COUNT(*) FILTER (WHERE o_custkey IS NULL) AS violations FROM orders
+@register("constraint_scan", """SELECT 'not null: o_orderkey' AS "constraint", COUNT(*) FILTER (WHERE o_orderkey IS NULL) AS violations FROM orders
+UNION ALL SELECT 'check: o_custkey > 0', COUNT(*) FILTER (WHERE o_custkey <= 0) FROM orders
+UNION ALL SELECT 'check: o_totalprice > 0', COUNT(*) FILTER (WHERE o_totalprice <= 0) FROM orders
+UNION ALL SELECT 'not null: o_custkey', COUNT(*) FILTER (WHERE o_custkey IS NULL) FROM orders
 UNION ALL SELECT 'not null: o_orderdate', COUNT(*) FILTER (WHERE o_orderdate IS NULL) FROM orders
 UNION ALL SELECT 'not null: o_totalprice', COUNT(*) FILTER (WHERE o_totalprice IS NULL) FROM orders
 UNION ALL SELECT 'check: o_totalprice in [0, None]', COUNT(*) FILTER (WHERE o_totalprice < 0) FROM orders

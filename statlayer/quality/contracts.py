@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statlayer.operators.joins import orphan_count
 from statlayer.schemas import Contract
 
 
@@ -17,7 +18,7 @@ def constraint_violations(df: DataFrame, contract: Contract, dims: dict[str, Dat
     dims = dims or {}
     spark = df.sparkSession
     names, aggs = [], []
-    for c in contract.not_null:
+    for c in contract.required:
         names.append(f"not null: {c}")
         aggs.append(F.count_if(F.col(c).isNull()))
     for c, (lo, hi) in contract.ranges.items():
@@ -28,6 +29,9 @@ def constraint_violations(df: DataFrame, contract: Contract, dims: dict[str, Dat
             cond = cond | (F.col(c) > F.lit(hi))
         names.append(f"check: {c} in [{lo}, {hi}]")
         aggs.append(F.count_if(cond))
+    for c in contract.positive:
+        names.append(f"check: {c} > 0")
+        aggs.append(F.count_if(F.col(c) <= 0))
     for c, allowed in contract.accepted.items():
         names.append(f"check: {c} in accepted values")
         aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(list(allowed))))
@@ -44,10 +48,8 @@ def constraint_violations(df: DataFrame, contract: Contract, dims: dict[str, Dat
     for c, (dim_name, dim_col) in contract.foreign_keys.items():
         if dim_name not in dims:
             continue
-        keys = dims[dim_name].select(F.col(dim_col).alias("__k")).distinct()
-        orphans = df.where(F.col(c).isNotNull()).select(c).join(keys, F.col(c) == F.col("__k"), "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).cast("long").alias("violations"))
-                     .select(F.lit(f"foreign key: {c} -> {dim_name}.{dim_col}").alias("constraint"), "violations"))
+        orphans = orphan_count(df.where(F.col(c).isNotNull()), dims[dim_name], c, dim_col, f"foreign key: {c} -> {dim_name}.{dim_col}")
+        parts.append(orphans.select(F.col("relation").alias("constraint"), F.col("orphans").alias("violations")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

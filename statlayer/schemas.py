@@ -53,32 +53,33 @@ class Contract:
     foreign_keys: dict = field(default_factory=dict)          # column -> (dimension table, column)
     ranges: dict = field(default_factory=dict)                # column -> (min, max); None = open
     accepted: dict = field(default_factory=dict)              # column -> allowed values
+    positive: list = field(default_factory=list)              # columns that must be greater than 0
 
+    @property
+    def required(self) -> list:
+        """Columns that must be filled: the key and the others declared so."""
+        return [*self.primary_key, *(c for c in self.not_null if c not in self.primary_key)]
 
-CONTRACTS = {
-    "dim_gas": Contract("dim_gas", ["gas_code"], ["gas_name", "gwp100_ar5"]),
-    "dim_activity": Contract("dim_activity", ["activity_code"], ["activity_name", "activity_group"]),
-    "dim_country": Contract("dim_country", ["country_code"], ["country_name", "wb_codes", "is_merged"]),
-    "fact_emissions": Contract(
-        "fact_emissions", ["country_code", "gas_code", "year"],
-        ["emissions_mt_co2eq", "is_estimate", "edgar_edition", "batch_id", "loaded_at"],
-        {"country_code": ("dim_country", "country_code"), "gas_code": ("dim_gas", "gas_code")},
-        {"year": (1970, 2100)}),
-    "fact_population": Contract(
-        "fact_population", ["country_code", "year"], ["population", "batch_id", "loaded_at"],
-        {"country_code": ("dim_country", "country_code")}, {"population": (0, None)}),
-    "agri_country_year": Contract(
-        "agri_country_year", ["country_code", "year"], ["total_mt", "batch_id", "loaded_at"],
-        {"country_code": ("dim_country", "country_code")}, {"total_mt": (0, None)}),
-    "fact_emissions_by_activity": Contract(
-        "fact_emissions_by_activity", ["country_code", "activity_code", "year"],
-        ["emissions_mt_co2eq", "batch_id", "loaded_at"],
-        {"country_code": ("dim_country", "country_code"), "activity_code": ("dim_activity", "activity_code")},
-        {"emissions_mt_co2eq": (0, None)}),
-    "edgar_vs_faostat": Contract(
-        "edgar_vs_faostat", ["country_code", "year"], ["edgar_total_mt", "faostat_total_mt", "batch_id", "loaded_at"],
-        {"country_code": ("dim_country", "country_code")}),
-}
+
+STAMPS = ["batch_id", "loaded_at"]
+COUNTRY = {"country_code": ("dim_country", "country_code")}
+# Year ranges and lists below: fixed values of the warehouse's table definitions.
+CONTRACTS = {c.table: c for c in (
+    Contract("dim_gas", ["gas_code"], ["gas_name", "gwp100_ar5"], positive=["gwp100_ar5"]),
+    Contract("dim_activity", ["activity_code"], ["activity_name", "activity_group"], accepted={"activity_group": ["Livestock", "Crops"]}),
+    Contract("dim_country", ["country_code"], ["country_name", "wb_codes", "is_merged"]),
+    Contract("fact_emissions", ["country_code", "gas_code", "year"], ["emissions_mt_co2eq", "is_estimate", "edgar_edition", *STAMPS],
+             COUNTRY | {"gas_code": ("dim_gas", "gas_code")}, {"year": (1970, 2100), "emissions_mt_co2eq": (0, None)}),
+    Contract("fact_population", ["country_code", "year"], ["population", *STAMPS], COUNTRY, {"year": (1960, 2100)},
+             positive=["population"]),
+    Contract("agri_country_year", ["country_code", "year"],
+             ["total_mt", "share_of_world_pct", "is_estimate", "edgar_edition", *STAMPS], COUNTRY,
+             {"year": (1970, 2100), "total_mt": (0, None), "t_per_person": (0, None)}),
+    Contract("fact_emissions_by_activity", ["country_code", "activity_code", "year"], ["emissions_mt_co2eq", *STAMPS],
+             COUNTRY | {"activity_code": ("dim_activity", "activity_code")}, {"year": (1961, 2100), "emissions_mt_co2eq": (0, None)}),
+    Contract("edgar_vs_faostat", ["country_code", "year"], ["edgar_total_mt", "faostat_total_mt", "difference_mt", *STAMPS],
+             COUNTRY, {"year": (1961, 2100)}),
+)}
 
 
 TABLES = {"dim_gas": DIM_GAS, "dim_activity": DIM_ACTIVITY, "dim_country": DIM_COUNTRY, "load_audit": LOAD_AUDIT}
