@@ -107,7 +107,7 @@ def curate_stats(spark: SparkSession, paths: RunPaths, cfg: Settings = Settings(
     dim_activity.write.mode("overwrite").parquet(out["dim_activity"])
     table.write.mode("overwrite").parquet(out["agri_emissions_by_activity"])
     # unmatched areas: one row per area (bounded) -> one file; rejected rows grow with the data -> parallel
-    unmatched.coalesce(1).write.mode("overwrite").option("header", True).csv(paths.report("unmatched_areas"))
+    unmatched.write.mode("overwrite").option("header", True).csv(paths.report("unmatched_areas"))
     rejected.write.mode("overwrite").option("header", True).csv(paths.report("rejected_rows"))
     cmp = P.build_comparison(spark.read.parquet(out["agri_emissions_by_activity"]),
                              spark.read.parquet(paths.curated("agri_country_year")))
