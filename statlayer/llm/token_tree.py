@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .bpe import Encoder, load_ranks
 from .common import map_rows, share, strings
 
-LEAF = 64
+LEAF = 16
 MARGIN = 8
 
 
@@ -71,8 +71,14 @@ class TokenTree:
         return self.sums.tokens[1]
 
     def count(self, pieces: list[str]) -> list[int]:
-        self.coder.learn(set(pieces))
-        return [len(self.coder.cache[p]) // 4 for p in pieces]
+        """Tokens of each piece. An edit brings a handful of new pieces: too few for matrices, so they run
+        the same merges over the heap."""
+        cache, coder = self.coder.cache, self.coder
+        for p in set(pieces).difference(cache):
+            raw = p.encode()
+            known = coder.whole.get(raw)
+            cache[p] = coder.encode_long(raw) if known is None else known.to_bytes(4, "little")
+        return [len(cache[p]) // 4 for p in pieces]
 
     def edit(self, pos: int, deleted: int, inserted: str) -> None:
         pos = min(max(pos, 0), len(self.text))
@@ -129,10 +135,10 @@ def build(coder: Encoder, texts: list[str], match) -> list[TokenTree]:
     """Trees of whole texts; distinct pieces are encoded once."""
     pieces = [coder.split(t) for t in texts]
     coder.learn(set().union(*pieces))
-    cache = coder.cache
+    look = coder.cache.__getitem__
     out = []
     for text, own in zip(texts, pieces):
-        counts = np.fromiter((len(cache[p]) for p in own), dtype=np.int64, count=len(own)) // 4
+        counts = np.fromiter(map(len, map(look, own)), dtype=np.int64, count=len(own)) // 4
         out.append(TokenTree(text, *leaves_of(own, counts), coder, match))
     return out
 
