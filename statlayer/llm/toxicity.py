@@ -11,8 +11,9 @@ text a log-likelihood ratio; sums are normalised by length, and a logistic curve
   which both classes use a word, with one shared weight a history, and the pair level is used only for
   histories that both classes know. A rare expression thus falls back alike in both models and says
   nothing, however unequal the classes are in size.
-* Words are hashed into ``WORDS`` and pairs into ``CELLS`` buckets: the model's size is fixed, whatever
-  the corpus, and so it can be broadcast.
+* Words are named by 64-bit hashes. Counts stay Spark tables of as many rows as there are words and pairs.
+* Scoring: equal texts are one. Texts are dealt out in chunks of about ``CHUNK_BYTES``; each chunk asks once
+  for each of its words and pairs, in packed lists by ``slot`` of the key, and gets the counts it needs.
 * The logistic curve is fitted on at most ``CALIBRATION_ROWS`` labelled training rows (smallest hashes
   among an eighth of the training rows that the counts leave out).
 
@@ -22,28 +23,31 @@ is 0. Extra columns are ignored (``score``) or kept as they are (``keep_clean``)
 """
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import fold, keep_rows, map_rows, share, strings
+from .common import fold, stored, strings
 
-WORD_BITS, CELL_BITS = 17, 20
 MAP_BITS = 18
-WORDS, CELLS = 1 << WORD_BITS, 1 << CELL_BITS
-BLOCK = 4096                   # table entries that travel to the driver as one packed row
+TURN = 21                      # a pair's code: the first word's hash rotated by so many bits, xor the second's
+START = 0x51ED270B1F3A6C95     # stands before the first word
+CHUNK_BYTES = 2 << 20
+CHUNKS_A_SLOT = 16
+LEAST_SLOTS = 32
 CALIBRATION_ROWS = 20_000
 CALIBRATION_SHARE = 8          # one training row in so many is kept for the logistic curve
-FLUSH_PAIRS = 1 << 22          # pairs a task holds before it sums them up
+FLUSH_PAIRS = 1 << 21          # pairs a task holds before it sums them up
 CACHE_WORDS = 1 << 19
+SEEN_TEXTS = 1 << 20           # texts a task remembers, to send repeated ones once
 THRESHOLD = 0.7
 find_words = re.compile(r"\w+").findall
 
 
 class Hasher:
-    """Texts -> packed pair codes: cell << 34 | first word << 17 | second word."""
+    """Texts -> 64-bit word hashes and pair codes."""
 
     def __init__(self):
         self.cache: dict[str, int] = {}
@@ -56,138 +60,208 @@ class Hasher:
         for w in words:
             h = get(w)
             if h is None:
-                h = cache[w] = 1 + zlib.crc32(w.encode("utf-8", "replace")) % (WORDS - 1)
+                h = cache[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
             ids.append(h)
         return np.array(ids, dtype=np.int64)
 
+    def pairs(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct pairs of a text: codes, first words, second words."""
+        second = self.word_ids(text or "")
+        first = np.concatenate([np.full(min(1, len(second)), START, dtype=np.int64), second[:-1]])
+        turned = first.view(np.uint64)
+        turned = (turned << np.uint64(TURN) | turned >> np.uint64(64 - TURN)).view(np.int64)
+        codes, at = np.unique(turned ^ second, return_index=True)
+        return codes, first[at], second[at]
+
     def codes(self, text: str | None) -> np.ndarray:
-        """Distinct pair codes of a text; word 0 stands before the first word."""
-        ids = self.word_ids(text or "")
-        if not len(ids):
-            return ids
-        before = np.concatenate([[0], ids[:-1]])
-        pair = np.unique(before << WORD_BITS | ids)
-        cell = (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CELL_BITS)
-        return cell.astype(np.int64) << (2 * WORD_BITS) | pair
+        """Distinct pair codes of a text."""
+        return self.pairs(text)[0]
+
+
+def code_of(first: Column, second: Column) -> Column:
+    """``Hasher.pairs``' code (Spark side)."""
+    return F.shiftleft(first, TURN).bitwiseOR(F.shiftrightunsigned(first, 64 - TURN)).bitwiseXOR(second)
 
 
 def pair_counts(labelled: DataFrame) -> DataFrame:
-    """code, ordinary, toxic: in how many texts of each class a pair stands (text, toxic 0/1)."""
+    """code, first, second, ordinary, toxic: in how many texts of each class a pair stands (text, toxic 0/1)."""
     def count(batches):
         import pyarrow as pa
 
         hasher, held, size = Hasher(), ([], []), 0
 
         def flush():
-            kinds = [np.unique(np.concatenate(h), return_counts=True) if h else (np.empty(0, np.int64),) * 2 for h in held]
-            codes = np.union1d(kinds[0][0], kinds[1][0])
-            cols = [codes]
-            for k, n in kinds:
-                col = np.zeros(len(codes), dtype=np.int32)
-                col[np.searchsorted(codes, k)] = n
-                cols.append(col)
+            ordinary, toxic = (sum(len(c) for c, *_ in h) for h in held)
+            if not ordinary + toxic:
+                return
+            codes, first, second = (np.concatenate(x) for x in zip(*held[0], *held[1]))
             for h in held:
                 h.clear()
-            for at in range(0, len(codes), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(c[at:at + (1 << 16)]) for c in cols], names=["code", "ordinary", "toxic"])
+            _, at, which = np.unique(codes, return_index=True, return_inverse=True)
+            cols = [first[at], second[at], np.bincount(which[:ordinary], minlength=len(at)), np.bincount(which[ordinary:], minlength=len(at))]
+            for a in range(0, len(at), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(c[a:a + (1 << 16)]) for c in cols], names=["first", "second", "ordinary", "toxic"])
 
         for batch in batches:
             for text, toxic in zip(strings(batch.column("text")), batch.column("toxic").to_pylist()):
-                codes = hasher.codes(text)
-                held[int(toxic)].append(codes)
-                size += len(codes)
+                found = hasher.pairs(text)
+                held[int(toxic)].append(found)
+                size += len(found[0])
                 if size > FLUSH_PAIRS:
                     yield from flush()
                     size = 0
         yield from flush()
 
-    found = labelled.select("text", "toxic").mapInArrow(count, "code bigint, ordinary int, toxic int")
-    cell = F.shiftright("code", 2 * WORD_BITS)
-    return (found.repartition(cell).groupBy(cell.alias("cell"), "code")
-            .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")))
+    found = labelled.select("text", "toxic").mapInArrow(count, "first bigint, second bigint, ordinary bigint, toxic bigint")
+    total = lambda c: F.sum(c).cast("int").alias(c)
+    return found.groupBy("first", "second").agg(total("ordinary"), total("toxic")) \
+        .select(code_of(F.col("first"), F.col("second")).alias("code"), "first", "second", "ordinary", "toxic")
 
 
-def count_tables(labelled: DataFrame) -> dict[str, np.ndarray]:
-    """Model tables, each of fixed length: one row a cell, a history and a word."""
-    pairs = pair_counts(labelled)
+def count_table(labelled: DataFrame) -> tuple[DataFrame, float, bool]:
+    """(key, a to e; the pair discount; whether both classes have an expression). A pair's row: texts of each
+    class that hold it. A word's row: its probability in each class below the pair level, and as a history
+    that both classes know what the discount leaves of each class and the weight of the lower level."""
+    pairs = stored(pair_counts(labelled).drop("code"), "pairs")
     o, t = F.col("ordinary"), F.col("toxic")
-    one = lambda c: F.sum(c.cast("int")).cast("int")
-    none = F.lit(0)
-    cells = pairs.groupBy("cell").agg(F.sum(o).cast("int").alias("a"), F.sum(t).cast("int").alias("b")) \
-        .select(F.lit(0).alias("kind"), F.col("cell").cast("int").alias("at"), "a", "b", none.alias("c"), none.alias("d"), none.alias("e"))
-    first = F.shiftright("code", WORD_BITS).bitwiseAND(F.lit(WORDS - 1))
-    histories = pairs.groupBy(first.cast("int").alias("at")).agg(
-        F.sum(o).cast("int").alias("a"), F.sum(t).cast("int").alias("b"), one(o > 0).alias("c"), one(t > 0).alias("d"),
-        F.count("*").cast("int").alias("e")).select(F.lit(1).alias("kind"), "at", "a", "b", "c", "d", "e")
-    second = F.col("code").bitwiseAND(F.lit(WORDS - 1))
-    words = pairs.groupBy(second.cast("int").alias("at")).agg(
-        one(o > 0).alias("a"), one(t > 0).alias("b"), one((o > 0) & (t > 0)).alias("c"),
-        one(o + t == 1).alias("d"), one(o + t == 2).alias("e")).select(F.lit(2).alias("kind"), "at", "a", "b", "c", "d", "e")
-    rows = cells.unionByName(histories).unionByName(words)
-
-    def pack(group):
-        """One row a block of ``BLOCK`` entries: the five counts as packed 32-bit integers."""
-        dense = np.zeros((5, BLOCK), dtype="<i4")
-        dense[:, group["at"].to_numpy() % BLOCK] = group[list("abcde")].to_numpy().T
-        return group.head(1)[["kind", "block"]].assign(counts=dense.tobytes())
-
-    got = rows.withColumn("block", F.col("at").cast("int").bitwiseAND(F.lit(~(BLOCK - 1)))).groupBy("kind", "block") \
-        .applyInPandas(pack, "kind int, block int, counts binary").collect()
-    out = {"cells": np.zeros((2, CELLS), dtype=np.float32), "histories": np.zeros((5, WORDS)), "words": np.zeros((5, WORDS))}
-    for r in got:
-        into = out[("cells", "histories", "words")[r["kind"]]]
-        into[:, r["block"]:r["block"] + BLOCK] = np.frombuffer(r["counts"], dtype="<i4").reshape(5, BLOCK)[:len(into)]
-    return out
+    one = lambda c: F.sum(c.cast("long"))
+    words = stored(pairs.groupBy(F.col("second").alias("key")).agg(
+        one(o > 0).alias("n0"), one(t > 0).alias("n1"), one((o > 0) & (t > 0)).alias("shared"),
+        one(o + t == 1).alias("once"), one(o + t == 2).alias("twice")), "words")
+    got = words.agg(F.count("*").alias("size"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n0", "n1", "shared", "once", "twice")],
+                    F.count_if(F.col("n1") == 1).alias("first"), F.count_if(F.col("n1") == 2).alias("second")).first()
+    pair_discount = got["once"] / (got["once"] + 2 * got["twice"]) if got["once"] else 0.5
+    word_discount = got["first"] / (got["first"] + 2 * got["second"]) if got["first"] else 0.5
+    gamma = min(0.9, word_discount * got["size"] / max(1, got["n0"] + got["n1"]))
+    spread = got["shared"] + 0.25 * (got["size"] + 1)              # one more word stands for all that were not counted
+    kept = [F.greatest(F.col(c) - F.lit(word_discount), F.lit(0.0)) for c in ("n0", "n1")]
+    sums = words.agg(*[F.coalesce(F.sum(k), F.lit(0.0)) for k in kept]).first()
+    low = words.select("key", *[(F.lit((1 - gamma) / max(s, 1e-9)) * k + F.lit(gamma / spread) * (F.col("shared") + 0.25)).alias(c)
+                                for k, s, c in zip(kept, sums, "ab")])
+    d = F.lit(pair_discount)
+    histories = pairs.groupBy(F.col("first").alias("key")).agg(
+        (F.sum(o) - d * one(o > 0)).alias("c"), (F.sum(t) - d * one(t > 0)).alias("d"),
+        F.least(F.greatest(d * F.count("*") / F.sum(o + t), F.lit(1e-3)), F.lit(1.0)).alias("e")).where("c > 1e-9 and d > 1e-9")
+    both = low.join(histories, "key", "full")
+    words = stored(both.select("key", *[F.coalesce(c, F.lit(0.0)).cast("float").alias(c) for c in "abcde"]), "model")
+    none = [F.lit(0.0).cast("float").alias(c) for c in "cde"]
+    table = pairs.select(code_of(F.col("first"), F.col("second")).alias("key"), o.cast("float").alias("a"), t.cast("float").alias("b"), *none)
+    return table.unionByName(words), pair_discount, bool(got["n0"] and got["n1"])
+
+
+def slot_of(key, slots: int):
+    """Where a key is looked up: its low 31 bits modulo the slots (numpy and Spark side)."""
+    return (key.bitwiseAND(F.lit(0x7FFFFFFF)) if isinstance(key, Column) else key & 0x7FFFFFFF) % slots
+
+
+def ratios(codes, first, second, look, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """Log-likelihood ratios of a text's distinct words and of its pairs; ``look``: keys -> [n, 5] counts."""
+    pair, history, word = look(codes), look(first), look(second)
+    low = np.where(word[:, :2] > 0, word[:, :2], 1.0)
+    known = history[:, 4] > 0
+    seen = np.maximum(pair[:, :2] - discount, 0) / np.where(known[:, None], history[:, 2:4], np.inf)
+    back = np.where(known, history[:, 4], 1.0)[:, None]
+    high = (1 - back) * seen + back * low
+    _, at = np.unique(second, return_index=True)
+    return np.log(low[at, 1]) - np.log(low[at, 0]), np.log(high[:, 1]) - np.log(high[:, 0])
+
+
+def features(*levels: np.ndarray) -> list[float]:
+    """For the word and the pair level the mean ratio, the mean excess over 1, the mean of the strongest
+    hundredth, the single strongest and the log of the whole excess."""
+    out = []
+    for s in levels:
+        s, n = np.sort(s), len(s)
+        over = np.maximum(s - 1, 0).sum() if n else 0.0
+        out += [s.mean(), over / (n + 10), s[-max(1, n // 100):].mean(), s[-1], np.log1p(over)] if n else [0.0] * 5
+    return [float(x) for x in out]
+
+
+def evidence(texts: DataFrame, table: DataFrame, discount: float) -> DataFrame:
+    """name1, name2 (the text's 64-bit hashes), evidence: one row a distinct text."""
+    import pyarrow as pa
+
+    named = texts.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
+        .select(F.xxhash64("text").alias("name1"), F.xxhash64(F.lit(1), "text").alias("name2"), "text")
+    total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks = int(total) // CHUNK_BYTES + 1
+    slots = max(LEAST_SLOTS, chunks // CHUNKS_A_SLOT)
+
+    def first_seen(batches):
+        seen = set()
+        for batch in batches:
+            fresh = []
+            for name in zip(batch.column("name1").to_pylist(), batch.column("name2").to_pylist()):
+                if len(seen) > SEEN_TEXTS:
+                    seen.clear()
+                fresh.append(name not in seen)
+                seen.add(name)
+            yield batch.filter(pa.array(fresh, type=pa.bool_()))
+
+    dealt = named.mapInArrow(first_seen, named.schema).withColumn("chunk", F.pmod("name1", F.lit(chunks)))
+
+    def by_slot(group):
+        """Pairs of each distinct text of a chunk; the chunk's distinct words and pairs by slot, in order."""
+        hasher, texts = Hasher(), {}
+        for n1, n2, text in zip(group.column("name1").to_pylist(), group.column("name2").to_pylist(), strings(group.column("text").combine_chunks())):
+            if (n1, n2) not in texts:
+                texts[n1, n2] = hasher.pairs(text)
+        keys = np.unique(np.concatenate([np.array([START], dtype=np.int64)] + [x for codes, _, second in texts.values() for x in (codes, second)]))
+        slot = slot_of(keys, slots)
+        order = np.argsort(slot, kind="stable")
+        keys, slot = keys[order], slot[order]
+        start = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+        return texts, dict(zip(slot[start].tolist(), np.split(keys, start[1:])))
+
+    def ask(group):
+        _, lists = by_slot(group)
+        return pa.table({"chunk": pa.array([group.column("chunk")[0].as_py()] * len(lists), type=pa.int64()),
+                         "slot": pa.array(list(lists), type=pa.int64()), "keys": pa.array([k.tobytes() for k in lists.values()], type=pa.binary())})
+
+    def answer(asked, known):
+        """Places in each list of a slot whose keys have counts, and these counts."""
+        out = {"chunk": [], "slot": [], "places": [], "found": []}
+        have = known.column("key").to_numpy()
+        order = np.argsort(have)
+        have, value = have[order], np.stack([known.column(c).to_numpy().astype(np.float32) for c in "abcde"], axis=1)[order]
+        for c, n, raw in zip(*(asked.column(x).to_pylist() for x in ("chunk", "slot", "keys"))) if len(have) else ():
+            own = np.frombuffer(raw, dtype=np.int64)
+            at = np.minimum(np.searchsorted(have, own), len(have) - 1)
+            hit = np.flatnonzero(have[at] == own)
+            for x, v in zip(out.values(), (c, n, hit.astype(np.int32).tobytes(), value[at[hit]].T.tobytes())):
+                x.append(v)
+        return pa.table({k: pa.array(v, type=pa.int64() if k in ("chunk", "slot") else pa.binary()) for k, v in out.items()})
+
+    def weigh(group, answers):
+        texts, lists = by_slot(group)
+        keys, values = [np.empty(0, dtype=np.int64)], [np.zeros((5, 0))]
+        for n, places, found in zip(*(answers.column(x).to_pylist() for x in ("slot", "places", "found"))):
+            keys.append(lists[n][np.frombuffer(places, dtype=np.int32)])
+            values.append(np.frombuffer(found, dtype=np.float32).reshape(5, -1))
+        have = np.concatenate(keys)
+        order = np.argsort(have)
+        have, value = have[order], np.vstack([np.concatenate(values, axis=1).T.astype(np.float64)[order], np.zeros(5)])
+
+        def look(own):
+            at = np.searchsorted(have, own)
+            at[at < len(have)] = np.where(have[at[at < len(have)]] == own[at < len(have)], at[at < len(have)], len(have))
+            return value[at]
+
+        out = [features(*ratios(*found, look, discount)) for found in texts.values()]
+        return pa.table({"name1": pa.array([a for a, _ in texts], type=pa.int64()), "name2": pa.array([b for _, b in texts], type=pa.int64()),
+                         "evidence": pa.array(out, type=pa.list_(pa.float64()))})
+
+    asked = dealt.groupBy("chunk").applyInArrow(ask, "chunk bigint, slot bigint, keys binary")
+    known = table.withColumn("slot", slot_of(F.col("key"), slots))
+    answers = asked.groupBy("slot").cogroup(known.groupBy("slot")).applyInArrow(answer, "chunk bigint, slot bigint, places binary, found binary")
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(weigh, "name1 bigint, name2 bigint, evidence array<double>")
 
 
 class Model:
-    """Log-likelihood ratios of pair codes, and the logistic curve over their length-normalised sums."""
-
-    def __init__(self, tables: dict[str, np.ndarray]):
-        cells, hist, words = tables["cells"], tables["histories"], tables["words"]
-        once, twice = words[3].sum(), words[4].sum()
-        pair_discount = once / (once + 2 * twice) if once else 0.5
-        toxic_cont = words[1]
-        n1, n2 = (toxic_cont == 1).sum(), (toxic_cont == 2).sum()
-        word_discount = n1 / (n1 + 2 * n2) if n1 else 0.5
-        shared = words[2] + 0.25
-        shared /= shared.sum()
-        total = max(1.0, (words[0] + words[1]).sum())
-        gamma = min(0.9, word_discount * ((words[0] + words[1]) > 0).sum() / total)
-        low = []
-        for c in (0, 1):
-            kept = np.maximum(words[c] - word_discount, 0)
-            low.append((1 - gamma) * kept / max(kept.sum(), 1e-9) + gamma * shared)
-        rest = [np.maximum(hist[c] - pair_discount * hist[2 + c], 0) for c in (0, 1)]
-        self.low = np.array(low, dtype=np.float32)
-        self.cells = cells.astype(np.float32)
-        self.discount = np.float32(pair_discount)
-        known = (rest[0] > 0) & (rest[1] > 0)
-        self.inverse = np.where(known, 1 / np.maximum(rest, 1e-9), 0).astype(np.float32)
-        weight = pair_discount * hist[4] / np.maximum(hist[0] + hist[1], 1)
-        self.back = np.where(known, np.clip(weight, 1e-3, 1), 1).astype(np.float32)
-        self.both = bool(hist[0].sum() and hist[1].sum())
-        self.curve = None
-
-    def evidence(self, codes: np.ndarray) -> np.ndarray:
-        """Features of one text: for the word and the pair level the mean ratio, the mean excess over 1,
-        the mean of the strongest hundredth, the single strongest and the log of the whole excess."""
-        if not len(codes):
-            return np.zeros(10)
-        second = codes & (WORDS - 1)
-        first = (codes >> WORD_BITS) & (WORDS - 1)
-        low = self.low[:, second]
-        seen = np.maximum(self.cells[:, codes >> (2 * WORD_BITS)] - self.discount, 0) * self.inverse[:, first]
-        back = self.back[first]
-        high = (1 - back) * seen + back * low
-        _, at = np.unique(second, return_index=True)
-        out = []
-        for p in (low[:, at], high):
-            s = np.sort(np.log(p[1]) - np.log(p[0]))
-            n = len(s)
-            over = np.maximum(s - 1, 0).sum()
-            out += [s.mean(), over / (n + 10), s[-max(1, n // 100):].mean(), s[-1], np.log1p(over)]
-        return np.array(out, dtype=np.float64)
+    """The table of counts, and the logistic curve over a text's features."""
+
+    def __init__(self, table: DataFrame, discount: float, both: bool):
+        self.table, self.discount, self.both, self.curve = table, discount, both, None
 
     def fit_curve(self, features: np.ndarray, toxic: np.ndarray) -> None:
         """Ridge logistic regression by Newton steps."""
@@ -203,11 +277,13 @@ class Model:
             w -= np.linalg.solve(hessian, x.T @ (p - toxic) + ridge * w)
         self.curve = (mean, dev, w)
 
-    def score(self, codes: np.ndarray) -> float:
-        if not self.both or self.curve is None:
-            return 0.0
+    def probability(self, found: Column) -> Column:
+        """The curve's value for a column of features."""
         mean, dev, w = self.curve
-        return float(1 / (1 + np.exp(-np.clip(((self.evidence(codes) - mean) / dev) @ w[:-1] + w[-1], -30, 30))))
+        z = F.lit(float(w[-1]))
+        for k in range(len(mean)):
+            z = z + (found[k] - float(mean[k])) / float(dev[k]) * float(w[k])
+        return 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
 
 
 def train(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (3, 1)) -> Model:
@@ -224,52 +300,44 @@ def train(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (3, 1))
         .where(fold(F.col("id_"), parts) != held).withColumn("word_", word).join(F.broadcast(present), "word_") \
         .where(F.col("bits_").bitwiseAND(bit) != 0).select("id_", "text").join(own, "id_")
     part = F.pmod(F.xxhash64("id_"), F.lit(CALIBRATION_SHARE))
-    model = Model(count_tables(rows.where(part != 0)))
-    shipped = share(docs.sparkSession, model)
-
-    def worker():
-        import pyarrow as pa
-
-        hasher, model = Hasher(), shipped()
-
-        def work(batch):
-            found = [model.evidence(hasher.codes(t)).tolist() for t in strings(batch.column("text"))]
-            return pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("order_"), pa.array(found, type=pa.list_(pa.float64()))],
-                                              names=["toxic", "order_", "evidence"])
-        return work
-
-    ranked = map_rows(rows.where(part == 0).select("text", "toxic", F.xxhash64("id_", F.lit(1)).alias("order_")), worker,
-                      "toxic int, order_ bigint, evidence array<double>")
-    sample = ranked.orderBy("order_").limit(CALIBRATION_ROWS).toPandas()
+    model = Model(*count_table(rows.where(part != 0)))
+    if not model.both:
+        return model
+    text = F.coalesce("text", F.lit(""))
+    sample = stored(rows.where(part == 0).select(text.alias("text"), "toxic", F.xxhash64("id_", F.lit(1)).alias("order_"))
+                    .orderBy("order_").limit(CALIBRATION_ROWS), "calibration")
+    found = evidence(sample, model.table, model.discount)
+    sample = sample.select("toxic", "order_", F.xxhash64("text").alias("name1"), F.xxhash64(F.lit(1), "text").alias("name2")) \
+        .join(found, ["name1", "name2"]).select("toxic", "order_", "name1", "evidence").toPandas().sort_values(["order_", "name1", "toxic"])
     model.fit_curve(np.array(sample["evidence"].tolist()).reshape(len(sample), 10), sample["toxic"].to_numpy(dtype=float))
     return model
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score (0..1) for every row."""
-    shipped = share(docs.sparkSession, model)
+def text_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """name1_, name2_, score_ of every distinct text."""
+    found = evidence(docs.select("text"), model.table, model.discount)
+    return found.select(F.col("name1").alias("name1_"), F.col("name2").alias("name2_"), model.probability(F.col("evidence")).alias("score_"))
 
-    def worker():
-        import pyarrow as pa
 
-        hasher, model = Hasher(), shipped()
+def names_of(text: Column) -> tuple[Column, Column]:
+    """The two hashes that name a text."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
 
-        def work(batch):
-            found = [model.score(hasher.codes(t)) for t in strings(batch.column("text"))]
-            return pa.RecordBatch.from_arrays([batch.column("id_"), pa.array(found, type=pa.float64())], names=["id_", "score"])
-        return work
 
-    rows = docs.select(F.col("doc_id").alias("id_"), F.col("text").cast("string").alias("text"))
-    kind = rows.schema["id_"].dataType.simpleString()
-    return map_rows(rows, worker, f"id_ {kind}, score double").withColumnRenamed("id_", "doc_id")
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, score (0..1) for every row."""
+    if not model.both or model.curve is None:
+        return docs.select("doc_id", F.lit(0.0).alias("score"))
+    a, b = names_of(F.col("text"))
+    return docs.select("doc_id", a.alias("name1_"), b.alias("name2_")).join(text_scores(docs, model), ["name1_", "name2_"]) \
+        .select("doc_id", F.col("score_").alias("score"))
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """Rows whose score stays under the threshold, all columns as they are."""
-    shipped = share(docs.sparkSession, model)
-
-    def judge():
-        hasher, model = Hasher(), shipped()
-        return lambda text: [model.score(hasher.codes(t)) < threshold for t in strings(text)]
-
-    return keep_rows(docs, judge, "text")
+    if not model.both or model.curve is None:
+        return docs.where(F.lit(0.0 < threshold))
+    toxic = stored(text_scores(docs, model).where(F.col("score_") >= threshold).select("name1_", "name2_"), "toxic")
+    a, b = names_of(docs["text"])
+    return docs.join(toxic, (a == toxic["name1_"]) & (b == toxic["name2_"]), "left_anti")
