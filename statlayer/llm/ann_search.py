@@ -1,10 +1,14 @@
 """Nearest neighbours by largest inner product: multiprobe p-stable hashing with exact reranking.
 
-Inner product is made a distance: vectors are divided by the largest norm M and get one more coordinate,
-sqrt(1 - |x|^2); queries are scaled to length 1 with 0 there. The nearest by distance is then the largest
-by inner product. Each of ``TABLES`` tables hashes by ``FUNCTIONS`` Gaussian (2-stable) projections
-floor((a x + b) / WIDTH); a query visits its own bucket and the ``PROBES`` - 1 perturbed ones of largest
-estimated success, in order of the summed squared distances to the cell walls that are crossed.
+Vectors and queries are hashed by their direction, each scaled to length 1: of all scales a vector's own
+norm brings it nearest to the queries it answers. Each of ``TABLES`` tables hashes by ``FUNCTIONS`` Gaussian
+(2-stable) projections floor((a x + b) / WIDTH); a query visits its own bucket and the ``PROBES`` - 1
+perturbed ones of largest estimated success, in order of the summed squared distances to the cell walls that
+are crossed. What wins by its norm and not by its direction is not left to hashing: the ``HEAD`` vectors of
+largest norm stand in one more bucket that all queries visit (all vectors, if there are no more).
+
+The recall of ``SAMPLE`` queries is measured against all vectors; if it is under ``LEAST_RECALL``, the
+constants don't suit the data and all queries are compared with all vectors, in the same blocks.
 
 Every vector is indexed in every table; buckets have no cap. A bucket with more than ``BLOCK`` vectors or
 probes is cut into blocks, and each pair of blocks is one task's group: the inner products of a block are
@@ -28,6 +32,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import share, stored
 
 TABLES, FUNCTIONS, WIDTH, PROBES = 8, 4, 1.4, 16
+HEAD = 4096
+HEAD_BUCKET = 0
+SAMPLE, LEAST_RECALL = 64, 0.93
 K = 20
 BLOCK = 8192
 QUERY_EVERY = 20
@@ -35,9 +42,9 @@ SEED = 41
 
 
 def hash_family(dim: int):
-    """Projections [dim + 1, TABLES * FUNCTIONS] and offsets, the same at every run."""
+    """Projections [dim, TABLES * FUNCTIONS] and offsets, the same at every run."""
     rng = np.random.default_rng(SEED)
-    return rng.normal(size=(dim + 1, TABLES * FUNCTIONS)), rng.uniform(0, WIDTH, TABLES * FUNCTIONS)
+    return rng.normal(size=(dim, TABLES * FUNCTIONS)), rng.uniform(0, WIDTH, TABLES * FUNCTIONS)
 
 
 def perturbations(within: np.ndarray, count: int):
@@ -90,8 +97,11 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     vectors = stored(named.join(first, ["name1", "name2"]).where("id = cid").select("cid", "name1", "name2", "vec"), "classes")
     queries = stored(named.where(F.col("id") % query_every == 0).select("id", "name1", "name2").join(first, ["name1", "name2"])
                      .select(F.col("id").alias("query_id"), F.col("cid").alias("qid")), "queries")
-    norm = vectors.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x))).first()[0]
-    scale = float(np.sqrt(norm)) if norm else 1.0
+    normed = vectors.withColumn("n2", F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    head = normed.select("n2", "cid").orderBy(F.desc("n2"), "cid").limit(HEAD + 1).collect()
+    small = len(head) <= HEAD
+    last = head[HEAD - 1] if not small else None
+    in_head = F.lit(True) if small else (F.col("n2") > last["n2"]) | (F.col("n2") == last["n2"]) & (F.col("cid") <= last["cid"])
     shipped = share(rows.sparkSession, hash_family(dim))
 
     def matrix(column) -> np.ndarray:
@@ -103,29 +113,37 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
         cell = np.floor(p)
         return cell.astype(np.int64).reshape(-1, TABLES, FUNCTIONS), (p - cell).reshape(-1, TABLES, FUNCTIONS)
 
-    def index(batches):
+    def directions(x):
+        x = x / np.abs(x).max(axis=1, keepdims=True)
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    def listed(batch, x, found):
         import pyarrow as pa
 
+        return pa.RecordBatch.from_arrays(
+            [batch.column("cid"), pa.array(found, type=pa.list_(pa.int64())), pa.array([v.tobytes() for v in x.astype("<" + kind)], type=pa.binary())],
+            names=["cid", "buckets", "raw"])
+
+    def index(batches):
         for batch in batches:
             x = matrix(batch.column("vec"))
-            unit = x / scale
-            rest = np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1)))
-            cell, _ = places(np.c_[unit, rest])
-            keys = np.stack([bucket_keys(cell[:, t], t) for t in range(TABLES)], axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("cid"), pa.array(keys.tolist(), type=pa.list_(pa.int64())), pa.array([v.tobytes() for v in x.astype("<" + kind)], type=pa.binary())],
-                names=["cid", "buckets", "raw"])
+            if small:
+                keys = np.empty((len(x), 0), dtype=np.int64)
+            else:
+                cell, _ = places(directions(x))
+                keys = np.stack([bucket_keys(cell[:, t], t) for t in range(TABLES)], axis=1)
+            yield listed(batch, x, [k + [HEAD_BUCKET] * h for k, h in zip(keys.tolist(), batch.column("head").to_pylist())])
 
     def probe(batches):
-        import pyarrow as pa
-
         for batch in batches:
             x = matrix(batch.column("vec"))
-            unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-            cell, within = places(np.c_[unit, np.zeros(len(x))])
+            if small:
+                yield listed(batch, x, [[HEAD_BUCKET]] * len(x))
+                continue
+            cell, within = places(directions(x))
             found = []
             for c, w in zip(cell, within):
-                own = []
+                own = [HEAD_BUCKET]
                 for t in range(TABLES):
                     sets = list(perturbations(w[t], PROBES))
                     cells = np.repeat(c[t][None], len(sets), axis=0)
@@ -134,23 +152,12 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
                             cells[n, i] += d
                     own += bucket_keys(cells, t).tolist()
                 found.append(own)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("cid"), pa.array(found, type=pa.list_(pa.int64())), pa.array([v.tobytes() for v in x.astype("<" + kind)], type=pa.binary())],
-                names=["cid", "buckets", "raw"])
+            yield listed(batch, x, found)
 
     shape = "cid bigint, buckets array<bigint>, raw binary"
-    asking = vectors.join(queries.select(F.col("qid").alias("cid")).distinct(), "cid", "left_semi")
-    indexed = stored(vectors.select("cid", "vec").mapInArrow(index, shape), "index")
+    asking = stored(vectors.join(queries.select(F.col("qid").alias("cid")).distinct(), "cid", "left_semi"), "asking")
+    indexed = stored(normed.select("cid", "vec", in_head.alias("head")).mapInArrow(index, shape), "index")
     probing = stored(asking.select("cid", "vec").mapInArrow(probe, shape), "probes")
-    in_bucket = indexed.select(F.explode("buckets").alias("bucket"), "cid", "raw")
-    at_bucket = probing.select(F.explode("buckets").alias("bucket"), F.col("cid").alias("qid"), "raw")
-    blocks = lambda df, n: df.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias(n))
-    sizes = stored(blocks(indexed.select(F.explode("buckets").alias("bucket")), "vs")
-                   .join(blocks(probing.select(F.explode("buckets").alias("bucket")), "qs"), "bucket"), "sizes")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    part = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    left = in_bucket.join(sizes, "bucket").select("bucket", part("cid", "vs").alias("vb"), each("qs").alias("qb"), "cid", "raw")
-    right = at_bucket.join(sizes, "bucket").select("bucket", each("vs").alias("vb"), part("qid", "qs").alias("qb"), "qid", "raw")
 
     def products(vs, qs):
         """Best candidates of every query of a block among the vectors of a block."""
@@ -172,10 +179,42 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
             out.append(pd.DataFrame({"qid": np.repeat(qid[at:at + 256], best.shape[1]), "cid": cid[best].ravel(), "score": exact.ravel()}))
         return pd.concat(out)
 
-    pairs = left.groupBy("bucket", "vb", "qb").cogroup(right.groupBy("bucket", "vb", "qb")) \
-        .applyInPandas(products, "qid bigint, cid bigint, score double").distinct()
     top = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
-    short = stored(pairs.withColumn("n", F.row_number().over(top)).where(F.col("n") <= k + 1).drop("n"), "short")
+    best = lambda pairs: pairs.distinct().withColumn("n", F.row_number().over(top)).where(F.col("n") <= k + 1).drop("n")
+
+    def compared(bucket) -> DataFrame:
+        """qid, cid, score: the best k + 1 of each query among the vectors that share a bucket with it."""
+        in_bucket = indexed.select(bucket.alias("bucket"), "cid", "raw")
+        at_bucket = probing.select(bucket.alias("bucket"), F.col("cid").alias("qid"), "raw")
+        blocks = lambda df, n: df.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias(n))
+        sizes = stored(blocks(in_bucket, "vs").join(blocks(at_bucket, "qs"), "bucket"), "sizes")
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        part = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+        left = in_bucket.join(sizes, "bucket").select("bucket", part("cid", "vs").alias("vb"), each("qs").alias("qb"), "cid", "raw")
+        right = at_bucket.join(sizes, "bucket").select("bucket", each("vs").alias("vb"), part("qid", "qs").alias("qb"), "qid", "raw")
+        return stored(best(left.groupBy("bucket", "vb", "qb").cogroup(right.groupBy("bucket", "vb", "qb"))
+                           .applyInPandas(products, "qid bigint, cid bigint, score double")), "short")
+
+    def recall(short: DataFrame) -> float:
+        """Share of the best k + 1 of ``SAMPLE`` queries that the lists hold, by score."""
+        chosen = asking.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("cid").join(probing, "cid").select("cid", "raw").toPandas() \
+            .rename(columns={"cid": "qid"})
+        if not len(chosen):
+            return 1.0
+        asked = share(rows.sparkSession, chosen)
+
+        def exact(batches):
+            for part in batches:
+                yield products(part, asked())
+
+        whole = best(indexed.select("cid", "raw").mapInPandas(exact, "qid bigint, cid bigint, score double")).toPandas()
+        ours = short.where(F.col("qid").isin(chosen["qid"].tolist())).toPandas()
+        least = whole.groupby("qid")["score"].min()
+        return float((ours["score"] >= ours["qid"].map(least)).sum() / max(1, len(whole)))
+
+    short = compared(F.explode("buckets"))
+    if not small and recall(short) < LEAST_RECALL:
+        short = compared(F.lit(HEAD_BUCKET).cast("long"))
     ids = members.join(first, ["name1", "name2"]).select("cid", "id")
     spread = short.join(ids, "cid").select("qid", "id", "score")
     listed = spread.withColumn("n", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "id"))).where(F.col("n") <= k + 1)

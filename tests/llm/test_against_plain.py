@@ -238,6 +238,28 @@ def test_search_recall_and_scores(spark):
     assert [i for i, _ in got[400]][:3] in ([401, 402, 403], [i for i, _ in got[400]][:3])
 
 
+@pytest.mark.parametrize("case", ["one long vector", "log-normal norms", "directions far apart"])
+def test_search_recall_with_unequal_norms(spark, monkeypatch, case):
+    monkeypatch.setattr(ann_search, "HEAD", 200)
+    rng = np.random.default_rng(8)
+    n, dim = 3000, 256 if case == "directions far apart" else 64
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if case == "one long vector":
+        x[17] *= 20
+    elif case == "log-normal norms":
+        x *= np.exp(rng.normal(size=(n, 1)) * 0.5)
+    got = {}
+    for r in ann_search.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    share = []
+    for q in range(0, n, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        share.append(len(set(np.argsort(-s)[:20].tolist()) & got[q]) / 20)
+    assert np.mean(share) >= 0.9
+
+
 def test_search_in_blocks(spark, monkeypatch):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet")
     key = lambda df: sorted((r["query_id"], r["rank"], r["vec_id"]) for r in df.collect())
