@@ -37,6 +37,7 @@ HEAD_BUCKET = 0
 SAMPLE, LEAST_RECALL = 64, 0.93
 K = 20
 BLOCK = 8192
+PAIRS = 1 << 16               # exact products at once
 QUERY_EVERY = 20
 SEED = 41
 
@@ -167,16 +168,20 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
             return pd.DataFrame({"qid": [], "cid": [], "score": []}).astype({"qid": "int64", "cid": "int64", "score": "float64"})
         v, q = (np.frombuffer(b"".join(d["raw"]), dtype="<" + kind).reshape(len(d), dim).astype(np.float64) for d in (vs, qs))
         cid, qid, out = vs["cid"].to_numpy(), qs["qid"].to_numpy(), []
-        take = min(len(v), k + 5)                       # a few more, so that rounding in the product decides nothing
+        take = min(len(v), k + 1)
+        longest = np.linalg.norm(v, axis=1).max()
         for at in range(0, len(q), 256):
             own = q[at:at + 256]
             s = own @ v.T
-            best = np.argpartition(-s, take - 1, axis=1)[:, :take] if take < len(v) else np.tile(np.arange(take), (len(own), 1))
-            exact = (v[best] * own[:, None, :]).sum(axis=2)      # the same sum for a pair in whichever block
-            if take > k + 1:
-                order = np.lexsort((cid[best], -exact), axis=1)[:, :k + 1]
-                best, exact = np.take_along_axis(best, order, 1), np.take_along_axis(exact, order, 1)
-            out.append(pd.DataFrame({"qid": np.repeat(qid[at:at + 256], best.shape[1]), "cid": cid[best].ravel(), "score": exact.ravel()}))
+            # whatever reaches the last score that counts, less what rounding in the product can change
+            least = np.partition(s, len(v) - take, axis=1)[:, len(v) - take] - 1e-12 * dim * longest * np.linalg.norm(own, axis=1)
+            row, col = np.nonzero(s >= least[:, None])
+            exact = np.concatenate([(v[col[i:i + PAIRS]] * own[row[i:i + PAIRS]]).sum(axis=1)       # the same sum for a pair in whichever block
+                                    for i in range(0, len(row), PAIRS)])
+            order = np.lexsort((cid[col], -exact, row))
+            row, col, exact = row[order], col[order], exact[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < take
+            out.append(pd.DataFrame({"qid": qid[at + row[best]], "cid": cid[col[best]], "score": exact[best]}))
         return pd.concat(out)
 
     top = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")

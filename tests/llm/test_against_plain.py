@@ -1,5 +1,6 @@
 """Operators against brute force, exact round trips and held-out accuracy."""
 import base64
+import itertools
 import random
 import zlib
 
@@ -260,6 +261,16 @@ def test_search_recall_with_unequal_norms(spark, monkeypatch, case):
     assert np.mean(share) >= 0.9
 
 
+def test_search_ties_of_different_vectors(spark, monkeypatch, rng):
+    marks = [[1.0] + [float(i in chosen) for i in range(11)] for chosen in itertools.combinations(range(11), 3)]      # 165, all of product 1
+    rng.shuffle(marks)
+    rows = spark.createDataFrame([(0, [1.0] + [0.0] * 11), *enumerate(marks, 1)], "vec_id long, embedding array<float>")
+    for block in (ann_search.BLOCK, 50):
+        monkeypatch.setattr(ann_search, "BLOCK", block)
+        got = ann_search.nearest(rows).where("query_id = 0").orderBy("rank").collect()
+        assert [(r["vec_id"], r["score"]) for r in got] == [(i, 1.0) for i in range(1, 21)]
+
+
 def test_search_in_blocks(spark, monkeypatch):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet")
     key = lambda df: sorted((r["query_id"], r["rank"], r["vec_id"]) for r in df.collect())
