@@ -8,8 +8,9 @@ there until the new cuts meet the end of an old leaf behind the edit, encodes th
 the leaves in question and updates the sums above them. Everything before and behind keeps its counts.
 
 A cut depends on the text up to one character behind the piece (and on ``MARGIN`` characters at most for
-fixed alternatives such as contractions). Therefore the region begins with the first leaf that ends at or
-behind the edit, and a cut that reaches the end of the text seen so far is made again with more of it.
+fixed alternatives such as contractions); a cut inside a run of white space depends on what follows the run.
+Therefore the region begins with the first leaf that ends at or behind the character before the edit, or with
+an earlier one if white space stands before that leaf, and a cut that reaches the end of the text seen so far is made again with more of it.
 
 Defined results: null text counts as empty (0 tokens); edits beyond the end are moved to it, null edit
 lists change nothing; a null inserted text is empty; repeated rows are counted each. Extra columns are
@@ -83,7 +84,11 @@ class TokenTree:
     def edit(self, pos: int, deleted: int, inserted: str) -> None:
         pos = min(max(pos, 0), len(self.text))
         deleted = min(max(deleted, 0), len(self.text) - pos)
-        leaf, start = self.sums.first_ending_at(pos)
+        leaf, start = self.sums.first_ending_at(max(0, pos - 1))       # the cut before 're depends on two characters
+        # a cut inside white space looks past the run's end: begin before the run
+        while leaf and (not self.leaves[leaf - 1][0] or start and self.text[start - 1].isspace()):
+            leaf -= 1
+            start -= self.leaves[leaf][0]
         new = self.text[:pos] + inserted + self.text[pos + deleted:]
         shift = len(inserted) - deleted
         last, end = leaf, start + self.leaves[leaf][0]         # old coordinates

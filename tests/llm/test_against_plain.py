@@ -55,6 +55,26 @@ def test_token_tree_equals_full_recount(reference, rng):
             assert tree.text == text and tree.n_tokens == len(reference.encode_ordinary(text))
 
 
+def test_token_tree_with_blank_lines(rng, monkeypatch, tmp_path):
+    import regex
+
+    monkeypatch.setattr(token_tree, "LEAF", 1)
+    merged = [b"\n\n", b"  ", b"'r", b"'re", b"re"]             # the shipped vocabulary has no token of two white-space characters
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % n for n, t in enumerate([bytes([i]) for i in range(256)] + merged)))
+    pattern = tokenizer()[1]
+    coder, match = bpe.Encoder(bpe.load_ranks(str(path)), pattern), regex.compile(pattern).match
+    full = lambda text: token_tree.build(coder, [text], match)[0].n_tokens
+    tree = token_tree.build(coder, ["a\n\nword next"], match)[0]
+    tree.edit(3, 4, "")
+    assert tree.text == "a\n\n next" and tree.n_tokens == full(tree.text) == 7
+    for _ in range(2000):
+        tree = token_tree.build(coder, ["".join(rng.choice(["a", "word", "\n\n", " ", "\n", "  ", "'", "r", "e"]) for _ in range(12))], match)[0]
+        for _ in range(3):
+            tree.edit(rng.randint(0, len(tree.text)), rng.randint(0, 5), rng.choice(["", "", "\n", " ", "x", "e"]))
+            assert tree.n_tokens == full(tree.text), tree.text
+
+
 def test_token_tree_encodes_only_what_an_edit_touches(rng):
     import regex
 
