@@ -32,7 +32,7 @@ Q = 8
 SEGMENT, STEP = 96, 48
 EDIT_SHARE = 0.08
 SHORTEST = 32
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 20          # about 2 million q-grams, 100 MB while the index is sorted
 BITMAP_BITS = 22
 MIX = np.uint64(0x9E3779B97F4A7C15)
 

@@ -259,12 +259,19 @@ def training_set(background: list[list[str]], seed: int = 3) -> tuple[list[list[
     return out, np.array(y)
 
 
-def train(docs: DataFrame) -> Model:
-    """Fit on the templates and a sample of the corpus' paragraphs."""
+def sample_texts(docs: DataFrame) -> DataFrame:
+    """text: at most a quarter of ``SAMPLE_PARAGRAPHS`` distinct texts, those of smallest hash among a share of all."""
     rows = docs.select(F.col("text").cast("string").alias("text")).where("text is not null and text <> ''")
     total = rows.count()
-    scale = 1 << 30
-    quota = int(scale * min(1.0, (SAMPLE_PARAGRAPHS / 4) / max(total, 1)))
+    scale, most = 1 << 30, SAMPLE_PARAGRAPHS // 4
+    quota = int(scale * min(1.0, 2 * most / max(total, 1)))
+    names = [F.xxhash64("text").alias("name1"), F.xxhash64(F.lit(1), "text").alias("name2")]
+    return rows.select("text", *names).where(F.pmod("name1", F.lit(scale)) < quota).dropDuplicates(["name1", "name2"]) \
+        .orderBy(F.pmod("name1", F.lit(scale)), "name2").limit(most).select("text")
+
+
+def train(docs: DataFrame) -> Model:
+    """Fit on the templates and a sample of the corpus' paragraphs."""
 
     def pick(batches):
         import pyarrow as pa
@@ -277,8 +284,7 @@ def train(docs: DataFrame) -> Model:
                 found += [own[i][1] for i in (rng.permutation(len(own))[:4] if own else [])]
             yield pa.RecordBatch.from_arrays([pa.array(found, type=pa.list_(pa.string()))], names=["words"])
 
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(scale)) < quota)
-    background = sorted(r["words"] for r in chosen.mapInArrow(pick, "words array<string>").collect())
+    background = sorted(r["words"] for r in sample_texts(docs).mapInArrow(pick, "words array<string>").collect())
     windows, y = training_set(background)
     aside = np.arange(len(y)) % 5 == 0
     model = Model()

@@ -411,6 +411,21 @@ def test_language_labels_every_position():
     assert np.allclose(net.sums(parts).sum(axis=1), [len(p) for p in parts], atol=1e-4)
 
 
+def test_license_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(license_scan, "SAMPLE_PARAGRAPHS", 400)
+    docs = spark.createDataFrame([("one text that most rows copy",)] * 2000 + [(f"text {i} of its own",) for i in range(60)], "text string")
+    for some in (docs, docs.where("text like 'one%'")):
+        got = [r["text"] for r in license_scan.sample_texts(some).collect()]
+        assert len(got) == len(set(got)) <= 100
+    assert got in ([], ["one text that most rows copy"])
+
+
+def test_benchmark_block_is_bounded(rng):
+    part = decontaminate.BLOCK_BYTES // 16
+    index = decontaminate.Index([(i, prose(rng, 400)[:2048]) for i in range(part // 2048)])
+    assert 16 * sum(x.nbytes for x in (index.keys, index.first, index.many, index.segs, index.offs)) < 128 << 20
+
+
 def test_license_notices(spark, rng):
     lines = {f: t[0] for f, t in license_scan.TEMPLATES.items()}
     rows = [(i, f"{prose(rng, 60)}\n{t}\n{prose(rng, 60)}", f) for i, (f, t) in enumerate(lines.items())]
