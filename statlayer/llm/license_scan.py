@@ -307,10 +307,10 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
             for part in slices(batch, "text", SLICE):
                 if len(hashes) > CACHE_WORDS:
                     hashes.clear()
-                ids, windows, lines = [], [], []
-                for i, text in zip(part.column("id_").to_pylist(), strings(part.column("text"))):
+                ids, places, windows, lines = [], [], [], []
+                for place, (i, text) in enumerate(zip(part.column("id_").to_pylist(), strings(part.column("text")))):
                     for line, words in paragraphs(text):
-                        ids.append(i), lines.append(line), windows.append(words)
+                        ids.append(i), places.append(place), lines.append(line), windows.append(words)
                 if not windows:
                     continue
                 p = model.probabilities(windows, hashes)
@@ -319,7 +319,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
                 for j in np.flatnonzero((top < len(model.names) - 1) & (p.max(axis=1) >= LEAST_PROBABILITY)):
                     family, q = model.names[top[j]], float(p[j, top[j]])
                     common = template_share(windows[j], family)
-                    key = (len(best), ) if ids[j] is None else (ids[j], lines[j], family)
+                    key = (places[j], lines[j], family)
                     best[key] = max(best.get(key, (0.0, 0.0, None)), (common, q, j), key=lambda x: x[:2])
                 found = [(ids[j], lines[j], model.names[top[j]], q, c, c >= CONFIRM) for c, q, j in best.values()]
                 types = [batch.column("id_").type, pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.bool_()]

@@ -411,6 +411,16 @@ def test_language_labels_every_position():
     assert np.allclose(net.sums(parts).sum(axis=1), [len(p) for p in parts], atol=1e-4)
 
 
+def test_license_rows_of_one_id(spark, rng):
+    notice = "Licensed under the Apache License, Version 2.0"
+    texts = [f"{notice}\n{prose(rng, 30)}", f"{notice}\n{prose(rng, 40)}", f"{notice}\n{prose(rng, 30)}"]
+    rows = [(7, texts[0]), (7, texts[0]), (7, texts[1]), (None, texts[2]), (None, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    model = license_scan.train(docs.withColumn("text", F.lit(prose(rng, 200))))
+    found = [(r["doc_id"], r["line"]) for r in license_scan.scan(docs, model).where("family like 'Apache%' or family like 'apache%'").collect()]
+    assert len(found) == 5 and len([i for i, _ in found if i == 7]) == 3
+
+
 def test_license_sample_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(license_scan, "SAMPLE_PARAGRAPHS", 400)
     docs = spark.createDataFrame([("one text that most rows copy",)] * 2000 + [(f"text {i} of its own",) for i in range(60)], "text string")
