@@ -3,8 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann_search, bpe, decontaminate, langid, license_scan, near_dup, quality_rules, token_tree, toxicity, url_rules
-from .common import fold, table
+from . import ann_search, bpe, decontaminate, langid, license_scan, near_dup, quality_rules, token_tree, toxicity, url_rules, word_runs
+from .common import WORD_PATTERN, fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -89,6 +89,31 @@ def op10_gru_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def with_repeated_tail(text: Column, doc_id: Column) -> Column:
+    """The text whose words from number a on repeat the p words there, for ids with crc32 mod 10 = 0: a and p come
+    from the rest of the crc32 and the number of words; other texts as they are."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g, words = F.floor(h / 10), F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))
+    n = F.size(words).cast("long")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    tail = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int")))
+    changed = F.slice(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), F.lit(1), n.cast("int"))
+    return F.when((h % 10 == 0) & (F.size(words) > 0), F.array_join(changed, " ")).otherwise(text)
+
+
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document (a tenth of them with repeated tails): number, strongest run, digests of all
+    runs and of the text with runs cut to one period."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = word_runs.find_runs(docs.select("doc_id", with_repeated_tail(F.col("text"), F.col("doc_id")).alias("text")))
+    best = word_runs.strongest(F.col("runs"))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(word_runs.run_lines(F.col("runs")), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256")) \
+        .select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                F.expr("best.length * 1000 div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 _ADDRESS = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SHAPE = "'^.*?://([^/?#]*)([^?#]*)'"
 _FITS = ["('" + r.text + "', '" + r.action + "', '" + r.text.partition("/")[0] + "', '/" + r.text.partition("/")[2] + "')"
@@ -143,4 +168,5 @@ REGISTRY = {
     "op8_kn_toxicity": (op8_kn_toxicity, None),
     "op9_license_scan": (op9_license_scan, None),
     "op10_gru_langid": (op10_gru_langid, None),
+    "op12_word_runs": (op12_word_runs, None),
 }
