@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann_search, bpe, decontaminate, langid, license_scan, near_dup, quality_rules, token_tree, toxicity, url_rules, word_runs
+from . import ann_search, bpe, decontaminate, langid, license_scan, near_dup, quality_rules, token_tree, toxicity, url_rules, whitening, word_runs
 from .common import WORD_PATTERN, fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -114,6 +114,11 @@ def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.expr("best.length * 1000 div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding, up to 16 components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 _ADDRESS = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SHAPE = "'^.*?://([^/?#]*)([^?#]*)'"
 _FITS = ["('" + r.text + "', '" + r.action + "', '" + r.text.partition("/")[0] + "', '/" + r.text.partition("/")[2] + "')"
@@ -169,4 +174,5 @@ REGISTRY = {
     "op9_license_scan": (op9_license_scan, None),
     "op10_gru_langid": (op10_gru_langid, None),
     "op12_word_runs": (op12_word_runs, None),
+    "op13_whitening": (op13_whitening, None),
 }
