@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import ann_search, bpe, decontaminate, langid, license_scan, near_dup, quality_rules, token_tree, toxicity, url_rules, whitening, word_runs
+from . import ann_search, bpe, decontaminate, langid, license_scan, mixing, near_dup, quality_rules, token_tree, toxicity, url_rules, whitening, word_runs
 from .common import WORD_PATTERN, fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -89,6 +89,11 @@ def op10_gru_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix of all documents takes of each, with its source's size and target."""
+    return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source")).taken()
+
+
 def with_repeated_tail(text: Column, doc_id: Column) -> Column:
     """The text whose words from number a on repeat the p words there, for ids with crc32 mod 10 = 0: a and p come
     from the rest of the crc32 and the number of words; other texts as they are."""
@@ -173,6 +178,7 @@ REGISTRY = {
     "op8_kn_toxicity": (op8_kn_toxicity, None),
     "op9_license_scan": (op9_license_scan, None),
     "op10_gru_langid": (op10_gru_langid, None),
+    "op11_source_mix": (op11_source_mix, None),
     "op12_word_runs": (op12_word_runs, None),
     "op13_whitening": (op13_whitening, None),
 }

@@ -44,9 +44,10 @@ def test_registered_queries_run(spark):
             "op5": {"doc_id", "n_shingles", "component_id", "kept"}, "op7": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
             "op6": {"doc_id", "held_out", "score", "predicted"}, "op8": {"doc_id", "held_out", "score", "predicted"},
             "op10": {"doc_id", "held_out", "lang_pred", "score"},
+            "op11": {"doc_id", "size", "source_size", "target", "taken"},
             "op12": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
             "op13": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"}}
-    assert {n.split("_")[0] for n in REGISTRY} >= {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in REGISTRY} == {f"op{n}" for n in range(1, 14)}
     for name, (query, _) in REGISTRY.items():
         df = query(spark, SF)
         assert want.get(name.split("_")[0], set()) <= set(df.columns)
