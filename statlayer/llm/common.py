@@ -39,7 +39,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     from the loss of executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.stored_at = path
+    return kept
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove ``stored`` tables that nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release_memory() -> None:
+    """Give memory that a task no longer needs back to the system: Python workers outlive their tasks."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):                  # another C library
+        pass
 
 
 def share(spark: SparkSession, value):
@@ -93,6 +118,8 @@ def keep_rows(docs: DataFrame, make_judge, *columns: str) -> DataFrame:
                 out = part.filter(pa.array(judge(*[part.column(i) for i in names]), type=pa.bool_()))
                 if out.num_rows:
                     yield pa.RecordBatch.from_arrays(out.columns, names=docs_names)
+        del judge
+        release_memory()
 
     docs_names = docs.columns
     return docs.mapInArrow(run, docs.schema)
@@ -105,5 +132,7 @@ def map_rows(df: DataFrame, make_worker, schema: str) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 yield work(part)
+        del work
+        release_memory()
 
     return df.mapInArrow(run, schema)

@@ -11,9 +11,14 @@ text a log-likelihood ratio; sums are normalised by length, and a logistic curve
   which both classes use a word, with one shared weight a history, and the pair level is used only for
   histories that both classes know. A rare expression thus falls back alike in both models and says
   nothing, however unequal the classes are in size.
-* Words are named by 64-bit hashes. Counts stay Spark tables of as many rows as there are words and pairs.
-* Scoring: equal texts are one. Texts are dealt out in chunks of about ``CHUNK_BYTES``; each chunk asks once
-  for each of its words and pairs, in packed lists by ``slot`` of the key, and gets the counts it needs.
+* Words are named by 64-bit hashes. Counts stay a Spark table that grows with the words and pairs, packed by
+  ``slot`` of the key (sorted keys as differences, ``SLOT_KEYS`` a slot or so).
+* Scoring: equal texts are one. Texts are dealt out in chunks of about ``CHUNK_BYTES``; each chunk asks once for
+  each of its words and pairs, in packed lists by slot, and gets the counts it needs. A list holds the upper
+  ``ASK_BITS`` bits of its keys, so a pair that was not counted is taken for another with a chance of about
+  ``SLOT_KEYS`` / 2^``ASK_BITS``. Pairs are asked for only where they can count: two bitmaps of fixed size, of the
+  histories that both classes know and of the counted words, tell most of the others; where the bitmaps are full,
+  more is asked and the result is the same.
 * The logistic curve is fitted on at most ``CALIBRATION_ROWS`` labelled training rows (smallest hashes
   among an eighth of the training rows that the counts leave out).
 
@@ -23,25 +28,26 @@ is 0. Extra columns are ignored (``score``) or kept as they are (``keep_clean``)
 """
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
+from xxhash import xxh3_64_intdigest
 
-from .common import fold, stored, strings
+from .common import discard, fold, release_memory, share, stored, strings
 
 MAP_BITS = 18
 TURN = 21                      # a pair's code: the first word's hash rotated by so many bits, xor the second's
 START = 0x51ED270B1F3A6C95     # stands before the first word
-CHUNK_BYTES = 2 << 20
-CHUNKS_A_SLOT = 16
+CHUNK_BYTES = 8 << 20
+SLOT_KEYS = 1 << 19
 LEAST_SLOTS = 32
+ASK_BITS = 40
+WORD_BITS = 19                 # bitmaps of words have 2^(WORD_BITS + 6) bits
 CALIBRATION_ROWS = 20_000
 CALIBRATION_SHARE = 8          # one training row in so many is kept for the logistic curve
-FLUSH_PAIRS = 1 << 21          # pairs a task holds before it sums them up
-CACHE_WORDS = 1 << 19
-SEEN_TEXTS = 1 << 20           # texts a task remembers, to send repeated ones once
+FLUSH_PAIRS = 1 << 20          # pairs a task holds before it sums them up
+SEEN_TEXTS = 1 << 16           # texts a task remembers, to send repeated ones once
 THRESHOLD = 0.7
 find_words = re.compile(r"\w+").findall
 
@@ -49,20 +55,9 @@ find_words = re.compile(r"\w+").findall
 class Hasher:
     """Texts -> 64-bit word hashes and pair codes."""
 
-    def __init__(self):
-        self.cache: dict[str, int] = {}
-
     def word_ids(self, text: str) -> np.ndarray:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        words, get, cache = find_words(text.lower()), self.cache.get, self.cache
-        ids = []
-        for w in words:
-            h = get(w)
-            if h is None:
-                h = cache[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
-            ids.append(h)
-        return np.array(ids, dtype=np.int64)
+        words = find_words(text.lower())
+        return np.fromiter(map(xxh3_64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
 
     def pairs(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct pairs of a text: codes, first words, second words."""
@@ -111,6 +106,8 @@ def pair_counts(labelled: DataFrame) -> DataFrame:
                     yield from flush()
                     size = 0
         yield from flush()
+        del hasher
+        release_memory()
 
     found = labelled.select("text", "toxic").mapInArrow(count, "first bigint, second bigint, ordinary bigint, toxic bigint")
     total = lambda c: F.sum(c).cast("int").alias(c)
@@ -118,10 +115,32 @@ def pair_counts(labelled: DataFrame) -> DataFrame:
         .select(code_of(F.col("first"), F.col("second")).alias("code"), "first", "second", "ordinary", "toxic")
 
 
-def count_table(labelled: DataFrame) -> tuple[DataFrame, float, bool]:
-    """(key, a to e; the pair discount; whether both classes have an expression). A pair's row: texts of each
-    class that hold it. A word's row: its probability in each class below the pair level, and as a history
-    that both classes know what the discount leaves of each class and the weight of the lower level."""
+class Counts:
+    """Summed counts. ``pairs``: first, second, ordinary, toxic. ``words``: key, a to e: a word's probability in each
+    class below the pair level, and as a history that both classes know what the discount leaves of each class and
+    the weight of the lower level. Both are stored tables."""
+
+    def __init__(self, pairs: DataFrame, words: DataFrame, discount: float, both: bool):
+        self.pairs, self.words, self.discount, self.both = pairs, words, discount, both
+
+    def table(self) -> DataFrame:
+        """key, a to e: the rows of the words, and of the pairs (a, b: texts of each class that hold it)."""
+        none = [F.lit(0.0).cast("float").alias(c) for c in "cde"]
+        o, t = (F.col(c).cast("float") for c in ("ordinary", "toxic"))
+        return self.pairs.select(code_of(F.col("first"), F.col("second")).alias("key"), o.alias("a"), t.alias("b"), *none).unionByName(self.words)
+
+    def word_bits(self) -> tuple[np.ndarray, np.ndarray]:
+        """Bitmaps of the histories that both classes know and of the counted words, 2^WORD_BITS rows of 64 bits."""
+        bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
+        rows = self.words.groupBy(F.shiftrightunsigned("key", 64 - WORD_BITS).alias("row")) \
+            .agg(F.bit_or(F.when(F.col("e") > 0, bit).otherwise(F.lit(0))).alias("known"), F.bit_or(bit).alias("counted")).toPandas()
+        maps = np.zeros((2, 1 << WORD_BITS), dtype=np.uint64)
+        maps[:, rows["row"].to_numpy(dtype=np.int64)] = rows[["known", "counted"]].to_numpy(dtype=np.int64).T.view(np.uint64)
+        return maps[0], maps[1]
+
+
+def learn_counts(labelled: DataFrame) -> Counts:
+    """Counts, discounts and the word level of all labelled texts."""
     pairs = stored(pair_counts(labelled).drop("code"), "pairs")
     o, t = F.col("ordinary"), F.col("toxic")
     one = lambda c: F.sum(c.cast("long"))
@@ -143,10 +162,58 @@ def count_table(labelled: DataFrame) -> tuple[DataFrame, float, bool]:
         (F.sum(o) - d * one(o > 0)).alias("c"), (F.sum(t) - d * one(t > 0)).alias("d"),
         F.least(F.greatest(d * F.count("*") / F.sum(o + t), F.lit(1e-3)), F.lit(1.0)).alias("e")).where("c > 1e-9 and d > 1e-9")
     both = low.join(histories, "key", "full")
-    words = stored(both.select("key", *[F.coalesce(c, F.lit(0.0)).cast("float").alias(c) for c in "abcde"]), "model")
-    none = [F.lit(0.0).cast("float").alias(c) for c in "cde"]
-    table = pairs.select(code_of(F.col("first"), F.col("second")).alias("key"), o.cast("float").alias("a"), t.cast("float").alias("b"), *none)
-    return table.unionByName(words), pair_discount, bool(got["n0"] and got["n1"])
+    model = stored(both.select("key", *[F.coalesce(c, F.lit(0.0)).cast("float").alias(c) for c in "abcde"]), "model")
+    discard(words)
+    return Counts(pairs, model, pair_discount, bool(got["n0"] and got["n1"]))
+
+
+def zipped(rows: np.ndarray, width: int) -> bytes:
+    """Whole numbers or records as byte planes (the first ``width`` bytes of each), compressed."""
+    import pyarrow as pa
+
+    planes = np.ascontiguousarray(rows.view(np.uint8).reshape(len(rows), rows[:1].size * rows.itemsize if len(rows) else width)[:, :width].T)
+    return len(rows).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unzipped(raw: bytes, width: int, size: int, kind) -> np.ndarray:
+    """``zipped`` undone: [n, size / item size] of a numpy type, bytes beyond ``width`` are zero."""
+    import pyarrow as pa
+
+    n = int.from_bytes(raw[:8], "little")
+    out = np.zeros((n, size), dtype=np.uint8)
+    if n:
+        out[:, :width] = np.frombuffer(pa.decompress(raw[8:], n * width, codec="zstd", asbytes=True), dtype=np.uint8).reshape(width, n).T
+    return out.view(kind)
+
+
+def zipped_keys(keys: np.ndarray, width: int) -> bytes:
+    """Ascending unsigned keys as differences."""
+    return zipped(np.diff(keys, prepend=np.uint64(0)), width)
+
+
+def unzipped_keys(raw: bytes, width: int) -> np.ndarray:
+    return np.cumsum(unzipped(raw, width, 8, np.uint64).ravel(), dtype=np.uint64)
+
+
+class Packed:
+    """The counts as scoring reads them: a stored row a slot, the number of slots, and the bitmaps of words."""
+
+    def __init__(self, counts: Counts):
+        import pyarrow as pa
+
+        self.slots = slots = max(LEAST_SLOTS, (counts.pairs.count() + counts.words.count()) // SLOT_KEYS)
+
+        def pack(group):
+            keys = group.column("key").to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            values = np.stack([group.column(c).to_numpy().astype(np.float32) for c in "abcde"], axis=1)[order]
+            return pa.table({"slot": group.column("slot")[:1], "keys": pa.array([zipped_keys(keys[order], 8)], type=pa.binary()),
+                             "counts": pa.array([zipped(values, 20)], type=pa.binary())})
+
+        by_slot = counts.table().withColumn("slot", slot_of(F.col("key"), slots)).groupBy("slot")
+        self.rows = stored(by_slot.applyInArrow(pack, "slot bigint, keys binary, counts binary"), "packed")
+        self.bits = counts.word_bits()
+        self.discount, self.both = counts.discount, counts.both
 
 
 def slot_of(key, slots: int):
@@ -177,15 +244,21 @@ def features(*levels: np.ndarray) -> list[float]:
     return [float(x) for x in out]
 
 
-def evidence(texts: DataFrame, table: DataFrame, discount: float) -> DataFrame:
+def stands(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key's bit is set."""
+    keys = keys.view(np.uint64)
+    return bits[(keys >> np.uint64(64 - WORD_BITS)).astype(np.int64)] >> (keys & np.uint64(63)) & np.uint64(1) > 0
+
+
+def evidence(texts: DataFrame, packed: Packed) -> DataFrame:
     """name1, name2 (the text's 64-bit hashes), evidence: one row a distinct text."""
     import pyarrow as pa
 
     named = texts.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
         .select(F.xxhash64("text").alias("name1"), F.xxhash64(F.lit(1), "text").alias("name2"), "text")
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = int(total) // CHUNK_BYTES + 1
-    slots = max(LEAST_SLOTS, chunks // CHUNKS_A_SLOT)
+    chunks, slots, discount = int(total) // CHUNK_BYTES + 1, packed.slots, packed.discount
+    bits = share(texts.sparkSession, packed.bits)
 
     def first_seen(batches):
         seen = set()
@@ -201,67 +274,78 @@ def evidence(texts: DataFrame, table: DataFrame, discount: float) -> DataFrame:
     dealt = named.mapInArrow(first_seen, named.schema).withColumn("chunk", F.pmod("name1", F.lit(chunks)))
 
     def by_slot(group):
-        """Pairs of each distinct text of a chunk; the chunk's distinct words and pairs by slot, in order."""
-        hasher, texts = Hasher(), {}
+        """Pairs of each distinct text of a chunk; what the chunk asks for by slot, in order."""
+        hasher, texts, (known, counted) = Hasher(), {}, bits()
+        asked = [np.array([START], dtype=np.int64)]
         for n1, n2, text in zip(group.column("name1").to_pylist(), group.column("name2").to_pylist(), strings(group.column("text").combine_chunks())):
             if (n1, n2) not in texts:
-                texts[n1, n2] = hasher.pairs(text)
-        keys = np.unique(np.concatenate([np.array([START], dtype=np.int64)] + [x for codes, _, second in texts.values() for x in (codes, second)]))
-        slot = slot_of(keys, slots)
+                texts[n1, n2] = codes, first, second = hasher.pairs(text)
+                asked += [codes[stands(known, first) & stands(counted, second)], second]
+        keys = np.unique(np.concatenate(asked).view(np.uint64))
+        slot = slot_of(keys.view(np.int64), slots)
         order = np.argsort(slot, kind="stable")
         keys, slot = keys[order], slot[order]
         start = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
         return texts, dict(zip(slot[start].tolist(), np.split(keys, start[1:])))
 
+    upper = np.uint64(64 - ASK_BITS)
+
     def ask(group):
         _, lists = by_slot(group)
-        return pa.table({"chunk": pa.array([group.column("chunk")[0].as_py()] * len(lists), type=pa.int64()),
-                         "slot": pa.array(list(lists), type=pa.int64()), "keys": pa.array([k.tobytes() for k in lists.values()], type=pa.binary())})
+        out = pa.table({"chunk": pa.array([group.column("chunk")[0].as_py()] * len(lists), type=pa.int64()), "slot": pa.array(list(lists), type=pa.int64()),
+                        "keys": pa.array([zipped_keys(k >> upper, ASK_BITS // 8) for k in lists.values()], type=pa.binary())})
+        del lists
+        release_memory()
+        return out
 
     def answer(asked, known):
-        """Places in each list of a slot whose keys have counts, and these counts."""
+        """Which keys of each list of a slot have counts, and these counts."""
         out = {"chunk": [], "slot": [], "places": [], "found": []}
-        have = known.column("key").to_numpy()
-        order = np.argsort(have)
-        have, value = have[order], np.stack([known.column(c).to_numpy().astype(np.float32) for c in "abcde"], axis=1)[order]
-        for c, n, raw in zip(*(asked.column(x).to_pylist() for x in ("chunk", "slot", "keys"))) if len(have) else ():
-            own = np.frombuffer(raw, dtype=np.int64)
-            at = np.minimum(np.searchsorted(have, own), len(have) - 1)
-            hit = np.flatnonzero(have[at] == own)
-            for x, v in zip(out.values(), (c, n, hit.astype(np.int32).tobytes(), value[at[hit]].T.tobytes())):
-                x.append(v)
+        if known.num_rows:
+            have = unzipped_keys(known.column("keys")[0].as_py(), 8) >> upper
+            value = unzipped(known.column("counts")[0].as_py(), 20, 20, np.float32)
+            for c, n, raw in zip(*(asked.column(x).to_pylist() for x in ("chunk", "slot", "keys"))):
+                own = unzipped_keys(raw, ASK_BITS // 8)
+                at = np.minimum(np.searchsorted(have, own), len(have) - 1)
+                hit = have[at] == own
+                for x, v in zip(out.values(), (c, n, np.packbits(hit).tobytes(), zipped(value[at[hit]], 20))):
+                    x.append(v)
         return pa.table({k: pa.array(v, type=pa.int64() if k in ("chunk", "slot") else pa.binary()) for k, v in out.items()})
 
     def weigh(group, answers):
         texts, lists = by_slot(group)
-        keys, values = [np.empty(0, dtype=np.int64)], [np.zeros((5, 0))]
+        keys, values = [np.empty(0, dtype=np.uint64)], [np.zeros((0, 5), dtype=np.float32)]
         for n, places, found in zip(*(answers.column(x).to_pylist() for x in ("slot", "places", "found"))):
-            keys.append(lists[n][np.frombuffer(places, dtype=np.int32)])
-            values.append(np.frombuffer(found, dtype=np.float32).reshape(5, -1))
-        have = np.concatenate(keys)
+            hit = np.unpackbits(np.frombuffer(places, dtype=np.uint8), count=len(lists[n])).astype(bool)
+            keys.append(lists[n][hit])
+            values.append(unzipped(found, 20, 20, np.float32))
+        have = np.concatenate(keys).view(np.int64)
         order = np.argsort(have)
-        have, value = have[order], np.vstack([np.concatenate(values, axis=1).T.astype(np.float64)[order], np.zeros(5)])
+        have, value = have[order], np.vstack([np.concatenate(values)[order], np.zeros((1, 5), dtype=np.float32)])
+        del lists, keys, values
 
         def look(own):
             at = np.searchsorted(have, own)
             at[at < len(have)] = np.where(have[at[at < len(have)]] == own[at < len(have)], at[at < len(have)], len(have))
-            return value[at]
+            return value[at].astype(np.float64)
 
         out = [features(*ratios(*found, look, discount)) for found in texts.values()]
-        return pa.table({"name1": pa.array([a for a, _ in texts], type=pa.int64()), "name2": pa.array([b for _, b in texts], type=pa.int64()),
-                         "evidence": pa.array(out, type=pa.list_(pa.float64()))})
+        scored = pa.table({"name1": pa.array([a for a, _ in texts], type=pa.int64()), "name2": pa.array([b for _, b in texts], type=pa.int64()),
+                           "evidence": pa.array(out, type=pa.list_(pa.float64()))})
+        del texts, have, value
+        release_memory()
+        return scored
 
     asked = dealt.groupBy("chunk").applyInArrow(ask, "chunk bigint, slot bigint, keys binary")
-    known = table.withColumn("slot", slot_of(F.col("key"), slots))
-    answers = asked.groupBy("slot").cogroup(known.groupBy("slot")).applyInArrow(answer, "chunk bigint, slot bigint, places binary, found binary")
+    answers = asked.groupBy("slot").cogroup(packed.rows.groupBy("slot")).applyInArrow(answer, "chunk bigint, slot bigint, places binary, found binary")
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(weigh, "name1 bigint, name2 bigint, evidence array<double>")
 
 
 class Model:
-    """The table of counts, and the logistic curve over a text's features."""
+    """The counts, and the logistic curve over a text's features."""
 
-    def __init__(self, table: DataFrame, discount: float, both: bool):
-        self.table, self.discount, self.both, self.curve = table, discount, both, None
+    def __init__(self, counts: Packed | None):
+        self.counts, self.both, self.curve = counts, counts is not None, None
 
     def fit_curve(self, features: np.ndarray, toxic: np.ndarray) -> None:
         """Ridge logistic regression by Newton steps."""
@@ -300,13 +384,15 @@ def train(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (3, 1))
         .where(fold(F.col("id_"), parts) != held).withColumn("word_", word).join(F.broadcast(present), "word_") \
         .where(F.col("bits_").bitwiseAND(bit) != 0).select("id_", "text").join(own, "id_")
     part = F.pmod(F.xxhash64("id_"), F.lit(CALIBRATION_SHARE))
-    model = Model(*count_table(rows.where(part != 0)))
+    counts = learn_counts(rows.where(part != 0))
+    model = Model(Packed(counts) if counts.both else None)
+    discard(counts.pairs, counts.words)
     if not model.both:
         return model
     text = F.coalesce("text", F.lit(""))
     sample = stored(rows.where(part == 0).select(text.alias("text"), "toxic", F.xxhash64("id_", F.lit(1)).alias("order_"))
                     .orderBy("order_").limit(CALIBRATION_ROWS), "calibration")
-    found = evidence(sample, model.table, model.discount)
+    found = evidence(sample, model.counts)
     sample = sample.select("toxic", "order_", F.xxhash64("text").alias("name1"), F.xxhash64(F.lit(1), "text").alias("name2")) \
         .join(found, ["name1", "name2"]).select("toxic", "order_", "name1", "evidence").toPandas().sort_values(["order_", "name1", "toxic"])
     model.fit_curve(np.array(sample["evidence"].tolist()).reshape(len(sample), 10), sample["toxic"].to_numpy(dtype=float))
@@ -315,7 +401,7 @@ def train(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (3, 1))
 
 def text_scores(docs: DataFrame, model: Model) -> DataFrame:
     """name1_, name2_, score_ of every distinct text."""
-    found = evidence(docs.select("text"), model.table, model.discount)
+    found = evidence(docs.select("text"), model.counts)
     return found.select(F.col("name1").alias("name1_"), F.col("name2").alias("name2_"), model.probability(F.col("evidence")).alias("score_"))
 
 

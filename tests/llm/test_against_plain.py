@@ -351,19 +351,30 @@ def test_toxicity_tables_grow_with_the_words(spark):
 def test_toxicity_features_equal_a_plain_lookup(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "CHUNK_BYTES", 200)
     labelled = [("a b c d", 1), ("a b x y", 0), ("b a x c", 0), ("a c b", 1), ("c d a b", 1), ("x a b d", 0)]
-    table, discount, both = toxicity.count_table(spark.createDataFrame(labelled, "text string, toxic int"))
+    counts = toxicity.learn_counts(spark.createDataFrame(labelled, "text string, toxic int"))
+    table, discount, both, packed = counts.table(), counts.discount, counts.both, toxicity.Packed(counts)
     rows, hasher, want = {r["key"]: list(r)[1:] for r in table.collect()}, toxicity.Hasher(), []
     look = lambda keys: np.array([rows.get(k, [0.0] * 5) for k in keys.tolist()]).reshape(-1, 5)
     texts = [t for t, _ in labelled] * 3 + ["unseen words only", "", None, "a b unseen"]
     for text in {t or "" for t in texts}:
         want.append(toxicity.features(*toxicity.ratios(*hasher.pairs(text), look, discount)))
-    got = [r["evidence"] for r in toxicity.evidence(spark.createDataFrame([(t,) for t in texts], "text string"), table, discount).collect()]
+    got = [r["evidence"] for r in toxicity.evidence(spark.createDataFrame([(t,) for t in texts], "text string"), packed).collect()]
     assert both and len(got) == len(want) and np.allclose(sorted(got), sorted(want), atol=1e-9)
     a, b = hasher.word_ids("a b").tolist()
     assert rows[hasher.codes("a b")[1 if hasher.codes("a b")[0] == hasher.codes("a")[0] else 0]][:2] == [2.0, 2.0]
     assert rows[a][2:4] == pytest.approx([3 - 2 * discount, 3 - 2 * discount]) and rows[b][0] > 0
 
 
+def test_packed_keys_round_trip():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 3000):
+        keys = np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        assert (toxicity.unzipped_keys(toxicity.zipped_keys(keys, 8), 8) == keys).all()
+        assert (toxicity.unzipped_keys(toxicity.zipped_keys(keys >> np.uint64(24), 5), 5) == keys >> np.uint64(24)).all()
+        values = rng.normal(size=(n, 5)).astype(np.float32)
+        assert (toxicity.unzipped(toxicity.zipped(values, 20), 20, 20, np.float32) == values).all()
+
+
 def test_quality_on_held_out_texts(spark, rng):
     rows = labelled(rng, 800, lambda t: " ".join(w + rng.choice(["***", "&&&", "%%%"]) for w in t.split()))
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
