@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statlayer.quality.dropped import Dropped, watched
+
 
 def sorted_text_join(col: str, sep: str = ";") -> Column:
     """Grouped sorted text join ('SSD','SDN' -> 'SDN;SSD'). Collects one group's values: use on
@@ -13,11 +15,12 @@ def sorted_text_join(col: str, sep: str = ";") -> Column:
 
 
 def complete_group_sums(members: DataFrame, facts: DataFrame, group_col: str, member_col: str,
-                        fact_member_col: str, by: list[str], value_col: str, out: str) -> DataFrame:
+                        fact_member_col: str, by: list[str], value_col: str, out: str, dropped: Dropped | None = None) -> DataFrame:
     """Sum facts over the members of each group, keeping only (group, by) cells where EVERY member
     of the group has data (a merged code gets a value only when all its parts report).
 
-    ``members`` = (group_col, member_col) expected parts; ``facts`` has fact_member_col, by, value.
+    ``members`` = (group_col, member_col) expected parts; ``facts`` has fact_member_col, by, value;
+    ``dropped`` counts the cells left out.
     """
     m = members.select(group_col, member_col).where(F.col(member_col).isNotNull()).distinct()
     expected = m.groupBy(group_col).agg(F.count(F.lit(1)).alias("__expected"))
@@ -25,9 +28,9 @@ def complete_group_sums(members: DataFrame, facts: DataFrame, group_col: str, me
     # then has one row a cell, however many rows a member holds, and a member counts once a cell
     cells = facts.groupBy(F.col(fact_member_col).alias(member_col), *by).agg(F.sum(value_col).alias("__v"))
     found = cells.join(m, member_col).groupBy(group_col, *by).agg(F.sum("__v").alias(out), F.count(F.lit(1)).alias("__found"))
-    return (found.join(expected, group_col, "inner")
-            .where(F.col("__found") == F.col("__expected"))
-            .select(group_col, *by, out))
+    complete = F.col("__found") == F.col("__expected")
+    cells = watched(dropped, found.join(expected, group_col, "inner"), cells_with_missing_parts=~complete)
+    return cells.where(complete).select(group_col, *by, out)
 
 
 def duplicate_rows(df: DataFrame, key: list[str]) -> DataFrame:

@@ -83,6 +83,17 @@ def pivot_fixed(df: DataFrame, keys: list[str], pivot_col: str, value_col: str,
         fn(F.when(F.col(pivot_col) == F.lit(v), F.col(value_col))).alias(name) for v, name in outputs.items()])
 
 
+def pivot_years(df: DataFrame, keys: list[str], year_col: str, years: range, measures: dict) -> DataFrame:
+    """Long -> wide by declared years: ``measures`` = {"Y{year}": function of a year's column maker -> aggregate}, e.g.
+    ``{"Y{year}": lambda of: F.sum(of("v"))}``. Rows without a year are left out; a row of an undeclared year stops the
+    query, so nothing is lost in silence and no job has to look the years up before the plan is built."""
+    year = F.col(year_col)
+    outside = F.raise_error(F.concat(F.lit(f"{year_col}: not in {years.start}..{years.stop - 1}: "), year.cast("string"))).cast("int")
+    rows = df.where(year.isNotNull()).withColumn(year_col, F.when(year.between(years.start, years.stop - 1), year.cast("int")).otherwise(outside))
+    aggs = [make(lambda c, y=y: F.when(year == y, F.col(c))).alias(name.format(year=y)) for y in years for name, make in measures.items()]
+    return rows.groupBy(*keys).agg(*aggs)
+
+
 def explode_delimited(df: DataFrame, col: str, sep: str, out: str) -> DataFrame:
     """'SDN;SSD' -> two rows (SDN), (SSD)."""
     return df.withColumn(out, F.explode(F.split(F.col(col), re.escape(sep))))

@@ -27,6 +27,7 @@ from statlayer.sources.tables import read_table
 
 GAS_COLUMNS = {"A": "co2_mt", "N": "ch4_mt", "R": "n2o_mt"}
 MONEY = "decimal(18,2)"
+YEARS = range(1990, 2011)      # the declared years of wide matrices made from the driver tables
 
 
 def orders_with_nation(spark: SparkSession, d: str, *cols: str, customer_cols: tuple = ()) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from statlayer.operators import conform
 from statlayer.operators.aggregate import complete_group_sums, sorted_text_join
 from statlayer.operators.joins import anti, fixed_dim, orphan_count, semi
-from statlayer.operators.reshape import pivot_fixed, unpivot_measure, unpivot_pairs, year_columns, year_from_header
+from statlayer.operators.reshape import pivot_fixed, pivot_years, unpivot_measure, unpivot_pairs, year_columns, year_from_header
 from statlayer.plans import analog as A
 from statlayer.plans import products as P
 from statlayer.plans import published as Q
@@ -59,17 +59,12 @@ def country_year_product(spark, d):
 
 
 # ------------------------------------------------------------------------------ reshape
-def years_of(df: DataFrame, col: str) -> list[int]:
-    """The distinct years present (the pivot's column list; bounded by the number of years)."""
-    return sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
-
-
 @register("unpivot_measures", """SELECT l_partkey, CAST(year(l_shipdate) AS INTEGER) AS year, SUM(l_quantity) AS quantity
 FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1, 2""")
 def unpivot_measures(spark, d):
     """R1 + P2: a wide part x year matrix (one column per year, null = no data) back to long rows."""
     li = t(spark, d, "lineitem").select("l_partkey", F.year("l_shipdate").alias("y"), "l_quantity")
-    wide = pivot_fixed(li, ["l_partkey"], "y", "l_quantity", {y: str(y) for y in years_of(li, "y")})
+    wide = pivot_years(li, ["l_partkey"], "y", A.YEARS, {"{year}": lambda of: F.sum(of("l_quantity"))})
     long = unpivot_measure(wide, ["l_partkey"], year_columns(wide), "__y", "quantity")
     return long.where(F.col("quantity").isNotNull()).select("l_partkey", year_from_header("__y").alias("year"),
                                                              "quantity")
@@ -82,13 +77,9 @@ def unpivot_value_flag(spark, d):
     """R2: paired value/flag columns per year (Y1995, Y1995F, ...) back to (year, value, flag)."""
     o = t(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("y"),
                                      F.col("o_totalprice").cast(MONEY).alias("v"), "o_orderstatus")
-    years = years_of(o, "y")
-    aggs = []
-    for y in years:
-        aggs += [F.sum(F.when(F.col("y") == y, F.col("v"))).alias(f"Y{y}"),
-                 F.max(F.when(F.col("y") == y, F.col("o_orderstatus"))).alias(f"Y{y}F")]
-    wide = o.groupBy("o_custkey").agg(*aggs)
-    long = unpivot_pairs(wide, ["o_custkey"], [(y, f"Y{y}", f"Y{y}F") for y in years], "year", "value", "flag")
+    wide = pivot_years(o, ["o_custkey"], "y", A.YEARS, {"Y{year}": lambda of: F.sum(of("v")),
+                                                       "Y{year}F": lambda of: F.max(of("o_orderstatus"))})
+    long = unpivot_pairs(wide, ["o_custkey"], [(y, f"Y{y}", f"Y{y}F") for y in A.YEARS], "year", "value", "flag")
     return long.where(F.col("value").isNotNull())
 
 

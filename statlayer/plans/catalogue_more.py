@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from statlayer.functions.numeric import gap_ratio
 from statlayer.functions.text import STRIP_PATTERN, slug, strip_all, strip_leading, zero_pad
-from statlayer.operators.aggregate import duplicate_rows, value_counts
+from statlayer.operators.aggregate import complete_group_sums, duplicate_rows, value_counts
 from statlayer.operators.conform import equals_flag, recode
 from statlayer.operators.dedup import keep_first
 from statlayer.operators.joins import fixed_dim
+from statlayer.operators.reshape import pivot_years
 from statlayer.plans import analog as A
 from statlayer.plans import products as P
 from statlayer.plans.catalogue import MONEY, r6, register, t
@@ -18,6 +19,7 @@ from statlayer.profile.stats import column_profile, summary
 from statlayer.publish.warehouse import TableLoad, load_warehouse, read_audit, read_current
 from statlayer.quality import checks as C
 from statlayer.quality.contracts import constraint_violations
+from statlayer.quality.dropped import Dropped, report as dropped_rows
 from statlayer.schemas import Contract
 from statlayer.session import scratch_path
 
@@ -103,15 +105,14 @@ FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY l_suppkey, l_linestatus, l_r
 def matrix_tidy(spark, d):
     """D1 (R1, P1, P2, P4-P6, P8-P11, P15) on the driver tables: a wide matrix - one row per (flag as substance,
     line status as sector, supplier as country), one column per ship year - tidied back to typed long rows."""
-    from statlayer.plans.catalogue import years_of
     from statlayer.settings import Settings
     li = t(spark, d, "lineitem").select(
         F.col("l_returnflag").alias("Substance"), F.col("l_linestatus").alias("Sector"),
         F.col("l_suppkey").cast("string").alias("EDGAR Country Code"),
         F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("Country"),
         F.year("l_shipdate").alias("y"), "l_quantity")
-    wide = li.groupBy("Substance", "Sector", "EDGAR Country Code", "Country").agg(
-        *[F.sum(F.when(F.col("y") == y, F.col("l_quantity"))).alias(str(y)) for y in years_of(li, "y")])
+    wide = pivot_years(li, ["Substance", "Sector", "EDGAR Country Code", "Country"], "y", A.YEARS,
+                       {"{year}": lambda of: F.sum(of("l_quantity"))})
     return P.tidy_matrix(wide, 1, Settings(estimate_from_year=2000), substances={"A": "CO2", "N": "CH4", "R": "N2O"})
 
 
@@ -129,7 +130,6 @@ def stats_tidy(spark, d):
     (area = customer nation, item = priority, source = segment), paired value/flag columns per year - tidied
     by the same code as the real file (layout detection, paired unpivot, code clean-up, ISO lookup, flags)."""
     from statlayer.operators import conform
-    from statlayer.plans.catalogue import years_of
     rows = A.orders_with_nation(spark, d, "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority",
                                 customer_cols=("c_mktsegment",)).select(
         (F.col("c_nationkey") * 250).alias("Area Code"),
@@ -138,14 +138,42 @@ def stats_tidy(spark, d):
         F.col("o_orderpriority").alias("Item"), F.lit("orders").alias("Element"), F.col("c_mktsegment").alias("Source"),
         F.lit("usd").alias("Unit"), F.year("o_orderdate").alias("y"), F.col("o_totalprice").cast(MONEY).alias("v"),
         "o_orderstatus")
-    aggs = []
-    for y in years_of(rows, "y"):
-        aggs += [F.sum(F.when(F.col("y") == y, F.col("v"))).alias(f"Y{y}"),
-                 F.max(F.when(F.col("y") == y, F.col("o_orderstatus"))).alias(f"Y{y}F")]
-    wide = rows.groupBy("Area Code", "Area Code (M49)", "Area", "Item Code", "Item", "Element", "Source", "Unit").agg(*aggs)
+    wide = pivot_years(rows, ["Area Code", "Area Code (M49)", "Area", "Item Code", "Item", "Element", "Source", "Unit"], "y", A.YEARS,
+                       {"Y{year}": lambda of: F.sum(of("v")), "Y{year}F": lambda of: F.max(of("o_orderstatus"))})
     return P.tidy_stats(wide, conform.iso_table(spark))
 
 
+@register("dropped_rows", f"""WITH cells AS (
+  SELECT l_suppkey, l_partkey, CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS substance,
+         COUNT(DISTINCT year(l_shipdate)) AS filled
+  FROM lineitem GROUP BY 1, 2, 3),
+parts AS (SELECT r_name, COUNT(*) AS expected FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1),
+days AS (
+  SELECT r.r_name, CAST(o.o_orderdate AS DATE) AS day, COUNT(DISTINCT c.c_nationkey) AS found
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY 1, 2)
+SELECT 'matrix' AS step, 'rows_without_key' AS what, COUNT(*) FILTER (WHERE substance IS NULL) AS rows FROM cells
+UNION ALL SELECT 'matrix', 'empty_cells', CAST(COALESCE(SUM({len(A.YEARS)} - filled) FILTER (WHERE substance IS NOT NULL), 0) AS BIGINT) FROM cells
+UNION ALL SELECT 'merged', 'cells_with_missing_parts', COUNT(*) FROM days JOIN parts USING (r_name) WHERE found <> expected""")
+def dropped_rows_query(spark, d):
+    """What the matrix tidy (a sparse supplier-part x year matrix, a third of it without a key) and the all-parts
+    rule (region-day totals) leave out, counted in the passes that write what they keep."""
+    li = t(spark, d, "lineitem").select(
+        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("Substance"), F.lit("lines").alias("Sector"),
+        F.concat_ws("-", "l_suppkey", "l_partkey").alias("EDGAR Country Code"), F.lit("pair").alias("Country"),
+        F.year("l_shipdate").alias("y"), "l_quantity")
+    wide = pivot_years(li, ["Substance", "Sector", "EDGAR Country Code", "Country"], "y", A.YEARS, {"{year}": lambda of: F.sum(of("l_quantity"))})
+    matrix, merged = Dropped("matrix"), Dropped("merged")
+    P.tidy_matrix(wide, 1, dropped=matrix).write.parquet(scratch_path(spark, "dropped"))
+    n, r = t(spark, d, "nation"), fixed_dim(t(spark, d, "region"))
+    members = n.join(r, n.n_regionkey == r.r_regionkey).select("r_name", "n_nationkey")
+    facts = A.orders_with_nation(spark, d, "o_orderdate", "o_totalprice") \
+        .select("c_nationkey", F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast(MONEY).alias("v"))
+    complete_group_sums(members, facts, "r_name", "n_nationkey", "c_nationkey", ["day"], "v", "total", merged) \
+        .write.parquet(scratch_path(spark, "dropped"))
+    return dropped_rows(spark, matrix, merged)
+
+
 # ------------------------------------------------------------------- dedup and profiles
 @register("dedup_keep_first", """SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS order_date, o_totalprice
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)

@@ -4,7 +4,8 @@ Exact quantiles at scale: Spark's exact ``percentile`` merges a map of every dis
 into one task, so a group holding a third of the rows (or a high-cardinality double column) becomes
 one huge task. ``exact_quantiles`` instead ranks every value with a range-partitioned global sort: each
 partition counts its rows per group, a tiny table of those counts gives every partition its exact
-rank offset, and only the (at most 2 per quantile) rows at the wanted ranks survive. The result equals
+rank offset, and only the (at most 2 per quantile) rows at the wanted ranks survive: their places are
+broadcast once their number is known to be small, so the values are shuffled once. The result equals
 linear interpolation between closest ranks (pandas ``quantile``, SQL ``percentile_cont``).
 """
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from statlayer.session import stored_table
 
+SPOTS_BROADCAST = 100_000      # places of wanted ranks that are broadcast; more are joined by a shuffle of the values
+
 
 def exact_quantiles(df: DataFrame, value: str, by: list[str] | None = None, qs=(0.25, 0.5, 0.75),
                     names: list[str] | None = None) -> DataFrame:
@@ -46,6 +49,9 @@ def exact_quantiles(df: DataFrame, value: str, by: list[str] | None = None, qs=(
     # 4. a wanted rank lies in one slice: (partition, place) names its row; interpolate between those rows
     spots = (slices.join(needed, keys).where((F.col("__rank") >= F.col("__offset")) & (F.col("__rank") < F.col("__offset") + F.col("__cnt")))
              .select(*keys, "__rank", (F.col("__first") + F.col("__rank") - F.col("__offset")).alias("__idx")))
+    spots = stored_table(spots, "spots")
+    if spots.count() <= SPOTS_BROADCAST:                          # two rows a quantile and group
+        spots = F.broadcast(spots)
     located = ranked.select("__idx", "__v").join(spots, "__idx").select(*keys, "__rank", "__v")
     pairs = bounds.join(located, keys).where((F.col("__rank") == F.col("__lo")) | (F.col("__rank") == F.col("__hi")))
     interp = pairs.groupBy(*keys, "qi", "pos", "__lo").agg(
@@ -73,21 +79,31 @@ def summary(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame
 
 def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row per column: type, non-null, missing, missing %, unique, example (smallest value as
-    text, deterministic). One aggregation pass over the data."""
+    text, deterministic). Counts and examples are one aggregation; distinct values are counted in two steps over
+    (column, 128-bit hash of the value), so the shuffle holds one row a column and distinct value of a task, and
+    no row is expanded by the number of columns."""
     columns = columns or df.columns
     types = dict(df.dtypes)
     aggs = []
     for i, c in enumerate(columns):
         col = F.col(f"`{c}`")
-        aggs += [F.count(col).alias(f"n{i}"), F.count_if(col.isNull()).alias(f"m{i}"),
-                 F.count_distinct(col).alias(f"u{i}"), F.min(col).cast("string").alias(f"e{i}")]
+        aggs += [F.count(col).alias(f"n{i}"), F.count_if(col.isNull()).alias(f"m{i}"), F.min(col).cast("string").alias(f"e{i}")]
     row = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
+    arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
                              F.col(f"n{i}").alias("non_null"), F.col(f"m{i}").alias("missing"),
                              F.round(F.try_divide(F.lit(100.0) * F.col(f"m{i}"), F.col("__rows")), 2).alias("missing_pct"),
-                             F.col(f"u{i}").alias("unique"), F.coalesce(F.col(f"e{i}"), F.lit("")).alias("example"))
+                             F.coalesce(F.col(f"e{i}"), F.lit("")).alias("example"))
                     for i, c in enumerate(columns)])
-    return row.select(F.inline(arr))
+    return row.select(F.inline(arr)).join(distinct_counts(df, columns), "i", "left") \
+        .select("column", "type", "non_null", "missing", "missing_pct", F.coalesce("unique", F.lit(0)).cast("long").alias("unique"), "example")
+
+
+def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """i (place in ``columns``), unique: number of distinct values, missing ones left out."""
+    cell = [F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.lit(i).alias("i"), F.xxhash64(F.col(f"`{c}`")).alias("a"),
+                                                         F.xxhash64(F.lit(1), F.col(f"`{c}`")).alias("b"))) for i, c in enumerate(columns)]
+    cells = df.select(F.explode(F.array_compact(F.array(*cell))).alias("cell")).select("cell.*")
+    return cells.groupBy("i", "a", "b").agg(F.lit(1)).groupBy("i").agg(F.count(F.lit(1)).alias("unique"))
 
 
 def sign_profile(df: DataFrame, columns: list[str]) -> DataFrame:
