@@ -45,8 +45,11 @@ PAGE_INFO = "struct<page:bigint,pages:bigint,per_page:bigint,total:bigint>"
 def read_page_files(spark: SparkSession, folder: str, glob: str = "page_*.json") -> DataFrame:
     """Each page file is one JSON document ``[page_info, [records] | null]`` -> one row per file with the
     parsed page info and the raw records text. Files are read whole, in parallel."""
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(folder) \
-        .withColumn("file", F.input_file_name())
+    return page_parts(spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(folder).withColumn("file", F.input_file_name()))
+
+
+def page_parts(raw: DataFrame) -> DataFrame:
+    """file, elements, info, records_json of whole page documents (value, file), batch or stream."""
     parts = raw.select("file", F.from_json("value", "array<string>").alias("a"))
     return parts.select("file", F.size("a").alias("elements"),
                         F.from_json(F.get(F.col("a"), 0), PAGE_INFO).alias("info"),
@@ -56,7 +59,11 @@ def read_page_files(spark: SparkSession, folder: str, glob: str = "page_*.json")
 def read_pages(spark: SparkSession, folder: str, glob: str = "page_*.json") -> DataFrame:
     """All records of all page files (a page whose records are null gives no rows). A file that is not
     ``[info, records]``, or whose records cannot be read, stops the read: a page is never lost in silence."""
-    pages = read_page_files(spark, folder, glob)
+    return page_records(read_page_files(spark, folder, glob))
+
+
+def page_records(pages: DataFrame) -> DataFrame:
+    """The records of parsed page documents (``page_parts``)."""
     parsed = F.from_json("records_json", T.ArrayType(RECORD))
     nothing = F.col("records_json").isNull() | (F.trim("records_json") == "null")
     sound = (F.coalesce(F.col("elements"), F.lit(-1)) == 2) & F.col("info.pages").isNotNull() & (nothing | parsed.isNotNull())

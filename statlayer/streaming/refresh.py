@@ -4,27 +4,26 @@ The batch pipeline re-stages a whole new pull each month. Here the same tidy ste
 stream: every new page file in the landing folder is parsed, flattened and typed by the product code,
 then each micro-batch is upserted (keyed) into the published table through the commit-record publish.
 ``trigger(availableNow=True)`` processes what has landed and stops, so a scheduler can run it like a
-batch job; the checkpoint remembers which files were done. A replayed epoch reuses its batch id, so
-the replay rewrites the same paths and commits the same record: exactly-once effect on the table.
+batch job; the checkpoint remembers which files were done. A replayed epoch commits its batch id again: the
+upsert gives the same rows, and the audit keeps the last row of a batch, so the effect on the table is that of
+one load. Pages are read as strictly as in the batch run: a file that is no page of records stops the stream.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from statlayer.plans import products as P
 from statlayer.publish.warehouse import TableLoad, load_warehouse
-from statlayer.sources.files import RECORD
+from statlayer.sources.files import page_parts, page_records
 
 
 def page_records_stream(spark: SparkSession, landing: str, glob: str = "page_*.json") -> DataFrame:
     """Streaming DataFrame of the records of every new page file (a null records page gives none)."""
     raw = (spark.readStream.schema("value string").option("wholetext", True).option("pathGlobFilter", glob)
            .text(landing))
-    doc = F.from_json("value", "array<string>")
-    return raw.select(F.explode(F.from_json(F.get(doc, 1), T.ArrayType(RECORD))).alias("r")).select("r.*")
+    return page_records(page_parts(raw.withColumn("file", F.input_file_name())))
 
 
 def population_refresh(spark: SparkSession, landing: str, warehouse: str, checkpoint: str,
