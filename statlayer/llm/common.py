@@ -44,8 +44,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return kept
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished writes now: its cleaner does so when the driver's collector
+    finds that nobody holds their plans, which on an idle driver may take long."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(*tables: DataFrame) -> None:
-    """Remove ``stored`` tables that nothing reads any more."""
+    """Remove ``stored`` tables that nothing reads any more, and the shuffle files of finished writes."""
+    release_shuffles(tables[0].sparkSession)
     for t in tables:
         jvm = t.sparkSession.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(t.stored_at)

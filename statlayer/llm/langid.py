@@ -26,7 +26,7 @@ WINDOW = 24
 HIDDEN = 16
 SAMPLE_DOCS, SAMPLE_TOKENS = 300, 60
 EPOCHS, BATCH, RATE = 4, 256, 0.01
-CACHE_TOKENS = 500_000
+CACHE_TOKENS = 120_000
 ROWS_AT_ONCE = 2048
 UNKNOWN = "und"
 KEEP_SCORE = 0.4               # the pipeline keeps a document whose best language reaches this

@@ -15,10 +15,11 @@ text a log-likelihood ratio; sums are normalised by length, and a logistic curve
   ``slot`` of the key (sorted keys as differences, ``SLOT_KEYS`` a slot or so).
 * Scoring: equal texts are one. Texts are dealt out in chunks of about ``CHUNK_BYTES``; each chunk asks once for
   each of its words and pairs, in packed lists by slot, and gets the counts it needs. A list holds the upper
-  ``ASK_BITS`` bits of its keys, so a pair that was not counted is taken for another with a chance of about
-  ``SLOT_KEYS`` / 2^``ASK_BITS``. Pairs are asked for only where they can count: two bitmaps of fixed size, of the
-  histories that both classes know and of the counted words, tell most of the others; where the bitmaps are full,
-  more is asked and the result is the same.
+  ``ASK_BITS`` bits of its keys; the answer adds ``CHECK_BITS`` further bits to the counts of each row that begins
+  with them, so a pair that was not counted is taken for another with a chance of about ``SLOT_KEYS`` /
+  2^(``ASK_BITS`` + ``CHECK_BITS``). Pairs are asked for only where they can count: two bitmaps of fixed size, of
+  the histories that both classes know and of the counted words, tell most of the others; where the bitmaps are
+  full, more is asked and the result is the same.
 * The logistic curve is fitted on at most ``CALIBRATION_ROWS`` labelled training rows (smallest hashes
   among an eighth of the training rows that the counts leave out).
 
@@ -34,7 +35,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import discard, fold, release_memory, share, stored, strings
+from .common import discard, fold, release_memory, release_shuffles, share, stored, strings
 
 MAP_BITS = 18
 TURN = 21                      # a pair's code: the first word's hash rotated by so many bits, xor the second's
@@ -42,7 +43,7 @@ START = 0x51ED270B1F3A6C95     # stands before the first word
 CHUNK_BYTES = 8 << 20
 SLOT_KEYS = 1 << 19
 LEAST_SLOTS = 32
-ASK_BITS = 40
+ASK_BITS, CHECK_BITS = 24, 16
 WORD_BITS = 19                 # bitmaps of words have 2^(WORD_BITS + 6) bits
 CALIBRATION_ROWS = 20_000
 CALIBRATION_SHARE = 8          # one training row in so many is kept for the logistic curve
@@ -50,13 +51,15 @@ FLUSH_PAIRS = 1 << 20          # pairs a task holds before it sums them up
 SEEN_TEXTS = 1 << 16           # texts a task remembers, to send repeated ones once
 THRESHOLD = 0.7
 find_words = re.compile(r"\w+").findall
+#: of ASCII texts: word characters in lower case, all others a space
+ASCII_WORDS = bytes(ord(chr(c).lower()) if c < 128 and (chr(c).isalnum() or c == ord("_")) else 32 for c in range(256))
 
 
 class Hasher:
     """Texts -> 64-bit word hashes and pair codes."""
 
     def word_ids(self, text: str) -> np.ndarray:
-        words = find_words(text.lower())
+        words = text.encode().translate(ASCII_WORDS).split() if text.isascii() else find_words(text.lower())
         return np.fromiter(map(xxh3_64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
 
     def pairs(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,6 +145,7 @@ class Counts:
 def learn_counts(labelled: DataFrame) -> Counts:
     """Counts, discounts and the word level of all labelled texts."""
     pairs = stored(pair_counts(labelled).drop("code"), "pairs")
+    release_shuffles(pairs.sparkSession)
     o, t = F.col("ordinary"), F.col("toxic")
     one = lambda c: F.sum(c.cast("long"))
     words = stored(pairs.groupBy(F.col("second").alias("key")).agg(
@@ -288,37 +292,43 @@ def evidence(texts: DataFrame, packed: Packed) -> DataFrame:
         start = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
         return texts, dict(zip(slot[start].tolist(), np.split(keys, start[1:])))
 
-    upper = np.uint64(64 - ASK_BITS)
+    upper, checked = np.uint64(64 - ASK_BITS), np.uint64(64 - ASK_BITS - CHECK_BITS)
 
     def ask(group):
         _, lists = by_slot(group)
         out = pa.table({"chunk": pa.array([group.column("chunk")[0].as_py()] * len(lists), type=pa.int64()), "slot": pa.array(list(lists), type=pa.int64()),
-                        "keys": pa.array([zipped_keys(k >> upper, ASK_BITS // 8) for k in lists.values()], type=pa.binary())})
+                        "keys": pa.array([zipped_keys(np.unique(k >> upper), ASK_BITS // 8) for k in lists.values()], type=pa.binary())})
         del lists
         release_memory()
         return out
 
     def answer(asked, known):
-        """Which keys of each list of a slot have counts, and these counts."""
-        out = {"chunk": [], "slot": [], "places": [], "found": []}
+        """For each list of a slot: how many rows begin with each of its keys, these rows' further bits and counts."""
+        out = {"chunk": [], "slot": [], "rows": [], "bits": [], "found": []}
         if known.num_rows:
-            have = unzipped_keys(known.column("keys")[0].as_py(), 8) >> upper
+            have = unzipped_keys(known.column("keys")[0].as_py(), 8)
             value = unzipped(known.column("counts")[0].as_py(), 20, 20, np.float32)
+            begins, further = have >> upper, (have >> checked).astype(np.uint16)
             for c, n, raw in zip(*(asked.column(x).to_pylist() for x in ("chunk", "slot", "keys"))):
                 own = unzipped_keys(raw, ASK_BITS // 8)
-                at = np.minimum(np.searchsorted(have, own), len(have) - 1)
-                hit = have[at] == own
-                for x, v in zip(out.values(), (c, n, np.packbits(hit).tobytes(), zipped(value[at[hit]], 20))):
+                first = np.searchsorted(begins, own)
+                rows = np.searchsorted(begins, own, side="right") - first
+                at = np.repeat(first - np.cumsum(rows) + rows, rows) + np.arange(rows.sum())
+                for x, v in zip(out.values(), (c, n, zipped(rows.astype(np.uint32), 4), zipped(further[at], 2), zipped(value[at], 20))):
                     x.append(v)
         return pa.table({k: pa.array(v, type=pa.int64() if k in ("chunk", "slot") else pa.binary()) for k, v in out.items()})
 
     def weigh(group, answers):
         texts, lists = by_slot(group)
         keys, values = [np.empty(0, dtype=np.uint64)], [np.zeros((0, 5), dtype=np.float32)]
-        for n, places, found in zip(*(answers.column(x).to_pylist() for x in ("slot", "places", "found"))):
-            hit = np.unpackbits(np.frombuffer(places, dtype=np.uint8), count=len(lists[n])).astype(bool)
-            keys.append(lists[n][hit])
-            values.append(unzipped(found, 20, 20, np.float32))
+        for n, rows, further, found in zip(*(answers.column(x).to_pylist() for x in ("slot", "rows", "bits", "found"))):
+            own = lists[n]
+            begins = np.repeat(np.unique(own >> upper), unzipped(rows, 4, 4, np.uint32).ravel())
+            got = begins << np.uint64(CHECK_BITS) | unzipped(further, 2, 2, np.uint16).ravel()
+            at = np.minimum(np.searchsorted(own >> checked, got), len(own) - 1)
+            same = own[at] >> checked == got
+            keys.append(own[at[same]])
+            values.append(unzipped(found, 20, 20, np.float32)[same])
         have = np.concatenate(keys).view(np.int64)
         order = np.argsort(have)
         have, value = have[order], np.vstack([np.concatenate(values)[order], np.zeros((1, 5), dtype=np.float32)])
@@ -337,7 +347,7 @@ def evidence(texts: DataFrame, packed: Packed) -> DataFrame:
         return scored
 
     asked = dealt.groupBy("chunk").applyInArrow(ask, "chunk bigint, slot bigint, keys binary")
-    answers = asked.groupBy("slot").cogroup(packed.rows.groupBy("slot")).applyInArrow(answer, "chunk bigint, slot bigint, places binary, found binary")
+    answers = asked.groupBy("slot").cogroup(packed.rows.groupBy("slot")).applyInArrow(answer, "chunk bigint, slot bigint, rows binary, bits binary, found binary")
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(weigh, "name1 bigint, name2 bigint, evidence array<double>")
 
 

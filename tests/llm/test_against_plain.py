@@ -456,3 +456,10 @@ def test_license_notices(spark, rng):
     found = license_scan.scan(docs, license_scan.train(docs)).where("confirmed").collect()
     assert {(r["doc_id"], r["family"]) for r in found} >= {(i, f) for i, _, f in rows if f}
     assert not [r for r in found if 100 <= r["doc_id"] < 400]
+
+
+def test_words_of_ascii_texts_are_those_of_the_pattern():
+    text = "".join(map(chr, range(128))) + " Don't_stop 3,14 A.B-c\x1f\x0bx"
+    want = [toxicity.xxh3_64_intdigest(w) for w in toxicity.find_words(text.lower())]
+    assert toxicity.Hasher().word_ids(text).view(np.uint64).tolist() == want
+    assert toxicity.Hasher().word_ids(text + " é").view(np.uint64).tolist() == want[:-1] + [toxicity.xxh3_64_intdigest(w) for w in ("x", "é")]
