@@ -30,11 +30,14 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--step", action="append", choices=PL.STEPS, help="run only these steps (repeatable)")
     run.add_argument("--run-id", default=None, help="reuse an earlier run's folders")
     run.add_argument("--edition", type=int, default=Settings().edition)
+    run.add_argument("--country-mapping", help="CSV (wb_code, edgar_code, reason) in place of the listed mapping")
+    run.add_argument("--area-mapping", help="CSV (fao_area_code, fao_area, edgar_code, reason) in place of the listed mapping")
+    run.add_argument("--threshold", action="append", default=[], metavar="NAME=VALUE", help="a data-quality threshold (repeatable)")
     args = parser.parse_args(argv)
 
     spark = get_spark("statlayer-run")
     size_parallelism(spark, input_bytes(spark, args.matrix, args.pages, args.stats))   # partitions from input size
-    cfg = Settings(edition=args.edition)
+    cfg = Settings.with_thresholds(args.threshold, edition=args.edition, country_mapping=args.country_mapping, area_mapping=args.area_mapping)
     pages, stats = complete_pull(spark, args.pages), complete_file(spark, args.stats)
     paths = PL.run(spark, PL.RawInputs(args.matrix, pages, stats, args.matrix_format), args.out,
                    steps=args.step, cfg=cfg, run_id=args.run_id)

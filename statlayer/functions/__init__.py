@@ -4,5 +4,5 @@ from statlayer.functions.numeric import (  # noqa: F401
     sql_round, to_double_lenient,
 )
 from statlayer.functions.text import (  # noqa: F401
-    blank_to_null, first_present, fold_accents, is_number_name, slug, strip_all, strip_leading, zero_pad,
+    blank_to_null, first_present, is_number_name, plain_letters, slug, strip_all, strip_leading, zero_pad,
 )

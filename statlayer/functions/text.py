@@ -1,12 +1,8 @@
 """Text expressions with the exact semantics of the source transformations (all JVM-side)."""
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _c(col) -> Column:
@@ -63,9 +59,7 @@ def is_number_name(name) -> bool:
     return text.isdigit()
 
 
-@F.pandas_udf(T.StringType())
-def fold_accents(s: pd.Series) -> pd.Series:
-    """Lower-case text without accents: NFKD, drop non-ASCII, lower ('São Tomé' -> 'sao tome').
-    Vectorised over Arrow batches; used on names only (small, per-row helper)."""
-    return s.map(lambda v: None if v is None else
-                 unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode().lower())
+def plain_letters(col) -> Column:
+    """Text that compares without accents and case (``São Tomé`` = ``sao tome``): the collation does it inside the JVM,
+    in comparisons, joins and groupings alike; the text itself stays as it is."""
+    return F.collate(_c(col), "UNICODE_CI_AI")

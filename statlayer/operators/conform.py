@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statlayer import schemas, settings
-from statlayer.functions.text import fold_accents, strip_leading, zero_pad
+from statlayer.functions.text import plain_letters, strip_leading, zero_pad
 from statlayer.operators.joins import fixed_dim
+from statlayer.sources.tables import read_csv_table
 
 
 def _c(col) -> Column:
@@ -55,12 +57,19 @@ def iso_table(spark: SparkSession, path: str = settings.Settings().iso_table) ->
     return spark.read.schema(schemas.ISO_TABLE).option("header", True).csv(path)
 
 
-def country_mapping(spark: SparkSession, rows=settings.COUNTRY_MAPPING) -> DataFrame:
-    return spark.createDataFrame(list(rows), schemas.COUNTRY_MAPPING)
+def mapping_table(spark: SparkSession, rows, schema, path: str | None = None) -> DataFrame:
+    """A mapping (S8) from a CSV file if a path is given, else from listed rows; ``position`` is an entry's place."""
+    if path:
+        return read_csv_table(spark, path, schema)
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], T.StructType([*schema, T.StructField(*schemas.POSITION)]))
 
 
-def area_mapping(spark: SparkSession, rows=settings.AREA_MAPPING) -> DataFrame:
-    return spark.createDataFrame(list(rows), schemas.AREA_MAPPING)
+def country_mapping(spark: SparkSession, rows=settings.COUNTRY_MAPPING, path: str | None = None) -> DataFrame:
+    return mapping_table(spark, rows, schemas.COUNTRY_MAPPING, path)
+
+
+def area_mapping(spark: SparkSession, rows=settings.AREA_MAPPING, path: str | None = None) -> DataFrame:
+    return mapping_table(spark, rows, schemas.AREA_MAPPING, path)
 
 
 def known_codes(spark: SparkSession, iso: DataFrame, extra_codes=settings.EXTRA_COUNTRY_CODES) -> DataFrame:
@@ -90,11 +99,9 @@ def conform_codes(df: DataFrame, area_col: str, iso_col: str, area_map: DataFram
     """Target code by precedence
     1. special area -> code (areas without an ISO code, e.g. a former state),
     2. otherwise the ISO code translated for merged targets (SSD -> SDN), else the ISO code itself.
-    Mapping tables are deduplicated with the last listed entry winning, so the join never fans out."""
-    special = fixed_dim(_last_wins(area_map.select(F.col("fao_area_code").alias("__area"),
-                                                   F.col("edgar_code").alias("__special")), "__area"))
-    merged = fixed_dim(_last_wins(country_map.select(F.col("wb_code").alias("__iso"),
-                                                     F.col("edgar_code").alias("__merged")), "__iso"))
+    Mapping tables are deduplicated with the last listed entry (``position``) winning, so the join never fans out."""
+    special = fixed_dim(last_listed(area_map, "fao_area_code", "edgar_code").toDF("__area", "__special"))
+    merged = fixed_dim(last_listed(country_map, "wb_code", "edgar_code").toDF("__iso", "__merged"))
     joined = (df.join(special, df[area_col] == special["__area"], "left")
               .join(merged, df[iso_col] == merged["__iso"], "left"))
     from_iso = F.when(F.col(iso_col).isNotNull(), F.coalesce(F.col("__merged"), F.col(iso_col)))
@@ -102,25 +109,24 @@ def conform_codes(df: DataFrame, area_col: str, iso_col: str, area_map: DataFram
         .drop("__area", "__special", "__iso", "__merged")
 
 
-def _last_wins(df: DataFrame, key: str) -> DataFrame:
-    """Dedupe a small mapping on ``key``; the last row in listed order wins (as a dict build does)."""
-    ordered = df.withColumn("__pos", F.monotonically_increasing_id())
-    value_cols = [c for c in df.columns if c != key]
-    return ordered.groupBy(key).agg(F.max_by(F.struct(*value_cols), F.col("__pos")).alias("__v")) \
-        .select(key, *[F.col(f"__v.{c}").alias(c) for c in value_cols])
+def last_listed(mapping: DataFrame, key: str, value: str, position: str = "position") -> DataFrame:
+    """(key, value) of a mapping whose keys may repeat: the last listed entry wins. A mapping without positions must
+    not repeat a key in different ways; then the largest value is taken, whatever the order of its rows."""
+    order = F.struct(F.col(position), F.col(value)) if position in mapping.columns else F.col(value)
+    return mapping.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(value, order).alias(value))
 
 
 def with_looks_merged(df: DataFrame, code_col: str, name_col: str, iso: DataFrame,
                       out: str = "looks_merged") -> DataFrame:
     """Does a name join several countries under one code ('Sudan and South Sudan')? True when the
-    name contains ' and ' and its accent-folded form is none of the ISO names of that code (so
+    name contains ' and ' and, accents and case aside, is none of the ISO names of that code (so
     'Trinidad and Tobago' is not merged); an unknown code with ' and ' counts as merged."""
     names = iso.select(F.col("alpha_3").alias("__code"), F.explode(F.array("name", "official_name", "common_name"))
                        .alias("__n")).where(F.col("__n").isNotNull() & (F.col("__n") != ""))
-    names = fixed_dim(names.select("__code", fold_accents("__n").alias("__folded")).distinct())
+    names = fixed_dim(names.select("__code", plain_letters("__n").alias("__plain")).distinct())
     known = fixed_dim(iso.select(F.col("alpha_3").alias("__known")))
-    flagged = (df.withColumn("__fname", fold_accents(F.col(name_col).cast("string")))
+    flagged = (df.withColumn("__name", plain_letters(F.col(name_col).cast("string")))
                .join(known, F.col(code_col) == F.col("__known"), "left")
-               .join(names, (F.col(code_col) == F.col("__code")) & (F.col("__fname") == F.col("__folded")), "left"))
-    merged = F.col(name_col).contains(" and ") & (F.col("__known").isNull() | F.col("__folded").isNull())
-    return flagged.withColumn(out, F.coalesce(merged, F.lit(False))).drop("__fname", "__known", "__code", "__folded")
+               .join(names, (F.col(code_col) == F.col("__code")) & (F.col("__name") == F.col("__plain")), "left"))
+    merged = F.col(name_col).contains(" and ") & (F.col("__known").isNull() | F.col("__plain").isNull())
+    return flagged.withColumn(out, F.coalesce(merged, F.lit(False))).drop("__name", "__known", "__code", "__plain")

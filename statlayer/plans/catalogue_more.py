@@ -3,11 +3,12 @@ contracts, publishing and file-format operators on the driver tables (each with
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statlayer.functions.numeric import gap_ratio
-from statlayer.functions.text import STRIP_PATTERN, slug, strip_all, strip_leading, zero_pad
+from statlayer.functions.text import STRIP_PATTERN, plain_letters, slug, strip_all, strip_leading, zero_pad
 from statlayer.operators.aggregate import complete_group_sums, duplicate_rows, value_counts
-from statlayer.operators.conform import equals_flag, recode
+from statlayer.operators.conform import equals_flag, last_listed, recode
 from statlayer.operators.dedup import keep_first
 from statlayer.operators.joins import fixed_dim
 from statlayer.operators.reshape import pivot_years
@@ -16,12 +17,14 @@ from statlayer.plans import products as P
 from statlayer.plans.catalogue import MONEY, r6, register, t
 from statlayer.profile.files import compare_formats, partition_read_share
 from statlayer.profile.stats import column_profile, summary
-from statlayer.publish.warehouse import TableLoad, load_warehouse, read_audit, read_current
+from statlayer.publish.warehouse import TableLoad, check_published, load_warehouse, read_audit, read_current
 from statlayer.quality import checks as C
 from statlayer.quality.contracts import constraint_violations
 from statlayer.quality.dropped import Dropped, report as dropped_rows
-from statlayer.schemas import Contract
+from statlayer.quality.drift import schema_drift
+from statlayer.schemas import Contract, struct
 from statlayer.session import scratch_path
+from statlayer.sources.tables import table_path
 
 SQL_WS = STRIP_PATTERN.replace("'", "''")
 
@@ -240,6 +243,50 @@ def value_counts_query(spark, d):
     return value_counts(t(spark, d, "orders"), ["o_orderstatus", "o_orderpriority"])
 
 
+DECLARED_LINES = struct(("l_orderkey", T.LongType()), ("l_partkey", T.LongType()), ("l_suppkey", T.LongType()), ("l_linenumber", T.LongType()),
+                        ("l_quantity", T.DoubleType()), ("l_extendedprice", T.DecimalType(18, 2)), ("l_discount", T.DoubleType()),
+                        ("l_returnflag", T.StringType()), ("l_linestatus", T.StringType()), ("l_shipdate", T.TimestampType()),
+                        ("l_comment", T.StringType()))
+
+
+@register("schema_drift", f"""WITH held AS (
+  SELECT column_name AS name, CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS found
+  FROM (DESCRIBE lineitem)),
+declared(name, declared) AS (VALUES {", ".join(f"('{f.name}', '{f.dataType.simpleString()}')" for f in DECLARED_LINES)})
+SELECT 'lineitem' AS table_name, COALESCE(d.name, h.name) AS "column", d.declared, h.found, CAST(1 AS BIGINT) AS files
+FROM declared d FULL JOIN held h ON d.name = h.name WHERE d.declared IS DISTINCT FROM h.found""")
+def schema_drift_query(spark, d):
+    """The footers of a table's files against a declared schema: a missing and an undeclared column, two other types."""
+    return schema_drift(spark, "lineitem", table_path(d, "lineitem"), DECLARED_LINES)
+
+
+@register("last_listed_mapping", """WITH mapping AS (SELECT c_nationkey, arg_max(c_mktsegment, c_custkey) AS target FROM customer GROUP BY c_nationkey)
+SELECT s.s_suppkey, s.s_nationkey, m.target FROM supplier s LEFT JOIN mapping m ON m.c_nationkey = s.s_nationkey""")
+def last_listed_mapping(spark, d):
+    """A mapping whose keys repeat (nation -> segment, one entry a customer): the last listed entry wins, also
+    after the entries were shuffled."""
+    entries = t(spark, d, "customer").select("c_nationkey", "c_mktsegment", F.col("c_custkey").alias("position")).repartition("c_mktsegment")
+    mapping = last_listed(entries, "c_nationkey", "c_mktsegment").withColumnRenamed("c_mktsegment", "target")
+    s = t(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    return s.join(mapping, s.s_nationkey == mapping.c_nationkey, "left").drop("c_nationkey")
+
+
+LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+
+
+@register("plain_letter_words", f"""WITH words AS (SELECT lang, unnest(regexp_extract_all(text, '{LETTERS}')) AS word FROM documents)
+SELECT lang, COUNT(*) AS words, COUNT(DISTINCT word) AS spellings,
+  COUNT(DISTINCT replace(strip_accents(lower(word)), 'ß', 'ss')) AS plain_words
+FROM words GROUP BY lang""")
+def plain_letter_words(spark, d):
+    """spellings that differ only in accents or case are one word (a collation, inside the JVM)."""
+    words = t(spark, d, "documents").select("lang", F.explode(F.regexp_extract_all("text", F.lit(LETTERS), F.lit(0))).alias("word"))
+    # exact spellings are counted first, so a word said a million times is one row before it is compared
+    spelled = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    plain = spelled.groupBy("lang", plain_letters("word").alias("plain")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("spellings"))
+    return plain.groupBy("lang").agg(F.sum("n").alias("words"), F.sum("spellings").alias("spellings"), F.count(F.lit(1)).alias("plain_words"))
+
+
 # -------------------------------------------------------------------- reconciliations
 SQL_ORDER_REGION = """ordr AS (
   SELECT r.r_name, n.n_name, CAST(year(o.o_orderdate) AS INTEGER) AS year, CAST(o.o_totalprice AS DECIMAL(18,2)) AS v
@@ -472,6 +519,18 @@ def load_audit_rows(spark, d):
     return read_audit(spark, base).where("batch_id = 'first'").select("table_name", "rows_upserted", "rows_deleted")
 
 
+@register("published_equals_files", """SELECT 'customer' AS table_name, COUNT(*) AS published, COUNT(*) AS expected, true AS same_content FROM customer
+UNION ALL SELECT 'orders', COUNT(*), COUNT(*), COUNT(*) = COUNT(*) FILTER (WHERE o_totalprice < 100000) FROM orders""")
+def published_equals_files(spark, d):
+    """Two published tables against the rows they should hold, by number and by content; one was published with
+    some prices changed, which only the content shows."""
+    c, o = t(spark, d, "customer"), t(spark, d, "orders")
+    base = scratch_path(spark, "content")
+    changed = o.withColumn("o_totalprice", F.least("o_totalprice", F.lit(99999.99)))
+    load_warehouse(spark, base, [TableLoad("customer", c.repartition(5), ["c_custkey"]), TableLoad("orders", changed, ["o_orderkey"])], batch_id="b")
+    return check_published(spark, base, {"customer": c, "orders": o})
+
+
 @register("partition_prune", """SELECT COUNT(*) AS rows_all, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS rows_read,
   COUNT(DISTINCT o_orderstatus) AS folders,
   ROUND(100.0 * CAST(COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 6) AS share_pct

@@ -11,17 +11,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlayer import schemas
+from statlayer.errors import DataQualityError, ExtractionError
 from statlayer.operators import conform
 from statlayer.plans import products as P
-from statlayer.profile.files import compare_formats
+from statlayer.profile.files import compare_formats, provenance
 from statlayer.publish.warehouse import (
-    TableLoad, check_published, load_warehouse, new_batch_id, read_current, register_tables,
+    TableLoad, check_published, current_commit, load_warehouse, new_batch_id, read_current, register_tables,
 )
 from statlayer.quality import rules
 from statlayer.quality.checks import run_checks
 from statlayer.quality.dropped import Dropped, report as dropped_rows
+from statlayer.quality.drift import schema_drift
 from statlayer.session import stored_table
-from statlayer.settings import Settings
+from statlayer.settings import POPULATION_INDICATOR, Settings
 from statlayer.sources import files as src
 
 
@@ -44,6 +47,46 @@ class RunPaths:
         return f"{self.base}/warehouse"
 
 
+def read_staged(spark: SparkSession, paths: RunPaths, name: str) -> DataFrame:
+    """A staged table with its declared schema: no file is opened to infer one."""
+    return spark.read.schema(schemas.STAGED[name]).parquet(paths.staging(name))
+
+
+def read_curated(spark: SparkSession, paths: RunPaths, name: str) -> DataFrame:
+    """A curated table with its declared schema."""
+    return spark.read.schema(schemas.CURATED[name]).parquet(paths.curated(name))
+
+
+def require_declared(spark: SparkSession, table: str, path: str, declared, partitions: tuple = ()) -> None:
+    """Stop if the files of a table hold anything but its declared columns."""
+    drift = schema_drift(spark, table, path, declared, partitions).orderBy("column", "found").limit(20).collect()
+    if drift:
+        raise DataQualityError("\n".join([f"{table}: files differ from the declared schema"] + [
+            f"  {r['column']}: declared {r.declared or 'not at all'}, {r.files} file(s) hold {r.found or 'no such column'}" for r in drift]))
+
+
+# -------------------------------------------------------------------------- raw files
+def record_raw_files(spark: SparkSession, raw: RawInputs, paths: RunPaths) -> DataFrame:
+    """The manifest of the run's raw files (name, size, SHA-256), written before anything is read from them. A
+    run that goes on later verifies it instead: a file that changed, vanished or came in between stops the run."""
+    found = None
+    for source, path in (("matrix", raw.matrix), ("population", raw.pages), ("stats", raw.stats)):
+        files = src.file_manifest(spark, path, source=source)
+        found = files if found is None else found.unionByName(files)
+    where = paths.report("raw_files")
+    if src.glob_paths(spark, f"{where}/_SUCCESS"):
+        known = spark.read.schema(src.MANIFEST).parquet(where)
+        changed = src.changed_files(known, found).orderBy("source", "file").limit(20).collect()
+        if changed:
+            raise ExtractionError("raw files changed since the run began: " + ", ".join(f"{r.source}/{r.file} ({r.change})" for r in changed))
+        return known
+    found.coalesce(1).write.parquet(where)
+    known = spark.read.schema(src.MANIFEST).parquet(where)
+    provenance(known).coalesce(1).write.mode("overwrite").option("header", True).csv(paths.report("provenance"))
+    src.write_json_text(spark, src.pull_manifest(src.page_completeness(spark, raw.pages), POPULATION_INDICATOR), paths.report("pull_manifest"))
+    return known
+
+
 # -------------------------------------------------------------------------- D11 stage
 def stage_matrix(spark: SparkSession, raw_path: str, paths: RunPaths, cfg: Settings = Settings(),
                  fmt: str = "csv") -> str:
@@ -89,23 +132,22 @@ def report_dropped(spark: SparkSession, paths: RunPaths, lost: Dropped) -> None:
 # ------------------------------------------------------------------------- D12 curate
 def curate(spark: SparkSession, paths: RunPaths, cfg: Settings = Settings()) -> dict:
     """Matrix + population -> dim_country, by-gas facts, population, country-year product."""
-    staged = spark.read.parquet(paths.staging("matrix")).where(
+    staged = read_staged(spark, paths, "matrix").where(
         F.col("sector_key") == cfg.focus_sector.lower().replace(" ", "_"))        # partition pruning (S5)
     by_gas = P.build_by_gas(staged, cfg.focus_gases)
     edition = staged.select(F.max("edgar_edition")).first()[0]
-    mapping = conform.country_mapping(spark)
+    mapping = conform.country_mapping(spark, path=cfg.country_mapping)
     dim_country = P.build_dim_country(staged.where((F.col("country_type") == "country")
                                                    & F.col("gas").isin(list(cfg.focus_gases))), mapping)
     lost = Dropped("curate")
-    population = P.population_for_countries(spark.read.parquet(paths.staging("population")), dim_country, lost)
+    population = P.population_for_countries(read_staged(spark, paths, "population"), dim_country, lost)
     tables = {"dim_country": dim_country, "agri_emissions_by_gas": by_gas, "population": population}
     out = {}
     for name, df in tables.items():
         out[name] = paths.curated(name)
         df.write.mode("overwrite").parquet(out[name])
     report_dropped(spark, paths, lost)
-    cy = P.build_country_year(spark.read.parquet(out["agri_emissions_by_gas"]),
-                              spark.read.parquet(out["population"]), edition)
+    cy = P.build_country_year(read_curated(spark, paths, "agri_emissions_by_gas"), read_curated(spark, paths, "population"), edition)
     out["agri_country_year"] = paths.curated("agri_country_year")
     cy.write.mode("overwrite").parquet(out["agri_country_year"])
     return out
@@ -113,11 +155,11 @@ def curate(spark: SparkSession, paths: RunPaths, cfg: Settings = Settings()) ->
 
 def curate_stats(spark: SparkSession, paths: RunPaths, cfg: Settings = Settings()) -> dict:
     """Statistics -> dim_activity, by-activity facts (+ unmatched / rejected reports), comparison."""
-    scope = P.stats_scope(spark.read.parquet(paths.staging("stats")), cfg)
-    dim_country = spark.read.parquet(paths.curated("dim_country"))
+    scope = P.stats_scope(read_staged(spark, paths, "stats"), cfg)
+    dim_country = read_curated(spark, paths, "dim_country")
     dim_activity = P.build_dim_activity(spark)
-    table, unmatched, rejected = P.build_by_activity(scope, dim_country, dim_activity, conform.area_mapping(spark),
-                                                     conform.country_mapping(spark), materialize=True)
+    table, unmatched, rejected = P.build_by_activity(scope, dim_country, dim_activity, conform.area_mapping(spark, path=cfg.area_mapping),
+                                                     conform.country_mapping(spark, path=cfg.country_mapping), materialize=True)
     out = {"dim_activity": paths.curated("dim_activity"), "agri_emissions_by_activity":
            paths.curated("agri_emissions_by_activity")}
     dim_activity.write.mode("overwrite").parquet(out["dim_activity"])
@@ -125,8 +167,7 @@ def curate_stats(spark: SparkSession, paths: RunPaths, cfg: Settings = Settings(
     # unmatched areas: one row per area (bounded) -> one file; rejected rows grow with the data -> parallel
     unmatched.write.mode("overwrite").option("header", True).csv(paths.report("unmatched_areas"))
     rejected.write.mode("overwrite").option("header", True).csv(paths.report("rejected_rows"))
-    cmp = P.build_comparison(spark.read.parquet(out["agri_emissions_by_activity"]),
-                             spark.read.parquet(paths.curated("agri_country_year")))
+    cmp = P.build_comparison(read_curated(spark, paths, "agri_emissions_by_activity"), read_curated(spark, paths, "agri_country_year"))
     out["edgar_vs_faostat"] = paths.curated("edgar_vs_faostat")
     cmp.write.mode("overwrite").parquet(out["edgar_vs_faostat"])
     return out
@@ -135,7 +176,13 @@ def curate_stats(spark: SparkSession, paths: RunPaths, cfg: Settings = Settings(
 # ------------------------------------------------------------------------ E2 gates
 def validate(spark: SparkSession, paths: RunPaths, step: str, cfg: Settings = Settings(),
              today_year: int | None = None) -> dict:
-    staged, curated = lambda n: spark.read.parquet(paths.staging(n)), lambda n: spark.read.parquet(paths.curated(n))
+    staged, curated = lambda n: read_staged(spark, paths, n), lambda n: read_curated(spark, paths, n)
+    checked = {"curated": ["dim_country", "agri_emissions_by_gas", "population", "agri_country_year"],
+               "curated_stats": ["dim_activity", "agri_emissions_by_activity", "edgar_vs_faostat"]}
+    for name in checked.get(step, []):
+        require_declared(spark, name, paths.curated(name), schemas.CURATED[name])
+    if step in schemas.STAGED:
+        require_declared(spark, step, paths.staging(step), schemas.STAGED[step], ("sector_key",) if step == "matrix" else ())
     if step == "curated":
         res = rules.judge({"country_year": curated("agri_country_year"), "by_gas": curated("agri_emissions_by_gas")}, cfg,
                           dim_country=curated("dim_country"))
@@ -149,7 +196,7 @@ def validate(spark: SparkSession, paths: RunPaths, step: str, cfg: Settings = Se
 
 # ------------------------------------------------------------------------- load
 def load(spark: SparkSession, paths: RunPaths, database: str = "warehouse") -> dict:
-    read = lambda n: spark.read.parquet(paths.curated(n))
+    read = lambda n: read_curated(spark, paths, n)
     tables = [
         TableLoad("dim_gas", P.build_dim_gas(spark), ["gas_code"], "dimension"),
         TableLoad("dim_country", read("dim_country"), ["country_code"], "dimension"),
@@ -174,13 +221,20 @@ def check_warehouse(spark: SparkSession, paths: RunPaths) -> dict:
     files = {"fact_emissions": "agri_emissions_by_gas", "fact_population": "population",
              "agri_country_year": "agri_country_year", "fact_emissions_by_activity": "agri_emissions_by_activity",
              "edgar_vs_faostat": "edgar_vs_faostat"}
-    counts = check_published(spark, paths.warehouse, {t: spark.read.parquet(paths.curated(f)) for t, f in files.items()})
+    as_published = {t: schemas.TABLES[t].fieldNames() for t in files}
+    curated = {t: read_curated(spark, paths, f).withColumnsRenamed({"gas": "gas_code"} if t == "fact_emissions" else {})
+               for t, f in files.items()}
+    counts = check_published(spark, paths.warehouse, {t: df.select(*[c for c in as_published[t] if c != "loaded_at"]) for t, df in curated.items()}).collect()
     checks = [expect_true(M.text(M.PUBLISHED_COUNT, table=r.table_name), F.lit(r.published == r.expected),
                           F.lit(M.text(M.PUBLISHED_COUNT_DETAILS, published=f"{r.published:,}",
-                                       expected=f"{r.expected:,}"))) for r in counts.collect()]
+                                       expected=f"{r.expected:,}"))) for r in counts]
+    checks += [expect_true(M.text(M.PUBLISHED_CONTENT, table=r.table_name), F.lit(r.same_content), F.lit(M.PUBLISHED_CONTENT_DETAILS))
+               for r in counts]
+    for name, path in current_commit(spark, paths.warehouse).tables.items():
+        require_declared(spark, name, f"{paths.warehouse}/{path}", schemas.TABLES[name])
     facts = read_current(spark, paths.warehouse, "fact_emissions")
-    by_gas = spark.read.parquet(paths.curated("agri_emissions_by_gas"))
-    latest = spark.read.parquet(paths.curated("agri_country_year")).select(F.max("year")).scalar()
+    by_gas = read_curated(spark, paths, "agri_emissions_by_gas")
+    latest = read_curated(spark, paths, "agri_country_year").select(F.max("year")).scalar()
     db = facts.where(F.col("year") == latest).select(F.sum("emissions_mt_co2eq")).scalar()
     fl = by_gas.where(F.col("year") == latest).select(F.sum("emissions_mt_co2eq")).scalar()
     checks.append(expect_true(M.PUBLISHED_TOTAL, F.abs(db - fl) < F.lit(1e-6) * F.greatest(fl, F.lit(1.0)),
@@ -210,7 +264,7 @@ def contract_checks(spark: SparkSession, warehouse: str) -> DataFrame:
 
 
 def formats(spark: SparkSession, paths: RunPaths) -> DataFrame:
-    out = compare_formats(spark.read.parquet(paths.curated("agri_country_year")), paths.report("exports"))
+    out = compare_formats(read_curated(spark, paths, "agri_country_year"), paths.report("exports"))
     out.coalesce(1).write.mode("overwrite").option("header", True).csv(paths.report("format_comparison"))
     return out
 
@@ -241,6 +295,8 @@ def run(spark: SparkSession, raw: RawInputs, base: str, steps: list[str] | None
     """Run the steps in order (all by default, or the listed ones on an earlier run's folders)."""
     paths = RunPaths(base, run_id or new_batch_id())
     todo = steps or STEPS
+    if "stage" in todo or src.glob_paths(spark, f"{paths.report('raw_files')}/_SUCCESS"):
+        record_raw_files(spark, raw, paths)
     if "stage" in todo:          # E3: three independent source branches, submitted as concurrent jobs
         _concurrently([lambda: stage_matrix(spark, raw.matrix, paths, cfg, raw.matrix_format),
                        lambda: stage_population(spark, raw.pages, paths),

@@ -50,6 +50,8 @@ SOURCES_AGREE = "EDGAR and FAOSTAT world totals agree within {max_gap}%"
 SOURCES_AGREE_DETAILS = "largest gap {gap}% over {n} years"
 PUBLISHED_COUNT = "row count {table} = curated file"
 PUBLISHED_COUNT_DETAILS = "database {published} vs file {expected}"
+PUBLISHED_CONTENT = "content of {table} = curated file"
+PUBLISHED_CONTENT_DETAILS = "number of rows and sums of their hashes"
 PUBLISHED_TOTAL = "world total latest year in database = curated file"
 PUBLISHED_TOTAL_DETAILS = "database {published} Mt vs file {expected} Mt"
 ORPHANS = "referential integrity: no emissions without a country"

@@ -40,6 +40,7 @@ LOAD_AUDIT = struct(("audit_id", L), ("batch_id", S), ("table_name", S), ("rows_
 CHECK_RESULT = struct(("check", S), ("passed", B), ("details", S), ("severity", S))
 COUNTRY_MAPPING = struct(("wb_code", S), ("edgar_code", S), ("reason", S))
 AREA_MAPPING = struct(("fao_area_code", I), ("fao_area", S), ("edgar_code", S), ("reason", S))
+POSITION = ("position", L)                                # of an entry in its mapping; the last listed one wins
 ISO_TABLE = struct(("numeric", S), ("alpha_3", S), ("alpha_2", S), ("name", S), ("official_name", S),
                    ("common_name", S))
 
@@ -82,7 +83,21 @@ CONTRACTS = {c.table: c for c in (
 )}
 
 
-TABLES = {"dim_gas": DIM_GAS, "dim_activity": DIM_ACTIVITY, "dim_country": DIM_COUNTRY, "load_audit": LOAD_AUDIT}
+def published(schema: T.StructType, drop: tuple = (), **renamed: str) -> T.StructType:
+    """A curated table's schema as a fact in the warehouse: some columns left out or renamed, and the load time."""
+    kept = [T.StructField(renamed.get(f.name, f.name), f.dataType) for f in schema if f.name not in drop]
+    return T.StructType([*kept, T.StructField("loaded_at", TS)])
+
+
+#: The layers' tables as their steps write them.
+STAGED = {"matrix": STG_MATRIX, "population": STG_POPULATION, "stats": STG_STATS}
+CURATED = {"dim_country": DIM_COUNTRY, "agri_emissions_by_gas": BY_GAS, "population": POPULATION, "agri_country_year": COUNTRY_YEAR,
+           "dim_activity": DIM_ACTIVITY, "agri_emissions_by_activity": BY_ACTIVITY, "edgar_vs_faostat": COMPARISON}
+#: The nine tables of the warehouse as their files hold them (a batch stands in a path, not in a column).
+TABLES = {"dim_gas": DIM_GAS, "dim_activity": DIM_ACTIVITY, "dim_country": DIM_COUNTRY, "load_audit": LOAD_AUDIT,
+          "fact_emissions": published(BY_GAS, gas="gas_code"), "fact_population": published(POPULATION),
+          "agri_country_year": published(COUNTRY_YEAR), "fact_emissions_by_activity": published(BY_ACTIVITY, drop=("activity", "activity_group")),
+          "edgar_vs_faostat": published(COMPARISON)}
 
 
 def ddl(name: str, schema: T.StructType, location: str) -> str:

@@ -5,7 +5,7 @@ the emissions tables and on any other long/wide table.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from pathlib import Path
 
 RESOURCES = Path(__file__).resolve().parent / "resources"
@@ -128,3 +128,17 @@ class Settings:
     focus_gases: tuple = tuple(FOCUS_GASES)
     thresholds: Thresholds = field(default_factory=Thresholds)
     iso_table: str = str(RESOURCES / "iso3166_1.csv")
+    country_mapping: str | None = None          # CSV files in place of the listed mappings
+    area_mapping: str | None = None
+
+    @classmethod
+    def with_thresholds(cls, pairs=(), **values) -> Settings:
+        """Settings with some thresholds given as ``name=value`` texts; an unknown name or a bad number is an error."""
+        kinds = {f.name: type(getattr(Thresholds(), f.name)) for f in fields(Thresholds)}
+        changed = {}
+        for pair in pairs:
+            name, _, value = pair.partition("=")
+            if name not in kinds:
+                raise ValueError(f"unknown threshold {name!r}; known: {', '.join(kinds)}")
+            changed[name] = kinds[name](value)
+        return cls(thresholds=Thresholds(**changed), **values)

@@ -47,5 +47,9 @@ def fetch_value(df: DataFrame):
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Small mapping-table CSV with a declared schema (S8); join it with ``fixed_dim`` / a size check."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Mapping-table CSV with a declared schema (S8) and each entry's place in the file as column ``position``: the
+    place is data from the scan on, so that "the last listed entry wins" holds after any shuffle. A row with too few
+    or too many fields, or a value of another type, fails the read."""
+    from pyspark.sql import functions as F
+    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path) \
+        .withColumn("position", F.monotonically_increasing_id())
