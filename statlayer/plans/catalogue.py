@@ -356,4 +356,4 @@ def largest_differences(spark, d):
 
 
 # second half of the catalogue registers itself on import
-from statlayer.plans import catalogue_more  # noqa: E402,F401
+from statlayer.plans import catalogue_more, catalogue_rules  # noqa: E402,F401

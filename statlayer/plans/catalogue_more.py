@@ -99,28 +99,41 @@ def lenient_cast(spark, d):
     return t(spark, d, "pages").select("page_id", seg.alias("segment"), seg.try_cast("bigint").alias("segment_number"))
 
 
-@register("matrix_tidy", """SELECT CAST(l_suppkey AS VARCHAR) AS country_code, 'Supplier ' || CAST(l_suppkey AS VARCHAR) AS country_name,
-  'country' AS country_type, l_linestatus AS sector, lower(l_linestatus) AS sector_key, l_returnflag AS substance,
-  CASE l_returnflag WHEN 'A' THEN 'CO2' WHEN 'N' THEN 'CH4' WHEN 'R' THEN 'N2O' END AS gas,
+MATRIX_CODES = {0: "GLOBAL TOTAL", 1: "EU27", 2: "AIR", 3: "SEA"}
+SQL_MATRIX_CODE = "CASE l_suppkey " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in MATRIX_CODES.items()) + " ELSE CAST(l_suppkey AS VARCHAR) END"
+
+
+@register("matrix_tidy", f"""SELECT {SQL_MATRIX_CODE} AS country_code, 'Supplier ' || CAST(l_suppkey AS VARCHAR) AS country_name,
+  CASE WHEN l_suppkey IN (0, 1) THEN 'aggregate' WHEN l_suppkey IN (2, 3) THEN 'international' ELSE 'country' END AS country_type,
+  'Line ' || l_linestatus AS sector, 'line_' || lower(l_linestatus) AS sector_key, l_returnflag AS substance,
+  CASE l_returnflag WHEN 'A' THEN 'CO2' WHEN 'N' THEN 'CH4' END AS gas,
   CAST(year(l_shipdate) AS INTEGER) AS year, SUM(l_quantity) AS emissions_mt_co2eq,
   CAST(year(l_shipdate) AS INTEGER) >= 2000 AS is_estimate, 1 AS edgar_edition
-FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY l_suppkey, l_linestatus, l_returnflag, year(l_shipdate)""")
+FROM lineitem WHERE l_shipdate IS NOT NULL AND NOT (l_returnflag = 'R' AND l_suppkey % 7 = 0)
+GROUP BY l_suppkey, l_linestatus, l_returnflag, year(l_shipdate) HAVING CAST(SUM(l_quantity) AS BIGINT) % 5 <> 0""")
 def matrix_tidy(spark, d):
-    """D1 (R1, P1, P2, P4-P6, P8-P11, P15) on the driver tables: a wide matrix - one row per (flag as substance,
-    line status as sector, supplier as country), one column per ship year - tidied back to typed long rows."""
+    """D1 (R1, P1, P2, P4-P6, P8-P11, P15, F1) on the driver tables: a wide text matrix - one row per (flag as substance,
+    line status as sector, supplier as country), one column per ship year - tidied back to typed long rows. Some rows
+    lack a key, every fifth sum is no number, codes carry spaces, four suppliers are totals or international."""
     from statlayer.settings import Settings
+    key = F.col("l_suppkey")
+    code = F.coalesce(recode("l_suppkey", MATRIX_CODES), key.cast("string"))
     li = t(spark, d, "lineitem").select(
-        F.col("l_returnflag").alias("Substance"), F.col("l_linestatus").alias("Sector"),
-        F.col("l_suppkey").cast("string").alias("EDGAR Country Code"),
-        F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("Country"),
-        F.year("l_shipdate").alias("y"), "l_quantity")
-    wide = pivot_years(li, ["Substance", "Sector", "EDGAR Country Code", "Country"], "y", A.YEARS,
-                       {"{year}": lambda of: F.sum(of("l_quantity"))})
-    return P.tidy_matrix(wide, 1, Settings(estimate_from_year=2000), substances={"A": "CO2", "N": "CH4", "R": "N2O"})
+        F.when(~((F.col("l_returnflag") == "R") & (key % 7 == 0)), F.concat(F.lit("\t"), F.col("l_returnflag"))).alias("Substance"),
+        F.concat(F.lit("Line "), F.col("l_linestatus")).alias("Sector"), F.concat(F.lit(" "), code, F.lit("\u00a0")).alias("EDGAR Country Code"),
+        F.concat(F.lit("Supplier "), key.cast("string")).alias("Country"), F.year("l_shipdate").alias("y"), "l_quantity")
+    wide = pivot_years(li, ["Substance", "Sector", "EDGAR Country Code", "Country"], "y", A.YEARS, {"{year}": lambda of: F.sum(of("l_quantity"))})
+    texts = {str(y): F.when(F.col(str(y)).cast("bigint") % 5 == 0, "n/a").otherwise(F.col(str(y)).cast("string")) for y in A.YEARS}
+    return P.tidy_matrix(wide.withColumns(texts), 1, Settings(estimate_from_year=2000), substances={"A": "CO2", "N": "CH4"})
+
+
+ISO_BY_FOURS = dict(zip(range(4, 104, 4), ["AFG", "ALB", "DZA", "ASM", "AND", "AGO", "ATG", "ARG", "AUS", "AUT", "BHS", "BHR", "BRB", "BEL", "BMU",
+                                           "BTN", "BOL", "BWA", "BRA", None, "BLZ", None, "VGB", "BRN", "BGR"]))
+SQL_ISO = "CASE c.c_nationkey * 4 + 4 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in ISO_BY_FOURS.items() if v) + " END"
 
 
-@register("stats_tidy", """SELECT c.c_nationkey * 250 AS area_code, CAST(1000 + c.c_nationkey AS VARCHAR) AS m49_code,
-  CAST(NULL AS VARCHAR) AS iso3, n.n_name AS area, (c.c_nationkey * 250 >= 5000 OR c.c_nationkey * 250 = 351) AS is_aggregate,
+@register("stats_tidy", f"""SELECT c.c_nationkey * 250 AS area_code, CAST(c.c_nationkey * 4 + 4 AS VARCHAR) AS m49_code,
+  CASE WHEN c.c_nationkey * 250 < 5000 THEN {SQL_ISO} END AS iso3, n.n_name AS area, (c.c_nationkey * 250 >= 5000 OR c.c_nationkey * 250 = 351) AS is_aggregate,
   CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS item_code, o.o_orderpriority AS item, 'orders' AS element,
   c.c_mktsegment AS source, 'usd' AS unit, CAST(year(o.o_orderdate) AS INTEGER) AS year,
   CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value, MAX(o.o_orderstatus) AS flag,
@@ -131,12 +144,13 @@ GROUP BY c.c_nationkey, n.n_name, o.o_orderpriority, c.c_mktsegment, year(o.o_or
 def stats_tidy(spark, d):
     """D3 (R2, R3, F1, G1, P12-P14) on the driver tables: orders as a WIDE statistics file - one row per
     (area = customer nation, item = priority, source = segment), paired value/flag columns per year - tidied
-    by the same code as the real file (layout detection, paired unpivot, code clean-up, ISO lookup, flags)."""
+    by the same code as the real file (layout detection, paired unpivot, code clean-up, ISO lookup of numeric codes, which
+    aggregates lose again, flags)."""
     from statlayer.operators import conform
     rows = A.orders_with_nation(spark, d, "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority",
                                 customer_cols=("c_mktsegment",)).select(
         (F.col("c_nationkey") * 250).alias("Area Code"),
-        F.concat(F.lit("'"), (F.col("c_nationkey") + 1000).cast("string")).alias("Area Code (M49)"),
+        F.concat(F.lit("'"), (F.col("c_nationkey") * 4 + 4).cast("string")).alias("Area Code (M49)"),
         F.col("n_name").alias("Area"), F.substring("o_orderpriority", 1, 1).cast("int").alias("Item Code"),
         F.col("o_orderpriority").alias("Item"), F.lit("orders").alias("Element"), F.col("c_mktsegment").alias("Source"),
         F.lit("usd").alias("Unit"), F.year("o_orderdate").alias("y"), F.col("o_totalprice").cast(MONEY).alias("v"),
