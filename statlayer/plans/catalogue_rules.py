@@ -9,6 +9,8 @@ from statlayer.operators import conform
 from statlayer.plans import analog as A
 from statlayer.plans import products as P
 from statlayer.plans.catalogue import MONEY, register, t
+from statlayer.operators.reshape import pivot_years
+from statlayer.profile.sources import profile_matrix, profile_stats, sections, yearly_cells
 from statlayer.quality import checks as C
 from statlayer.quality import rules as R
 from statlayer.session import scratch_path
@@ -267,3 +269,78 @@ def population_pages(spark, d):
         .repartition("year").write.partitionBy("year").text(folder)
     records = src.read_pages(spark, f"{folder}/year=*", "*.txt")
     return P.tidy_population(records, conform.known_codes(spark, conform.iso_table(spark)))
+
+
+# ------------------------------------------------------------------------ M2, M4
+def wide_lines(spark, d):
+    """Line quantities less 60 as a wide matrix (flag, status, supplier x year)."""
+    li = t(spark, d, "lineitem").select(F.col("l_returnflag").alias("Substance"), F.col("l_linestatus").alias("Sector"),
+                                        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("EDGAR Country Code"),
+                                        F.concat_ws(" and ", F.lit("Supplier"), F.col("l_suppkey").cast("string")).alias("Country"),
+                                        F.year("l_shipdate").alias("y"), (F.col("l_quantity") - 60).alias("v"))
+    return pivot_years(li, ["Substance", "Sector", "EDGAR Country Code", "Country"], "y", A.YEARS,
+                       {"{year}": lambda of: F.sum(F.when(of("v") % 7 != 0, of("v")))})
+
+
+SQL_WIDE = f"""rows AS (SELECT DISTINCT l_returnflag, l_linestatus, l_suppkey FROM lineitem WHERE l_shipdate IS NOT NULL),
+years AS (SELECT unnest(range({A.YEARS.start}, {A.YEARS.stop})) AS year),
+sums AS (SELECT l_returnflag, l_linestatus, l_suppkey, year(l_shipdate) AS year, SUM(l_quantity - 60) FILTER (WHERE (l_quantity - 60) % 7 <> 0) AS v
+  FROM lineitem GROUP BY ALL),
+cells AS (SELECT r.l_returnflag, y.year, s.v FROM rows r CROSS JOIN years y
+  LEFT JOIN sums s ON s.l_returnflag = r.l_returnflag AND s.l_linestatus = r.l_linestatus AND s.l_suppkey = r.l_suppkey AND s.year = y.year)"""
+
+
+@register("matrix_cells_per_year", f"""WITH {SQL_WIDE}
+SELECT CAST(year AS VARCHAR) AS year, COUNT(*) AS cells, COUNT(*) FILTER (WHERE v IS NULL) AS missing, COUNT(*) FILTER (WHERE v = 0) AS zeros,
+  COUNT(*) FILTER (WHERE v < 0) AS negatives FROM cells GROUP BY 1""")
+def matrix_cells_per_year(spark, d):
+    """M2: cells, missing, zeros and negatives of a wide matrix per year, in one pass whatever its width."""
+    wide = wide_lines(spark, d)
+    return yearly_cells(wide, [str(y) for y in A.YEARS])
+
+
+@register("matrix_profile", f"""WITH {SQL_WIDE},
+yearly AS (SELECT year, COUNT(*) AS cells, COUNT(*) FILTER (WHERE v IS NULL) AS missing, COUNT(*) FILTER (WHERE v = 0) AS zeros,
+  COUNT(*) FILTER (WHERE v < 0) AS negatives FROM cells GROUP BY 1),
+whole AS (SELECT CAST(SUM(cells) AS BIGINT) AS cells, CAST(SUM(missing) AS BIGINT) AS missing, CAST(SUM(zeros) AS BIGINT) AS zeros,
+  CAST(SUM(negatives) AS BIGINT) AS negatives, MIN(missing) AS least, MAX(missing) AS most FROM yearly),
+by_substance AS (SELECT l_returnflag AS s, COUNT(*) FILTER (WHERE v IS NULL) AS missing FROM cells GROUP BY 1),
+by_sector AS (SELECT l_linestatus AS s, COUNT(*) AS n FROM rows GROUP BY 1)
+SELECT 'shape' AS section, '' AS row, 'rows' AS name, CAST(COUNT(*) AS VARCHAR) AS value FROM rows
+UNION ALL SELECT 'shape', '', 'blank_rows', '0' UNION ALL SELECT 'shape', '', 'columns', '{len(A.YEARS) + 4}' UNION ALL SELECT 'shape', '', 'year_columns', '{len(A.YEARS)}'
+UNION ALL SELECT 'cells', '', 'cells', CAST(cells AS VARCHAR) FROM whole UNION ALL SELECT 'cells', '', 'missing', CAST(missing AS VARCHAR) FROM whole
+UNION ALL SELECT 'cells', '', 'zeros', CAST(zeros AS VARCHAR) FROM whole UNION ALL SELECT 'cells', '', 'negatives', CAST(negatives AS VARCHAR) FROM whole
+UNION ALL SELECT 'cells', '', 'min_missing', CAST(least AS VARCHAR) FROM whole UNION ALL SELECT 'cells', '', 'max_missing', CAST(most AS VARCHAR) FROM whole
+UNION ALL SELECT 'cells', '', 'missing_pct', CAST(ROUND(100.0 * missing / cells, 2) AS VARCHAR) FROM whole
+UNION ALL SELECT 'duplicate_keys', '', 'duplicate_rows', '0'
+UNION ALL SELECT 'rows_per_sector', s, 'rows', CAST(n AS VARCHAR) FROM by_sector
+UNION ALL SELECT 'substances', s, 'rows', CAST(COUNT(*) AS VARCHAR) FROM rows JOIN by_substance ON l_returnflag = s GROUP BY s
+UNION ALL SELECT 'substances', s, 'missing_cells', CAST(missing AS VARCHAR) FROM by_substance""")
+def matrix_profile(spark, d):
+    """M2 (+ J12, R7, A19): sections of the wide matrix's profile."""
+    profile = profile_matrix(wide_lines(spark, d), conform.iso_table(spark), focus_sector="O")
+    return sections(profile, "shape", "cells", "duplicate_keys", "rows_per_sector", "substances")
+
+
+@register("stats_profile", f"""WITH {SQL_STATS},
+kinds AS (SELECT area, priority, year, projection, CAST(SUM(v) AS DOUBLE) AS v FROM cells GROUP BY ALL),
+scope AS (SELECT * FROM kinds WHERE year >= {CFG.stats_first_year} AND NOT projection)
+SELECT 'shape' AS section, 'wide' AS row, 'rows' AS name, CAST(COUNT(*) AS VARCHAR) AS value FROM kinds
+UNION ALL SELECT 'shape', 'wide', 'areas', CAST(COUNT(DISTINCT area) AS VARCHAR) FROM kinds UNION ALL SELECT 'shape', 'wide', 'items', CAST(COUNT(DISTINCT priority) AS VARCHAR) FROM kinds
+UNION ALL SELECT 'shape', 'wide', 'elements', '1' UNION ALL SELECT 'shape', 'wide', 'sources', '1'
+UNION ALL SELECT 'shape', 'wide', 'first_year', CAST(MIN(year) AS VARCHAR) FROM kinds UNION ALL SELECT 'shape', 'wide', 'last_year', CAST(MAX(year) AS VARCHAR) FROM kinds
+UNION ALL SELECT 'area_kinds', '', 'countries', CAST(COUNT(DISTINCT area) AS VARCHAR) FROM kinds UNION ALL SELECT 'area_kinds', '', 'aggregates', '0' UNION ALL SELECT 'area_kinds', '', 'regions', '0'
+UNION ALL SELECT 'in_scope', '', 'values', CAST(COUNT(*) AS VARCHAR) FROM scope UNION ALL SELECT 'in_scope', '', 'first_year', CAST(MIN(year) AS VARCHAR) FROM scope
+UNION ALL SELECT 'in_scope', '', 'last_year', CAST(MAX(year) AS VARCHAR) FROM scope
+UNION ALL SELECT 'negatives_by_area', 'area ' || area || '/item ' || priority, 'values', CAST(COUNT(*) AS VARCHAR) FROM kinds WHERE v < 1000000 GROUP BY area, priority
+UNION ALL SELECT 'projections_by_year', '', 'year', CAST(year AS VARCHAR) FROM kinds WHERE projection GROUP BY year
+UNION ALL SELECT 'projections_by_year', '', 'values', CAST(COUNT(*) AS VARCHAR) FROM kinds WHERE projection GROUP BY year
+UNION ALL SELECT 'duplicate_keys', '', 'duplicate_rows', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT)::VARCHAR FROM (SELECT COUNT(*) AS n FROM kinds GROUP BY area, priority, year)""")
+def stats_profile(spark, d):
+    """M4: sections of the statistics profile: shape, kinds of areas, the part in use, negatives, projections, repeated keys."""
+    plain = stats_frame(spark, d).where(~F.col("is_aggregate") & F.col("item_code").isin(ITEMS))
+    number = F.array_position(F.array(*map(F.lit, ITEMS)), F.col("item_code")).cast("string")
+    tidy = plain.withColumns({"value": F.col("value") - 1_000_000, "area": F.concat(F.lit("area "), F.col("area_code").cast("string")),
+                              "item": F.concat(F.lit("item "), number), "iso3": F.lit(None).cast("string"), "flag": F.lit(None).cast("string")})
+    profile = profile_stats(tidy, "wide", cfg=CFG)
+    return sections(profile, "shape", "area_kinds", "in_scope", "negatives_by_area", "projections_by_year", "duplicate_keys")

@@ -7,9 +7,25 @@ from pyspark.sql import functions as F
 
 from statlayer import settings
 from statlayer.operators.aggregate import duplicate_rows, value_counts
-from statlayer.operators.conform import with_looks_merged
-from statlayer.operators.reshape import q, stacked_values, unpivot_measure, year_columns
-from statlayer.profile.stats import column_profile, sign_profile, summary
+from statlayer.operators.conform import aggregate_area_flag, with_looks_merged
+from statlayer.operators.reshape import q, unpivot_measure, year_columns
+from statlayer.profile.stats import column_profile, summary
+from statlayer.settings import Settings
+
+
+def yearly_cells(data: DataFrame, years: list[str]) -> DataFrame:
+    """year, cells, missing, zeros, negatives of a wide matrix: its cells as rows, summed up by year in the task that
+    reads them, so one row a year and task is moved, however wide the matrix is."""
+    v = F.col("value")
+    return unpivot_measure(data.select(*[q(c) for c in years]), [], years, "year", "value").groupBy("year").agg(
+        F.count(F.lit(1)).alias("cells"), F.count_if(v.isNull()).alias("missing"), F.count_if(v == 0).alias("zeros"), F.count_if(v < 0).alias("negatives"))
+
+
+def whole_cells(yearly: DataFrame) -> DataFrame:
+    """One row: cells, missing (also in % and at least and at most a year), zeros, negatives of all years."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("cells", "missing", "zeros", "negatives")]
+    return yearly.agg(*sums, F.min("missing").alias("min_missing"), F.max("missing").alias("max_missing")) \
+        .withColumn("missing_pct", F.round(F.try_divide(F.lit(100.0) * F.col("missing"), F.col("cells")), 2))
 
 
 def profile_matrix(raw: DataFrame, iso: DataFrame, id_cols=settings.MATRIX_ID_COLUMNS,
@@ -24,9 +40,10 @@ def profile_matrix(raw: DataFrame, iso: DataFrame, id_cols=settings.MATRIX_ID_CO
     for c in id_cols:
         blank = blank & q(c).isNull()
     data = raw.where(q(substance).isNotNull() & q(sector).isNotNull() & q(code).isNotNull())
-    values = data.select(*[q(c).cast("double").alias(c) for c in years])
-    miss = values.agg(*[F.count_if(q(c).isNull()).alias(c) for c in years])
+    # the raw sheet's own cells, blank rows included, as the report counts them; values are parsed leniently
+    yearly = yearly_cells(raw, years)
     long = unpivot_measure(data, id_cols, years, "year", "value")
+    cells = unpivot_measure(raw, list(id_cols), years, "year", "value").where("value is not null").select("value")
     codes = data.select(q(code).alias("code"), q(name).alias("name")).distinct()
     iso_codes = iso.select(F.col("alpha_3").alias("code"))
     focus = long.where((q(sector) == focus_sector) & ~q(code).isin(list(not_countries)) & F.col("value").isNotNull())
@@ -34,10 +51,9 @@ def profile_matrix(raw: DataFrame, iso: DataFrame, id_cols=settings.MATRIX_ID_CO
         "shape": raw.agg(F.count(F.lit(1)).alias("rows"), F.count_if(blank).alias("blank_rows"))
                     .withColumn("columns", F.lit(len(raw.columns))).withColumn("year_columns", F.lit(len(years))),
         "id_columns": column_profile(raw, list(id_cols)),
-        "cells": sign_profile(values, years),
-        "missing_per_year": miss.select(F.least(*[q(c) for c in years]).alias("min_missing"),
-                                        F.greatest(*[q(c) for c in years]).alias("max_missing")),
-        "value_summary": summary(stacked_values(values, years), "value"),
+        "cells": whole_cells(yearly),
+        "cells_per_year": yearly,
+        "value_summary": summary(cells, "value"),
         "focus_by_substance": summary(focus, "value", [substance]),
         "duplicate_keys": duplicate_rows(data, [substance, sector, code]),
         "non_iso_codes": codes.join(iso_codes, "code", "left_anti"),
@@ -73,13 +89,27 @@ def profile_population(records: DataFrame, known_codes: DataFrame, latest: int =
     }
 
 
-def profile_stats(tidy: DataFrame, layout: str) -> dict:
-    """M4: layout and shape, source x element counts, flags, value summary and per-item summary, areas
-    without an ISO code with their last year, negatives, projections."""
+def profile_stats(tidy: DataFrame, layout: str, raw: DataFrame | None = None, cfg: Settings = Settings(),
+                  activities=tuple(settings.ACTIVITIES)) -> dict:
+    """M4: layout and shape, columns of the raw file, areas by kind, source x element counts, flags, value summary and
+    per-item summary, the part in use (its summary per activity and its years), areas without an ISO code with their
+    last year, negatives by area and item, projections by year, duplicate keys."""
+    used = tidy.where((F.col("source") == settings.STATS_SOURCE) & (F.col("element") == settings.STATS_ELEMENT) & F.col("item_code").isin(list(activities)))
+    scope = used.where((F.col("year") >= cfg.stats_first_year) & ~F.col("is_projection") & ~F.col("is_aggregate"))
+    # every distinct combination once, then counted: one shuffled row a combination, not one a row and column
+    kinds = tidy.groupBy("area_code", "item_code", "element", "source").agg(F.count(F.lit(1)).alias("n"), F.min("year").alias("first"), F.max("year").alias("last"))
     return {
-        "shape": tidy.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("area_code").alias("areas"),
-                          F.count_distinct("item_code").alias("items"), F.min("year").alias("first_year"),
-                          F.max("year").alias("last_year")).withColumn("layout", F.lit(layout)),
+        "shape": kinds.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_distinct("area_code").alias("areas"),
+                           F.count_distinct("item_code").alias("items"), F.count_distinct("element").alias("elements"),
+                           F.count_distinct("source").alias("sources"), F.min("first").alias("first_year"),
+                           F.max("last").alias("last_year")).withColumn("layout", F.lit(layout)),
+        "columns": column_profile(raw if raw is not None else tidy),
+        "area_kinds": area_kinds(tidy),
+        "in_scope": scope.agg(F.count(F.lit(1)).alias("values"), F.min("year").alias("first_year"), F.max("year").alias("last_year")),
+        "in_scope_by_item": summary(scope, "value", ["item"]),
+        "negatives_by_area": used.where(F.col("value") < 0).groupBy("area", "item").agg(F.count(F.lit(1)).alias("values")),
+        "projections_by_year": tidy.where("is_projection").groupBy("year").agg(F.count(F.lit(1)).alias("values")),
+        "duplicate_keys": duplicate_rows(tidy, ["area_code", "item_code", "element", "source", "year"]),
         "source_element": value_counts(tidy, ["source", "element"]),
         "flags": value_counts(tidy, ["flag"]),
         "value_summary": summary(tidy, "value"),
@@ -89,3 +119,22 @@ def profile_stats(tidy: DataFrame, layout: str) -> dict:
         "negatives": tidy.agg(F.count_if(F.col("value") < 0).alias("negative_values"),
                               F.count_if("is_projection").alias("projection_rows")),
     }
+
+
+def area_kinds(tidy: DataFrame) -> DataFrame:
+    """One row: areas that are countries, that sum up others, and of these the regions."""
+    areas = tidy.groupBy("area_code").agg(F.lit(1)).select("area_code", aggregate_area_flag("area_code").alias("above"))
+    return areas.agg(F.count_if(~F.col("above")).alias("countries"), F.count_if("above").alias("aggregates"),
+                     F.count_if(F.col("area_code") >= settings.WORLD_AREA_CODE).alias("regions"))
+
+
+def sections(profile: dict, *names: str) -> DataFrame:
+    """Sections of a profile as rows (section, row, name, value as text): one frame to write or to compare."""
+    out = None
+    for name in names:
+        df = profile[name]
+        key = [c for c, kind in df.dtypes if kind == "string"]
+        cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in df.columns if c not in key])
+        rows = df.select(F.lit(name).alias("section"), F.concat_ws("/", *key).alias("row"), F.inline(cells))
+        out = rows if out is None else out.unionByName(rows)
+    return out

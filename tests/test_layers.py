@@ -187,7 +187,8 @@ def test_source_profiles(spark, tmp_path):
     shape = m["shape"].first()
     assert (shape.rows, shape.blank_rows, shape.year_columns) == (13, 1, 2)
     cells = m["cells"].first()
-    assert (cells.cells, cells.missing, cells.zeros, cells.negatives) == (24, 1, 0, 0)
+    assert (cells.cells, cells.missing, cells.zeros, cells.negatives) == (26, 3, 0, 0)      # the blank row's cells too
+    assert (cells.min_missing, cells.max_missing, cells.missing_pct) == (1, 2, 11.54)
     assert m["duplicate_keys"].first().duplicate_rows == 0          # (substance, sector, code) is unique
     assert {r.code for r in m["non_iso_codes"].collect()} == {"AIR", "GLOBAL TOTAL", "EU27"}
     assert [r.code for r in m["merged_codes"].collect()] == ["SDN"]
@@ -205,6 +206,10 @@ def test_source_profiles(spark, tmp_path):
     sp = PS.profile_stats(stats, "normalized")
     assert sp["negatives"].first().negative_values == 1 and sp["negatives"].first().projection_rows == 1
     assert {r.area for r in sp["areas_without_iso"].collect()} == set()
+    assert tuple(sp["area_kinds"].first()) == (8, 2, 1) and sp["duplicate_keys"].first().duplicate_rows == 0
+    assert [(r.area, r["values"]) for r in sp["negatives_by_area"].collect()] == [("Philippines", 1)]
+    assert [(r.year, r["values"]) for r in sp["projections_by_year"].collect()] == [(2030, 1)]
+    assert sp["in_scope"].first()["values"] == 18 and sp["shape"].first().sources == 1
 
 
 def test_looks_merged_keeps_real_and_names(spark):
