@@ -14,10 +14,9 @@ text a log-likelihood ratio; sums are normalised by length, and a logistic curve
 * Words are named by 64-bit hashes. Counts stay a Spark table that grows with the words and pairs, packed by
   ``slot`` of the key (sorted keys as differences, ``SLOT_KEYS`` a slot or so).
 * Scoring: equal texts are one. Texts are dealt out in chunks of about ``CHUNK_BYTES``; each chunk asks once for
-  each of its words and pairs, in packed lists by slot, and gets the counts it needs. A list holds the upper
-  ``ASK_BITS`` bits of its keys; the answer adds ``CHECK_BITS`` further bits to the counts of each row that begins
-  with them, so a pair that was not counted is taken for another with a chance of about ``SLOT_KEYS`` /
-  2^(``ASK_BITS`` + ``CHECK_BITS``). Pairs are asked for only where they can count: two bitmaps of fixed size, of
+  each of its words and pairs, in packed lists by slot, and gets the counts it needs. Inside a slot a key is known
+  by its upper ``KEY_BITS`` bits, so a pair that was not counted is taken for another with a chance of about
+  ``SLOT_KEYS`` / 2^``KEY_BITS``; whole numbers are kept exactly, probabilities to 8 bits. Pairs are asked for only where they can count: two bitmaps of fixed size, of
   the histories that both classes know and of the counted words, tell most of the others; where the bitmaps are
   full, more is asked and the result is the same.
 * The logistic curve is fitted on at most ``CALIBRATION_ROWS`` labelled training rows (smallest hashes
@@ -30,6 +29,7 @@ is 0. Extra columns are ignored (``score``) or kept as they are (``keep_clean``)
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -40,10 +40,10 @@ from .common import discard, fold, release_memory, release_shuffles, share, stor
 MAP_BITS = 18
 TURN = 21                      # a pair's code: the first word's hash rotated by so many bits, xor the second's
 START = 0x51ED270B1F3A6C95     # stands before the first word
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 24 << 20
 SLOT_KEYS = 1 << 19
 LEAST_SLOTS = 32
-ASK_BITS, CHECK_BITS = 24, 16
+KEY_BITS, KEY_BYTES = 34, 5
 WORD_BITS = 19                 # bitmaps of words have 2^(WORD_BITS + 6) bits
 CALIBRATION_ROWS = 20_000
 CALIBRATION_SHARE = 8          # one training row in so many is kept for the logistic curve
@@ -55,11 +55,22 @@ find_words = re.compile(r"\w+").findall
 ASCII_WORDS = bytes(ord(chr(c).lower()) if c < 128 and (chr(c).isalnum() or c == ord("_")) else 32 for c in range(256))
 
 
+def words_of(text: str) -> list:
+    """The words of a text in lower case, as bytes or text."""
+    return text.encode().translate(ASCII_WORDS).split() if text.isascii() else find_words(text.lower())
+
+
+def normalised(text: str) -> bytes:
+    """A text's words joined by one space."""
+    words = words_of(text)
+    return b" ".join(words) if text.isascii() else " ".join(words).encode("utf-8", "replace")
+
+
 class Hasher:
     """Texts -> 64-bit word hashes and pair codes."""
 
     def word_ids(self, text: str) -> np.ndarray:
-        words = text.encode().translate(ASCII_WORDS).split() if text.isascii() else find_words(text.lower())
+        words = words_of(text)
         return np.fromiter(map(xxh3_64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
 
     def pairs(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -190,6 +201,13 @@ def unzipped(raw: bytes, width: int, size: int, kind) -> np.ndarray:
     return out.view(kind)
 
 
+def shortened(values: np.ndarray) -> np.ndarray:
+    """Counts as they are packed: whole numbers as they are, others to 8 bits."""
+    values = values.astype(np.float32)
+    rounded = (values.view(np.uint32) + np.uint32(0x8000) & np.uint32(0xFFFF0000)).view(np.float32)
+    return np.where(values == np.floor(values), values, rounded)
+
+
 def zipped_keys(keys: np.ndarray, width: int) -> bytes:
     """Ascending unsigned keys as differences."""
     return zipped(np.diff(keys, prepend=np.uint64(0)), width)
@@ -208,10 +226,10 @@ class Packed:
         self.slots = slots = max(LEAST_SLOTS, (counts.pairs.count() + counts.words.count()) // SLOT_KEYS)
 
         def pack(group):
-            keys = group.column("key").to_numpy().view(np.uint64)
+            keys = group.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - KEY_BITS)
             order = np.argsort(keys)
-            values = np.stack([group.column(c).to_numpy().astype(np.float32) for c in "abcde"], axis=1)[order]
-            return pa.table({"slot": group.column("slot")[:1], "keys": pa.array([zipped_keys(keys[order], 8)], type=pa.binary()),
+            values = shortened(np.stack([group.column(c).to_numpy().astype(np.float32) for c in "abcde"], axis=1)[order])
+            return pa.table({"slot": group.column("slot")[:1], "keys": pa.array([zipped_keys(keys[order], KEY_BYTES)], type=pa.binary()),
                              "counts": pa.array([zipped(values, 20)], type=pa.binary())})
 
         by_slot = counts.table().withColumn("slot", slot_of(F.col("key"), slots)).groupBy("slot")
@@ -225,27 +243,89 @@ def slot_of(key, slots: int):
     return (key.bitwiseAND(F.lit(0x7FFFFFFF)) if isinstance(key, Column) else key & 0x7FFFFFFF) % slots
 
 
-def ratios(codes, first, second, look, discount: float) -> tuple[np.ndarray, np.ndarray]:
-    """Log-likelihood ratios of a text's distinct words and of its pairs; ``look``: keys -> [n, 5] counts."""
-    pair, history, word = look(codes), look(first), look(second)
-    low = np.where(word[:, :2] > 0, word[:, :2], 1.0)
-    known = history[:, 4] > 0
-    seen = np.maximum(pair[:, :2] - discount, 0) / np.where(known[:, None], history[:, 2:4], np.inf)
-    back = np.where(known, history[:, 4], 1.0)[:, None]
-    high = (1 - back) * seen + back * low
-    _, at = np.unique(second, return_index=True)
-    return np.log(low[at, 1]) - np.log(low[at, 0]), np.log(high[:, 1]) - np.log(high[:, 0])
-
-
-def features(*levels: np.ndarray) -> list[float]:
-    """For the word and the pair level the mean ratio, the mean excess over 1, the mean of the strongest
-    hundredth, the single strongest and the log of the whole excess."""
-    out = []
-    for s in levels:
-        s, n = np.sort(s), len(s)
-        over = np.maximum(s - 1, 0).sum() if n else 0.0
-        out += [s.mean(), over / (n + 10), s[-max(1, n // 100):].mean(), s[-1], np.log1p(over)] if n else [0.0] * 5
-    return [float(x) for x in out]
+class ChunkPairs:
+    """The distinct words and pairs of a chunk's texts (normalised: words joined by one space), as numbers.
+
+    ``words``: 64-bit hashes of the chunk's vocabulary, START last. ``pairs``: the chunk's distinct pairs, first * v +
+    second; ``of_text`` and ``pair``: a distinct pair of each text, text by text; ``word_text`` and ``word`` alike."""
+
+    def __init__(self, texts: list[bytes]):
+        vocabulary: defaultdict = defaultdict()
+        vocabulary.default_factory = vocabulary.__len__
+        cut = [t.split() for t in texts]
+        sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        second = np.fromiter((vocabulary[w] for words in cut for w in words), dtype=np.int64, count=int(sizes.sum()))
+        del cut
+        self.n, self.v = len(texts), len(vocabulary) + 1
+        self.words = np.append(np.fromiter(map(xxh3_64_intdigest, vocabulary), dtype=np.uint64, count=self.v - 1).view(np.int64), START)
+        text = np.repeat(np.arange(self.n), sizes)
+        first = np.empty_like(second)
+        first[1:] = second[:-1]
+        first[(np.cumsum(sizes) - sizes)[sizes > 0]] = self.v - 1
+        self.word_text, self.word = distinct_of(text, second, self.v)
+        first *= self.v
+        first += second
+        self.of_text, pair = distinct_of(text, first, self.v * self.v)
+        order = np.argsort(pair, kind="stable")
+        fresh = np.concatenate([[True], np.diff(pair[order]) != 0])[:len(pair)]
+        self.pairs = pair[order][fresh]
+        self.pair = np.empty(len(pair), dtype=np.int64)
+        self.pair[order] = np.cumsum(fresh) - 1
+
+    def firsts(self) -> np.ndarray:
+        return self.pairs // self.v
+
+    def seconds(self) -> np.ndarray:
+        return self.pairs % self.v
+
+    def codes(self) -> np.ndarray:
+        """Pair codes, as ``Hasher.pairs`` gives them."""
+        turned = self.words[self.firsts()].view(np.uint64)
+        return (turned << np.uint64(TURN) | turned >> np.uint64(64 - TURN)).view(np.int64) ^ self.words[self.seconds()]
+
+    def evidence(self, word: np.ndarray, pair: np.ndarray, discount: float) -> np.ndarray:
+        """[texts, 10] features from the counts [n, 5] of the words and of the distinct pairs."""
+        low = np.where(word[:, :2] > 0, word[:, :2], 1.0)
+        first, second = self.firsts(), self.seconds()
+        known = word[first, 4] > 0
+        back = np.where(known, word[first, 4], 1.0)
+        high = [(1 - back) * np.maximum(pair[:, c] - discount, 0) / np.where(known, word[first, 2 + c], np.inf) + back * low[second, c] for c in (0, 1)]
+        word_ratio, pair_ratio = np.log(low[:, 1]) - np.log(low[:, 0]), np.log(high[1]) - np.log(high[0])
+        return np.hstack([level_features(word_ratio[self.word], self.word_text, self.n), level_features(pair_ratio[self.pair], self.of_text, self.n)])
+
+
+def distinct_of(text: np.ndarray, item: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text, item), by text, then item; items lie below ``bound``."""
+    if not len(text):
+        return text, item
+    if (int(text[-1]) + 1) * bound < 1 << 62:
+        both = text * bound + item
+        both.sort()
+        both = both[np.concatenate([[True], np.diff(both) != 0])]
+        return both // bound, both % bound
+    order = np.lexsort((item, text))                    # very many small texts
+    text, item = text[order], item[order]
+    fresh = np.concatenate([[True], (np.diff(text) != 0) | (np.diff(item) != 0)])
+    return text[fresh], item[fresh]
+
+
+def level_features(ratio: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """[n, 5] for ratios grouped by text: the mean, the mean excess over 1, the mean of the strongest hundredth, the
+    single strongest and the log of the whole excess; zeros for texts without any."""
+    out = np.zeros((n, 5))
+    size = np.bincount(text, minlength=n)
+    has = np.flatnonzero(size)
+    if not len(has):
+        return out
+    ratio = ratio[np.lexsort((ratio, text))]
+    size = size[has]
+    end = np.cumsum(size)
+    start, top = end - size, np.maximum(1, size // 100)
+    over = np.add.reduceat(np.maximum(ratio - 1, 0), start)
+    strongest = np.arange(len(ratio)) >= np.repeat(end - top, size)
+    out[has] = np.c_[np.add.reduceat(ratio, start) / size, over / (size + 10), np.add.reduceat(np.where(strongest, ratio, 0.0), start) / top,
+                     ratio[end - 1], np.log1p(over)]
+    return out
 
 
 def stands(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -265,89 +345,86 @@ def evidence(texts: DataFrame, packed: Packed) -> DataFrame:
     bits = share(texts.sparkSession, packed.bits)
 
     def first_seen(batches):
+        """Each text once (of those in memory), as its words, compressed."""
         seen = set()
         for batch in batches:
-            fresh = []
-            for name in zip(batch.column("name1").to_pylist(), batch.column("name2").to_pylist()):
+            out = [], [], []
+            for n1, n2, text in zip(batch.column("name1").to_pylist(), batch.column("name2").to_pylist(), strings(batch.column("text"))):
                 if len(seen) > SEEN_TEXTS:
                     seen.clear()
-                fresh.append(name not in seen)
-                seen.add(name)
-            yield batch.filter(pa.array(fresh, type=pa.bool_()))
-
-    dealt = named.mapInArrow(first_seen, named.schema).withColumn("chunk", F.pmod("name1", F.lit(chunks)))
-
-    def by_slot(group):
-        """Pairs of each distinct text of a chunk; what the chunk asks for by slot, in order."""
-        hasher, texts, (known, counted) = Hasher(), {}, bits()
-        asked = [np.array([START], dtype=np.int64)]
-        for n1, n2, text in zip(group.column("name1").to_pylist(), group.column("name2").to_pylist(), strings(group.column("text").combine_chunks())):
-            if (n1, n2) not in texts:
-                texts[n1, n2] = codes, first, second = hasher.pairs(text)
-                asked += [codes[stands(known, first) & stands(counted, second)], second]
-        keys = np.unique(np.concatenate(asked).view(np.uint64))
-        slot = slot_of(keys.view(np.int64), slots)
-        order = np.argsort(slot, kind="stable")
-        keys, slot = keys[order], slot[order]
+                if (n1, n2) not in seen:
+                    seen.add((n1, n2))
+                    words = normalised(text)
+                    for column, x in zip(out, (n1, n2, len(words).to_bytes(8, "little") + pa.compress(words, codec="zstd", asbytes=True))):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], type=pa.int64()), pa.array(out[1], type=pa.int64()), pa.array(out[2], type=pa.binary())],
+                                             names=["name1", "name2", "words"])
+
+    dealt = named.mapInArrow(first_seen, "name1 bigint, name2 bigint, words binary").withColumn("chunk", F.pmod("name1", F.lit(chunks)))
+    upper = np.uint64(64 - KEY_BITS)
+
+    def read(group):
+        """Names and pairs of the distinct texts of a chunk; its words' and pairs' keys, and which are asked for."""
+        found = {}
+        for n1, n2, raw in zip(*(group.column(c).to_pylist() for c in ("name1", "name2", "words"))):
+            if (n1, n2) not in found:
+                found[n1, n2] = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+        pairs, (known, counted) = ChunkPairs(list(found.values())), bits()
+        codes, words = pairs.codes(), pairs.words
+        own = np.flatnonzero(stands(known, words)[pairs.firsts()] & stands(counted, words)[pairs.seconds()])
+        keys = np.concatenate([words, codes[own]])
+        return list(found), pairs, own, keys
+
+    def by_slot(keys):
+        """The order that sorts keys by slot and size, and for each slot its first and last place there."""
+        order = np.argsort(keys.view(np.uint64))
+        order = order[np.argsort(slot_of(keys[order], slots), kind="stable")]
+        slot = slot_of(keys[order], slots)
         start = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
-        return texts, dict(zip(slot[start].tolist(), np.split(keys, start[1:])))
-
-    upper, checked = np.uint64(64 - ASK_BITS), np.uint64(64 - ASK_BITS - CHECK_BITS)
+        return order, dict(zip(slot[start].tolist(), zip(start.tolist(), [*start[1:].tolist(), len(keys)])))
 
     def ask(group):
-        _, lists = by_slot(group)
-        out = pa.table({"chunk": pa.array([group.column("chunk")[0].as_py()] * len(lists), type=pa.int64()), "slot": pa.array(list(lists), type=pa.int64()),
-                        "keys": pa.array([zipped_keys(np.unique(k >> upper), ASK_BITS // 8) for k in lists.values()], type=pa.binary())})
-        del lists
+        *_, keys = read(group)
+        order, places = by_slot(keys)
+        tops = keys[order].view(np.uint64) >> upper
+        out = pa.table({"chunk": pa.array([group.column("chunk")[0].as_py()] * len(places), type=pa.int64()), "slot": pa.array(list(places), type=pa.int64()),
+                        "keys": pa.array([zipped_keys(tops[a:b], KEY_BYTES) for a, b in places.values()], type=pa.binary())})
+        del keys, order, tops
         release_memory()
         return out
 
     def answer(asked, known):
-        """For each list of a slot: how many rows begin with each of its keys, these rows' further bits and counts."""
-        out = {"chunk": [], "slot": [], "rows": [], "bits": [], "found": []}
+        """Which keys of each list of a slot have counts, and these counts."""
+        out = {"chunk": [], "slot": [], "places": [], "found": []}
         if known.num_rows:
-            have = unzipped_keys(known.column("keys")[0].as_py(), 8)
+            have = unzipped_keys(known.column("keys")[0].as_py(), KEY_BYTES)
             value = unzipped(known.column("counts")[0].as_py(), 20, 20, np.float32)
-            begins, further = have >> upper, (have >> checked).astype(np.uint16)
             for c, n, raw in zip(*(asked.column(x).to_pylist() for x in ("chunk", "slot", "keys"))):
-                own = unzipped_keys(raw, ASK_BITS // 8)
-                first = np.searchsorted(begins, own)
-                rows = np.searchsorted(begins, own, side="right") - first
-                at = np.repeat(first - np.cumsum(rows) + rows, rows) + np.arange(rows.sum())
-                for x, v in zip(out.values(), (c, n, zipped(rows.astype(np.uint32), 4), zipped(further[at], 2), zipped(value[at], 20))):
+                own = unzipped_keys(raw, KEY_BYTES)
+                at = np.minimum(np.searchsorted(have, own), len(have) - 1)
+                hit = have[at] == own
+                for x, v in zip(out.values(), (c, n, np.packbits(hit).tobytes(), zipped(value[at[hit]], 20))):
                     x.append(v)
         return pa.table({k: pa.array(v, type=pa.int64() if k in ("chunk", "slot") else pa.binary()) for k, v in out.items()})
 
     def weigh(group, answers):
-        texts, lists = by_slot(group)
-        keys, values = [np.empty(0, dtype=np.uint64)], [np.zeros((0, 5), dtype=np.float32)]
-        for n, rows, further, found in zip(*(answers.column(x).to_pylist() for x in ("slot", "rows", "bits", "found"))):
-            own = lists[n]
-            begins = np.repeat(np.unique(own >> upper), unzipped(rows, 4, 4, np.uint32).ravel())
-            got = begins << np.uint64(CHECK_BITS) | unzipped(further, 2, 2, np.uint16).ravel()
-            at = np.minimum(np.searchsorted(own >> checked, got), len(own) - 1)
-            same = own[at] >> checked == got
-            keys.append(own[at[same]])
-            values.append(unzipped(found, 20, 20, np.float32)[same])
-        have = np.concatenate(keys).view(np.int64)
-        order = np.argsort(have)
-        have, value = have[order], np.vstack([np.concatenate(values)[order], np.zeros((1, 5), dtype=np.float32)])
-        del lists, keys, values
-
-        def look(own):
-            at = np.searchsorted(have, own)
-            at[at < len(have)] = np.where(have[at[at < len(have)]] == own[at < len(have)], at[at < len(have)], len(have))
-            return value[at].astype(np.float64)
-
-        out = [features(*ratios(*found, look, discount)) for found in texts.values()]
-        scored = pa.table({"name1": pa.array([a for a, _ in texts], type=pa.int64()), "name2": pa.array([b for _, b in texts], type=pa.int64()),
-                           "evidence": pa.array(out, type=pa.list_(pa.float64()))})
-        del texts, have, value
+        names, pairs, own, keys = read(group)
+        order, places = by_slot(keys)
+        value = np.zeros((len(keys), 5), dtype=np.float32)
+        for n, hits, found in zip(*(answers.column(x).to_pylist() for x in ("slot", "places", "found"))):
+            a, b = places[n]
+            value[order[a:b][np.unpackbits(np.frombuffer(hits, dtype=np.uint8), count=b - a).astype(bool)]] = unzipped(found, 20, 20, np.float32)
+        pair = np.zeros((len(pairs.pairs), 2), dtype=np.float32)
+        pair[own] = value[pairs.v:, :2]
+        out = pairs.evidence(value[:pairs.v].astype(np.float64), pair, discount)
+        scored = pa.table({"name1": pa.array([a for a, _ in names], type=pa.int64()), "name2": pa.array([b for _, b in names], type=pa.int64()),
+                           "evidence": pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), 10).cast(pa.list_(pa.float64()))})
+        del names, pairs, own, keys, order, value, pair, out
         release_memory()
         return scored
 
     asked = dealt.groupBy("chunk").applyInArrow(ask, "chunk bigint, slot bigint, keys binary")
-    answers = asked.groupBy("slot").cogroup(packed.rows.groupBy("slot")).applyInArrow(answer, "chunk bigint, slot bigint, rows binary, bits binary, found binary")
+    answers = asked.groupBy("slot").cogroup(packed.rows.groupBy("slot")).applyInArrow(answer, "chunk bigint, slot bigint, places binary, found binary")
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(weigh, "name1 bigint, name2 bigint, evidence array<double>")
 
 

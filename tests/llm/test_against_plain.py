@@ -348,16 +348,39 @@ def test_toxicity_tables_grow_with_the_words(spark):
     assert toxicity.pair_counts(docs).agg(F.countDistinct("code"), F.max(F.col("ordinary") + F.col("toxic"))).first() == (200_000, 1)
 
 
+def ratios(codes, first, second, look, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """Plain version, text by text: log-likelihood ratios of a text's distinct words and of its pairs; ``look``: keys -> [n, 5] counts."""
+    pair, history, word = look(codes), look(first), look(second)
+    low = np.where(word[:, :2] > 0, word[:, :2], 1.0)
+    known = history[:, 4] > 0
+    seen = np.maximum(pair[:, :2] - discount, 0) / np.where(known[:, None], history[:, 2:4], np.inf)
+    back = np.where(known, history[:, 4], 1.0)[:, None]
+    high = (1 - back) * seen + back * low
+    _, at = np.unique(second, return_index=True)
+    return np.log(low[at, 1]) - np.log(low[at, 0]), np.log(high[:, 1]) - np.log(high[:, 0])
+
+
+def features(*levels: np.ndarray) -> list[float]:
+    """For the word and the pair level the mean ratio, the mean excess over 1, the mean of the strongest
+    hundredth, the single strongest and the log of the whole excess."""
+    out = []
+    for s in levels:
+        s, n = np.sort(s), len(s)
+        over = np.maximum(s - 1, 0).sum() if n else 0.0
+        out += [s.mean(), over / (n + 10), s[-max(1, n // 100):].mean(), s[-1], np.log1p(over)] if n else [0.0] * 5
+    return [float(x) for x in out]
+
+
 def test_toxicity_features_equal_a_plain_lookup(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "CHUNK_BYTES", 200)
     labelled = [("a b c d", 1), ("a b x y", 0), ("b a x c", 0), ("a c b", 1), ("c d a b", 1), ("x a b d", 0)]
     counts = toxicity.learn_counts(spark.createDataFrame(labelled, "text string, toxic int"))
     table, discount, both, packed = counts.table(), counts.discount, counts.both, toxicity.Packed(counts)
     rows, hasher, want = {r["key"]: list(r)[1:] for r in table.collect()}, toxicity.Hasher(), []
-    look = lambda keys: np.array([rows.get(k, [0.0] * 5) for k in keys.tolist()]).reshape(-1, 5)
-    texts = [t for t, _ in labelled] * 3 + ["unseen words only", "", None, "a b unseen"]
+    look = lambda keys: toxicity.shortened(np.array([rows.get(k, [0.0] * 5) for k in keys.tolist()]).reshape(-1, 5)).astype(float)
+    texts = [t for t, _ in labelled] * 3 + ["unseen words only", "", None, "a b unseen", "A  b,B a-é b", " ".join("abcdx"[i % 5] for i in range(900))]
     for text in {t or "" for t in texts}:
-        want.append(toxicity.features(*toxicity.ratios(*hasher.pairs(text), look, discount)))
+        want.append(features(*ratios(*hasher.pairs(text), look, discount)))
     got = [r["evidence"] for r in toxicity.evidence(spark.createDataFrame([(t,) for t in texts], "text string"), packed).collect()]
     assert both and len(got) == len(want) and np.allclose(sorted(got), sorted(want), atol=1e-9)
     a, b = hasher.word_ids("a b").tolist()
@@ -370,7 +393,7 @@ def test_packed_keys_round_trip():
     for n in (0, 1, 5, 3000):
         keys = np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
         assert (toxicity.unzipped_keys(toxicity.zipped_keys(keys, 8), 8) == keys).all()
-        assert (toxicity.unzipped_keys(toxicity.zipped_keys(keys >> np.uint64(24), 5), 5) == keys >> np.uint64(24)).all()
+        assert (toxicity.unzipped_keys(toxicity.zipped_keys(keys >> np.uint64(30), 5), 5) == keys >> np.uint64(30)).all()
         values = rng.normal(size=(n, 5)).astype(np.float32)
         assert (toxicity.unzipped(toxicity.zipped(values, 20), 20, 20, np.float32) == values).all()
 
@@ -463,3 +486,11 @@ def test_words_of_ascii_texts_are_those_of_the_pattern():
     want = [toxicity.xxh3_64_intdigest(w) for w in toxicity.find_words(text.lower())]
     assert toxicity.Hasher().word_ids(text).view(np.uint64).tolist() == want
     assert toxicity.Hasher().word_ids(text + " é").view(np.uint64).tolist() == want[:-1] + [toxicity.xxh3_64_intdigest(w) for w in ("x", "é")]
+
+
+def test_pairs_of_very_many_texts():
+    rng = np.random.default_rng(5)
+    text, item = np.sort(rng.integers(0, 50, 400)), rng.integers(0, 9, 400)
+    want = sorted(set(zip(text.tolist(), item.tolist())))
+    for bound in (9, 1 << 60):
+        assert list(zip(*(x.tolist() for x in toxicity.distinct_of(text, item, bound)))) == want
