@@ -40,7 +40,7 @@ from .common import discard, fold, release_memory, release_shuffles, share, stor
 MAP_BITS = 18
 TURN = 21                      # a pair's code: the first word's hash rotated by so many bits, xor the second's
 START = 0x51ED270B1F3A6C95     # stands before the first word
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 16 << 20
 SLOT_KEYS = 1 << 19
 LEAST_SLOTS = 32
 KEY_BITS, KEY_BYTES = 34, 5
@@ -252,25 +252,28 @@ class ChunkPairs:
     def __init__(self, texts: list[bytes]):
         vocabulary: defaultdict = defaultdict()
         vocabulary.default_factory = vocabulary.__len__
-        cut = [t.split() for t in texts]
+        number, cut = vocabulary.__getitem__, []
+        for t in texts:
+            words = t.split()
+            cut.append(np.fromiter(map(number, words), dtype=np.int32, count=len(words)))
         sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
-        second = np.fromiter((vocabulary[w] for words in cut for w in words), dtype=np.int64, count=int(sizes.sum()))
+        second = np.concatenate([np.empty(0, dtype=np.int32), *cut])
         del cut
         self.n, self.v = len(texts), len(vocabulary) + 1
         self.words = np.append(np.fromiter(map(xxh3_64_intdigest, vocabulary), dtype=np.uint64, count=self.v - 1).view(np.int64), START)
-        text = np.repeat(np.arange(self.n), sizes)
-        first = np.empty_like(second)
+        text = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        first = np.empty(len(second), dtype=np.int64)
         first[1:] = second[:-1]
         first[(np.cumsum(sizes) - sizes)[sizes > 0]] = self.v - 1
         self.word_text, self.word = distinct_of(text, second, self.v)
         first *= self.v
         first += second
+        del second
         self.of_text, pair = distinct_of(text, first, self.v * self.v)
-        order = np.argsort(pair, kind="stable")
-        fresh = np.concatenate([[True], np.diff(pair[order]) != 0])[:len(pair)]
-        self.pairs = pair[order][fresh]
-        self.pair = np.empty(len(pair), dtype=np.int64)
-        self.pair[order] = np.cumsum(fresh) - 1
+        del first, text
+        self.pairs = np.sort(pair)
+        self.pairs = self.pairs[np.concatenate([[True], np.diff(self.pairs) != 0])[:len(pair)]]
+        self.pair = np.searchsorted(self.pairs, pair).astype(np.int32)
 
     def firsts(self) -> np.ndarray:
         return self.pairs // self.v
@@ -299,10 +302,13 @@ def distinct_of(text: np.ndarray, item: np.ndarray, bound: int) -> tuple[np.ndar
     if not len(text):
         return text, item
     if (int(text[-1]) + 1) * bound < 1 << 62:
-        both = text * bound + item
+        both = text * np.int64(bound)
+        both += item
         both.sort()
         both = both[np.concatenate([[True], np.diff(both) != 0])]
-        return both // bound, both % bound
+        text = (both // bound).astype(np.int32)
+        both %= bound
+        return text, both
     order = np.lexsort((item, text))                    # very many small texts
     text, item = text[order], item[order]
     fresh = np.concatenate([[True], (np.diff(text) != 0) | (np.diff(item) != 0)])
@@ -317,14 +323,15 @@ def level_features(ratio: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     has = np.flatnonzero(size)
     if not len(has):
         return out
-    ratio = ratio[np.lexsort((ratio, text))]
     size = size[has]
-    end = np.cumsum(size)
-    start, top = end - size, np.maximum(1, size // 100)
+    start = np.cumsum(size) - size
     over = np.add.reduceat(np.maximum(ratio - 1, 0), start)
-    strongest = np.arange(len(ratio)) >= np.repeat(end - top, size)
-    out[has] = np.c_[np.add.reduceat(ratio, start) / size, over / (size + 10), np.add.reduceat(np.where(strongest, ratio, 0.0), start) / top,
-                     ratio[end - 1], np.log1p(over)]
+    most = np.maximum.reduceat(ratio, start)
+    top = most.copy()                                   # up to 199 items the strongest hundredth is one item
+    for i in np.flatnonzero(size >= 200):
+        k = size[i] // 100
+        top[i] = np.partition(ratio[start[i]:start[i] + size[i]], size[i] - k)[-k:].mean()
+    out[has] = np.c_[np.add.reduceat(ratio, start) / size, over / (size + 10), top, most, np.log1p(over)]
     return out
 
 
