@@ -101,6 +101,12 @@ def stored_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder: survives executor loss, ends long lineages."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -171,10 +171,12 @@ def complete_pull(spark: SparkSession, path: str, marker: str = "_manifest.json"
 
 
 def complete_file(spark: SparkSession, path: str, pattern: str = "*.csv", suffix: str = ".meta.json") -> str:
-    """The file to read: the path itself, or in a folder the last file by name; in both cases only with its
-    ``<file>.meta.json`` beside it, which a download writes last."""
-    marked = [p.removesuffix(suffix) for p in glob_paths(spark, f"{path.rstrip('/')}{suffix}")] \
-        or [p.removesuffix(suffix) for p in glob_paths(spark, f"{path.rstrip('/')}/{pattern}{suffix}")]
+    """The file to read: the path itself, or in a folder (its newest ``pulled=<date>`` folder with a complete file, if
+    there are such folders) the last file by name; always only with its ``<file>.meta.json`` beside it, which a
+    download writes last."""
+    folder = path.rstrip("/")
+    marked = next((found for place in (f"{folder}{suffix}", f"{folder}/pulled=*/{pattern}{suffix}", f"{folder}/{pattern}{suffix}")
+                   if (found := [p.removesuffix(suffix) for p in glob_paths(spark, place)])), [])
     if not marked:
         raise ExtractionError(f"no complete file at {path} (its {suffix} is missing)")
     return sorted(marked)[-1]

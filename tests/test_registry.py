@@ -100,3 +100,27 @@ def test_content_digest(spark):
     swapped = spark.createDataFrame([(None, "a"), ("a", None)], "x string, y string")
     assert not same(swapped, swapped.limit(1).unionByName(swapped.limit(1)))
     assert tuple(W.content_digest(df.limit(0)).first()) == (0, 0, 0)
+
+
+def test_newest_complete_statistics_file(spark, tmp_path):
+    for day, name, marked in (("2026-01-01", "old.csv", True), ("2026-02-01", "new.csv", True), ("2026-03-01", "cut.csv", False)):
+        folder = tmp_path / f"pulled={day}"
+        folder.mkdir()
+        (folder / name).write_text("a\n1\n")
+        if marked:
+            (folder / f"{name}.meta.json").write_text("{}")
+    assert src.complete_file(spark, str(tmp_path)).endswith("pulled=2026-02-01/new.csv")
+    assert src.complete_file(spark, str(tmp_path / "pulled=2026-01-01")).endswith("old.csv")
+    with pytest.raises(ExtractionError):
+        src.complete_file(spark, str(tmp_path / "pulled=2026-03-01"))
+
+
+def test_scratch_copies_of_reports_go(spark):
+    import os
+
+    from statlayer.profile.files import compare_formats, partition_read_share
+    from statlayer.session import ensure_checkpoint_dir
+    count = lambda: sum(len(f) for _, _, f in os.walk(ensure_checkpoint_dir(spark).removeprefix("file:")))
+    df, before = spark.range(10).withColumn("p", F.col("id") % 2), count()
+    assert compare_formats(df).count() == 3 and partition_read_share(df, "p", 1).first().rows_read == 5
+    assert count() == before
