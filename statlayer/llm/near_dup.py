@@ -6,7 +6,8 @@ at least ``LEAST_PERCENT`` / 100; a component is everything reachable over links
 
 1. One pass over the texts gives each document its set's size and 128-bit fingerprint, ``MINIMA`` minima
    in ``BANDS`` band keys, and the low ``B`` bits of every minimum packed into a signature.
-2. Equal sets are one class (a thousand exact copies are one row from here on).
+2. Equal sets are one class (a thousand exact copies are one row from here on), numbered when it is written; a
+   class fetches its set from one of its rows, named by id and text.
 3. In each band bucket every class is compared with the bucket's smallest class only, never all with all.
    The signatures decide first: matching ``B``-bit lanes are counted and corrected for chance matches;
    a pair whose estimate is five deviations under the limit is dropped. The others are confirmed on the
@@ -19,7 +20,9 @@ With 4 rows in 32 bands a pair at the limit shares no bucket with probability 5e
 
 Defined results: null or empty texts have n_shingles 0 and link with nothing; a row without doc_id is
 returned with component_id null and kept true, and links with nothing; rows that repeat a doc_id are
-judged each by its own text. Extra columns are ignored (``near_duplicates``) or kept (``keep_first``).
+judged each by its own text (two texts under one id may stand in two components, both named by it); very long
+texts are read whole, in slices of rows; an empty table gives an empty table. Extra columns are ignored
+(``near_duplicates``) or kept (``keep_first``).
 """
 from __future__ import annotations
 
@@ -90,7 +93,7 @@ def fingerprint(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n, set_a, set_b (the set's name), sig (packed low bits), bands (bucket of each band)."""
+    """doc_id, text_name, n, set_a, set_b (the set's name), sig (packed low bits), bands (bucket of each band)."""
     def worker():
         import pyarrow as pa
 
@@ -116,13 +119,18 @@ def sketches(docs: DataFrame) -> DataFrame:
                 bands.append(mixed(key).view(np.int64))
             long = pa.int64()
             return pa.RecordBatch.from_arrays(
-                [batch.column("id_"), pa.array(n, type=long), pa.array(a, type=long), pa.array(b, type=long),
+                [batch.column("id_"), batch.column("text_name"), pa.array(n, type=long), pa.array(a, type=long), pa.array(b, type=long),
                  pa.array(sig, type=pa.list_(long)), pa.array(bands, type=pa.list_(long))],
-                names=["doc_id", "n", "set_a", "set_b", "sig", "bands"])
+                names=["doc_id", "text_name", "n", "set_a", "set_b", "sig", "bands"])
         return work
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id_"), F.col("text").cast("string").alias("text"))
-    return map_rows(rows, worker, "doc_id bigint, n bigint, set_a bigint, set_b bigint, sig array<bigint>, bands array<bigint>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id_"), text_name(docs).alias("text_name"), F.col("text").cast("string").alias("text"))
+    return map_rows(rows, worker, "doc_id bigint, text_name bigint, n bigint, set_a bigint, set_b bigint, sig array<bigint>, bands array<bigint>")
+
+
+def text_name(docs: DataFrame) -> Column:
+    """64-bit hash of a row's text; with the id it names the rows of one text."""
+    return F.xxhash64(docs["text"].cast("string"))
 
 
 def lanes_apart(a: Column, b: Column) -> Column:
@@ -150,7 +158,7 @@ def may_link(n1: Column, n2: Column, sig1: Column, sig2: Column) -> Column:
 
 
 def shingle_arrays(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """rep, shingles (array of 64-bit hashes) of the documents named by ``ids`` (one column, rep)."""
+    """rep, shingles (array of 64-bit hashes) of the classes ``ids`` (rep, doc_id, text_name of one of its rows)."""
     def worker():
         import pyarrow as pa
 
@@ -161,13 +169,14 @@ def shingle_arrays(docs: DataFrame, ids: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(sets, type=pa.list_(pa.int64()))], names=["rep", "shingles"])
         return work
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    return map_rows(rows.join(ids, "rep", "left_semi"), worker, "rep bigint, shingles array<bigint>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_name(docs).alias("text_name"), F.col("text").cast("string").alias("text"))
+    return map_rows(rows.join(ids, ["doc_id", "text_name"]).select("rep", "text"), worker, "rep bigint, shingles array<bigint>")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose full sets reach the limit."""
     ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+    ids = classes.select("rep", "doc_id", "text_name").join(ids, "rep", "left_semi")
     sets = stored(shingle_arrays(docs, ids).dropDuplicates(["rep"]), "sets")
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
@@ -176,13 +185,14 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         .where(100 * common >= LEAST_PERCENT * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def prefix_pairs(docs: DataFrame, placed: DataFrame) -> DataFrame:
+def prefix_pairs(docs: DataFrame, classes: DataFrame, placed: DataFrame) -> DataFrame:
     """All pairs (a, b) of different roots among the placed classes (rep, root) that can reach the limit.
 
     Shingles are ordered by frequency among these classes, rarest first. Two sets at the limit must share
     one of the first n - ceil(t n) + 1, and from where they first meet enough must be left in both: a
     passage that thousands of texts share stands at the end of the order and brings no pair together."""
-    sets = shingle_arrays(docs, placed.select("rep")).dropDuplicates(["rep"])
+    ids = classes.select("rep", "doc_id", "text_name").join(placed.select("rep"), "rep", "left_semi")
+    sets = shingle_arrays(docs, ids).dropDuplicates(["rep"])
     tokens = stored(sets.select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("s")), "tokens")
     shared = tokens.groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
     places = tokens.join(shared, "s", "left").select(
@@ -226,12 +236,13 @@ def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     return stored(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)), "roots")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, text_name, n, root (number of the component, null without a set), component (its smallest doc_id)."""
     drawn = stored(sketches(docs), "sketches")
     own = drawn.where("n > 0 and doc_id is not null")
-    classes = stored(own.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"),
-                                                       F.first("sig").alias("sig"), F.first("bands").alias("bands")), "classes")
+    classes = own.groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "text_name")).alias("row"), F.first("n").alias("n"),
+                                                F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("rep"), "set_a", "set_b", "row.doc_id", "row.text_name", "n", "sig", "bands"), "classes")
     sigs = classes.select("rep", "n", "sig")
     members = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1")
@@ -243,7 +254,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return pairs.join(b, "b").join(a, "a").where(may_link(F.col("n1"), F.col("n2"), F.col("s1"), F.col("s2"))).select("a", "b")
 
     stars = bucketed.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = stored(confirmed(docs, stored(signed(stars), "stars")), "links")
+    links = stored(confirmed(docs, classes, stored(signed(stars), "stars")), "links")
     roots = stored(components(links), "roots")
 
     def unsettled(roots: DataFrame) -> DataFrame:
@@ -262,30 +273,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("bucket", F.col("h.root").alias("hub_root"), F.col("h.pick").alias("hub"))
         pairs = rest.join(hubs, "bucket").where("root <> hub_root").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
         fresh = stored(signed(pairs.distinct().join(tested, ["a", "b"], "left_anti")), "round")
-        more = stored(confirmed(docs, fresh), "more")
+        more = stored(confirmed(docs, classes, fresh), "more")
         if not more.take(1):
             break
         tested, roots = tested.unionByName(fresh), joined(roots, more)
         rest = unsettled(roots)
 
     # what is left is searched exactly, by prefixes of the sets
-    found = prefix_pairs(docs, rest.select("rep", "root").distinct())
+    found = prefix_pairs(docs, classes, rest.select("rep", "root").distinct())
     fresh = stored(signed(found.join(tested, ["a", "b"], "left_anti")), "cross")
-    more = stored(confirmed(docs, fresh), "more")
+    more = stored(confirmed(docs, classes, fresh), "more")
     if more.take(1):
         roots = joined(roots, more)
 
-    named = classes.select("set_a", "set_b", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
-        .select("set_a", "set_b", F.coalesce("root", "rep").alias("root"))
-    named = stored(named, "named")
-    out = drawn.select("doc_id", "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    placed = stored(classes.select("set_a", "set_b", "rep", "doc_id").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+                    .select("set_a", "set_b", "doc_id", F.coalesce("root", "rep").alias("root")), "placed")
+    smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component"))
+    named = stored(placed.drop("doc_id").join(smallest, "root"), "named")
+    return drawn.select("doc_id", "text_name", "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left") \
+        .select("doc_id", "text_name", "n", "root", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row."""
+    return grouped(docs).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+                                F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each component, all columns as they are; of rows that repeat a doc_id one stays."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("doc_id")).distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """One row of each component, all columns as they are: one with the smallest doc_id. Different texts under one id stay
+    if they link with nothing smaller; repeated rows become one; rows without doc_id stay."""
+    first = grouped(docs).where("doc_id = component").groupBy("doc_id", F.coalesce("root", "text_name").alias("group")) \
+        .agg(F.min("text_name").alias("text_name")).select(F.col("doc_id").alias("first_id"), F.col("text_name").alias("first_name"))
+    spare = "_".join(docs.columns)                              # no column has this name
+    kept = docs.withColumn(spare, text_name(docs))
+    kept = kept.join(first, (F.col("doc_id").cast("long") == F.col("first_id")) & (F.col(spare) == F.col("first_name")), "left_semi")
+    return kept.dropDuplicates(["doc_id", spare]).drop(spare).unionByName(docs.where("doc_id is null"))

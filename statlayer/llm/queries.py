@@ -56,7 +56,7 @@ def op6_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = quality_rules.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
     return quality_rules.score(docs, model).select(
-        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= quality_rules.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
@@ -72,7 +72,7 @@ def op8_kn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
     return toxicity.score(docs, model).select(
-        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
@@ -86,7 +86,7 @@ def op10_gru_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned outside the fold crc32 mod 3 = 1."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     found = langid.predict(docs, langid.train(docs))
-    return found.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,20 +152,21 @@ sets AS (
   FROM words),
 items AS (SELECT doc_id, unnest(s) AS x FROM sets),
 alike AS (
-  SELECT s, min(doc_id) AS rep, len(s) AS n
-  FROM (SELECT doc_id, list_sort(s) AS s FROM sets WHERE len(s) > 0) GROUP BY s),
-reps AS (SELECT rep, n, unnest(s) AS x FROM alike),
+  SELECT s, row_number() OVER () AS k, min(doc_id) AS first_id, len(s) AS n
+  FROM (SELECT doc_id, list_sort(s) AS s FROM sets WHERE len(s) > 0 AND doc_id IS NOT NULL) GROUP BY s),
+members AS (SELECT k, n, unnest(s) AS x FROM alike),
 common AS (
-  SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS n1, any_value(b.n) AS n2, count(*) AS c
-  FROM reps a JOIN reps b ON a.x = b.x AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
-  GROUP BY a.rep, b.rep),
+  SELECT a.k AS a, b.k AS b, any_value(a.n) AS n1, any_value(b.n) AS n2, count(*) AS c
+  FROM members a JOIN members b ON a.x = b.x AND a.k < b.k AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+  GROUP BY a.k, b.k),
 links AS (SELECT a, b FROM common WHERE 100 * c >= 75 * (n1 + n2 - c)),
 edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
-reach(node, root) AS (SELECT rep, rep FROM alike UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node AND r.root < e.b),
-roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
-SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(r.root, d.doc_id) AS component_id,
-       d.doc_id = coalesce(r.root, d.doc_id) AS kept
-FROM sets d LEFT JOIN alike k ON k.s = list_sort(d.s) AND len(d.s) > 0 LEFT JOIN roots r ON r.node = k.rep"""
+reach(node, root) AS (SELECT k, k FROM alike UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node AND r.root < e.b),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+named AS (SELECT k, min(first_id) OVER (PARTITION BY root) AS component FROM alike JOIN roots ON node = k)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, CASE WHEN d.doc_id IS NOT NULL THEN coalesce(n.component, d.doc_id) END AS component_id,
+       coalesce(d.doc_id = coalesce(n.component, d.doc_id), true) AS kept
+FROM sets d LEFT JOIN alike a ON a.s = list_sort(d.s) AND len(d.s) > 0 LEFT JOIN named n ON n.k = a.k"""
 
 REGISTRY = {
     "op1_multiprobe_ann": (op1_multiprobe_ann, None),

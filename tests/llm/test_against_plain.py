@@ -494,3 +494,13 @@ def test_pairs_of_very_many_texts():
     want = sorted(set(zip(text.tolist(), item.tolist())))
     for bound in (9, 1 << 60):
         assert list(zip(*(x.tolist() for x in toxicity.distinct_of(text, item, bound)))) == want
+
+
+def test_two_texts_under_one_id_keep_their_links(spark, rng):
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(1, a), (1, b), (5, a + " more"), (7, b + " more"), (1, b), (9, c), (9, c + " end"), (None, a), (3, ""), (3, None)]
+    docs = spark.createDataFrame([(i, x, "extra") for i, x in rows], "doc_id long, text string, root string")
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(docs).collect() if r["doc_id"] is not None)
+    assert got == [(1, 1, True)] * 3 + [(3, 3, True)] * 2 + [(5, 1, False), (7, 1, False), (9, 9, True), (9, 9, True)]
+    kept = sorted((str(r["doc_id"]), r["text"] or "") for r in near_dup.keep_first(docs).collect())
+    assert kept[:2] == sorted([("1", a), ("1", b)]) and [i for i, _ in kept] == ["1", "1", "3", "3", "9", "None"]
