@@ -1,22 +1,25 @@
 """Benchmark decontamination by q-gram lemma filtering with banded alignment.
 
 Texts are compared in normal form: lower case, every run of characters that are neither letters, digits
-nor non-ASCII one space. Each benchmark item is cut into segments of ``SEGMENT`` bytes, half overlapping
-(a shorter item is one segment); a leak is a segment that stands in a document within
-``EDIT_SHARE`` of its length in edits. So a passage of 1.5 segments leaks wherever it was cut from.
+nor non-ASCII one space. A segment is any stretch of ``SEGMENT`` bytes of a benchmark item (a shorter item is one
+segment); a leak is a segment that begins or ends with a q-gram it shares with a document and stands there within
+``EDIT_SHARE`` of its length in edits. So a verbatim passage of ``SEGMENT`` bytes leaks wherever it was cut from.
+Items shorter than ``EDITED`` bytes leak only where they stand letter by letter, as whole words.
 
 * q-gram lemma: a segment of m bytes within k edits shares at least m + 1 - (k + 1) q of its q-grams, on
   diagonals that differ by at most k. All q-grams of a slice of documents are looked up at once in a
-  bitmap; stretches with enough hits are expanded to (segment, diagonal) pairs, counted in overlapping
-  diagonal bands of width 2k + 1 (started every k + 1), and bands that reach the bound are kept.
+  bitmap; stretches with enough hits are expanded to (item, diagonal) pairs, counted in overlapping
+  diagonal bands of width 2k + 1 (started every k + 1); of bands that reach the bound the segments are kept whose
+  shared q-grams do.
 * Every kept region is verified by banded alignment (the segment against any stretch of the region).
 
 The benchmark is a stated query set: it is read in blocks of ``BLOCK_BYTES``, each block is one broadcast
 index and one pass over the documents, so what is broadcast is bounded whatever its size.
 
-Defined results: null and empty texts leak nothing; items shorter than ``SHORTEST`` bytes in normal form
-(or null) cannot be told from chance and are passed over; equal items each report; repeated rows each
-report (``leaks``) or go (``keep_unleaked``). Extra columns are ignored or kept as they are.
+Defined results: null and empty texts leak nothing; items shorter than a q-gram (``Q`` bytes in normal form) or null
+are no evidence and are passed over; equal items each report; of segments that verify, the one with most shared
+q-grams is reported (ties: the first in the item); repeated rows each report (``leaks``) or go (``keep_unleaked``);
+very long texts are searched whole; empty tables give none, or all documents. Extra columns are ignored or kept.
 """
 from __future__ import annotations
 
@@ -29,10 +32,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import keep_rows, map_rows, share, strings
 
 Q = 8
-SEGMENT, STEP = 96, 48
+SEGMENT = 96
 EDIT_SHARE = 0.08
-SHORTEST = 32
-BLOCK_BYTES = 1 << 20          # about 2 million q-grams, 100 MB while the index is sorted
+EDITED = 32                    # shorter items allow no edits
+BLOCK_BYTES = 1 << 20          # about a million q-grams, 60 MB while the index is sorted
 BITMAP_BITS = 22
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,38 +56,37 @@ def grams(data: np.ndarray) -> np.ndarray:
 
 def budget(m: int) -> tuple[int, int]:
     """(edits allowed, q-grams that must be shared) for a segment of m bytes."""
-    k = int(EDIT_SHARE * m)
+    k = int(EDIT_SHARE * m) if m >= EDITED else 0
     while k and m + 1 - (k + 1) * Q < Q:
         k -= 1
     return k, max(1, m + 1 - (k + 1) * Q)
 
 
 class Index:
-    """Segments of a block of items, and where each q-gram stands in them."""
+    """A block of items, and where each q-gram stands in them."""
 
     def __init__(self, items: list[tuple[object, str]]):
-        self.items, self.segments = [], []
-        keys, segs, offs = [], [], []
+        self.items, self.texts = [], []
+        keys, owner, offs = [], [], []
         for item, text in items:
             data = normal_bytes(text)
-            if len(data) < SHORTEST:
+            if len(data) < Q:
                 continue
-            starts = [0] if len(data) <= SEGMENT else [*range(0, len(data) - SEGMENT, STEP), len(data) - SEGMENT]
-            for at in starts:
-                part = data[at:at + SEGMENT]
-                g = grams(np.frombuffer(part, dtype=np.uint8)).copy()
-                keys.append(g)
-                segs.append(np.full(len(g), len(self.segments), dtype=np.int64))
-                offs.append(np.arange(len(g), dtype=np.int64))
-                self.items.append(item)
-                self.segments.append(part)
-        self.bounds = np.array([budget(len(s)) for s in self.segments], dtype=np.int64).reshape(-1, 2)
+            g = grams(np.frombuffer(data, dtype=np.uint8)).copy()
+            keys.append(g)
+            owner.append(np.full(len(g), len(self.items), dtype=np.int64))
+            offs.append(np.arange(len(g), dtype=np.int64))
+            self.items.append(item)
+            self.texts.append(data)
+        self.size = np.array([min(len(t), SEGMENT) for t in self.texts], dtype=np.int64)        # of an item's segments
+        self.bounds = np.array([budget(int(m)) for m in self.size], dtype=np.int64).reshape(-1, 2)
         if not keys:
             return
-        keys, segs, offs = map(np.concatenate, (keys, segs, offs))
+        keys, owner, offs = map(np.concatenate, (keys, owner, offs))
         order = np.argsort(keys, kind="stable")
         self.keys, self.first, self.many = np.unique(keys[order], return_index=True, return_counts=True)
-        self.segs, self.offs = segs[order], offs[order]
+        self.owner, self.offs = owner[order], offs[order]
+        self.base = max(map(len, self.texts))                        # keeps diagonals positive
         self.bitmap = np.zeros(1 << BITMAP_BITS, dtype=bool)
         self.bitmap[self._slot(self.keys)] = True
         # the weakest demand of any segment, for the first look at a stretch of text
@@ -96,9 +98,9 @@ class Index:
         return (keys * MIX) >> np.uint64(64 - BITMAP_BITS)
 
     def search(self, docs: list[bytes]) -> list[tuple[int, int, int, int, int]]:
-        """(document number, segment, position, edits, shared q-grams) of every verified leak; one a
-        document and item, found in its segment with the most shared q-grams that verifies."""
-        if not self.segments:
+        """(document number, item number, position, edits, shared q-grams) of every verified leak; one a
+        document and item, of its segment with the most shared q-grams that verifies."""
+        if not self.items:
             return []
         data = np.frombuffer(b"\0".join(docs) + b"\0" * Q, dtype=np.uint8)
         ends = np.cumsum([len(d) + 1 for d in docs])
@@ -125,10 +127,10 @@ class Index:
         many = self.many[at]
         pos = np.repeat(hit, many)
         index = np.repeat(self.first[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        seg, off = self.segs[index], self.offs[index]
-        # first only the raw counts of (segment, diagonal band), to leave the few bands that can matter;
+        seg, off = self.owner[index], self.offs[index]
+        # first only the raw counts of (item, diagonal band), to leave the few bands that can matter;
         # bands span two steps of k + 1 diagonals and start every step, so each hit counts in two
-        band = (pos - off + SEGMENT) // (self.bounds[seg, 0] + 1)
+        band = (pos - off + self.base) // (self.bounds[seg, 0] + 1)
         name = seg << 40 | band
         names = np.sort(np.concatenate([name, name - 1]))
         edge = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1], [True]]))
@@ -148,31 +150,54 @@ class Index:
         doc2 = np.searchsorted(ends, pos2, side="right")
         order = np.lexsort((off2, both, seg2, doc2))
         seg2, doc2, pos2, off2, both = (x[order] for x in (seg2, doc2, pos2, off2, both))
-        new = np.ones(len(order), dtype=bool)
+        # a q-gram of the item counts once a band
+        fresh = np.ones(len(order), dtype=bool)
+        fresh[1:] = (seg2[1:] != seg2[:-1]) | (doc2[1:] != doc2[:-1]) | (both[1:] != both[:-1]) | (off2[1:] != off2[:-1])
+        seg2, doc2, off2, both = (x[fresh] for x in (seg2, doc2, off2, both))
+        new = np.ones(len(seg2), dtype=bool)
         new[1:] = (seg2[1:] != seg2[:-1]) | (doc2[1:] != doc2[:-1]) | (both[1:] != both[:-1])
         start = np.flatnonzero(new)
-        other = new.copy()
-        other[1:] |= off2[1:] != off2[:-1]        # a q-gram of the segment counts once a band
-        shared = np.add.reduceat(other.astype(np.int64), start)
-        good = start[shared >= self.bounds[seg2[start], 1]]
-        shared = shared[shared >= self.bounds[seg2[start], 1]]
+        stop = np.append(start[1:], len(seg2))
+        # bands in which some segment reaches its bound
+        last = np.arange(len(seg2)) + self.bounds[seg2, 1] - 1
+        inside = last < np.repeat(stop, stop - start)
+        inside[inside] = off2[last[inside]] - off2[inside] <= self.size[seg2[inside]] - Q
         found, known = [], set()
-        for i in np.argsort(-shared, kind="stable"):
-            j = good[i]
-            s, d = int(seg2[j]), int(doc2[j])
-            key = (d, self.items[s])
-            if key in known:
+        for i in np.flatnonzero(np.add.reduceat(inside.astype(np.int64), start)):
+            a, b = start[i], stop[i]
+            s, d = int(seg2[a]), int(doc2[a])
+            if (d, s) in known:
                 continue
-            k = int(self.bounds[s, 0])
-            low = int(both[j]) * (k + 1) - SEGMENT - k
-            begin = int(ends[d - 1]) if d else 0
-            low, high = max(begin, low), min(int(ends[d]) - 1, low + len(self.segments[s]) + 5 * k + 2)
-            edits, where = align(self.segments[s], data[low:high].tobytes(), k)
-            if edits <= k:
-                known.add(key)
-                found.append((d, s, low + where - begin, edits, int(shared[i])))
+            leak = self.verified(docs[d], s, int(both[a]), off2[a:b], int(ends[d - 1]) if d else 0)
+            if leak:
+                known.add((d, s))
+                found.append((d, s, *leak))
         return found
 
+    def verified(self, doc: bytes, s: int, band: int, offs: np.ndarray, begin: int) -> tuple[int, int, int] | None:
+        """(position, edits, shared q-grams) of an item's best segment in a band of a document, from the places of the
+        item's q-grams that the band holds."""
+        text, m, (k, bound) = self.texts[s], int(self.size[s]), self.bounds[s].tolist()
+        starts = np.unique(np.concatenate([offs, offs + Q - m]))
+        starts = starts[(starts >= 0) & (starts <= len(text) - m)]
+        shared = np.searchsorted(offs, starts + m - Q, side="right") - np.searchsorted(offs, starts)
+        for j in np.lexsort((starts, -shared)):
+            if shared[j] < bound:
+                return None
+            at = int(starts[j])
+            low = band * (k + 1) - self.base - begin + at - k
+            high = min(len(doc), low + m + 5 * k + 2)
+            low = max(0, low)
+            edits, where = align(text[at:at + m], doc[low:high], k)
+            if edits <= k and (m >= EDITED or whole_words(doc, low + where, m)):
+                return low + where, edits, int(shared[j])
+        return None
+
+
+def whole_words(doc: bytes, at: int, m: int) -> bool:
+    """Whether a stretch is not cut out of longer words."""
+    return doc[at - 1:at] in (b"", b" ") and doc[at + m:at + m + 1] in (b"", b" ")
+
 
 def align(pattern: bytes, region: bytes, k: int) -> tuple[int, int]:
     """(least edits, start of the best stretch) of the pattern against any stretch of the region; k + 1

@@ -504,3 +504,38 @@ def test_two_texts_under_one_id_keep_their_links(spark, rng):
     assert got == [(1, 1, True)] * 3 + [(3, 3, True)] * 2 + [(5, 1, False), (7, 1, False), (9, 9, True), (9, 9, True)]
     kept = sorted((str(r["doc_id"]), r["text"] or "") for r in near_dup.keep_first(docs).collect())
     assert kept[:2] == sorted([("1", a), ("1", b)]) and [i for i, _ in kept] == ["1", "1", "3", "3", "9", "None"]
+
+
+def plain_leak(item: bytes, doc: bytes) -> bool:
+    """Whether a segment of the item that begins or ends with a q-gram of the document stands there within the budget."""
+    m, q = min(len(item), decontaminate.SEGMENT), decontaminate.Q
+    if m < q:
+        return False
+    if m < decontaminate.EDITED:
+        return b" " + item + b" " in b" " + doc + b" "
+    k = decontaminate.budget(m)[0]
+    have = {doc[i:i + q] for i in range(len(doc) - q + 1)}
+    return any((item[a:a + q] in have or item[a + m - q:a + m] in have) and edit_distance_inside(item[a:a + m], doc) <= k for a in range(len(item) - m + 1))
+
+
+def test_leaks_of_any_stretch_equal_brute_force(rng):
+    for trial in range(60):
+        item = prose(rng, rng.choice([2, 4, 9, 22, 26]))
+        data = decontaminate.normal_bytes(item)
+        a = rng.randint(0, max(0, len(data) - 96))
+        part = bytearray(data[a:a + rng.choice([60, 90, 96, 97, 103, 130])])
+        for _ in range(rng.choice([0, 0, 1, 4, 7, 9])):
+            at = rng.randrange(len(part))
+            part[at:at + rng.choice([0, 1])] = bytes([rng.choice(b"xyz ")])[:rng.choice([0, 1])]
+        doc = decontaminate.normal_bytes(prose(rng, 6) + " " + part.decode("utf-8", "replace") + " " + prose(rng, 6))
+        got = decontaminate.Index([(1, item), (2, "another item of no matter, long enough to be one segment of some length")]).search([b"", doc])
+        assert {(d, i) for d, i, *_ in got} == ({(1, 0)} if plain_leak(data, doc) else set()), (item, doc)
+
+
+def test_cut_passages_and_short_items_leak(spark, rng):
+    item, filler = prose(rng, 60)[:300], prose(rng, 30)
+    short = "only twenty eight bytes long"
+    docs = [(1, f"{filler} {item[60:180]} {filler}"), (2, f"{filler} {item[100:196]} {filler}"), (3, f"{filler} {short}, {filler}"), (4, f"x{short}er {filler}"),
+            (5, filler)]
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item), (2, short), (3, "tiny")], "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(1, 1), (2, 1), (3, 2)]
