@@ -4,11 +4,12 @@ Vectors and queries are hashed by their direction, each scaled to length 1: of a
 norm brings it nearest to the queries it answers. Each of ``TABLES`` tables hashes by ``FUNCTIONS`` Gaussian
 (2-stable) projections floor((a x + b) / WIDTH); a query visits its own bucket and the ``PROBES`` - 1
 perturbed ones of largest estimated success, in order of the summed squared distances to the cell walls that
-are crossed. What wins by its norm and not by its direction is not left to hashing: the ``HEAD`` vectors of
-largest norm stand in one more bucket that all queries visit (all vectors, if there are no more).
+are crossed. What wins by its norm and not by its direction is found in its own norm range: ranges are half an
+octave wide, have buckets of their own, and every query visits those of all ranges. Inside a range the direction
+decides.
 
-The recall of ``SAMPLE`` queries is measured against all vectors; if it is under ``LEAST_RECALL``, the
-constants don't suit the data and all queries are compared with all vectors, in the same blocks.
+The recall of ``SAMPLE`` queries is measured against all vectors. While it is under ``LEAST_RECALL``, the index is
+made again with twice the probes, and from ``MOST_PROBES`` on with wider cells, so more is found with every turn.
 
 Every vector is indexed in every table; buckets have no cap. A bucket with more than ``BLOCK`` vectors or
 probes is cut into blocks, and each pair of blocks is one task's group: the inner products of a block are
@@ -19,8 +20,9 @@ Equal vectors are one class for hashing and products, as candidates and as queri
 smallest ``K`` + 1 ids can appear in an answer; so a vector that a third of the rows hold costs nothing.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, and rows with null
-ids, take no part; nor do vectors of another length than most (ties: the longer); rows that repeat an id
-count once for each different vector. Fewer than ``K`` candidates: all that were found. Ties: smaller id.
+ids, take no part; nor do vectors of another length than most (ties: the longer), which have no inner product with
+them; rows that repeat an id count once for each different vector. Fewer than ``K`` candidates: all that were
+found. Ties: smaller id. An empty table gives an empty table.
 """
 from __future__ import annotations
 
@@ -32,8 +34,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import share, stored
 
 TABLES, FUNCTIONS, WIDTH, PROBES = 8, 4, 1.4, 16
-HEAD = 4096
-HEAD_BUCKET = 0
+MOST_PROBES = 64
+WIDER = 1.5
+RANGES = 2                    # norm ranges an octave
 SAMPLE, LEAST_RECALL = 64, 0.93
 K = 20
 BLOCK = 8192
@@ -43,9 +46,9 @@ SEED = 41
 
 
 def hash_family(dim: int):
-    """Projections [dim, TABLES * FUNCTIONS] and offsets, the same at every run."""
+    """Projections [dim, TABLES * FUNCTIONS] and offsets in cells, the same at every run."""
     rng = np.random.default_rng(SEED)
-    return rng.normal(size=(dim, TABLES * FUNCTIONS)), rng.uniform(0, WIDTH, TABLES * FUNCTIONS)
+    return rng.normal(size=(dim, TABLES * FUNCTIONS)), rng.uniform(0, 1, TABLES * FUNCTIONS)
 
 
 def perturbations(within: np.ndarray, count: int):
@@ -75,6 +78,12 @@ def bucket_keys(cells: np.ndarray, table: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def in_range(keys: np.ndarray, level) -> np.ndarray:
+    """Bucket names of a norm range."""
+    x = np.asarray(level, dtype=np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return (keys.view(np.uint64) ^ x ^ x >> np.uint64(32)).view(np.int64)
+
+
 def valid_vectors(rows: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
     """(id, vec) of the rows that take part, and their length."""
     fine = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0)
@@ -98,19 +107,19 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     vectors = stored(named.join(first, ["name1", "name2"]).where("id = cid").select("cid", "name1", "name2", "vec"), "classes")
     queries = stored(named.where(F.col("id") % query_every == 0).select("id", "name1", "name2").join(first, ["name1", "name2"])
                      .select(F.col("id").alias("query_id"), F.col("cid").alias("qid")), "queries")
-    normed = vectors.withColumn("n2", F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    head = normed.select("n2", "cid").orderBy(F.desc("n2"), "cid").limit(HEAD + 1).collect()
-    small = len(head) <= HEAD
-    last = head[HEAD - 1] if not small else None
-    in_head = F.lit(True) if small else (F.col("n2") > last["n2"]) | (F.col("n2") == last["n2"]) & (F.col("cid") <= last["cid"])
+    # the norm of a vector divided by its largest entry, and that entry, so that nothing overflows
+    largest = F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double"))))
+    level = F.floor(RANGES * (F.log2(largest) + F.log2(F.aggregate("vec", F.lit(0.0), lambda s, x: s + F.pow(x.cast("double") / largest, F.lit(2.0)))) / 2))
+    vectors = stored(vectors.withColumn("level", level.cast("long")), "leveled")
+    levels = np.array([r["level"] for r in vectors.select("level").distinct().collect()], dtype=np.int64)     # a few thousand at most: exponents of doubles
     shipped = share(rows.sparkSession, hash_family(dim))
 
     def matrix(column) -> np.ndarray:
         return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), dim)
 
-    def places(x):
+    def places(x, width):
         a, b = shipped()
-        p = (x @ a + b) / WIDTH
+        p = x @ a / width + b
         cell = np.floor(p)
         return cell.astype(np.int64).reshape(-1, TABLES, FUNCTIONS), (p - cell).reshape(-1, TABLES, FUNCTIONS)
 
@@ -125,40 +134,36 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
             [batch.column("cid"), pa.array(found, type=pa.list_(pa.int64())), pa.array([v.tobytes() for v in x.astype("<" + kind)], type=pa.binary())],
             names=["cid", "buckets", "raw"])
 
-    def index(batches):
-        for batch in batches:
-            x = matrix(batch.column("vec"))
-            if small:
-                keys = np.empty((len(x), 0), dtype=np.int64)
-            else:
-                cell, _ = places(directions(x))
+    def index(width):
+        def run(batches):
+            for batch in batches:
+                x = matrix(batch.column("vec"))
+                cell, _ = places(directions(x), width)
                 keys = np.stack([bucket_keys(cell[:, t], t) for t in range(TABLES)], axis=1)
-            yield listed(batch, x, [k + [HEAD_BUCKET] * h for k, h in zip(keys.tolist(), batch.column("head").to_pylist())])
-
-    def probe(batches):
-        for batch in batches:
-            x = matrix(batch.column("vec"))
-            if small:
-                yield listed(batch, x, [[HEAD_BUCKET]] * len(x))
-                continue
-            cell, within = places(directions(x))
-            found = []
-            for c, w in zip(cell, within):
-                own = [HEAD_BUCKET]
-                for t in range(TABLES):
-                    sets = list(perturbations(w[t], PROBES))
-                    cells = np.repeat(c[t][None], len(sets), axis=0)
-                    for n, steps in enumerate(sets):
-                        for i, d in steps:
-                            cells[n, i] += d
-                    own += bucket_keys(cells, t).tolist()
-                found.append(own)
-            yield listed(batch, x, found)
+                yield listed(batch, x, in_range(keys, np.asarray(batch.column("level"))[:, None]).tolist())
+        return run
+
+    def probe(width, probes):
+        def run(batches):
+            for batch in batches:
+                x = matrix(batch.column("vec"))
+                cell, within = places(directions(x), width)
+                found = []
+                for c, w in zip(cell, within):
+                    own = []
+                    for t in range(TABLES):
+                        sets = list(perturbations(w[t], probes))
+                        cells = np.repeat(c[t][None], len(sets), axis=0)
+                        for n, steps in enumerate(sets):
+                            for i, d in steps:
+                                cells[n, i] += d
+                        own.append(bucket_keys(cells, t))
+                    found.append(in_range(np.concatenate(own)[:, None], levels).ravel().tolist())
+                yield listed(batch, x, found)
+        return run
 
     shape = "cid bigint, buckets array<bigint>, raw binary"
     asking = stored(vectors.join(queries.select(F.col("qid").alias("cid")).distinct(), "cid", "left_semi"), "asking")
-    indexed = stored(normed.select("cid", "vec", in_head.alias("head")).mapInArrow(index, shape), "index")
-    probing = stored(asking.select("cid", "vec").mapInArrow(probe, shape), "probes")
 
     def products(vs, qs):
         """Best candidates of every query of a block among the vectors of a block."""
@@ -187,10 +192,10 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     top = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
     best = lambda pairs: pairs.distinct().withColumn("n", F.row_number().over(top)).where(F.col("n") <= k + 1).drop("n")
 
-    def compared(bucket) -> DataFrame:
+    def compared(indexed: DataFrame, probing: DataFrame) -> DataFrame:
         """qid, cid, score: the best k + 1 of each query among the vectors that share a bucket with it."""
-        in_bucket = indexed.select(bucket.alias("bucket"), "cid", "raw")
-        at_bucket = probing.select(bucket.alias("bucket"), F.col("cid").alias("qid"), "raw")
+        in_bucket = indexed.select(F.explode("buckets").alias("bucket"), "cid", "raw")
+        at_bucket = probing.select(F.explode("buckets").alias("bucket"), F.col("cid").alias("qid"), "raw")
         blocks = lambda df, n: df.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias(n))
         sizes = stored(blocks(in_bucket, "vs").join(blocks(at_bucket, "qs"), "bucket"), "sizes")
         each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -200,12 +205,12 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
         return stored(best(left.groupBy("bucket", "vb", "qb").cogroup(right.groupBy("bucket", "vb", "qb"))
                            .applyInPandas(products, "qid bigint, cid bigint, score double")), "short")
 
-    def recall(short: DataFrame) -> float:
-        """Share of the best k + 1 of ``SAMPLE`` queries that the lists hold, by score."""
-        chosen = asking.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("cid").join(probing, "cid").select("cid", "raw").toPandas() \
+    def least_scores(indexed: DataFrame):
+        """Of ``SAMPLE`` queries: the score of the last of their best k + 1 among all vectors, and how many those are."""
+        chosen = asking.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("cid").join(indexed, "cid").select("cid", "raw").toPandas() \
             .rename(columns={"cid": "qid"})
         if not len(chosen):
-            return 1.0
+            return {}, 0
         asked = share(rows.sparkSession, chosen)
 
         def exact(batches):
@@ -213,13 +218,19 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
                 yield products(part, asked())
 
         whole = best(indexed.select("cid", "raw").mapInPandas(exact, "qid bigint, cid bigint, score double")).toPandas()
-        ours = short.where(F.col("qid").isin(chosen["qid"].tolist())).toPandas()
-        least = whole.groupby("qid")["score"].min()
-        return float((ours["score"] >= ours["qid"].map(least)).sum() / max(1, len(whole)))
-
-    short = compared(F.explode("buckets"))
-    if not small and recall(short) < LEAST_RECALL:
-        short = compared(F.lit(HEAD_BUCKET).cast("long"))
+        return whole.groupby("qid")["score"].min().to_dict(), len(whole)
+
+    probes, width, wanted = PROBES, WIDTH, None
+    while True:
+        indexed = stored(vectors.select("cid", "vec", "level").mapInArrow(index(width), shape), "index")
+        probing = stored(asking.select("cid", "vec", "level").mapInArrow(probe(width, probes), shape), "probes")
+        short = compared(indexed, probing)
+        wanted = wanted or least_scores(indexed)
+        least, many = wanted
+        ours = short.where(F.col("qid").isin(list(least))).toPandas()
+        if (ours["score"] >= ours["qid"].map(least)).sum() >= LEAST_RECALL * many:
+            break
+        probes, width = (2 * probes, width) if probes < MOST_PROBES else (probes, width * WIDER)
     ids = members.join(first, ["name1", "name2"]).select("cid", "id")
     spread = short.join(ids, "cid").select("qid", "id", "score")
     listed = spread.withColumn("n", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "id"))).where(F.col("n") <= k + 1)

@@ -2,17 +2,20 @@
 
 Lines of a text are its paragraphs; a line over ``WINDOW`` words is read in half-overlapping windows, so
 whole texts are covered. A sparse multinomial logistic regression over hashed 1- to 3-grams of words names
-the licence family or ``unknown`` (everything that is no licence notice of a family known here). A found
-family is then compared with the family's templates: the share of word pairs in common, measured on the
-shorter of the two texts, must reach ``CONFIRM``.
+the licence family or ``unknown`` (everything that is no licence notice of a family known here, notices of other
+licences among it). A family of probability ``LEAST_PROBABILITY`` is found; its template comparison, the share of
+word pairs in common, measured on the shorter of the two texts, must reach ``CONFIRM`` to confirm it. In windows that
+are not surely unknown (``DOUBT``) the other families of probability ``SECOND`` are compared too, and those found whose
+templates confirm them: a notice of two licences names both.
 
 Training set: windows cut from the templates, with dropped words and strange words around them, and as
 ``unknown`` a bounded hash-chosen sample of the corpus' own paragraphs (about ``SAMPLE_PARAGRAPHS``) that
-share few word pairs with any template, plus shuffled template words. A fifth is kept aside to calibrate
-the probabilities by one temperature.
+share few word pairs with any template, notices of licences that are not known here, and shuffled template words. A
+fifth is kept aside to calibrate the probabilities by one temperature.
 
-Defined results: null and empty texts have no paragraph; repeated rows report each; an empty table gives an
-empty result. Extra columns are ignored.
+Defined results: null and empty texts have no paragraph; very long lines are read window by window; repeated rows
+report each; of windows of a line that tie the first is reported; an empty table gives an empty result. Extra columns
+are ignored.
 """
 from __future__ import annotations
 
@@ -29,6 +32,7 @@ WINDOW, STEP = 20, 10
 ORDERS = 3
 SAMPLE_PARAGRAPHS = 1600
 LEAST_PROBABILITY, CONFIRM = 0.5, 0.7
+DOUBT, SECOND = 0.05, 0.01
 CACHE_WORDS = 1 << 19
 SLICE = 1 << 19
 UNKNOWN = "unknown"
@@ -53,6 +57,7 @@ TEMPLATES = {
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
+        "Distributed under the GNU GPL v3",
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
@@ -109,6 +114,30 @@ TEMPLATES = {
 }
 
 
+# Notices of licences that are no family here, as their publishers word them: fixed values.
+OTHER_NOTICES = (
+    "Licensed under the Eclipse Public License 2.0",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0",
+    "SPDX-License-Identifier: EPL-2.0",
+    "Licensed under the EUPL, Version 1.2 or later",
+    "SPDX-License-Identifier: EUPL-1.2",
+    "The contents of this file are subject to the terms of the Common Development and Distribution License (the License)",
+    "SPDX-License-Identifier: CDDL-1.0",
+    "This software is provided under the terms of the zlib license",
+    "SPDX-License-Identifier: Zlib",
+    "This library is free software under the terms of the Artistic License 2.0",
+    "SPDX-License-Identifier: Artistic-2.0",
+    "Licensed under the Boost Software License, Version 1.0",
+    "SPDX-License-Identifier: BSL-1.0",
+    "Licensed under the Microsoft Public License (Ms-PL)",
+    "Licensed under the Python Software Foundation License Version 2",
+    "Licensed under the Server Side Public License",
+    "Licensed under the Business Source License 1.1",
+    "All rights reserved. Unauthorized copying of this file, via any medium is strictly prohibited. Proprietary and confidential",
+    "Use of this source code is governed by the license agreement that came with it",
+)
+
+
 class WordHash(dict):
     """32-bit hash of a word, remembered."""
 
@@ -250,6 +279,13 @@ def training_set(background: list[list[str]], seed: int = 3) -> tuple[list[list[
         if all(template_share(words, f) < 0.3 for f in TEMPLATES):
             out.append(words)
             y.append(len(names) - 1)
+    for notice in OTHER_NOTICES:                # other licences' notices, whole, cut and with strange words
+        words = find_words(notice.lower())
+        for k in range(20):
+            part = [w for w in words if rng.random() > 0.05 * (k > 3)][:WINDOW]
+            extra = int(rng.integers(0, max(1, WINDOW - len(part) + 1))) if k > 8 else 0
+            out.append([*part, *map(str, rng.choice(stray, extra))])
+            y.append(len(names) - 1)
     for _ in range(600):                        # licence words in no licence's order, and lone words
         size = int(rng.integers(1, WINDOW + 1))
         words = [str(w) for w in np.where(rng.random(size) < 0.4, rng.choice(pool, size), rng.choice(stray, size))]
@@ -314,14 +350,15 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
                 if not windows:
                     continue
                 p = model.probabilities(windows, hashes)
-                top = p.argmax(axis=1)
                 best: dict = {}
-                for j in np.flatnonzero((top < len(model.names) - 1) & (p.max(axis=1) >= LEAST_PROBABILITY)):
-                    family, q = model.names[top[j]], float(p[j, top[j]])
-                    common = template_share(windows[j], family)
-                    key = (places[j], lines[j], family)
-                    best[key] = max(best.get(key, (0.0, 0.0, None)), (common, q, j), key=lambda x: x[:2])
-                found = [(ids[j], lines[j], model.names[top[j]], q, c, c >= CONFIRM) for c, q, j in best.values()]
+                for j in np.flatnonzero(p[:, -1] <= 1 - DOUBT):
+                    for f in np.flatnonzero(p[j, :-1] >= SECOND):
+                        family, q = model.names[f], float(p[j, f])
+                        common = template_share(windows[j], family)
+                        if q >= LEAST_PROBABILITY or common >= CONFIRM:
+                            key = (places[j], lines[j], family)
+                            best[key] = max(best.get(key, (0.0, 0.0, None)), (common, q, j), key=lambda x: x[:2])
+                found = [(ids[j], lines[j], family, q, c, c >= CONFIRM) for (_, _, family), (c, q, j) in best.items()]
                 types = [batch.column("id_").type, pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.bool_()]
                 names = ["id_", "line", "family", "probability", "template_share", "confirmed"]
                 yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], type=t) for k, t in enumerate(types)], names=names)

@@ -198,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (4, 2))
         .orderBy(F.xxhash64("id_"), "id_", "y_").limit(SAMPLE_ROWS)
     rows = docs.select(F.col("doc_id").alias("id_"), "text").where(fold(F.col("id_"), parts) != held) \
         .join(F.broadcast(own), "id_")             # at most SAMPLE_ROWS pairs of numbers
-    got = with_statistics(rows, "id_", "y_").orderBy(F.xxhash64("id_"), *FEATURES).limit(2 * SAMPLE_ROWS).toPandas()
+    got = with_statistics(rows, "id_", "y_").orderBy(F.xxhash64("id_"), *FEATURES).limit(SAMPLE_ROWS).toPandas()
     return fit(got[list(FEATURES)].to_numpy(dtype=np.float64), got["y_"].to_numpy(dtype=np.float64))
 
 

@@ -484,11 +484,12 @@ def train(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (3, 1))
     if not model.both:
         return model
     text = F.coalesce("text", F.lit(""))
-    sample = stored(rows.where(part == 0).select(text.alias("text"), "toxic", F.xxhash64("id_", F.lit(1)).alias("order_"))
+    drawn = stored(rows.where(part == 0).select(text.alias("text"), "toxic", F.xxhash64("id_", F.lit(1)).alias("order_"))
                     .orderBy("order_").limit(CALIBRATION_ROWS), "calibration")
-    found = evidence(sample, model.counts)
-    sample = sample.select("toxic", "order_", F.xxhash64("text").alias("name1"), F.xxhash64(F.lit(1), "text").alias("name2")) \
+    found = evidence(drawn, model.counts)
+    sample = drawn.select("toxic", "order_", F.xxhash64("text").alias("name1"), F.xxhash64(F.lit(1), "text").alias("name2")) \
         .join(found, ["name1", "name2"]).select("toxic", "order_", "name1", "evidence").toPandas().sort_values(["order_", "name1", "toxic"])
+    discard(drawn)
     model.fit_curve(np.array(sample["evidence"].tolist()).reshape(len(sample), 10), sample["toxic"].to_numpy(dtype=float))
     return model
 

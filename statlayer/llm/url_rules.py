@@ -6,8 +6,9 @@ with a path prefix; they fit the host and every subdomain, and the longest fitti
 site rule decides. Everything is DataFrame expressions: no Python runs on the executors.
 
 Defined results: null url or one without ``://`` -> empty host and path and no site rule; pattern rules
-still see such an address, null counts as empty (``allow``); repeated rows are judged each for itself; an empty table gives an empty result. Only
-the id and url columns are read, so further columns cannot clash.
+still see such an address, null counts as empty (``allow``); repeated rows are judged each for itself; an empty table gives an empty result. Very
+long addresses are judged whole. Of site rules of one length that fit, the greatest by text decides, of pattern rules that
+hit the least is named. Only the id and url columns are read, so further columns cannot clash.
 """
 from __future__ import annotations
 
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import ascii_lower
 
-MAX_RULES = 20_000         # the index is a literal of the plan; a longer list is refused, never cut
+RULES_AT_ONCE = 20_000     # an index is a literal of the plan; a longer list of rules makes several
 
 
 @dataclass(frozen=True)
@@ -102,19 +103,13 @@ def rule_index(rules: tuple[Rule, ...], counts: dict[str, int]) -> dict[str, lis
     return index
 
 
-def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-                 rules: tuple[Rule, ...] = SITE_RULES + PATTERN_RULES) -> DataFrame:
-    """id, host, path, rule (the deciding site rule or null), verdict, pattern (the pattern rule that hit)."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES}")
-    index = rule_index(rules, token_frequencies(pages, url_col, rules))
+def with_hits(base: DataFrame, rules: tuple[Rule, ...], index: dict[str, list[int]], name: str) -> DataFrame:
+    """The frame with best<name> (size, rule and verdict of the deciding site rule) and pattern<name>, by some rules."""
     always = index.pop("", [])
     fetch = F.create_map(*[x for k, v in sorted(index.items()) for x in (F.lit(k), F.array(*map(F.lit, v)))]) \
         if index else F.expr("map('', array(0))")
-    col = {k: F.array(*[F.lit(getattr(r, k)) for r in rules]) for k in ("text", "action", "regex", "site")}
-    host, path = split_url(F.col(url_col))
-    base = pages.select(F.col(id_col).alias("id_"), host.alias("host"), path.alias("path"),
-                        ascii_lower(F.coalesce(F.col(url_col), F.lit(""))).alias("address"))
+    col = {k: F.array(*[F.lit(getattr(r, k)) for r in rules]) if rules else F.array(F.lit(kind)) for k, kind in
+           (("text", ""), ("action", ""), ("regex", ""), ("site", True))}
     none = F.expr("cast(array() as array<int>)")
     fetched = F.flatten(F.transform(tokens_of(F.col("address")),
                                     lambda t: F.coalesce(F.try_element_at(fetch, t), none)))
@@ -125,14 +120,28 @@ def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         return F.rlike(subject, F.get(col["regex"], n))
 
     hits = base.withColumn("hits", F.filter(candidates, runs))
-    weighed = hits.select(
-        "id_", "host", "path",
+    return hits.select(
+        *base.columns,
         F.array_max(F.transform(F.filter("hits", lambda n: F.get(col["site"], n)),
                                 lambda n: F.struct(F.length(F.get(col["text"], n)).alias("size"),
                                                    F.get(col["text"], n).alias("rule"),
-                                                   F.get(col["action"], n).alias("verdict")))).alias("best"),
+                                                   F.get(col["action"], n).alias("verdict")))).alias(f"best{name}"),
         F.array_min(F.transform(F.filter("hits", lambda n: ~F.get(col["site"], n)),
-                                lambda n: F.get(col["text"], n))).alias("pattern"))
+                                lambda n: F.get(col["text"], n))).alias(f"pattern{name}"))
+
+
+def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
+                 rules: tuple[Rule, ...] = SITE_RULES + PATTERN_RULES) -> DataFrame:
+    """id, host, path, rule (the deciding site rule or null), verdict, pattern (the pattern rule that hit)."""
+    counts = token_frequencies(pages, url_col, rules)
+    host, path = split_url(F.col(url_col))
+    weighed = pages.select(F.col(id_col).alias("id_"), host.alias("host"), path.alias("path"),
+                           ascii_lower(F.coalesce(F.col(url_col), F.lit(""))).alias("address"))
+    sets = [rules[i:i + RULES_AT_ONCE] for i in range(0, len(rules), RULES_AT_ONCE)] or [()]
+    for k, part in enumerate(sets):
+        weighed = with_hits(weighed, part, rule_index(part, counts), str(k))
+    best, pattern = ([F.col(f"{n}{k}") for k in range(len(sets))] for n in ("best", "pattern"))
+    weighed = weighed.withColumns({"best": F.greatest(*best) if len(sets) > 1 else best[0], "pattern": F.least(*pattern) if len(sets) > 1 else pattern[0]})
     return weighed.select(
         F.col("id_").alias(id_col), "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce(F.col("best.verdict"), F.when(F.col("pattern").isNotNull(), "block").otherwise("allow")).alias("verdict"),

@@ -261,7 +261,6 @@ def test_search_recall_and_scores(spark):
 
 @pytest.mark.parametrize("case", ["one long vector", "log-normal norms", "directions far apart"])
 def test_search_recall_with_unequal_norms(spark, monkeypatch, case):
-    monkeypatch.setattr(ann_search, "HEAD", 200)
     rng = np.random.default_rng(8)
     n, dim = 3000, 256 if case == "directions far apart" else 64
     x = rng.normal(size=(n, dim))
@@ -284,6 +283,7 @@ def test_search_recall_with_unequal_norms(spark, monkeypatch, case):
 def test_search_ties_of_different_vectors(spark, monkeypatch, rng):
     marks = [[1.0] + [float(i in chosen) for i in range(11)] for chosen in itertools.combinations(range(11), 3)]      # 165, all of product 1
     rng.shuffle(marks)
+    monkeypatch.setattr(ann_search, "WIDTH", 1e6)             # one cell: all are candidates, and all tie with the last place
     rows = spark.createDataFrame([(0, [1.0] + [0.0] * 11), *enumerate(marks, 1)], "vec_id long, embedding array<float>")
     for block in (ann_search.BLOCK, 50):
         monkeypatch.setattr(ann_search, "BLOCK", block)
@@ -299,6 +299,24 @@ def test_search_in_blocks(spark, monkeypatch):
     assert key(ann_search.nearest(rows)) == one
 
 
+def test_candidates_come_from_buckets_alone(spark, monkeypatch):
+    """Few probes in narrow cells find less, and the loop over recall mends it; so nothing stands beside the buckets."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann_search, "PROBES", 1)
+    monkeypatch.setattr(ann_search, "WIDTH", 0.5)
+    share = {}
+    for least in (0.0, 0.93):
+        monkeypatch.setattr(ann_search, "LEAST_RECALL", least)
+        got = {}
+        for r in ann_search.nearest(rows).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        share[least] = np.mean([len(set(np.argsort(-np.where(np.arange(400) == q, -9, x @ x[q]))[:20].tolist()) & got.get(q, set())) / 20 for q in range(0, 400, 20)])
+    assert share[0.0] < 0.3 and share[0.93] >= 0.9
+
+
 def test_probing_order():
     sets = list(ann_search.perturbations(np.array([0.1, 0.5, 0.8]), 12))
     cost = [sum(([0.1, 0.5, 0.8][i] if d < 0 else 1 - [0.1, 0.5, 0.8][i]) ** 2 for i, d in s) for s in sets]
@@ -539,3 +557,38 @@ def test_cut_passages_and_short_items_leak(spark, rng):
             (5, filler)]
     got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item), (2, short), (3, "tiny")], "item_id long, text string"))
     assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(1, 1), (2, 1), (3, 2)]
+
+
+@pytest.fixture(scope="module")
+def licence_model(spark):
+    return license_scan.train(spark.read.parquet(f"{SF}/documents.parquet"))
+
+
+def test_licence_probabilities_equal_a_plain_sum(licence_model):
+    model = licence_model
+    windows = ["released under the mit license".split(), "spdx license identifier apache 2 0".split(), ["word"], "a b c d e f g h i j k l m n o p q r s t".split()]
+    got = model.probabilities(windows, license_scan.WordHash())
+    wrap = (1 << 64) - 1
+    for words, row in zip(windows, got):
+        total, grams = np.zeros(len(model.names)), 0
+        for order in range(license_scan.ORDERS):
+            for i in range(len(words) - order):
+                value = zlib.crc32(words[i].encode())
+                for k in range(1, order + 1):
+                    value = (value * 0x9E3779B97F4A7C15 + zlib.crc32(words[i + k].encode())) & wrap
+                total += model.w[(((value + order) * 0xC4CEB9FE1A85EC53) & wrap) >> (64 - license_scan.BITS)]
+                grams += 1
+        z = np.exp((total / np.sqrt(grams) + model.bias) / model.heat)
+        assert np.allclose(row, z / z.sum(), atol=1e-4)
+
+
+def test_notices_of_two_licences_and_of_other_licences(spark, licence_model):
+    lines = ["SPDX-License-Identifier: MIT OR Apache-2.0", "Licensed under the Eclipse Public License 2.0", "Distributed under the GNU GPL v3",
+             "Licensed under the EUPL, Version 1.2 or later", "SPDX-License-Identifier: Zlib", "river stone market winter letter garden window"]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = {}
+    for r in license_scan.scan(docs, licence_model).collect():
+        got.setdefault(r["doc_id"], {})[r["family"]] = r["confirmed"]
+    assert {f for f, c in got[0].items() if c} >= {"MIT", "Apache-2.0"}
+    assert got[2].get("GPL-3.0") is True
+    assert not any(got.get(i) for i in (1, 3, 5)) and not any(got.get(4, {}).values()), got

@@ -99,6 +99,15 @@ def test_urls(spark):
     assert url_rules.url_verdicts(pages.where("false")).count() == 0
 
 
+def test_url_rules_in_several_sets(spark, monkeypatch):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    key = lambda: sorted(map(str, url_rules.url_verdicts(pages).collect()))
+    one = key()
+    monkeypatch.setattr(url_rules, "RULES_AT_ONCE", 3)
+    assert key() == one
+    assert {r["verdict"] for r in url_rules.url_verdicts(pages, rules=()).collect()} == {"allow"}
+
+
 def test_search(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (20, [1.0, 0.0]),
