@@ -38,6 +38,8 @@ JOIN_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # a hot key's partition is split also where that costs another shuffle for what follows the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows a batch to Python: whole documents in batches of 10,000 make executors hold large buffers outside the heap
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # the shuffle files of a finished query go at once; otherwise a job of many steps holds those of all its steps
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
