@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from statlayer import schemas, settings
 from statlayer.functions.text import plain_letters, strip_leading, zero_pad
-from statlayer.operators.joins import fixed_dim
+from statlayer.operators.joins import counted_dim
 from statlayer.sources.tables import read_csv_table
 
 
@@ -80,7 +80,7 @@ def known_codes(spark: SparkSession, iso: DataFrame, extra_codes=settings.EXTRA_
 
 def with_is_country(df: DataFrame, code_col: str, known: DataFrame, out: str = "is_country") -> DataFrame:
     """True when the code is a real country (broadcast left join with the fixed code list)."""
-    k = fixed_dim(known.select(F.col("code").alias("__code"), F.lit(True).alias("__known")))
+    k = counted_dim(known.select(F.col("code").alias("__code"), F.lit(True).alias("__known")))
     return (df.join(k, df[code_col] == k["__code"], "left")
             .withColumn(out, F.coalesce(F.col("__known"), F.lit(False))).drop("__code", "__known"))
 
@@ -88,7 +88,7 @@ def with_is_country(df: DataFrame, code_col: str, known: DataFrame, out: str = "
 def with_iso3_from_numeric(df: DataFrame, numeric_col: str, iso: DataFrame, out: str = "iso3") -> DataFrame:
     """G1: UN M49 / ISO numeric code -> alpha-3 (null for regions and former states). The code is
     cleaned first: leading apostrophes removed, zero-padded to 3 without truncation."""
-    ref = fixed_dim(iso.select(F.col("numeric").alias("__num"), F.col("alpha_3").alias("__a3")))
+    ref = counted_dim(iso.select(F.col("numeric").alias("__num"), F.col("alpha_3").alias("__a3")))
     key = zero_pad(strip_leading(F.col(numeric_col).cast("string"), "'"), 3)
     return (df.withColumn("__key", key).join(ref, F.col("__key") == F.col("__num"), "left")
             .withColumn(out, F.col("__a3")).drop("__key", "__num", "__a3"))
@@ -100,8 +100,8 @@ def conform_codes(df: DataFrame, area_col: str, iso_col: str, area_map: DataFram
     1. special area -> code (areas without an ISO code, e.g. a former state),
     2. otherwise the ISO code translated for merged targets (SSD -> SDN), else the ISO code itself.
     Mapping tables are deduplicated with the last listed entry (``position``) winning, so the join never fans out."""
-    special = fixed_dim(last_listed(area_map, "fao_area_code", "edgar_code").toDF("__area", "__special"))
-    merged = fixed_dim(last_listed(country_map, "wb_code", "edgar_code").toDF("__iso", "__merged"))
+    special = counted_dim(last_listed(area_map, "fao_area_code", "edgar_code").toDF("__area", "__special"))
+    merged = counted_dim(last_listed(country_map, "wb_code", "edgar_code").toDF("__iso", "__merged"))
     joined = (df.join(special, df[area_col] == special["__area"], "left")
               .join(merged, df[iso_col] == merged["__iso"], "left"))
     from_iso = F.when(F.col(iso_col).isNotNull(), F.coalesce(F.col("__merged"), F.col(iso_col)))
@@ -123,8 +123,8 @@ def with_looks_merged(df: DataFrame, code_col: str, name_col: str, iso: DataFram
     'Trinidad and Tobago' is not merged); an unknown code with ' and ' counts as merged."""
     names = iso.select(F.col("alpha_3").alias("__code"), F.explode(F.array("name", "official_name", "common_name"))
                        .alias("__n")).where(F.col("__n").isNotNull() & (F.col("__n") != ""))
-    names = fixed_dim(names.select("__code", plain_letters("__n").alias("__plain")).distinct())
-    known = fixed_dim(iso.select(F.col("alpha_3").alias("__known")))
+    names = counted_dim(names.select("__code", plain_letters("__n").alias("__plain")).distinct())
+    known = counted_dim(iso.select(F.col("alpha_3").alias("__known")))
     flagged = (df.withColumn("__name", plain_letters(F.col(name_col).cast("string")))
                .join(known, F.col(code_col) == F.col("__known"), "left")
                .join(names, (F.col(code_col) == F.col("__code")) & (F.col("__name") == F.col("__plain")), "left"))

@@ -4,11 +4,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+DIM_ROWS = 100_000          # rows of a caller's table that are broadcast
+
+
 def fixed_dim(df: DataFrame) -> DataFrame:
     """Broadcast a table whose size is fixed by definition (config literal, code list, 25 nations)."""
     return F.broadcast(df)
 
 
+def counted_dim(df: DataFrame) -> DataFrame:
+    """A table that the caller supplies (mapping, code list): broadcast once its rows are counted to be few, otherwise
+    left to the shuffle join."""
+    return F.broadcast(df) if df.limit(DIM_ROWS + 1).count() <= DIM_ROWS else df
+
+
 def semi(df: DataFrame, other: DataFrame, on) -> DataFrame:
     """Rows of ``df`` with a match (EXISTS)."""
     return df.join(other, on, "left_semi")

@@ -37,3 +37,12 @@ def test_input_bytes_matches_the_files(spark):
     want = sum(os.path.getsize(os.path.join(d, f)) for f in os.listdir(d))
     assert input_bytes(spark, d) == want
     assert input_bytes(spark, f"{d}/nation.parquet") == os.path.getsize(f"{d}/nation.parquet")
+
+
+def test_a_callers_table_is_broadcast_only_if_it_is_counted_small(spark, monkeypatch):
+    from statlayer.operators import joins
+    plan = lambda: spark.range(100).join(joins.counted_dim(spark.range(10).withColumnRenamed("id", "k")), F.col("id") == F.col("k")) \
+        ._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan()
+    monkeypatch.setattr(joins, "DIM_ROWS", 5)
+    assert "broadcast" not in plan()
