@@ -22,7 +22,7 @@ from .common import map_rows, share, strings
 
 LONG_PIECE = 512           # bytes; longer pieces use the heap instead of the matrices
 MATRIX_CELLS = 1 << 19     # cells of one matrix at once
-CACHE_PIECES = 400_000     # encoded pieces a task remembers; the memory is emptied when full
+CACHE_PIECES = 150_000     # encoded pieces a task remembers; the memory is emptied when full
 NONE = np.int32(2 ** 31 - 1)
 
 

@@ -26,10 +26,9 @@ texts are read whole, in slices of rows; an empty table gives an empty table. Ex
 """
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from xxhash import xxh3_64_intdigest
 
 from .common import map_rows, stored, strings
 
@@ -38,7 +37,7 @@ MINIMA, ROWS = 128, 4
 BANDS = MINIMA // ROWS
 B = 4
 ROUNDS = 1                     # at most, before the remaining classes are searched exactly
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 17
 MOST_DIFFERENT = 54            # lanes of 128 that may differ: five deviations beyond a pair at the limit
 P, C1, C2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _RNG = np.random.default_rng(20)
@@ -50,7 +49,7 @@ class WordHash(dict):
     """64-bit hash of a word, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        value = self[word] = xxh3_64_intdigest(word)
         return value
 
 

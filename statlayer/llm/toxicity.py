@@ -40,15 +40,15 @@ from .common import discard, fold, release_memory, release_shuffles, share, stor
 MAP_BITS = 18
 TURN = 21                      # a pair's code: the first word's hash rotated by so many bits, xor the second's
 START = 0x51ED270B1F3A6C95     # stands before the first word
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 SLOT_KEYS = 1 << 19
 LEAST_SLOTS = 32
 KEY_BITS, KEY_BYTES = 34, 5
 WORD_BITS = 19                 # bitmaps of words have 2^(WORD_BITS + 6) bits
 CALIBRATION_ROWS = 20_000
 CALIBRATION_SHARE = 8          # one training row in so many is kept for the logistic curve
-FLUSH_PAIRS = 1 << 20          # pairs a task holds before it sums them up
-SEEN_TEXTS = 1 << 16           # texts a task remembers, to send repeated ones once
+FLUSH_PAIRS = 1 << 19          # pairs a task holds before it sums them up
+SEEN_TEXTS = 1 << 14           # texts a task remembers, to send repeated ones once
 THRESHOLD = 0.7
 find_words = re.compile(r"\w+").findall
 #: of ASCII texts: word characters in lower case, all others a space
