@@ -18,7 +18,7 @@ text a log-likelihood ratio; sums are normalised by length, and a logistic curve
   by its upper ``KEY_BITS`` bits, so a pair that was not counted is taken for another with a chance of about
   ``SLOT_KEYS`` / 2^``KEY_BITS``; whole numbers are kept exactly, probabilities to 8 bits. Pairs are asked for only where they can count: two bitmaps of fixed size, of
   the histories that both classes know and of the counted words, tell most of the others; where the bitmaps are
-  full, more is asked and the result is the same.
+  full, more is asked and the result is the same. The chunks are scored in up to ``ROUNDS`` rounds.
 * The logistic curve is fitted on at most ``CALIBRATION_ROWS`` labelled training rows (smallest hashes
   among an eighth of the training rows that the counts leave out).
 
@@ -35,6 +35,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
+from statlayer.session import scratch_path
+
 from .common import discard, fold, release_memory, release_shuffles, share, stored, strings
 
 MAP_BITS = 18
@@ -43,6 +45,8 @@ START = 0x51ED270B1F3A6C95     # stands before the first word
 CHUNK_BYTES = 4 << 20
 SLOT_KEYS = 1 << 19
 LEAST_SLOTS = 32
+ROUNDS = 4                     # texts are scored in so many rounds, which one after the other take the same disk
+ROUND_CHUNKS = 32              # a round has at least so many chunks
 KEY_BITS, KEY_BYTES = 34, 5
 WORD_BITS = 19                 # bitmaps of words have 2^(WORD_BITS + 6) bits
 CALIBRATION_ROWS = 20_000
@@ -335,6 +339,9 @@ def level_features(ratio: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+EVIDENCE = "name1 bigint, name2 bigint, evidence array<double>"
+
+
 def stands(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether each key's bit is set."""
     keys = keys.view(np.uint64)
@@ -342,14 +349,17 @@ def stands(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def evidence(texts: DataFrame, packed: Packed) -> DataFrame:
-    """name1, name2 (the text's 64-bit hashes), evidence: one row a distinct text."""
+    """name1, name2 (the text's 64-bit hashes), evidence: one row a distinct text, as a stored table. The texts are read
+    once a round; a round takes its share of the chunks and frees its shuffles before the next one starts."""
     import pyarrow as pa
 
     named = texts.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
         .select(F.xxhash64("text").alias("name1"), F.xxhash64(F.lit(1), "text").alias("name2"), "text")
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, slots, discount = int(total) // CHUNK_BYTES + 1, packed.slots, packed.discount
-    bits = share(texts.sparkSession, packed.bits)
+    rounds = max(1, min(ROUNDS, chunks // ROUND_CHUNKS))
+    spark = texts.sparkSession
+    bits = share(spark, packed.bits)
 
     def first_seen(batches):
         """Each text once (of those in memory), as its words, compressed."""
@@ -367,7 +377,7 @@ def evidence(texts: DataFrame, packed: Packed) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(out[0], type=pa.int64()), pa.array(out[1], type=pa.int64()), pa.array(out[2], type=pa.binary())],
                                              names=["name1", "name2", "words"])
 
-    dealt = named.mapInArrow(first_seen, "name1 bigint, name2 bigint, words binary").withColumn("chunk", F.pmod("name1", F.lit(chunks)))
+    chunk = F.pmod("name1", F.lit(chunks))
     upper = np.uint64(64 - KEY_BITS)
 
     def read(group):
@@ -430,9 +440,19 @@ def evidence(texts: DataFrame, packed: Packed) -> DataFrame:
         release_memory()
         return scored
 
-    asked = dealt.groupBy("chunk").applyInArrow(ask, "chunk bigint, slot bigint, keys binary")
-    answers = asked.groupBy("slot").cogroup(packed.rows.groupBy("slot")).applyInArrow(answer, "chunk bigint, slot bigint, places binary, found binary")
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(weigh, "name1 bigint, name2 bigint, evidence array<double>")
+    def weighed(turn: int) -> DataFrame:
+        dealt = named.where(chunk % rounds == turn).mapInArrow(first_seen, "name1 bigint, name2 bigint, words binary").withColumn("chunk", chunk)
+        asked = dealt.groupBy("chunk").applyInArrow(ask, "chunk bigint, slot bigint, keys binary")
+        answers = asked.groupBy("slot").cogroup(packed.rows.groupBy("slot")).applyInArrow(answer, "chunk bigint, slot bigint, places binary, found binary")
+        return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(weigh, EVIDENCE)
+
+    path = scratch_path(spark, "evidence")
+    for turn in range(rounds):
+        weighed(turn).write.mode("append").parquet(path)
+        release_shuffles(spark)
+    found = spark.read.schema(EVIDENCE).parquet(path)
+    found.stored_at = path
+    return found
 
 
 class Model:
@@ -489,7 +509,7 @@ def train(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (3, 1))
     found = evidence(drawn, model.counts)
     sample = drawn.select("toxic", "order_", F.xxhash64("text").alias("name1"), F.xxhash64(F.lit(1), "text").alias("name2")) \
         .join(found, ["name1", "name2"]).select("toxic", "order_", "name1", "evidence").toPandas().sort_values(["order_", "name1", "toxic"])
-    discard(drawn)
+    discard(drawn, found)
     model.fit_curve(np.array(sample["evidence"].tolist()).reshape(len(sample), 10), sample["toxic"].to_numpy(dtype=float))
     return model
 

@@ -482,6 +482,19 @@ def test_license_sample_is_bounded(spark, monkeypatch):
     assert got in ([], ["one text that most rows copy"])
 
 
+def test_toxicity_scores_in_rounds(spark, monkeypatch):
+    labelled = spark.createDataFrame([("a b c d", 1), ("a b x y", 0), ("b a x c", 0), ("a c b", 1)], "text string, toxic int")
+    packed = toxicity.Packed(toxicity.learn_counts(labelled))
+    texts = spark.createDataFrame([(" ".join("abcxy"[i // 5 ** k % 5] for k in range(5)),) for i in range(400)] * 2 + [(None,), ("",)], "text string")
+    monkeypatch.setattr(toxicity, "CHUNK_BYTES", 200)
+    rows = lambda: sorted((r["name1"], r["name2"], *r["evidence"]) for r in toxicity.evidence(texts, packed).collect())
+    whole, freed = rows(), []
+    monkeypatch.setattr(toxicity, "ROUND_CHUNKS", 1)
+    monkeypatch.setattr(toxicity, "ROUNDS", 5)
+    monkeypatch.setattr(toxicity, "release_shuffles", freed.append)
+    assert rows() == whole and len(whole) == 401 and len(freed) == 5
+
+
 def test_benchmark_block_is_bounded(rng):
     part = decontaminate.BLOCK_BYTES // 16
     index = decontaminate.Index([(i, prose(rng, 400)[:2048]) for i in range(part // 2048)])
