@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statlayer.functions.numeric import nan_to_null, to_double_lenient
 from statlayer.functions.text import is_number_name
 
 
@@ -26,24 +27,28 @@ def year_columns(df: DataFrame, pattern: str | None = None) -> list[str]:
     return [c for c in df.columns if is_number_name(c)]
 
 
+def one_type(df: DataFrame, id_cols: list, value_cols: list[str], numeric: bool = True) -> DataFrame:
+    """``id_cols`` (names or columns) and the value columns in one type: all numeric -> double; otherwise text, then a
+    lenient parse (bad text becomes null, as a coercing parse does). NaN is missing."""
+    types = {type(df.schema[c].dataType) for c in value_cols}
+    all_numeric = all(issubclass(t, T.NumericType) for t in types)
+    if not numeric:
+        typed = lambda c: q(c).cast("string")
+    elif all_numeric:
+        typed = lambda c: nan_to_null(q(c).cast("double"))
+    else:
+        typed = lambda c: to_double_lenient(q(c))
+    return df.select(*[q(c) if isinstance(c, str) else c for c in id_cols], *[typed(c).alias(c) for c in value_cols])
+
+
 def unpivot_measure(df: DataFrame, id_cols: list[str], value_cols: list[str], var_name: str = "year",
                     value_name: str = "value", numeric: bool = True) -> DataFrame:
     """Wide -> long with one measure; missing cells are kept (drop them with ``where`` after).
 
-    Mixed value-column types cannot be unpivoted directly, so they are unified first: all numeric ->
-    double; otherwise text, then a lenient parse (bad text becomes null, as a coercing parse does).
+    Mixed value-column types cannot be unpivoted directly, so they are unified first (``one_type``).
     """
-    types = {type(df.schema[c].dataType) for c in value_cols}
-    all_numeric = all(issubclass(t, T.NumericType) for t in types)
-    target = "double" if all_numeric and numeric else "string"
-    wide = df.select(*[q(c) for c in id_cols], *[q(c).cast(target).alias(c) for c in value_cols])
-    long = wide.unpivot([q(c) for c in id_cols], [q(c) for c in value_cols], var_name, value_name)
-    if numeric and target == "string":
-        long = long.withColumn(value_name, F.nanvl(F.col(value_name).try_cast("double"),
-                                                   F.lit(None).cast("double")))
-    elif numeric:
-        long = long.withColumn(value_name, F.nanvl(F.col(value_name), F.lit(None).cast("double")))
-    return long
+    wide = one_type(df, id_cols, value_cols, numeric)
+    return wide.unpivot([q(c) for c in id_cols], [q(c) for c in value_cols], var_name, value_name)
 
 
 def year_from_header(col) -> F.Column:
@@ -52,6 +57,11 @@ def year_from_header(col) -> F.Column:
     return F.split(F.trim(c), r"\.").getItem(0).cast("int")
 
 
+def year_of_header(col: str, headers: list[str]) -> F.Column:
+    """``year_from_header`` of a column that holds some of the headers: each is parsed once, not once a row."""
+    return F.try_element_at(F.create_map(*[x for h in headers for x in (F.lit(h), year_from_header(F.lit(h)))]), F.col(col))
+
+
 def unpivot_pairs(df: DataFrame, id_cols: list[str], pairs: list[tuple], var_name: str = "year",
                   value_name: str = "value", flag_name: str = "flag") -> DataFrame:
     """Wide -> long for paired (value, flag) columns, e.g. Y2023 / Y2023F.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from statlayer.operators import conform
 from statlayer.operators.aggregate import complete_group_sums, sorted_text_join
 from statlayer.operators.joins import anti, fixed_dim, orphan_count, semi
-from statlayer.operators.reshape import pivot_fixed, pivot_years, unpivot_measure, unpivot_pairs, year_columns, year_from_header
+from statlayer.operators.reshape import pivot_fixed, pivot_years, unpivot_measure, unpivot_pairs, year_columns, year_of_header
 from statlayer.plans import analog as A
 from statlayer.plans import products as P
 from statlayer.plans import published as Q
@@ -66,7 +66,7 @@ def unpivot_measures(spark, d):
     li = t(spark, d, "lineitem").select("l_partkey", F.year("l_shipdate").alias("y"), "l_quantity")
     wide = pivot_years(li, ["l_partkey"], "y", A.YEARS, {"{year}": lambda of: F.sum(of("l_quantity"))})
     long = unpivot_measure(wide, ["l_partkey"], year_columns(wide), "__y", "quantity")
-    return long.where(F.col("quantity").isNotNull()).select("l_partkey", year_from_header("__y").alias("year"),
+    return long.where(F.col("quantity").isNotNull()).select("l_partkey", year_of_header("__y", year_columns(wide)).alias("year"),
                                                              "quantity")
 
 

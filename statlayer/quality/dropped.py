@@ -27,6 +27,12 @@ class Dropped:
         self.points.append((point, list(conditions)))
         return df.observe(point, *[F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in conditions.items()])
 
+    def tally(self, df: DataFrame, **numbers: Column) -> DataFrame:
+        """Like ``watch`` where a row stands for several that are left out: the sum of each whole number."""
+        point = Observation(f"{self.step} {uuid.uuid4().hex}")
+        self.points.append((point, list(numbers)))
+        return df.observe(point, *[F.coalesce(F.sum(n.cast("long")), F.lit(0)).alias(name) for name, n in numbers.items()])
+
     def rows(self) -> list[tuple[str, str, int]]:
         """(step, what, rows) in the order of the plan; a point whose plan was proven empty counts nothing."""
         return [(self.step, name, int(point.get.get(name, 0))) for point, names in self.points for name in names]
