@@ -85,7 +85,7 @@ class Index:
         keys, owner, offs = map(np.concatenate, (keys, owner, offs))
         order = np.argsort(keys, kind="stable")
         self.keys, self.first, self.many = np.unique(keys[order], return_index=True, return_counts=True)
-        self.owner, self.offs = owner[order], offs[order]
+        self.segs, self.offs = owner[order], offs[order]           # a q-gram's item (its segments are cut when searched) and place
         self.base = max(map(len, self.texts))                        # keeps diagonals positive
         self.bitmap = np.zeros(1 << BITMAP_BITS, dtype=bool)
         self.bitmap[self._slot(self.keys)] = True
@@ -127,7 +127,7 @@ class Index:
         many = self.many[at]
         pos = np.repeat(hit, many)
         index = np.repeat(self.first[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        seg, off = self.owner[index], self.offs[index]
+        seg, off = self.segs[index], self.offs[index]
         # first only the raw counts of (item, diagonal band), to leave the few bands that can matter;
         # bands span two steps of k + 1 diagonals and start every step, so each hit counts in two
         band = (pos - off + self.base) // (self.bounds[seg, 0] + 1)
