@@ -29,7 +29,6 @@ is 0. Extra columns are ignored (``score``) or kept as they are (``keep_clean``)
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -247,37 +246,38 @@ def slot_of(key, slots: int):
     return (key.bitwiseAND(F.lit(0x7FFFFFFF)) if isinstance(key, Column) else key & 0x7FFFFFFF) % slots
 
 
+def numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of normalised texts: words a text, the number of each word by first appearance, and the numbered words' hashes.
+
+    Arrow cuts and numbers the words; Python sees each distinct one once."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    sizes = np.fromiter((t.count(b" ") + 1 if t else 0 for t in texts), dtype=np.int64, count=len(texts))
+    if not sizes.any():
+        return sizes, np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64)
+    words = pc.split_pattern(pa.array([b" ".join(filter(None, texts))], type=pa.large_string()), pattern=" ").flatten().dictionary_encode()
+    hashes = np.fromiter(map(xxh3_64_intdigest, words.dictionary.to_numpy(zero_copy_only=False)), dtype=np.uint64, count=len(words.dictionary))
+    return sizes, words.indices.to_numpy(), hashes.view(np.int64)
+
+
 class ChunkPairs:
     """The distinct words and pairs of a chunk's texts (normalised: words joined by one space), as numbers.
 
     ``words``: 64-bit hashes of the chunk's vocabulary, START last. ``pairs``: the chunk's distinct pairs, first * v +
-    second; ``of_text`` and ``pair``: a distinct pair of each text, text by text; ``word_text`` and ``word`` alike."""
+    second. ``sizes``, ``word`` and ``pair``: words a text, and each word and pair, repeats included, text by text."""
 
     def __init__(self, texts: list[bytes]):
-        vocabulary: defaultdict = defaultdict()
-        vocabulary.default_factory = vocabulary.__len__
-        number, cut = vocabulary.__getitem__, []
-        for t in texts:
-            words = t.split()
-            cut.append(np.fromiter(map(number, words), dtype=np.int32, count=len(words)))
-        sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
-        second = np.concatenate([np.empty(0, dtype=np.int32), *cut])
-        del cut
-        self.n, self.v = len(texts), len(vocabulary) + 1
-        self.words = np.append(np.fromiter(map(xxh3_64_intdigest, vocabulary), dtype=np.uint64, count=self.v - 1).view(np.int64), START)
-        text = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
-        first = np.empty(len(second), dtype=np.int64)
-        first[1:] = second[:-1]
-        first[(np.cumsum(sizes) - sizes)[sizes > 0]] = self.v - 1
-        self.word_text, self.word = distinct_of(text, second, self.v)
-        first *= self.v
-        first += second
-        del second
-        self.of_text, pair = distinct_of(text, first, self.v * self.v)
-        del first, text
-        self.pairs = np.sort(pair)
-        self.pairs = self.pairs[np.concatenate([[True], np.diff(self.pairs) != 0])[:len(pair)]]
-        self.pair = np.searchsorted(self.pairs, pair).astype(np.int32)
+        self.sizes, self.word, hashes = numbered(texts)
+        self.n, self.v = len(texts), len(hashes) + 1
+        self.words = np.append(hashes, START)
+        self.pair = np.empty(len(self.word), dtype=np.int64)
+        self.pair[1:] = self.word[:-1]
+        self.pair[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = self.v - 1
+        self.pair *= self.v
+        self.pair += self.word
+        pairs = np.sort(self.pair)
+        self.pairs = pairs[np.concatenate([[True], np.diff(pairs) != 0])[:len(pairs)]]
 
     def firsts(self) -> np.ndarray:
         return self.pairs // self.v
@@ -298,7 +298,11 @@ class ChunkPairs:
         back = np.where(known, word[first, 4], 1.0)
         high = [(1 - back) * np.maximum(pair[:, c] - discount, 0) / np.where(known, word[first, 2 + c], np.inf) + back * low[second, c] for c in (0, 1)]
         word_ratio, pair_ratio = np.log(low[:, 1]) - np.log(low[:, 0]), np.log(high[1]) - np.log(high[0])
-        return np.hstack([level_features(word_ratio[self.word], self.word_text, self.n), level_features(pair_ratio[self.pair], self.of_text, self.n)])
+        text = np.repeat(np.arange(self.n, dtype=np.int32), self.sizes)
+        of_word, word = distinct_of(text, self.word, self.v)
+        of_pair, pair = distinct_of(text, self.pair, self.v * self.v)
+        _, pair = np.unique(pair, return_inverse=True)
+        return np.hstack([level_features(word_ratio[word], of_word, self.n), level_features(pair_ratio[pair], of_pair, self.n)])
 
 
 def distinct_of(text: np.ndarray, item: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
@@ -395,7 +399,7 @@ def evidence(texts: DataFrame, packed: Packed) -> DataFrame:
     def by_slot(keys):
         """The order that sorts keys by slot and size, and for each slot its first and last place there."""
         order = np.argsort(keys.view(np.uint64))
-        order = order[np.argsort(slot_of(keys[order], slots), kind="stable")]
+        order = order[np.argsort(slot_of(keys[order], slots).astype(np.min_scalar_type(slots)), kind="stable")]
         slot = slot_of(keys[order], slots)
         start = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
         return order, dict(zip(slot[start].tolist(), zip(start.tolist(), [*start[1:].tolist(), len(keys)])))

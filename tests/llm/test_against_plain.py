@@ -495,6 +495,24 @@ def test_toxicity_scores_in_rounds(spark, monkeypatch):
     assert rows() == whole and len(whole) == 401 and len(freed) == 5
 
 
+def test_chunk_keys_need_no_pass_by_text(monkeypatch):
+    texts = ["a b a b c", "", "x", "c a b", "Ünder á b", "", "!?", "b a_1 9 b a_1"]
+    hasher, cuts = toxicity.Hasher(), []
+    real = toxicity.distinct_of
+    monkeypatch.setattr(toxicity, "distinct_of", lambda *a: cuts.append(real(*a)) or cuts[-1])
+    for some in (texts, [], ["", ""], texts[2:3]):
+        cuts.clear()
+        pairs = toxicity.ChunkPairs([toxicity.normalised(t) for t in some])
+        found = {t: hasher.pairs(t) for t in some}
+        assert set(pairs.words[:-1].tolist()) == {h for t in some for h in hasher.word_ids(t).tolist()} and pairs.words[-1] == toxicity.START
+        assert sorted(pairs.codes().tolist()) == sorted({c for codes, *_ in found.values() for c in codes.tolist()})
+        assert not cuts                                     # what a chunk asks for is known without each text's own pairs
+        flat = pairs.evidence(np.ones((pairs.v, 5)), np.ones((len(pairs.pairs), 2)), 0.5)
+        (_, word), (of_pair, _) = cuts
+        assert flat.shape == (len(some), 10) and len(word) == sum(len(set(hasher.word_ids(t).tolist())) for t in some)
+        assert np.bincount(of_pair, minlength=len(some)).tolist() == [len(found[t][0]) for t in some]
+
+
 def test_benchmark_block_is_bounded(rng):
     part = decontaminate.BLOCK_BYTES // 16
     index = decontaminate.Index([(i, prose(rng, 400)[:2048]) for i in range(part // 2048)])
