@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from statlayer.llm import bpe, decontaminate, langid, near_dup, toxicity
-from statlayer.llm.common import stored, table
+from statlayer.llm.common import release_executors, stored, table
 from statlayer.llm.queries import tokenizer
 
 
@@ -45,12 +45,20 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def released(stage):
+    """The stage, started once the executors have given back what its predecessor left."""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release_executors(spark)
+        return stage(spark, docs, sf_dir)
+    return run
+
+
 STAGES = [
     ("language_id", language),
-    ("toxicity", toxic),
-    ("near_duplicates", near_duplicates),
-    ("decontamination", decontaminated),
-    ("byte_bpe", encoded),
+    ("toxicity", released(toxic)),
+    ("near_duplicates", released(near_duplicates)),
+    ("decontamination", released(decontaminated)),
+    ("byte_bpe", released(encoded)),
 ]
 
 # The stages learn models and run merges that SQL cannot express; tests hold them against plain versions.

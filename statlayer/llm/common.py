@@ -50,6 +50,15 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def release_executors(spark: SparkSession) -> None:
+    """Let the executors' JVMs collect their garbage between two steps, with a task a core. A step leaves large dead
+    buffers (sort and hash pages, and direct ones, which go only when their owners are collected); until its collector
+    happens to run, an executor holds them beside what the next step and its Python workers take."""
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.reflect(F.lit("java.lang.System"), F.lit("gc")).alias("done")) \
+        .write.format("noop").mode("overwrite").save()
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove ``stored`` tables that nothing reads any more, and the shuffle files of finished writes."""
     release_shuffles(tables[0].sparkSession)

@@ -36,7 +36,7 @@ from xxhash import xxh3_64_intdigest
 
 from statlayer.session import scratch_path
 
-from .common import discard, fold, release_memory, release_shuffles, share, stored, strings
+from .common import discard, fold, release_executors, release_memory, release_shuffles, share, stored, strings
 
 MAP_BITS = 18
 TURN = 21                      # a pair's code: the first word's hash rotated by so many bits, xor the second's
@@ -52,6 +52,7 @@ CALIBRATION_ROWS = 20_000
 CALIBRATION_SHARE = 8          # one training row in so many is kept for the logistic curve
 FLUSH_PAIRS = 1 << 19          # pairs a task holds before it sums them up
 SEEN_TEXTS = 1 << 14           # texts a task remembers, to send repeated ones once
+BLOCK_WORDS = 1 << 16          # words of a chunk whose features are computed at once (one text at least)
 THRESHOLD = 0.7
 find_words = re.compile(r"\w+").findall
 #: of ASCII texts: word characters in lower case, all others a space
@@ -160,6 +161,7 @@ def learn_counts(labelled: DataFrame) -> Counts:
     """Counts, discounts and the word level of all labelled texts."""
     pairs = stored(pair_counts(labelled).drop("code"), "pairs")
     release_shuffles(pairs.sparkSession)
+    release_executors(pairs.sparkSession)
     o, t = F.col("ordinary"), F.col("toxic")
     one = lambda c: F.sum(c.cast("long"))
     words = stored(pairs.groupBy(F.col("second").alias("key")).agg(
@@ -298,11 +300,16 @@ class ChunkPairs:
         back = np.where(known, word[first, 4], 1.0)
         high = [(1 - back) * np.maximum(pair[:, c] - discount, 0) / np.where(known, word[first, 2 + c], np.inf) + back * low[second, c] for c in (0, 1)]
         word_ratio, pair_ratio = np.log(low[:, 1]) - np.log(low[:, 0]), np.log(high[1]) - np.log(high[0])
-        text = np.repeat(np.arange(self.n, dtype=np.int32), self.sizes)
-        of_word, word = distinct_of(text, self.word, self.v)
-        of_pair, pair = distinct_of(text, self.pair, self.v * self.v)
-        _, pair = np.unique(pair, return_inverse=True)
-        return np.hstack([level_features(word_ratio[word], of_word, self.n), level_features(pair_ratio[pair], of_pair, self.n)])
+        del low, first, second, known, back, high
+        ends, out = np.concatenate([[0], np.cumsum(self.sizes)]), np.zeros((self.n, 10))
+        cuts = np.flatnonzero(np.diff(ends[:-1] // BLOCK_WORDS)) + 1
+        for a, b in zip([0, *cuts], [*cuts, self.n]):   # a text's features need no other text
+            own, text = slice(ends[a], ends[b]), np.repeat(np.arange(b - a, dtype=np.int32), self.sizes[a:b])
+            of, found = distinct_of(text, self.word[own], self.v)
+            out[a:b, :5] = level_features(word_ratio[found], of, b - a)
+            of, found = distinct_of(text, self.pair[own], self.v * self.v)
+            out[a:b, 5:] = level_features(pair_ratio[np.searchsorted(self.pairs, found)], of, b - a)
+        return out
 
 
 def distinct_of(text: np.ndarray, item: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
@@ -454,6 +461,7 @@ def evidence(texts: DataFrame, packed: Packed) -> DataFrame:
     for turn in range(rounds):
         weighed(turn).write.mode("append").parquet(path)
         release_shuffles(spark)
+        release_executors(spark)
     found = spark.read.schema(EVIDENCE).parquet(path)
     found.stored_at = path
     return found
@@ -505,6 +513,7 @@ def train(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (3, 1))
     counts = learn_counts(rows.where(part != 0))
     model = Model(Packed(counts) if counts.both else None)
     discard(counts.pairs, counts.words)
+    release_executors(docs.sparkSession)
     if not model.both:
         return model
     text = F.coalesce("text", F.lit(""))

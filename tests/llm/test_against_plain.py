@@ -623,3 +623,39 @@ def test_notices_of_two_licences_and_of_other_licences(spark, licence_model):
     assert {f for f, c in got[0].items() if c} >= {"MIT", "Apache-2.0"}
     assert got[2].get("GPL-3.0") is True
     assert not any(got.get(i) for i in (1, 3, 5)) and not any(got.get(4, {}).values()), got
+
+
+def test_chunk_features_need_one_block_of_texts_at_once(rng, monkeypatch):
+    import tracemalloc
+
+    texts = [toxicity.normalised(prose(rng, n)) for n in [3, 0, 300, 9000] + 120 * [1500] + [0, 1]]
+    pairs = toxicity.ChunkPairs(texts)
+    random = np.random.default_rng(5)
+    word, pair = random.integers(1, 9, (pairs.v, 5)) / 9, random.integers(0, 9, (len(pairs.pairs), 2)).astype(np.float32)
+    found, peaks = [], []
+    for size in (1 << 30, 1 << 13, 1):
+        monkeypatch.setattr(toxicity, "BLOCK_WORDS", size)
+        tracemalloc.start()
+        found.append(pairs.evidence(word, pair, 0.5))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert found[0].tobytes() == found[1].tobytes() == found[2].tobytes()
+    assert found[0][1].tolist() == [0.0] * 10 and found[0][-1].any()
+    assert peaks[1] < peaks[0] / 2
+
+
+def test_executors_collect_their_garbage_between_steps(spark, monkeypatch):
+    import corpus_pipeline
+    from statlayer.llm import common
+
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    collected = lambda: sum(b.getCollectionCount() for b in beans())
+    before = collected()
+    common.release_executors(spark)
+    assert collected() > before
+    freed = []
+    monkeypatch.setattr(corpus_pipeline, "release_executors", freed.append)
+    for step in corpus_pipeline.toxic, corpus_pipeline.encoded:
+        corpus_pipeline.released(lambda spark, docs, sf_dir: len(freed))(spark, None, None)
+    assert len(freed) == 2
+    assert [name for name, stage in corpus_pipeline.STAGES if stage.__qualname__.startswith("released")] == [name for name, _ in corpus_pipeline.STAGES[1:]]
